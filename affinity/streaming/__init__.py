@@ -1,0 +1 @@
+"""No streaming exists in the reference; the batch change fold (M1) is in operators.changes."""
