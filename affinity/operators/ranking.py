@@ -119,7 +119,7 @@ def _top(scored: DataFrame, score_col: str, n: int) -> DataFrame:
     """
     top = scored.orderBy(F.desc(rank_key(F.col(score_col))), F.asc("mov_id")).limit(n)
     w = Window.orderBy(F.desc(rank_key(F.col(score_col))), F.asc("mov_id"))
-    return top.withColumn("rank", F.row_number().over(w))
+    return top.withColumn("rank", F.row_number().over(w).cast("long"))
 
 
 def weighted_scores(cells: DataFrame, m: int = DAMPING_M) -> DataFrame:
@@ -206,7 +206,7 @@ def user_top_rated(rate: DataFrame, k: int = 3) -> DataFrame:
     """
     w = Window.partitionBy("user_id").orderBy(F.desc("grade"), F.asc("mov_id"))
     return (rate.select("user_id", "mov_id", "grade")
-                .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
+                .withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k))
 
 
 def impute_user_mean(pairs: DataFrame, cells: DataFrame, user_means: DataFrame | None = None) -> DataFrame:

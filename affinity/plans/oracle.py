@@ -46,10 +46,26 @@ act AS (
               ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity) AS rn
     FROM lineitem) WHERE rn = 1)"""
 
+PROFILES_BODY = """
+mg AS (SELECT mov_id, min(genre_id) AS genre_id FROM belong_to GROUP BY mov_id),
+best AS (SELECT user_id, genre_id AS fav FROM (
+  SELECT r.user_id, r.mov_id, mg.genre_id,
+         row_number() OVER (PARTITION BY r.user_id ORDER BY r.grade DESC, r.mov_id) AS rn
+  FROM rate r JOIN mg ON r.mov_id = mg.mov_id) WHERE rn = 1),
+profiles AS (
+  SELECT u.user_id, u.name, u.username,
+         coalesce(b.fav, (SELECT genre_id FROM belong_to GROUP BY genre_id ORDER BY count(*) DESC, genre_id LIMIT 1)) AS genre_id,
+         CAST(u.user_id % 2 AS VARCHAR) AS gender,
+         make_date(CAST(1950 + (u.user_id * 7919) % 51 AS BIGINT), CAST(1 + (u.user_id * 31) % 12 AS BIGINT),
+                   CAST(1 + (u.user_id * 17) % 28 AS BIGINT)) AS birthday
+  FROM users u LEFT JOIN best b ON u.user_id = b.user_id)"""
+
 USERS = """
 users AS (SELECT c_custkey AS user_id, c_name AS name, lower(c_name) AS username,
                  CAST(c_custkey % 2 AS VARCHAR) AS gender FROM customer)"""
 
+PROFILES = None  # set below
+
 
 def core(min_item: int, min_user: int) -> str:
     """Filtered ratings, train/test rows and train cells."""
@@ -64,6 +80,7 @@ cells AS (SELECT user_id, mov_id, avg(grade) AS grade FROM train GROUP BY user_i
 
 
 MIN_ITEM, MIN_USER = 30, 10
+PROFILES = RATE + "," + GENRE + "," + USERS + "," + PROFILES_BODY
 
 
 def sql() -> dict[str, str]:
@@ -77,4 +94,171 @@ sc AS (SELECT mov_id, n, n / (n + 10.0) * mean + 10.0 / (n + 10.0) * (SELECT avg
 top AS (SELECT *, row_number() OVER (ORDER BY round(score, 9) DESC, mov_id) AS rank FROM sc)
 SELECT CAST(rank AS BIGINT) AS rank, t.mov_id, p.p_name AS name, round(score, 6) AS score, n
 FROM top t LEFT JOIN part p ON p.p_partkey = t.mov_id WHERE rank <= 10"""
+
+    q["rank_mean"] = f"""
+WITH {c},
+st AS (SELECT mov_id, avg(grade) AS score, count(*) AS n FROM cells GROUP BY mov_id),
+top AS (SELECT *, row_number() OVER (ORDER BY round(score, 9) DESC, mov_id) AS rank FROM st)
+SELECT CAST(rank AS BIGINT) AS rank, t.mov_id, p.p_name AS name, round(score, 6) AS score, n,
+       coalesce(p.p_name, '') || ': ' || CAST(n AS VARCHAR) || ' Ratings' AS label
+FROM top t LEFT JOIN part p ON p.p_partkey = t.mov_id WHERE rank <= 10"""
+
+    q["front_list"] = f"""
+WITH {c}, {MOVIE},
+st AS (SELECT mov_id, sum(grade) AS total, count(*) AS n FROM cells GROUP BY mov_id),
+sc AS (SELECT mov_id, n / (n + 10.0) * (total / n) + 10.0 / (n + 10.0) * (SELECT avg(grade) FROM cells) AS score FROM st),
+top AS (SELECT *, row_number() OVER (ORDER BY round(score, 9) DESC, mov_id) AS rank FROM sc)
+SELECT m.*, CAST(rank AS BIGINT) AS rank, round(score, 6) AS score
+FROM movie m JOIN top t ON m.mov_id = t.mov_id WHERE rank <= 12"""
+
+    q["dense_core_ratings"] = f"WITH {c} SELECT user_id, mov_id, grade FROM core"
+
+    q["holdout_split"] = f"""WITH {c}
+SELECT user_id, mov_id, grade,
+       CASE WHEN (user_id * 31 + mov_id * 17) % 10 >= 8 THEN 'test' ELSE 'train' END AS part FROM core"""
+
+    q["rating_cells"] = f"WITH {RATINGS} SELECT user_id, mov_id, avg(grade) AS grade FROM r GROUP BY user_id, mov_id"
+
+    q["item_mean_rating"] = f"""WITH {RATINGS},
+cells AS (SELECT user_id, mov_id, avg(grade) AS grade FROM r GROUP BY user_id, mov_id)
+SELECT mov_id, avg(grade) AS mean, count(*) AS n FROM cells GROUP BY mov_id"""
+
+    q["user_mean_rating"] = f"""WITH {RATINGS},
+cells AS (SELECT user_id, mov_id, avg(grade) AS grade FROM r GROUP BY user_id, mov_id)
+SELECT user_id, avg(grade) AS mean, count(*) AS n FROM cells GROUP BY user_id"""
+
+    q["grade_histogram"] = f"""WITH {RATE}
+SELECT mov_id, count_if(grade = 1) AS n1, count_if(grade = 2) AS n2, count_if(grade = 3) AS n3,
+       count_if(grade = 4) AS n4, count_if(grade = 5) AS n5 FROM rate GROUP BY mov_id"""
+
+    q["popular_top_mean"] = f"""WITH {RATE}, {MOVIE}
+SELECT * FROM movie WHERE mov_id IN (
+  SELECT mov_id FROM rate GROUP BY mov_id HAVING count(*) > 20
+  ORDER BY round(avg(grade), 9) DESC, mov_id LIMIT 12)"""
+
+    q["user_top_rated"] = f"""WITH {RATE}
+SELECT * FROM (SELECT user_id, mov_id, grade,
+  CAST(row_number() OVER (PARTITION BY user_id ORDER BY grade DESC, mov_id) AS BIGINT) AS rank FROM rate)
+WHERE rank <= 3"""
+
+    q["first_by_key"] = f"""WITH {RATINGS}
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY mov_id, user_id
+  ORDER BY l_orderkey, l_linenumber, mov_id, l_suppkey, l_quantity) AS rn FROM r) WHERE rn = 1"""
+
+    q["stage_counts"] = f"""WITH {c}
+SELECT CAST(0 AS BIGINT) AS step, 'rating_rows' AS stage, (SELECT count(*) FROM r) AS rows
+UNION ALL SELECT 1, 'rate', (SELECT count(*) FROM (SELECT DISTINCT mov_id, user_id FROM r))
+UNION ALL SELECT 2, 'core', (SELECT count(*) FROM core)
+UNION ALL SELECT 3, 'train', (SELECT count(*) FROM train)
+UNION ALL SELECT 4, 'train_cells', (SELECT count(*) FROM cells)"""
+
+    # lookups -------------------------------------------------------------
+    q["item_by_id"] = f"WITH {MOVIE} SELECT * FROM movie"
+
+    q["item_genres"] = f"""WITH {MOVIE}, {GENRE}
+SELECT b.mov_id, b.genre_id, g.name AS genre FROM belong_to b JOIN genre g ON b.genre_id = g.genre_id
+WHERE b.mov_id IN (SELECT mov_id FROM movie)"""
+
+    q["item_cast"] = f"""WITH {MOVIE}, {CAST}
+SELECT a.mov_id, a.cast_id, c.name AS cast_name, a.role FROM act a JOIN mov_cast c ON a.cast_id = c.cast_id
+WHERE a.mov_id IN (SELECT mov_id FROM movie)"""
+
+    q["item_directors"] = f"""WITH {MOVIE}, {DIRECTOR}
+SELECT d.mov_id, d.director_id, x.name AS director FROM direct d JOIN director x ON d.director_id = x.director_id
+WHERE d.mov_id IN (SELECT mov_id FROM movie)"""
+
+    q["item_reviews"] = f"""WITH {RATE}, {USERS}
+SELECT r.mov_id, r.user_id, u.name AS reviewer, r.grade, r.review
+FROM rate r JOIN users u ON r.user_id = u.user_id WHERE r.review IS NOT NULL"""
+
+    q["user_item_rating"] = f"""WITH {RATE}, {MOVIE}, {USERS}
+SELECT r.user_id, r.mov_id, m.name AS title, r.grade, r.review
+FROM rate r JOIN movie m ON r.mov_id = m.mov_id WHERE r.user_id IN (SELECT user_id FROM users)"""
+
+    q["item_ratings_named"] = f"""WITH {RATE}, {MOVIE}, {USERS}
+SELECT r.mov_id, m.name AS title, r.user_id, u.name AS rater, r.grade, r.review
+FROM rate r JOIN movie m ON r.mov_id = m.mov_id JOIN users u ON r.user_id = u.user_id"""
+
+    q["person_items"] = f"""WITH {MOVIE}, {CAST}
+SELECT a.cast_id, c.name AS cast_name, a.mov_id, m.name AS title, a.role
+FROM act a JOIN mov_cast c ON a.cast_id = c.cast_id JOIN movie m ON a.mov_id = m.mov_id"""
+
+    q["director_items"] = f"""WITH {MOVIE}, {DIRECTOR}
+SELECT d.director_id, d.mov_id, m.name AS title FROM direct d JOIN movie m ON d.mov_id = m.mov_id"""
+
+    q["user_genre_name"] = f"""WITH {PROFILES}
+SELECT p.user_id, p.genre_id, g.name AS genre FROM profiles p JOIN genre g ON p.genre_id = g.genre_id"""
+
+    q["user_history"] = f"""WITH {RATE}, {MOVIE}
+SELECT r.user_id, r.mov_id, m.name AS title, r.grade FROM rate r JOIN movie m ON r.mov_id = m.mov_id"""
+
+    q["items_in_genre"] = f"""WITH {MOVIE}, {GENRE}
+SELECT * FROM (SELECT g.name AS genre,
+  CAST(row_number() OVER (PARTITION BY g.name ORDER BY b.mov_id) AS BIGINT) AS pos, b.mov_id, m.name AS title
+  FROM belong_to b JOIN genre g ON b.genre_id = g.genre_id JOIN movie m ON b.mov_id = m.mov_id)
+WHERE pos <= 12"""
+
+    q["item_wide"] = f"""WITH {MOVIE}, {GENRE}, {CAST}
+SELECT m.mov_id, m.name AS title, g.name AS genre, c.name AS cast_name, a.role
+FROM movie m JOIN belong_to b ON m.mov_id = b.mov_id JOIN genre g ON b.genre_id = g.genre_id
+JOIN act a ON m.mov_id = a.mov_id JOIN mov_cast c ON a.cast_id = c.cast_id"""
+
+    q["item_facets"] = f"""WITH {GENRE}, {DIRECTOR}, {CAST}
+SELECT d.mov_id, x.name AS director, g.name AS genre, c.name AS cast_name
+FROM direct d JOIN director x ON d.director_id = x.director_id
+JOIN belong_to b ON d.mov_id = b.mov_id JOIN genre g ON b.genre_id = g.genre_id
+JOIN act a ON d.mov_id = a.mov_id JOIN mov_cast c ON a.cast_id = c.cast_id"""
+
+    q["person_by_id"] = f"""WITH {DIRECTOR}, {CAST}
+SELECT 'cast' AS entity, cast_id AS person_id, name, gender FROM mov_cast
+UNION ALL SELECT 'director', director_id, name, CAST(gender AS VARCHAR) FROM director"""
+
+    q["user_by_name"] = f"WITH {USERS} SELECT * FROM users"
+
+    q["search_names"] = f"""WITH {DIRECTOR}
+(SELECT 'movie' AS entity, p_partkey AS id, p_name AS name FROM part WHERE p_name ILIKE '%R%' ORDER BY id LIMIT 10)
+UNION ALL (SELECT 'cast', s_suppkey, s_name FROM supplier WHERE s_name ILIKE '%R%' ORDER BY s_suppkey LIMIT 10)
+UNION ALL (SELECT 'director', director_id, name FROM director WHERE name ILIKE '%R%' ORDER BY director_id LIMIT 10)"""
+
+    # etl -------------------------------------------------------------------
+    q["etl_item"] = """
+SELECT p_name AS name, p_partkey AS mov_id, 'en' AS language, p_size AS runtime,
+       CAST(NULL AS DATE) AS release_date, CAST(round(p_retailprice * 100) AS BIGINT) AS revenue,
+       CAST(NULL AS VARCHAR) AS poster_path, CAST(NULL AS VARCHAR) AS overview FROM part"""
+
+    q["reject_malformed"] = """
+SELECT p_partkey AS pos, p_name AS name, CAST(p_size AS VARCHAR) || '.0' AS runtime_raw, 'bad_runtime' AS reason
+FROM part WHERE p_size IS NULL"""
+
+    q["etl_rating"] = f"""WITH {RATINGS}
+SELECT mov_id, user_id, grade, CAST(NULL AS VARCHAR) AS review FROM (
+  SELECT *, row_number() OVER (PARTITION BY mov_id, user_id
+            ORDER BY l_orderkey, l_linenumber, mov_id, l_suppkey, l_quantity) AS rn
+  FROM r WHERE mov_id IN (SELECT p_partkey FROM part)) WHERE rn = 1"""
+
+    q["etl_genre"] = f"WITH {GENRE} SELECT name, genre_id FROM genre"
+    q["etl_item_genre"] = f"WITH {GENRE} SELECT DISTINCT mov_id, genre_id FROM belong_to"
+    q["etl_director"] = f"""WITH {DIRECTOR}
+SELECT name, director_id, gender FROM director WHERE director_id IN (
+  SELECT d.director_id FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN director d ON p.p_brand = d.name)"""
+    q["etl_cast"] = """
+SELECT s_name AS name, s_suppkey AS cast_id, CAST(s_suppkey % 2 AS VARCHAR) AS gender FROM supplier
+WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem)"""
+    q["etl_item_director"] = f"""WITH {DIRECTOR}
+SELECT DISTINCT l.l_partkey AS mov_id, d.director_id FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+JOIN director d ON p.p_brand = d.name"""
+    q["etl_item_cast"] = f"WITH {CAST} SELECT mov_id, role, cast_id FROM act WHERE mov_id IN (SELECT p_partkey FROM part)"
+    q["user_favorite_genre"] = f"WITH {PROFILES} SELECT * FROM profiles"
+    q["etl_link"] = """
+SELECT DISTINCT p_partkey AS mov_id, 'tt' || lpad(CAST(p_partkey AS VARCHAR), 7, '0') AS web_id
+FROM part WHERE p_size % 10 NOT IN (0, 5)"""
+    q["link_by_item"] = q["etl_link"]
+    q["etl_website"] = """
+SELECT DISTINCT CASE WHEN p_size % 10 = 5 THEN 'nm' || CAST(p_partkey AS VARCHAR)
+                     ELSE 'tt' || lpad(CAST(p_partkey AS VARCHAR), 7, '0') END AS web_id
+FROM part WHERE p_size % 10 <> 0"""
+    q["parse_nested"] = """
+SELECT l.l_partkey AS mov_id, l.l_suppkey AS cast_id, s.s_name AS name, l.l_suppkey % 2 AS gender,
+       l.l_returnflag AS role
+FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey"""
     return q

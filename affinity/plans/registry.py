@@ -2,7 +2,7 @@
 
 Parameters are the reference defaults except the item threshold: the test
 tables have at most ~50 ratings per item, so ``> 100`` would leave nothing;
-``> 30`` keeps about half of the items.
+``> 30`` keeps about half of the items.  Every query reads the whole tables.
 """
 
 from __future__ import annotations
@@ -12,21 +12,290 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.operators import ranking
+from affinity.functions import scalars
+from affinity.operators import etl, lookup, ranking
+from affinity.sources import files, raw
 from affinity.sources import testdata as td
 
 MIN_ITEM, MIN_USER = 30, 10
+SEARCH_TEXT = "R"
 
 Query = Callable[[SparkSession, str], DataFrame]
+_REGISTRY: dict[str, Query] = {}
 
 
-def _rank_weighted(spark, d):
-    out = ranking.rank_weighted(td.ratings(spark, d), td.movies(spark, d), n=10,
-                                min_item=MIN_ITEM, min_user=MIN_USER)
-    return out.withColumn("rank", F.col("rank").cast("long"))
+def register(name: str):
+    def deco(fn):
+        _REGISTRY[name] = fn
+        return fn
+    return deco
 
 
 def queries() -> dict[str, Query]:
-    return {
-        "rank_weighted": _rank_weighted,
-    }
+    return dict(_REGISTRY)
+
+
+# ---------------------------------------------------------------- ranking --
+
+@register("rank_weighted")
+def _rank_weighted(spark, d):
+    return ranking.rank_weighted(td.ratings(spark, d), td.movies(spark, d), n=10,
+                                 min_item=MIN_ITEM, min_user=MIN_USER)
+
+
+@register("rank_mean")
+def _rank_mean(spark, d):
+    return ranking.rank_mean(td.ratings(spark, d), td.movies(spark, d), n=10,
+                             min_item=MIN_ITEM, min_user=MIN_USER)
+
+
+@register("front_list")
+def _front_list(spark, d):
+    return ranking.front_list(td.ratings(spark, d), td.movies(spark, d), n=12,
+                              min_item=MIN_ITEM, min_user=MIN_USER)
+
+
+@register("dense_core_ratings")
+def _dense_core(spark, d):
+    return ranking.dense_core_ratings(td.ratings(spark, d), MIN_ITEM, MIN_USER)
+
+
+@register("holdout_split")
+def _holdout(spark, d):
+    return ranking.holdout_labeled(ranking.dense_core_ratings(td.ratings(spark, d), MIN_ITEM, MIN_USER))
+
+
+@register("rating_cells")
+def _cells(spark, d):
+    return ranking.rating_cells(td.ratings(spark, d))
+
+
+@register("item_mean_rating")
+def _item_mean(spark, d):
+    return ranking.item_mean_rating(ranking.rating_cells(td.ratings(spark, d)))
+
+
+@register("user_mean_rating")
+def _user_mean(spark, d):
+    return ranking.user_mean_rating(ranking.rating_cells(td.ratings(spark, d)))
+
+
+@register("grade_histogram")
+def _histogram(spark, d):
+    return ranking.grade_histogram(td.rate_table(spark, d))
+
+
+@register("popular_top_mean")
+def _popular(spark, d):
+    return ranking.popular_top_mean(td.rate_table(spark, d), td.movies(spark, d), 20, 12)
+
+
+@register("user_top_rated")
+def _user_top(spark, d):
+    return ranking.user_top_rated(td.rate_table(spark, d), 3)
+
+
+@register("first_by_key")
+def _first_by_key(spark, d):
+    r = td.rating_rows(spark, d)
+    order = ["l_orderkey", "l_linenumber", "mov_id", "l_suppkey", "l_quantity"]
+    return etl.first_by_key(r, ["mov_id", "user_id"], order)
+
+
+@register("stage_counts")
+def _stage_counts(spark, d):
+    rows = td.ratings(spark, d)
+    core = ranking.dense_core_ratings(rows, MIN_ITEM, MIN_USER)
+    train, _ = ranking.holdout_split(core)
+    stages = [("rating_rows", rows), ("rate", td.rate_table(spark, d)), ("core", core),
+              ("train", train), ("train_cells", ranking.rating_cells(train))]
+    out = None
+    for i, (name, df) in enumerate(stages):
+        c = df.agg(F.count("*").alias("rows")).select(
+            F.lit(i).cast("long").alias("step"), F.lit(name).alias("stage"), "rows")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+# ----------------------------------------------------------------- lookup --
+
+@register("item_by_id")
+def _item_by_id(spark, d):
+    return lookup.item_by_id(td.movies(spark, d))
+
+
+@register("item_genres")
+def _item_genres(spark, d):
+    return lookup.item_genres(td.movies(spark, d), td.belong_to(spark, d), td.genres(spark, d))
+
+
+@register("item_cast")
+def _item_cast(spark, d):
+    return lookup.item_cast(td.movies(spark, d), td.act(spark, d), td.cast_members(spark, d))
+
+
+@register("item_directors")
+def _item_directors(spark, d):
+    return lookup.item_directors(td.movies(spark, d), td.direct(spark, d), td.directors(spark, d))
+
+
+@register("item_reviews")
+def _item_reviews(spark, d):
+    return lookup.item_reviews(td.rate_table(spark, d), td.users(spark, d))
+
+
+@register("user_item_rating")
+def _user_item_rating(spark, d):
+    return lookup.user_item_rating(td.movies(spark, d), td.rate_table(spark, d), td.users(spark, d))
+
+
+@register("item_ratings_named")
+def _item_ratings_named(spark, d):
+    return lookup.item_ratings_named(td.movies(spark, d), td.rate_table(spark, d), td.users(spark, d))
+
+
+@register("person_items")
+def _person_items(spark, d):
+    return lookup.person_items(td.movies(spark, d), td.act(spark, d), td.cast_members(spark, d))
+
+
+@register("director_items")
+def _director_items(spark, d):
+    return lookup.director_items(td.movies(spark, d), td.direct(spark, d))
+
+
+def _profiles(spark, d):
+    return etl.user_favorite_genre(td.users(spark, d), td.rate_table(spark, d), td.belong_to(spark, d))
+
+
+@register("user_genre_name")
+def _user_genre_name(spark, d):
+    return lookup.user_genre_name(_profiles(spark, d), td.genres(spark, d))
+
+
+@register("user_history")
+def _user_history(spark, d):
+    return lookup.user_history(td.rate_table(spark, d), td.movies(spark, d))
+
+
+@register("items_in_genre")
+def _items_in_genre(spark, d):
+    return lookup.items_in_genre(td.movies(spark, d), td.belong_to(spark, d), td.genres(spark, d))
+
+
+@register("item_wide")
+def _item_wide(spark, d):
+    return lookup.item_wide(td.movies(spark, d), td.belong_to(spark, d), td.genres(spark, d),
+                            td.act(spark, d), td.cast_members(spark, d))
+
+
+@register("item_facets")
+def _item_facets(spark, d):
+    return lookup.item_facets(td.direct(spark, d), td.directors(spark, d), td.belong_to(spark, d),
+                              td.genres(spark, d), td.act(spark, d), td.cast_members(spark, d))
+
+
+@register("person_by_id")
+def _person_by_id(spark, d):
+    return lookup.person_by_id(td.cast_members(spark, d), td.directors(spark, d))
+
+
+@register("user_by_name")
+def _user_by_name(spark, d):
+    return lookup.user_by_name(td.users(spark, d))
+
+
+@register("search_names")
+def _search_names(spark, d):
+    return lookup.search_names(td.movies(spark, d), td.cast_members(spark, d), td.directors(spark, d),
+                               SEARCH_TEXT)
+
+
+@register("link_by_item")
+def _link_by_item(spark, d):
+    rm = raw.raw_movies(spark, d)
+    return etl.etl_link(rm, etl.etl_item(rm))
+
+
+# -------------------------------------------------------------------- etl --
+
+@register("etl_item")
+def _etl_item(spark, d):
+    return etl.etl_item(raw.raw_movies(spark, d))
+
+
+@register("reject_malformed")
+def _reject(spark, d):
+    return etl.reject_malformed(raw.raw_movies(spark, d))
+
+
+@register("etl_rating")
+def _etl_rating(spark, d):
+    return etl.etl_rating(raw.raw_ratings(spark, d), etl.etl_item(raw.raw_movies(spark, d)))
+
+
+@register("etl_genre")
+def _etl_genre(spark, d):
+    return etl.etl_genre(raw.raw_movies(spark, d))
+
+
+@register("etl_item_genre")
+def _etl_item_genre(spark, d):
+    rm = raw.raw_movies(spark, d)
+    return etl.etl_item_genre(rm, etl.etl_item(rm))
+
+
+@register("etl_director")
+def _etl_director(spark, d):
+    return etl.etl_director(raw.raw_credits(spark, d))
+
+
+@register("etl_cast")
+def _etl_cast(spark, d):
+    return etl.etl_cast(raw.raw_credits(spark, d))
+
+
+@register("etl_item_director")
+def _etl_item_director(spark, d):
+    return etl.etl_item_director(raw.raw_credits(spark, d), etl.etl_item(raw.raw_movies(spark, d)))
+
+
+@register("etl_item_cast")
+def _etl_item_cast(spark, d):
+    return etl.etl_item_cast(raw.raw_credits(spark, d), etl.etl_item(raw.raw_movies(spark, d)))
+
+
+@register("user_favorite_genre")
+def _user_fav(spark, d):
+    return _profiles(spark, d)
+
+
+@register("etl_link")
+def _etl_link(spark, d):
+    rm = raw.raw_movies(spark, d)
+    return etl.etl_link(rm, etl.etl_item(rm))
+
+
+@register("etl_website")
+def _etl_website(spark, d):
+    return etl.etl_website(raw.raw_movies(spark, d))
+
+
+@register("parse_nested")
+def _parse_nested(spark, d):
+    c = raw.raw_credits(spark, d)
+    p = c.select(F.col("id").cast("long").alias("mov_id"),
+                 F.explode(scalars.parse_nested("cast", scalars.CAST_LIST)).alias("m"))
+    return p.select("mov_id", F.col("m.id").alias("cast_id"), F.col("m.name").alias("name"),
+                    F.col("m.gender").alias("gender"), F.col("m.character").alias("role"))
+
+
+@register("csv_scan")
+def _csv_scan(spark, d):
+    path = files.write_csv(raw.raw_movies(spark, d).drop("pos"), files.scratch_path(spark, "raw_movies_csv"))
+    return files.read_csv(spark, path, columns=["title", "id", "runtime", "genres", "imdb_id"])
+
+
+@register("load_table")
+def _load_table(spark, d):
+    return files.load_table(td.rate_table(spark, d), files.scratch_path(spark, "rate"), "rate")

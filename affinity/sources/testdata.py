@@ -36,6 +36,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 # Fixed values of the mapping (shared with the oracle SQL).
 ORDER_COLS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+RATING_ORDER = ("l_orderkey", "l_linenumber", "mov_id", "l_suppkey", "l_quantity")
 CHANGE_LOG_ITEMS = 50          # events: item = event_id mod 50
 CHANGE_LOG_GRADE_STEP = 50.0   # events: grade = least(5, floor(value / 50))
 UPSERT_EVENTS = ("signup", "purchase", "view")
@@ -77,7 +78,7 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The normalised ``rate`` table: one row per (mov_id, user_id), first wins."""
     r = rating_rows(spark, sf_dir)
-    w = Window.partitionBy("mov_id", "user_id").orderBy(*ORDER_COLS)
+    w = Window.partitionBy("mov_id", "user_id").orderBy(*RATING_ORDER)
     return (r.withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
              .select("mov_id", "user_id", "grade", "review"))
 
