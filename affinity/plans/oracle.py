@@ -80,6 +80,50 @@ cells AS (SELECT user_id, mov_id, avg(grade) AS grade FROM train GROUP BY user_i
 
 
 MIN_ITEM, MIN_USER = 30, 10
+
+from affinity.functions.scalars import ENGLISH_STOP_WORDS, TOKEN_PATTERN  # noqa: E402
+
+STOP = "(" + ", ".join(f"'{w}'" for w in ENGLISH_STOP_WORDS) + ")"
+
+
+def tfidf_cte(tf_source: str, ndocs: str = "SELECT count(DISTINCT mov_id) AS n FROM tf") -> str:
+    """CTEs tf(mov_id, term, tf) -> w(mov_id, term, weight) given a tf query."""
+    return f"""
+tf AS ({tf_source}),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+ndocs AS ({ndocs}),
+raww AS (SELECT tf.mov_id, tf.term,
+         tf.tf * (ln((1 + (SELECT n FROM ndocs)) / (1.0 + df.df)) + 1) AS raw FROM tf JOIN df USING (term)),
+w AS (SELECT mov_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY mov_id)) AS weight FROM raww)"""
+
+
+DOC_TF = f"""
+SELECT mov_id, term, CAST(count(*) AS DOUBLE) AS tf FROM (
+  SELECT doc_id AS mov_id, unnest(regexp_extract_all(lower(text), '{TOKEN_PATTERN}', 1)) AS term
+  FROM documents WHERE lang = 'en' AND text IS NOT NULL)
+WHERE term NOT IN {STOP} GROUP BY mov_id, term"""
+
+SIMILAR = """
+pairs AS (SELECT a.mov_id, b.mov_id AS similar_id, sum(a.weight * b.weight) AS sim
+          FROM w a JOIN w b ON a.term = b.term AND a.mov_id <> b.mov_id GROUP BY a.mov_id, b.mov_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY mov_id ORDER BY round(sim, 9) DESC, similar_id) AS rank
+           FROM pairs WHERE round(sim, 9) > 0)"""
+
+NEIGHBOURS = """
+um AS (SELECT user_id, avg(grade) AS mu FROM cells GROUP BY user_id),
+mm AS (SELECT CAST(count(DISTINCT mov_id) AS DOUBLE) AS m FROM cells),
+dev AS (SELECT c.user_id, c.mov_id, c.grade - um.mu AS d FROM cells c JOIN um USING (user_id)),
+nrm AS (SELECT um.user_id, um.mu, sqrt((SELECT m FROM mm) * um.mu * um.mu + coalesce(s.ss, 0)) AS nu
+        FROM um LEFT JOIN (SELECT user_id, sum(d * d) AS ss FROM dev GROUP BY user_id) s USING (user_id)),
+co AS (SELECT a.user_id AS u, b.user_id AS v, sum(a.d * b.d) AS s
+       FROM dev a JOIN dev b ON a.mov_id = b.mov_id AND a.user_id <> b.user_id GROUP BY 1, 2),
+allp AS (SELECT x.user_id AS u, y.user_id AS v,
+         CASE WHEN x.nu > 0 AND y.nu > 0
+              THEN ((SELECT m FROM mm) * x.mu * y.mu + coalesce(co.s, 0)) / (x.nu * y.nu) ELSE 0 END AS sim
+         FROM nrm x JOIN nrm y ON x.user_id <> y.user_id
+         LEFT JOIN co ON co.u = x.user_id AND co.v = y.user_id),
+nbr AS (SELECT u, v, sim, row_number() OVER (PARTITION BY u ORDER BY round(sim, 9) DESC, v) AS rank FROM allp),
+nb AS (SELECT u, v, sim, rank FROM nbr WHERE rank <= 5)"""
 PROFILES = RATE + "," + GENRE + "," + USERS + "," + PROFILES_BODY
 
 
@@ -261,4 +305,64 @@ FROM part WHERE p_size % 10 <> 0"""
 SELECT l.l_partkey AS mov_id, l.l_suppkey AS cast_id, s.s_name AS name, l.l_suppkey % 2 AS gender,
        l.l_returnflag AS role
 FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey"""
+
+    # content ---------------------------------------------------------------
+    tw = tfidf_cte(DOC_TF, "SELECT count(*) AS n FROM documents WHERE lang = 'en' AND text IS NOT NULL")
+    q["tfidf_weights"] = f"WITH {tw} SELECT mov_id, term, round(weight, 6) AS weight FROM w"
+    q["similar_items"] = f"""WITH {tw}, {SIMILAR}
+SELECT mov_id, CAST(rank AS BIGINT) AS rank, similar_id, round(sim, 6) AS sim FROM ranked WHERE rank <= 10"""
+    q["recommend_content"] = f"""WITH {RATE}, {tw}, {SIMILAR},
+seeds AS (SELECT user_id, mov_id AS seed FROM (
+  SELECT user_id, mov_id, row_number() OVER (PARTITION BY user_id ORDER BY grade DESC, mov_id) AS rn FROM rate)
+  WHERE rn <= 3),
+pool AS (SELECT s.user_id, r.similar_id AS mov_id, max(r.sim) AS score
+         FROM seeds s JOIN ranked r ON r.mov_id = s.seed WHERE r.rank <= 10 GROUP BY 1, 2),
+top AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, mov_id) AS rank FROM pool)
+SELECT user_id, CAST(rank AS BIGINT) AS rank, mov_id, round(score, 6) AS score FROM top WHERE rank <= 10"""
+    facet_tf = f"""
+SELECT mov_id, term, CAST(sum(w) AS DOUBLE) AS tf FROM (
+  SELECT mov_id, w, unnest(regexp_extract_all(lower(name), '{TOKEN_PATTERN}', 1)) AS term FROM (
+    SELECT DISTINCT d.mov_id, x.name, 3 AS w FROM direct d JOIN director x USING (director_id)
+    UNION ALL SELECT DISTINCT a.mov_id, c.name, 1 AS w FROM act a JOIN mov_cast c USING (cast_id)
+    UNION ALL SELECT DISTINCT b.mov_id, g.name, 2 AS w FROM belong_to b JOIN genre g USING (genre_id)))
+WHERE term NOT IN {STOP} GROUP BY mov_id, term"""
+    q["similar_items_facets"] = f"""WITH {GENRE}, {DIRECTOR}, {CAST}, {tfidf_cte(facet_tf)}, {SIMILAR}
+SELECT mov_id, CAST(rank AS BIGINT) AS rank, similar_id, round(sim, 6) AS sim FROM ranked WHERE rank <= 10"""
+
+    # collaborative -----------------------------------------------------------
+    q["user_neighbors"] = f"""WITH {c}, {NEIGHBOURS}
+SELECT u AS user_id, CAST(rank AS BIGINT) AS rank, v AS neighbor_id, round(sim, 6) AS sim FROM nb"""
+    q["recommend_user_cf"] = f"""WITH {c}, {NEIGHBOURS},
+items AS (SELECT DISTINCT mov_id FROM cells),
+imp AS (SELECT nb.u AS user_id, i.mov_id, nb.sim * coalesce(x.grade, um.mu) AS v
+        FROM nb JOIN um ON um.user_id = nb.v CROSS JOIN items i
+        LEFT JOIN cells x ON x.user_id = nb.v AND x.mov_id = i.mov_id),
+sc AS (SELECT user_id, mov_id, sum(v) / count(*) AS score FROM imp GROUP BY user_id, mov_id),
+unr AS (SELECT * FROM sc WHERE NOT EXISTS (
+          SELECT 1 FROM cells x WHERE x.user_id = sc.user_id AND x.mov_id = sc.mov_id)),
+top AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, mov_id) AS rank FROM unr)
+SELECT user_id, CAST(rank AS BIGINT) AS rank, mov_id, round(score, 6) AS score FROM top WHERE rank <= 10"""
+    q["predict_user_cf"] = f"""WITH {c}, {NEIGHBOURS},
+pairs AS (SELECT DISTINCT user_id, mov_id FROM test WHERE mov_id IN (SELECT mov_id FROM cells)),
+pj AS (SELECT p.user_id, p.mov_id, nb.sim, coalesce(x.grade, um.mu) AS imp FROM pairs p
+       JOIN nb ON nb.u = p.user_id
+       LEFT JOIN cells x ON x.user_id = nb.v AND x.mov_id = p.mov_id
+       LEFT JOIN um ON um.user_id = nb.v),
+pred AS (SELECT user_id, mov_id, CASE WHEN sum(sim) <> 0 THEN sum(imp * sim) / sum(sim) END AS prediction
+         FROM pj GROUP BY user_id, mov_id)
+SELECT t.user_id, t.mov_id, t.grade, round(p.prediction, 6) AS prediction
+FROM test t LEFT JOIN pred p ON p.user_id = t.user_id AND p.mov_id = t.mov_id"""
+    q["unrated_items"] = f"""WITH {c}, {NEIGHBOURS}
+SELECT DISTINCT nb.u AS user_id, x.mov_id FROM nb JOIN cells x ON x.user_id = nb.v
+WHERE NOT EXISTS (SELECT 1 FROM cells y WHERE y.user_id = nb.u AND y.mov_id = x.mov_id)"""
+    q["impute_user_mean"] = f"""WITH {c},
+um AS (SELECT user_id, avg(grade) AS mu FROM cells GROUP BY user_id),
+pairs AS (SELECT DISTINCT user_id, mov_id FROM test)
+SELECT p.user_id, p.mov_id, round(coalesce(x.grade, um.mu), 6) AS imputed
+FROM pairs p LEFT JOIN cells x ON x.user_id = p.user_id AND x.mov_id = p.mov_id
+LEFT JOIN um ON um.user_id = p.user_id"""
+    q["dense_ids"] = f"""WITH {RATINGS}
+SELECT 'user' AS kind, user_id AS id, row_number() OVER (ORDER BY user_id) - 1 AS idx FROM (SELECT DISTINCT user_id FROM r)
+UNION ALL
+SELECT 'item', mov_id, row_number() OVER (ORDER BY mov_id) - 1 FROM (SELECT DISTINCT mov_id FROM r)"""
     return q

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.functions import scalars
-from affinity.operators import etl, lookup, ranking
+from affinity.operators import collab, content, etl, ids, lookup, ranking
 from affinity.sources import files, raw
 from affinity.sources import testdata as td
 
@@ -299,3 +299,79 @@ def _csv_scan(spark, d):
 @register("load_table")
 def _load_table(spark, d):
     return files.load_table(td.rate_table(spark, d), files.scratch_path(spark, "rate"), "rate")
+
+
+# ---------------------------------------------------------------- content --
+
+@register("tfidf_weights")
+def _tfidf(spark, d):
+    w = content.tfidf_weights(td.overviews(spark, d))
+    return w.select("mov_id", "term", F.round("weight", 6).alias("weight"))
+
+
+def _similar(spark, d):
+    return content.similar_items(td.overviews(spark, d), 10)
+
+
+@register("similar_items")
+def _similar_items(spark, d):
+    return _similar(spark, d).select("mov_id", "rank", "similar_id", F.round("sim", 6).alias("sim"))
+
+
+@register("recommend_content")
+def _recommend_content(spark, d):
+    return content.recommend_content(td.rate_table(spark, d), _similar(spark, d), 10)
+
+
+@register("similar_items_facets")
+def _similar_facets(spark, d):
+    s = content.similar_items_facets(td.direct(spark, d), td.directors(spark, d), td.act(spark, d),
+                                     td.cast_members(spark, d), td.belong_to(spark, d),
+                                     td.genres(spark, d), 10)
+    return s.select("mov_id", "rank", "similar_id", F.round("sim", 6).alias("sim"))
+
+
+# ----------------------------------------------------------------- collab --
+
+def _train_cells(spark, d):
+    cells, test = ranking.prepared_cells(td.ratings(spark, d), MIN_ITEM, MIN_USER)
+    return cells, test
+
+
+@register("user_neighbors")
+def _user_neighbors(spark, d):
+    cells, _ = _train_cells(spark, d)
+    nb = collab.user_neighbors(cells, 5)
+    return nb.select("user_id", "rank", "neighbor_id", F.round("sim", 6).alias("sim"))
+
+
+@register("recommend_user_cf")
+def _recommend_user_cf(spark, d):
+    cells, _ = _train_cells(spark, d)
+    return collab.recommend_user_cf(cells, collab.user_neighbors(cells, 5), 10)
+
+
+@register("predict_user_cf")
+def _predict_user_cf(spark, d):
+    cells, test = _train_cells(spark, d)
+    p = collab.predict_user_cf(cells, collab.user_neighbors(cells, 5), test)
+    return p.select("user_id", "mov_id", "grade", F.round("prediction", 6).alias("prediction"))
+
+
+@register("unrated_items")
+def _unrated(spark, d):
+    cells, _ = _train_cells(spark, d)
+    return collab.unrated_items(cells, collab.user_neighbors(cells, 5))
+
+
+@register("impute_user_mean")
+def _impute(spark, d):
+    cells, test = _train_cells(spark, d)
+    pairs = test.select("user_id", "mov_id").distinct()
+    out = ranking.impute_user_mean(pairs, cells)
+    return out.select("user_id", "mov_id", F.round("imputed", 6).alias("imputed"))
+
+
+@register("dense_ids")
+def _dense_ids(spark, d):
+    return ids.dense_ids(td.ratings(spark, d))
