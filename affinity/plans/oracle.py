@@ -365,4 +365,148 @@ LEFT JOIN um ON um.user_id = p.user_id"""
 SELECT 'user' AS kind, user_id AS id, row_number() OVER (ORDER BY user_id) - 1 AS idx FROM (SELECT DISTINCT user_id FROM r)
 UNION ALL
 SELECT 'item', mov_id, row_number() OVER (ORDER BY mov_id) - 1 FROM (SELECT DISTINCT mov_id FROM r)"""
+
+    # evaluation --------------------------------------------------------------
+    bias = """
+c0 AS (SELECT avg(grade) AS c FROM cells),
+bi1 AS (SELECT mov_id, avg(grade - (SELECT c FROM c0)) AS bi FROM cells GROUP BY mov_id),"""
+    for k in (1, 2, 3):
+        if k > 1:
+            bias += f"""
+bi{k} AS (SELECT x.mov_id, avg(x.grade - (SELECT c FROM c0) - coalesce(b.bu, 0)) AS bi
+          FROM cells x LEFT JOIN bu{k - 1} b ON b.user_id = x.user_id GROUP BY x.mov_id),"""
+        bias += f"""
+bu{k} AS (SELECT x.user_id, avg(x.grade - (SELECT c FROM c0) - coalesce(b.bi, 0)) AS bu
+          FROM cells x LEFT JOIN bi{k} b ON b.mov_id = x.mov_id GROUP BY x.user_id),"""
+    bias += """
+pred_bias AS (SELECT t.user_id, t.mov_id, t.grade,
+              (SELECT c FROM c0) + coalesce(u.bu, 0) + coalesce(i.bi, 0) AS prediction
+              FROM test t LEFT JOIN bu3 u ON u.user_id = t.user_id LEFT JOIN bi3 i ON i.mov_id = t.mov_id)"""
+    q["predict_bias"] = f"""WITH {c}, {bias}
+SELECT user_id, mov_id, grade, round(prediction, 6) AS prediction FROM pred_bias"""
+
+    def rmse(method, pred):
+        return f"""SELECT '{method}' AS method,
+  round(sqrt(avg(CASE WHEN prediction IS NOT NULL THEN (grade - prediction) * (grade - prediction) END)), 6) AS rmse,
+  count(prediction) AS n_scored, count_if(prediction IS NULL) AS n_missing FROM {pred}"""
+
+    preds = f"""WITH {c}, {NEIGHBOURS}, {bias},
+st AS (SELECT mov_id, avg(grade) AS mean, sum(grade) AS total, count(*) AS n FROM cells GROUP BY mov_id),
+pred_mean AS (SELECT t.user_id, t.mov_id, t.grade, st.mean AS prediction FROM test t LEFT JOIN st USING (mov_id)),
+pred_weighted AS (SELECT t.user_id, t.mov_id, t.grade,
+  st.n / (st.n + 10.0) * (st.total / st.n) + 10.0 / (st.n + 10.0) * (SELECT avg(grade) FROM cells) AS prediction
+  FROM test t LEFT JOIN st USING (mov_id)),
+pairs AS (SELECT DISTINCT user_id, mov_id FROM test WHERE mov_id IN (SELECT mov_id FROM cells)),
+pj AS (SELECT p.user_id, p.mov_id, nb.sim, coalesce(x.grade, um.mu) AS imp FROM pairs p
+       JOIN nb ON nb.u = p.user_id
+       LEFT JOIN cells x ON x.user_id = nb.v AND x.mov_id = p.mov_id
+       LEFT JOIN um ON um.user_id = nb.v),
+pcf AS (SELECT user_id, mov_id, CASE WHEN sum(sim) <> 0 THEN sum(imp * sim) / sum(sim) END AS prediction
+        FROM pj GROUP BY user_id, mov_id),
+pred_cf AS (SELECT t.user_id, t.mov_id, t.grade, p.prediction FROM test t
+            LEFT JOIN pcf p ON p.user_id = t.user_id AND p.mov_id = t.mov_id)
+"""
+    q["rmse_mean"] = preds + rmse("mean", "pred_mean")
+    q["rmse_weighted"] = preds + rmse("weighted", "pred_weighted")
+    q["rmse_user_cf"] = preds + rmse("user_cf", "pred_cf")
+    q["rmse_bias"] = preds + rmse("bias", "pred_bias")
+    q["compare_methods"] = preds + " UNION ALL ".join(
+        f"({rmse(m, p)})" for m, p in (("mean", "pred_mean"), ("weighted", "pred_weighted"),
+                                       ("user_cf", "pred_cf"), ("bias", "pred_bias")))
+
+    # changes -----------------------------------------------------------------
+    q["apply_rating_changes"] = f"""WITH {RATE},
+log AS (SELECT event_id % 50 AS mov_id, user_id,
+          CASE WHEN event_type IN ('signup', 'purchase', 'view') THEN 'upsert'
+               WHEN event_type = 'click' THEN 'update' WHEN event_type = 'error' THEN 'delete' END AS op,
+          least(5.0, CAST(floor(value / 50.0) AS DOUBLE)) AS grade, event_type AS review, ts, event_id AS seq
+        FROM events),
+lastop AS (SELECT mov_id, user_id, grade, review FROM (
+  SELECT *, row_number() OVER (PARTITION BY mov_id, user_id ORDER BY ts DESC, seq DESC) AS rn FROM log) WHERE rn = 1),
+laststruct AS (SELECT mov_id, user_id, op FROM (
+  SELECT *, row_number() OVER (PARTITION BY mov_id, user_id ORDER BY ts DESC, seq DESC) AS rn
+  FROM log WHERE op <> 'update') WHERE rn = 1),
+changed AS (SELECT l.mov_id, l.user_id, l.grade, l.review FROM lastop l
+  LEFT JOIN laststruct s ON s.mov_id = l.mov_id AND s.user_id = l.user_id
+  WHERE s.op = 'upsert' OR (s.op IS NULL AND EXISTS (
+    SELECT 1 FROM rate r WHERE r.mov_id = l.mov_id AND r.user_id = l.user_id)))
+SELECT mov_id, user_id, grade, review FROM rate r
+WHERE NOT EXISTS (SELECT 1 FROM log k WHERE k.mov_id = r.mov_id AND k.user_id = r.user_id)
+UNION ALL SELECT mov_id, user_id, grade, review FROM changed"""
+
+    q["append_new_items"] = f"WITH {MOVIE} SELECT * FROM movie"
+
+    q["append_new_users"] = f"""WITH {USERS},
+su AS (SELECT 'user' || CAST(user_id AS VARCHAR) AS username, 'User ' || CAST(user_id AS VARCHAR) AS name,
+              event_id AS seq FROM events WHERE event_type = 'signup'),
+fs AS (SELECT username, name, seq FROM (
+  SELECT *, row_number() OVER (PARTITION BY username ORDER BY seq) AS rn FROM su) WHERE rn = 1),
+nw AS (SELECT * FROM fs WHERE username NOT IN (SELECT username FROM users))
+SELECT user_id, username, name FROM users
+UNION ALL
+SELECT CAST((SELECT max(user_id) FROM users) + row_number() OVER (ORDER BY seq) AS BIGINT), username, name FROM nw"""
+
+    q["onboarding_sample"] = """
+SELECT p_partkey AS mov_id, p_name AS name, (p_partkey * 1103515245 + 12345) % 2147483648 AS draw
+FROM part ORDER BY draw, mov_id LIMIT 8"""
+
+    # integrity ---------------------------------------------------------------
+    def pk(name, src, keys):
+        k = " || '|' || ".join(f"CAST({x} AS VARCHAR)" for x in keys)
+        return (f"SELECT '{name}' AS tbl, {k} AS key, count(*) AS n FROM {src} "
+                f"GROUP BY {', '.join(keys)} HAVING count(*) > 1")
+
+    q["pk_violations"] = f"""WITH {RATE}, {MOVIE}, {GENRE}, {DIRECTOR}, {CAST}, {USERS}
+""" + "\nUNION ALL ".join([
+        pk("rating_rows", "r", ["mov_id", "user_id"]), pk("rate", "rate", ["mov_id", "user_id"]),
+        pk("movie", "movie", ["mov_id"]), pk("genre", "genre", ["genre_id"]),
+        pk("director", "director", ["director_id"]), pk("mov_cast", "mov_cast", ["cast_id"]),
+        pk("user_most_like", "users", ["user_id"]), pk("user_most_like.username", "users", ["username"]),
+        pk("belong_to", "belong_to", ["mov_id", "genre_id"]), pk("direct", "direct", ["mov_id", "director_id"]),
+        pk("act", "act", ["mov_id", "cast_id"])])
+
+    def fk(name, child, col, parent, pcol):
+        return (f"SELECT '{name}' AS tbl, '{col}' AS col, CAST({col} AS VARCHAR) AS value, count(*) AS n "
+                f"FROM {child} WHERE {col} IS NOT NULL AND {col} NOT IN (SELECT {pcol} FROM {parent}) "
+                f"GROUP BY {col}")
+
+    log_cte = """
+log AS (SELECT event_id % 50 AS mov_id, user_id, least(5.0, CAST(floor(value / 50.0) AS DOUBLE)) AS grade,
+        event_id AS seq FROM events)"""
+    q["fk_violations"] = f"""WITH {RATE}, {MOVIE}, {GENRE}, {DIRECTOR}, {CAST}, {USERS}, {log_cte}
+""" + "\nUNION ALL ".join([
+        fk("rate", "rate", "mov_id", "movie", "mov_id"), fk("rate", "rate", "user_id", "users", "user_id"),
+        fk("belong_to", "belong_to", "mov_id", "movie", "mov_id"),
+        fk("belong_to", "belong_to", "genre_id", "genre", "genre_id"),
+        fk("direct", "direct", "mov_id", "movie", "mov_id"),
+        fk("direct", "direct", "director_id", "director", "director_id"),
+        fk("act", "act", "mov_id", "movie", "mov_id"), fk("act", "act", "cast_id", "mov_cast", "cast_id"),
+        fk("rating_changes", "log", "mov_id", "movie", "mov_id"),
+        fk("rating_changes", "log", "user_id", "users", "user_id")])
+
+    q["check_violations"] = f"""WITH {PROFILES}, {DIRECTOR}, {log_cte}
+SELECT 'rate' AS tbl, 'grade_range' AS rule, CAST(mov_id AS VARCHAR) || '|' || CAST(user_id AS VARCHAR) AS key
+FROM rate WHERE NOT coalesce(grade >= 0 AND grade <= 5, true)
+UNION ALL SELECT 'rating_rows', 'rating_range', CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)
+FROM r WHERE NOT coalesce(rating >= 0 AND rating <= 5, true)
+UNION ALL SELECT 'rating_changes', 'grade_range', CAST(seq AS VARCHAR) FROM log
+WHERE NOT coalesce(grade >= 0 AND grade <= 5, true)
+UNION ALL SELECT 'director', 'gender_range', CAST(director_id AS VARCHAR) FROM director
+WHERE NOT coalesce(gender IN (0, 1, 2), true)
+UNION ALL SELECT 'user_most_like', 'birthday_range', CAST(user_id AS VARCHAR) FROM profiles
+WHERE NOT coalesce(birthday > DATE '1900-01-01' AND birthday < current_date, true)"""
+
+    def dom(name, src, key, col, not_null):
+        nn = f"{col} IS NULL AND {str(not_null).lower()}"
+        return (f"SELECT '{name}' AS tbl, '{col}' AS col, "
+                f"CASE WHEN {nn} THEN 'not_null' ELSE 'too_long' END AS rule, CAST({key} AS VARCHAR) AS key "
+                f"FROM {src} WHERE ({nn}) OR length({col}) > 255")
+
+    q["domain_violations"] = f"""WITH {MOVIE}, {GENRE}, {DIRECTOR}, {CAST}, {USERS}
+""" + "\nUNION ALL ".join([
+        dom("movie", "movie", "mov_id", "name", False), dom("genre", "genre", "genre_id", "name", False),
+        dom("director", "director", "director_id", "name", False),
+        dom("mov_cast", "mov_cast", "cast_id", "name", False),
+        dom("user_most_like", "users", "user_id", "name", False),
+        dom("user_most_like", "users", "user_id", "username", True)])
     return q

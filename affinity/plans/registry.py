@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.functions import scalars
-from affinity.operators import collab, content, etl, ids, lookup, ranking
+from affinity.operators import (changes, collab, content, etl, evaluate, factor, ids, integrity,
+                                lookup, ranking)
 from affinity.sources import files, raw
 from affinity.sources import testdata as td
 
@@ -375,3 +376,167 @@ def _impute(spark, d):
 @register("dense_ids")
 def _dense_ids(spark, d):
     return ids.dense_ids(td.ratings(spark, d))
+
+
+# --------------------------------------------------------------- evaluate --
+
+@register("predict_bias")
+def _predict_bias(spark, d):
+    cells, test = _train_cells(spark, d)
+    p = evaluate.predict_bias(cells, test)
+    return p.select("user_id", "mov_id", "grade", F.round("prediction", 6).alias("prediction"))
+
+
+def _rmse_mean(spark, d):
+    cells, test = _train_cells(spark, d)
+    return evaluate.rmse(evaluate.predict_mean(cells, test), "mean")
+
+
+def _rmse_weighted(spark, d):
+    cells, test = _train_cells(spark, d)
+    return evaluate.rmse(evaluate.predict_weighted(cells, test), "weighted")
+
+
+def _rmse_user_cf(spark, d):
+    cells, test = _train_cells(spark, d)
+    return evaluate.rmse(collab.predict_user_cf(cells, collab.user_neighbors(cells, 5), test), "user_cf")
+
+
+def _rmse_bias(spark, d):
+    cells, test = _train_cells(spark, d)
+    return evaluate.rmse(evaluate.predict_bias(cells, test), "bias")
+
+
+register("rmse_mean")(_rmse_mean)
+register("rmse_weighted")(_rmse_weighted)
+register("rmse_user_cf")(_rmse_user_cf)
+register("rmse_bias")(_rmse_bias)
+
+
+@register("compare_methods")
+def _compare(spark, d):
+    return evaluate.compare_methods([f(spark, d) for f in (_rmse_mean, _rmse_weighted,
+                                                           _rmse_user_cf, _rmse_bias)])
+
+
+# ---------------------------------------------------------------- changes --
+
+@register("apply_rating_changes")
+def _apply_changes(spark, d):
+    return changes.apply_rating_changes(td.rate_table(spark, d), td.change_log(spark, d))
+
+
+@register("append_new_items")
+def _append_items(spark, d):
+    m = td.movies(spark, d)
+    return changes.append_new_items(m.where(F.col("runtime") <= 40), m)
+
+
+def _signups(spark, d):
+    e = td.table(spark, d, "events").where(F.col("event_type") == "signup")
+    return e.select(F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("username"),
+                    F.concat(F.lit("User "), F.col("user_id").cast("string")).alias("name"),
+                    F.col("event_id").alias("seq"))
+
+
+@register("append_new_users")
+def _append_users(spark, d):
+    return changes.append_new_users(td.users(spark, d), _signups(spark, d))
+
+
+@register("onboarding_sample")
+def _onboarding(spark, d):
+    return changes.onboarding_sample(td.movies(spark, d), 8)
+
+
+# -------------------------------------------------------------- integrity --
+
+@register("pk_violations")
+def _pk(spark, d):
+    u = td.users(spark, d)
+    return integrity.pk_violations({
+        "rating_rows": (td.ratings(spark, d), ["mov_id", "user_id"]),
+        "rate": (td.rate_table(spark, d), ["mov_id", "user_id"]),
+        "movie": (td.movies(spark, d), ["mov_id"]),
+        "genre": (td.genres(spark, d), ["genre_id"]),
+        "director": (td.directors(spark, d), ["director_id"]),
+        "mov_cast": (td.cast_members(spark, d), ["cast_id"]),
+        "user_most_like": (u, ["user_id"]),
+        "user_most_like.username": (u, ["username"]),
+        "belong_to": (td.belong_to(spark, d), ["mov_id", "genre_id"]),
+        "direct": (td.direct(spark, d), ["mov_id", "director_id"]),
+        "act": (td.act(spark, d), ["mov_id", "cast_id"]),
+    })
+
+
+@register("fk_violations")
+def _fk(spark, d):
+    m, u = td.movies(spark, d), td.users(spark, d)
+    r, log = td.rate_table(spark, d), td.change_log(spark, d)
+    return integrity.fk_violations([
+        ("rate", r, "mov_id", m, "mov_id"), ("rate", r, "user_id", u, "user_id"),
+        ("belong_to", td.belong_to(spark, d), "mov_id", m, "mov_id"),
+        ("belong_to", td.belong_to(spark, d), "genre_id", td.genres(spark, d), "genre_id"),
+        ("direct", td.direct(spark, d), "mov_id", m, "mov_id"),
+        ("direct", td.direct(spark, d), "director_id", td.directors(spark, d), "director_id"),
+        ("act", td.act(spark, d), "mov_id", m, "mov_id"),
+        ("act", td.act(spark, d), "cast_id", td.cast_members(spark, d), "cast_id"),
+        ("rating_changes", log, "mov_id", m, "mov_id"), ("rating_changes", log, "user_id", u, "user_id"),
+    ])
+
+
+@register("check_violations")
+def _check(spark, d):
+    return integrity.check_violations([
+        ("rate", "grade_range", td.rate_table(spark, d), ["mov_id", "user_id"], integrity.grade_in_range()),
+        ("rating_rows", "rating_range", td.rating_rows(spark, d), ["l_orderkey", "l_linenumber"],
+         integrity.grade_in_range("rating")),
+        ("rating_changes", "grade_range", td.change_log(spark, d), ["seq"], integrity.grade_in_range()),
+        ("director", "gender_range", td.directors(spark, d), ["director_id"], integrity.gender_in_range()),
+        ("user_most_like", "birthday_range", _profiles(spark, d), ["user_id"], integrity.birthday_in_range()),
+    ])
+
+
+@register("domain_violations")
+def _domain(spark, d):
+    u = td.users(spark, d)
+    return integrity.domain_violations([
+        ("movie", td.movies(spark, d), ["mov_id"], "name", False),
+        ("genre", td.genres(spark, d), ["genre_id"], "name", False),
+        ("director", td.directors(spark, d), ["director_id"], "name", False),
+        ("mov_cast", td.cast_members(spark, d), ["cast_id"], "name", False),
+        ("user_most_like", u, ["user_id"], "name", False),
+        ("user_most_like", u, ["user_id"], "username", True),
+    ])
+
+
+# ----------------------------------------------------------------- factor --
+
+@register("als_fit_rmse")
+def _als_rmse(spark, d):
+    cells, test = _train_cells(spark, d)
+    return factor.als_fit_rmse(cells, test)
+
+
+def _als_recs(spark, d, n):
+    cells, _ = _train_cells(spark, d)
+    return factor.recommend_als(factor.fit_als(cells), n)
+
+
+@register("recommend_als")
+def _recommend_als(spark, d):
+    return _als_recs(spark, d, 10)
+
+
+@register("predict_mf")
+def _predict_mf(spark, d):
+    cells, test = _train_cells(spark, d)
+    return factor.predict_mf(cells, test)
+
+
+@register("recommend_all")
+def _recommend_all(spark, d):
+    weighted = ranking.rank_weighted(td.ratings(spark, d), td.movies(spark, d), n=5,
+                                     min_item=MIN_ITEM, min_user=MIN_USER)
+    content_recs = content.recommend_content(td.rate_table(spark, d), _similar(spark, d), 5)
+    return factor.recommend_all(_als_recs(spark, d, 5), content_recs, weighted, 5)
