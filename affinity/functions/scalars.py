@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import ast
 
+import pandas as pd
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,9 +95,14 @@ def parse_nested(col, schema: T.ArrayType = GENRE_LIST) -> Column:
     raw = _c(col)
     fast = F.from_json(raw, schema, {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
     fast_ok = fast.isNotNull() & ~raw.contains("\\")
-    slow_udf = F.udf(_literal_parser(schema), schema, useArrow=True)
-    slow = slow_udf(F.when(~fast_ok, raw))
-    return F.when(fast_ok, fast).otherwise(slow)
+    parse = _literal_parser(schema)
+
+    @F.pandas_udf(schema)
+    def slow_parse(texts: pd.Series) -> pd.Series:
+        # Rows the fast path handled arrive as NULL and are skipped.
+        return pd.Series([parse(t) if isinstance(t, str) else None for t in texts], dtype=object)
+
+    return F.when(fast_ok, fast).otherwise(slow_parse(F.when(~fast_ok, raw)))
 
 
 # F6 -------------------------------------------------------------------------
@@ -130,8 +137,22 @@ ENGLISH_STOP_WORDS = (
 ).split()
 
 
+def raw_tokens(col) -> Column:
+    """Lower-case and extract 2+ word-character tokens (repeats kept)."""
+    return F.regexp_extract_all(F.lower(_c(col)), F.lit(TOKEN_PATTERN), 1)
+
+
 def tokens(col, stop_words=ENGLISH_STOP_WORDS) -> Column:
-    """Lower-case, extract 2+ word-character tokens, drop stop words (repeats kept)."""
-    toks = F.regexp_extract_all(F.lower(_c(col)), F.lit(TOKEN_PATTERN), 1)
+    """raw_tokens without stop words, as one array expression (small inputs)."""
     stop = F.array(*[F.lit(w) for w in stop_words])
-    return F.filter(toks, lambda t: ~F.array_contains(stop, t))
+    return F.filter(raw_tokens(col), lambda t: ~F.array_contains(stop, t))
+
+
+def drop_stop_words(df, term_col: str = "term", stop_words=ENGLISH_STOP_WORDS):
+    """Remove stop-word rows from an exploded token frame.
+
+    A broadcast anti-join against the fixed list (318 rows, a proven size
+    bound): one hash probe per token instead of a scan of the list.
+    """
+    stop = df.sparkSession.createDataFrame([(w,) for w in stop_words], f"{term_col} string")
+    return df.join(F.broadcast(stop), term_col, "left_anti")

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from affinity.operators import tiles
 from affinity.operators.ids import dense_index
 from affinity.operators.ranking import rank_key, user_mean_rating
+from affinity.session import materialize
 
 NEIGHBOURS = 5      # fixed value (reference): neighbours per user
 RECOMMEND_N = 10    # fixed value (reference): recommendations shown
@@ -43,6 +44,7 @@ def _deviations(cells: DataFrame, means: DataFrame) -> DataFrame:
 
 def user_neighbors(cells: DataFrame, k: int = NEIGHBOURS, **kw) -> DataFrame:
     """Top-k most similar other users (user_id, neighbor_id, sim, rank)."""
+    cells = materialize(cells, "cells")
     means = _means(cells)
     m_items = cells.select("mov_id").distinct().agg(F.count("*").cast("double")).scalar()
     dev = _deviations(cells, means)

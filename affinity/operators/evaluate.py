@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.operators import ranking
+from affinity.session import materialize
 
 BIAS_SWEEPS = 3      # fixed number of alternating sweeps
 OUT_PLACES = 6
@@ -34,19 +35,20 @@ def fit_bias(cells: DataFrame, sweeps: int = BIAS_SWEEPS) -> tuple[F.Column, Dat
 
     The reference's network (concatenated embeddings -> Dense -> Dense, no
     activation) is linear, i.e. exactly this model.  Fitted by alternating
-    grouped means of residuals; each sweep's bias tables are checkpointed so
+    grouped means of residuals; each sweep's bias tables are materialised so
     the plan does not grow with the number of sweeps.
     """
+    cells = materialize(cells, "bias-cells")
     c = cells.agg(F.avg("grade")).scalar()
     bu = cells.select("user_id").distinct().withColumn("bu", F.lit(0.0))
     bi = None
     for _ in range(sweeps):
         r = cells.join(bu, "user_id", "left")
-        bi = (r.groupBy("mov_id").agg(F.avg(F.col("grade") - c - F.coalesce("bu", F.lit(0.0))).alias("bi"))
-               .checkpoint())
+        bi = materialize(r.groupBy("mov_id").agg(
+            F.avg(F.col("grade") - c - F.coalesce("bu", F.lit(0.0))).alias("bi")), "bias-item")
         r = cells.join(bi, "mov_id", "left")
-        bu = (r.groupBy("user_id").agg(F.avg(F.col("grade") - c - F.coalesce("bi", F.lit(0.0))).alias("bu"))
-               .checkpoint())
+        bu = materialize(r.groupBy("user_id").agg(
+            F.avg(F.col("grade") - c - F.coalesce("bi", F.lit(0.0))).alias("bu")), "bias-user")
     return c, bu, bi
 
 

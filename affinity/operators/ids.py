@@ -2,8 +2,8 @@
 
 Distinct keys are range-partitioned and sorted; each partition numbers its
 rows locally, and per-partition offsets (one row per partition, a proven
-size bound) are broadcast back.  The locally numbered frame is checkpointed
-so both uses read the same rows.
+size bound) are broadcast back.  The locally numbered frame is materialised
+(written once under the checkpoint folder) so both uses read the same rows.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from affinity.session import materialize
+
 
 def dense_index(keys: DataFrame, col: str, idx_col: str = "idx",
                 partitions: int | None = None) -> DataFrame:
@@ -34,7 +36,7 @@ def dense_index(keys: DataFrame, col: str, idx_col: str = "idx",
                                 "_local": np.arange(i, i + m, dtype=np.int64)})
             i += m
 
-    loc = d.mapInPandas(number, schema).checkpoint()
+    loc = materialize(d.mapInPandas(number, schema), "dense-index")
     counts = loc.groupBy("_pid").agg(F.count("*").alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))

@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from affinity.session import materialize
+
 SCORE_PLACES = 9
 OUT_SCHEMA = T.StructType([T.StructField("row_id", T.LongType()),
                            T.StructField("other_id", T.LongType()),
@@ -167,8 +169,10 @@ def cosine_topk(entries: DataFrame, info: DataFrame, k: int, exclude_zero: bool
     inf = info.select(F.col("row_id").cast("long"), F.col("alpha").cast("double"),
                       F.col("norm").cast("double"))
     if blocks is None:
-        # Cut lineage (checkpoint dir) so sizing the tiles does not recompute.
-        e, inf = e.checkpoint(), inf.checkpoint()
+        # Entries are materialised once (checkpoint folder) so sizing the
+        # tiles and the tile job do not recompute them; callers materialise
+        # the upstream frame that row info derives from.
+        e = materialize(e, "tile-entries")
         blocks = blocks_for(inf.count(), e.count(), max_rows_per_block, max_entries_per_block)
     B = int(blocks)
     blk = F.pmod(F.xxhash64("row_id"), F.lit(B)).cast("int")

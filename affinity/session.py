@@ -46,3 +46,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         path = tempfile.mkdtemp(prefix="affinity-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as Parquet under the checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` but computes the input only once
+    (an RDD checkpoint recomputes an uncached input), survives executor loss
+    (shared storage), and gives the planner real file statistics.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/affinity-stages/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
