@@ -35,15 +35,22 @@ def get_spark(app: str = "affinity", master: str | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; pick a scratch one only if unset.
+    """The shared folder for lineage cuts: ``spark.checkpoint.dir`` if the
+    cluster sets it; otherwise (local runs and tests only) a scratch folder.
 
-    On a cluster the setting names a shared folder every executor can reach.
-    A machine-local folder is only chosen here for local runs and tests.
+    Returns the configured base folder; the context's checkpoint directory is
+    only set when none exists yet (setting it again would nest a new folder).
     """
     sc = spark.sparkContext
-    path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="affinity-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    base = sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
+    if base:
+        if not current:
+            sc.setCheckpointDir(base)
+        return base
+    if current:
+        return current
+    path = tempfile.mkdtemp(prefix="affinity-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
 
