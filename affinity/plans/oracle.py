@@ -155,6 +155,15 @@ top AS (SELECT *, row_number() OVER (ORDER BY round(score, 9) DESC, mov_id) AS r
 SELECT m.*, CAST(rank AS BIGINT) AS rank, round(score, 6) AS score
 FROM movie m JOIN top t ON m.mov_id = t.mov_id WHERE rank <= 12"""
 
+    q["rating_scan"] = f"WITH {RATINGS} SELECT mov_id, user_id, grade FROM r"
+
+    q["fetch_ranked_items"] = f"""
+WITH {c}, {MOVIE},
+st AS (SELECT mov_id, avg(grade) AS score FROM cells GROUP BY mov_id),
+top AS (SELECT *, row_number() OVER (ORDER BY round(score, 9) DESC, mov_id) AS rank FROM st)
+SELECT m.*, CAST(rank AS BIGINT) AS rank, round(score, 6) AS score
+FROM movie m JOIN top t ON m.mov_id = t.mov_id WHERE rank <= 10"""
+
     q["dense_core_ratings"] = f"WITH {c} SELECT user_id, mov_id, grade FROM core"
 
     q["holdout_split"] = f"""WITH {c}

@@ -56,6 +56,19 @@ def _front_list(spark, d):
                               min_item=MIN_ITEM, min_user=MIN_USER)
 
 
+@register("rating_scan")
+def _rating_scan(spark, d):
+    # Whole rating table, column subset -> pruned Parquet scan
+    return td.rating_rows(spark, d).select("mov_id", "user_id", "grade")
+
+
+@register("fetch_ranked_items")
+def _fetch_ranked(spark, d):
+    ranked = ranking.rank_mean(td.ratings(spark, d), td.movies(spark, d), n=10,
+                               min_item=MIN_ITEM, min_user=MIN_USER)
+    return ranking.fetch_ranked_items(ranked.select("rank", "mov_id", "score"), td.movies(spark, d))
+
+
 @register("dense_core_ratings")
 def _dense_core(spark, d):
     return ranking.dense_core_ratings(td.ratings(spark, d), MIN_ITEM, MIN_USER)
