@@ -186,6 +186,10 @@ def cosine_topk(entries: DataFrame, info: DataFrame, k: int, exclude_zero: bool
                  .select(F.least("block", "other").alias("tile_i"),
                          F.greatest("block", "other").alias("tile_j"),
                          "block", "row_id", "col_id", "value", "alpha", "norm"))
+    # One tile per task as far as hashing allows: an explicit partition count
+    # (not coalesced by AQE) of twice the number of tiles.
+    n_tiles = B * (B + 1) // 2
+    tiled = tiled.repartition(max(2 * n_tiles, 1), "tile_i", "tile_j")
     cand = tiled.groupBy("tile_i", "tile_j").applyInPandas(_tile_fn(k, exclude_zero), OUT_SCHEMA)
     w = Window.partitionBy("row_id").orderBy(F.desc(F.round("sim", SCORE_PLACES)), F.asc("other_id"))
     return (cand.withColumn("rank", F.row_number().over(w).cast("long"))

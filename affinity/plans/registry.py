@@ -16,6 +16,7 @@ from affinity.functions import scalars
 from affinity.operators import (changes, collab, content, etl, evaluate, factor, ids, integrity,
                                 lookup, ranking)
 from affinity.sources import files, raw
+from affinity.session import materialize
 from affinity.sources import testdata as td
 
 MIN_ITEM, MIN_USER = 30, 10
@@ -348,8 +349,9 @@ def _similar_facets(spark, d):
 # ----------------------------------------------------------------- collab --
 
 def _train_cells(spark, d):
+    """Train cells and test rows, each written once and shared by every branch."""
     cells, test = ranking.prepared_cells(td.ratings(spark, d), MIN_ITEM, MIN_USER)
-    return cells, test
+    return materialize(cells, "train-cells"), materialize(test, "test-rows")
 
 
 @register("user_neighbors")
@@ -400,36 +402,30 @@ def _predict_bias(spark, d):
     return p.select("user_id", "mov_id", "grade", F.round("prediction", 6).alias("prediction"))
 
 
-def _rmse_mean(spark, d):
-    cells, test = _train_cells(spark, d)
-    return evaluate.rmse(evaluate.predict_mean(cells, test), "mean")
-
-
-def _rmse_weighted(spark, d):
-    cells, test = _train_cells(spark, d)
-    return evaluate.rmse(evaluate.predict_weighted(cells, test), "weighted")
+def _rmse_all(cells, test):
+    return {
+        "mean": lambda: evaluate.rmse(evaluate.predict_mean(cells, test), "mean"),
+        "weighted": lambda: evaluate.rmse(evaluate.predict_weighted(cells, test), "weighted"),
+        "user_cf": lambda: evaluate.rmse(
+            collab.predict_user_cf(cells, collab.user_neighbors(cells, 5), test), "user_cf"),
+        "bias": lambda: evaluate.rmse(evaluate.predict_bias(cells, test), "bias"),
+    }
 
 
-def _rmse_user_cf(spark, d):
-    cells, test = _train_cells(spark, d)
-    return evaluate.rmse(collab.predict_user_cf(cells, collab.user_neighbors(cells, 5), test), "user_cf")
-
-
-def _rmse_bias(spark, d):
-    cells, test = _train_cells(spark, d)
-    return evaluate.rmse(evaluate.predict_bias(cells, test), "bias")
+def _rmse_query(method):
+    def q(spark, d):
+        return _rmse_all(*_train_cells(spark, d))[method]()
+    return q
 
 
-register("rmse_mean")(_rmse_mean)
-register("rmse_weighted")(_rmse_weighted)
-register("rmse_user_cf")(_rmse_user_cf)
-register("rmse_bias")(_rmse_bias)
+for _m in ("mean", "weighted", "user_cf", "bias"):
+    register(f"rmse_{_m}")(_rmse_query(_m))
 
 
 @register("compare_methods")
 def _compare(spark, d):
-    return evaluate.compare_methods([f(spark, d) for f in (_rmse_mean, _rmse_weighted,
-                                                           _rmse_user_cf, _rmse_bias)])
+    fns = _rmse_all(*_train_cells(spark, d))
+    return evaluate.compare_methods([fns[m]() for m in ("mean", "weighted", "user_cf", "bias")])
 
 
 # ---------------------------------------------------------------- changes --

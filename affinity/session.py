@@ -64,8 +64,12 @@ def materialize(df, name: str = "stage"):
     """
     import uuid
 
+    if getattr(df, "_affinity_materialized", False):
+        return df
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/affinity-stages/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._affinity_materialized = True
+    return out
