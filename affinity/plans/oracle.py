@@ -6,6 +6,8 @@ CTEs below repeat the star-schema mapping of ``affinity.sources.testdata``.
 
 from __future__ import annotations
 
+import re
+
 # Shared CTE fragments --------------------------------------------------------
 
 RATINGS = """
@@ -174,11 +176,11 @@ SELECT user_id, mov_id, grade,
 
     q["item_mean_rating"] = f"""WITH {RATINGS},
 cells AS (SELECT user_id, mov_id, avg(grade) AS grade FROM r GROUP BY user_id, mov_id)
-SELECT mov_id, avg(grade) AS mean, count(*) AS n FROM cells GROUP BY mov_id"""
+SELECT mov_id, round(avg(grade), 6) AS mean, count(*) AS n FROM cells GROUP BY mov_id"""
 
     q["user_mean_rating"] = f"""WITH {RATINGS},
 cells AS (SELECT user_id, mov_id, avg(grade) AS grade FROM r GROUP BY user_id, mov_id)
-SELECT user_id, avg(grade) AS mean, count(*) AS n FROM cells GROUP BY user_id"""
+SELECT user_id, round(avg(grade), 6) AS mean, count(*) AS n FROM cells GROUP BY user_id"""
 
     q["grade_histogram"] = f"""WITH {RATE}
 SELECT mov_id, count_if(grade = 1) AS n1, count_if(grade = 2) AS n2, count_if(grade = 3) AS n3,
@@ -518,4 +520,5 @@ WHERE NOT coalesce(birthday > DATE '1900-01-01' AND birthday < current_date, tru
         dom("mov_cast", "mov_cast", "cast_id", "name", False),
         dom("user_most_like", "users", "user_id", "name", False),
         dom("user_most_like", "users", "user_id", "username", True)])
-    return q
+    # DuckDB's count_if is HUGEINT; Spark's is BIGINT.
+    return {k: re.sub(r"count_if\(([^()]*)\)", r"CAST(count_if(\1) AS BIGINT)", v) for k, v in q.items()}

@@ -87,12 +87,14 @@ def _cells(spark, d):
 
 @register("item_mean_rating")
 def _item_mean(spark, d):
-    return ranking.item_mean_rating(ranking.rating_cells(td.ratings(spark, d)))
+    m = ranking.item_mean_rating(ranking.rating_cells(td.ratings(spark, d)))
+    return m.select("mov_id", F.round("mean", 6).alias("mean"), "n")
 
 
 @register("user_mean_rating")
 def _user_mean(spark, d):
-    return ranking.user_mean_rating(ranking.rating_cells(td.ratings(spark, d)))
+    m = ranking.user_mean_rating(ranking.rating_cells(td.ratings(spark, d)))
+    return m.select("user_id", F.round("mean", 6).alias("mean"), "n")
 
 
 @register("grade_histogram")
