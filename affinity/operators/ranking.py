@@ -64,6 +64,21 @@ def holdout_split(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ratings.where(~t), ratings.where(t)
 
 
+def holdout_exact(ratings: DataFrame, n: int, seed: int = 17) -> tuple[DataFrame, DataFrame]:
+    """Exactly the n (user, item) pairs first in a seeded hash order are test.
+
+    The n-pair test key set comes from a top-n (TakeOrderedAndProject, no
+    global sort); every row of a test pair is held out, and train is the
+    anti-join.  With fewer than n pairs all are test.
+    """
+    pairs = ratings.select("user_id", "mov_id").distinct()
+    h = F.xxhash64("user_id", "mov_id", F.lit(seed))
+    test_keys = pairs.orderBy(h, "user_id", "mov_id").limit(n)
+    test = ratings.join(test_keys, ["user_id", "mov_id"], "left_semi")
+    train = ratings.join(test_keys, ["user_id", "mov_id"], "left_anti")
+    return train, test
+
+
 def holdout_labeled(ratings: DataFrame) -> DataFrame:
     """Rows tagged with ``part`` = 'train' / 'test' (the registered form)."""
     return ratings.withColumn("part", F.when(is_test_pair(), "test").otherwise("train"))

@@ -94,3 +94,15 @@ def test_point_lookup_is_pushed_down(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "In(p_partkey" in plan
     assert sorted(r.mov_id for r in df.collect()) == [3, 5]
+
+
+def test_read_rating_lines_and_exact_holdout(spark, tmp_path):
+    from affinity.operators import ranking
+    from affinity.sources import files
+    p = tmp_path / "r.csv"
+    p.write_text("1,10,3.5\n2,10,4\nbad line\n3,11,5.0\n1,11,2\n")
+    df = files.read_rating_lines(spark, str(p))
+    assert sorted(tuple(r) for r in df.collect()) == [(1, 10, 3.5), (1, 11, 2.0), (2, 10, 4.0), (3, 11, 5.0)]
+    train, test = ranking.holdout_exact(df, 3)
+    assert test.count() == 3 and train.count() == 1
+    assert train.join(test, ["user_id", "mov_id"]).count() == 0
