@@ -125,11 +125,14 @@ def items_in_genre(movies: DataFrame, belong_to: DataFrame, genres: DataFrame,
     g = genres.select("genre_id", F.col("name").alias("genre"))
     if genre_names is not None:
         g = g.where(F.col("genre").isin(list(genre_names)))
+    # Rank on the narrow (genre_id, mov_id) key table first so the limit runs
+    # partially before the shuffle; names are joined to <= n rows per genre.
+    bt = (belong_to.join(movies.select("mov_id"), "mov_id", "left_semi")
+                   .join(g.select("genre_id"), "genre_id", "left_semi"))
+    w = Window.partitionBy("genre_id").orderBy("mov_id")
+    top = bt.withColumn("pos", F.row_number().over(w).cast("long")).where(F.col("pos") <= n)
     m = movies.select("mov_id", F.col("name").alias("title"))
-    j = belong_to.join(g, "genre_id", "inner").join(m, "mov_id", "inner")
-    w = Window.partitionBy("genre").orderBy("mov_id")
-    return (j.withColumn("pos", F.row_number().over(w).cast("long")).where(F.col("pos") <= n)
-             .select("genre", "pos", "mov_id", "title"))
+    return top.join(g, "genre_id", "inner").join(m, "mov_id", "inner").select("genre", "pos", "mov_id", "title")
 
 
 def item_wide(movies: DataFrame, belong_to: DataFrame, genres: DataFrame,
