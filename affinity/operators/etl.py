@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from affinity.functions.scalars import (CAST_LIST, CREW_LIST, GENRE_LIST, empty_to_null,
                                         parse_nested, truncating_int)
@@ -73,9 +74,14 @@ def etl_rating(raw_ratings: DataFrame, items: DataFrame) -> DataFrame:
 
 # E3 / E4 --------------------------------------------------------------------
 
+def _parsed(df: DataFrame, col: str, schema) -> F.Column:
+    """The list column itself if already parsed (see ``load_all``), else parse it."""
+    return F.col(col) if isinstance(df.schema[col].dataType, T.ArrayType) else parse_nested(col, schema)
+
+
 def _genre_rows(raw_movies: DataFrame) -> DataFrame:
     g = raw_movies.select(F.col("id").try_cast("long").alias("mov_id"),
-                          F.explode(parse_nested("genres", GENRE_LIST)).alias("g"))
+                          F.explode(_parsed(raw_movies, "genres", GENRE_LIST)).alias("g"))
     return g.select("mov_id", F.col("g.id").alias("genre_id"), F.col("g.name").alias("name"))
 
 
@@ -94,7 +100,7 @@ def etl_item_genre(raw_movies: DataFrame, items: DataFrame) -> DataFrame:
 
 def _crew_rows(raw_credits: DataFrame, job: str = "Director") -> DataFrame:
     c = raw_credits.select(F.col("id").try_cast("long").alias("mov_id"),
-                           F.explode(F.filter(parse_nested("crew", CREW_LIST),
+                           F.explode(F.filter(_parsed(raw_credits, "crew", CREW_LIST),
                                               lambda m: m["job"] == job)).alias("m"))
     return c.select("mov_id", F.col("m.id").alias("director_id"), F.col("m.name").alias("name"),
                     F.col("m.gender").cast("int").alias("gender"))
@@ -117,7 +123,7 @@ def etl_item_director(raw_credits: DataFrame, items: DataFrame) -> DataFrame:
 
 def _cast_rows(raw_credits: DataFrame) -> DataFrame:
     c = raw_credits.select(F.col("id").try_cast("long").alias("mov_id"), "pos",
-                           F.posexplode(parse_nested("cast", CAST_LIST)).alias("k", "m"))
+                           F.posexplode(_parsed(raw_credits, "cast", CAST_LIST)).alias("k", "m"))
     return c.select("mov_id", "pos", "k", F.col("m.id").alias("cast_id"),
                     F.col("m.name").alias("name"), F.col("m.gender").cast("string").alias("gender"),
                     F.col("m.character").alias("role"))
@@ -176,3 +182,43 @@ def etl_link(raw_movies: DataFrame, items: DataFrame) -> DataFrame:
 def etl_website(raw_movies: DataFrame) -> DataFrame:
     """Distinct non-empty web ids."""
     return raw_movies.select(F.col("imdb_id").alias("web_id")).where(F.col("web_id") != "").distinct()
+
+
+# Whole load ---------------------------------------------------------------
+
+def load_all(raw_movies: DataFrame, raw_credits: DataFrame, raw_ratings: DataFrame,
+             users: DataFrame, base_path: str) -> DataFrame:
+    """Parse each raw input once, derive the 11 tables, load them parents first.
+
+    The parsed raw frames are written once (lineage cut) and every table is
+    derived from them; each table is replace-loaded under ``base_path`` in
+    foreign-key order.  Returns (step, tbl, rows) read back from the loaded
+    tables.
+    """
+    from affinity.session import materialize
+    from affinity.sources.files import LOAD_ORDER, load_table
+
+    rm = materialize(raw_movies.withColumn("genres", parse_nested("genres", GENRE_LIST)), "raw-movies")
+    rc = materialize(raw_credits.withColumn("cast", parse_nested("cast", CAST_LIST))
+                                .withColumn("crew", parse_nested("crew", CREW_LIST)), "raw-credits")
+    loaded: dict[str, DataFrame] = {}
+    loaded["website"] = load_table(etl_website(rm), f"{base_path}/website", "website")
+    loaded["movie"] = load_table(etl_item(rm), f"{base_path}/movie", "movie")
+    item = loaded["movie"]
+    loaded["link"] = load_table(etl_link(rm, item), f"{base_path}/link", "link")
+    loaded["genre"] = load_table(etl_genre(rm), f"{base_path}/genre", "genre")
+    rate = load_table(etl_rating(raw_ratings, item), f"{base_path}/rate", "rate")
+    belong = load_table(etl_item_genre(rm, item), f"{base_path}/belong_to", "belong_to")
+    loaded["user_most_like"] = load_table(user_favorite_genre(users, rate, belong),
+                                          f"{base_path}/user_most_like", "user_most_like")
+    loaded["rate"], loaded["belong_to"] = rate, belong
+    loaded["director"] = load_table(etl_director(rc), f"{base_path}/director", "director")
+    loaded["mov_cast"] = load_table(etl_cast(rc), f"{base_path}/mov_cast", "mov_cast")
+    loaded["direct"] = load_table(etl_item_director(rc, item), f"{base_path}/direct", "direct")
+    loaded["act"] = load_table(etl_item_cast(rc, item), f"{base_path}/act", "act")
+    out = None
+    for i, name in enumerate(LOAD_ORDER):
+        c = loaded[name].agg(F.count("*").alias("rows")).select(
+            F.lit(i).cast("long").alias("step"), F.lit(name).alias("tbl"), "rows")
+        out = c if out is None else out.unionByName(c)
+    return out

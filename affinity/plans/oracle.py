@@ -312,6 +312,21 @@ FROM part WHERE p_size % 10 NOT IN (0, 5)"""
 SELECT DISTINCT CASE WHEN p_size % 10 = 5 THEN 'nm' || CAST(p_partkey AS VARCHAR)
                      ELSE 'tt' || lpad(CAST(p_partkey AS VARCHAR), 7, '0') END AS web_id
 FROM part WHERE p_size % 10 <> 0"""
+    q["etl_load_all"] = f"""WITH {RATE}, {GENRE}, {DIRECTOR}, {CAST}, {USERS}, {PROFILES_BODY}
+SELECT CAST(0 AS BIGINT) AS step, 'website' AS tbl, (SELECT count(*) FROM part WHERE p_size % 10 <> 0) AS rows
+UNION ALL SELECT 1, 'movie', (SELECT count(*) FROM part)
+UNION ALL SELECT 2, 'link', (SELECT count(*) FROM part WHERE p_size % 10 NOT IN (0, 5))
+UNION ALL SELECT 3, 'genre', (SELECT count(*) FROM genre)
+UNION ALL SELECT 4, 'user_most_like', (SELECT count(*) FROM profiles)
+UNION ALL SELECT 5, 'rate', (SELECT count(*) FROM rate)
+UNION ALL SELECT 6, 'belong_to', (SELECT count(*) FROM belong_to)
+UNION ALL SELECT 7, 'director', (SELECT count(DISTINCT d.director_id) FROM lineitem l
+                                 JOIN part p ON l.l_partkey = p.p_partkey JOIN director d ON p.p_brand = d.name)
+UNION ALL SELECT 8, 'mov_cast', (SELECT count(DISTINCT l_suppkey) FROM lineitem)
+UNION ALL SELECT 9, 'direct', (SELECT count(*) FROM (SELECT DISTINCT l.l_partkey, d.director_id FROM lineitem l
+                               JOIN part p ON l.l_partkey = p.p_partkey JOIN director d ON p.p_brand = d.name))
+UNION ALL SELECT 10, 'act', (SELECT count(*) FROM act)"""
+
     q["parse_nested"] = """
 SELECT l.l_partkey AS mov_id, l.l_suppkey AS cast_id, s.s_name AS name, l.l_suppkey % 2 AS gender,
        l.l_returnflag AS role

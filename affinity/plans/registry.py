@@ -298,6 +298,12 @@ def _etl_website(spark, d):
     return etl.etl_website(raw.raw_movies(spark, d))
 
 
+@register("etl_load_all")
+def _etl_load_all(spark, d):
+    return etl.load_all(raw.raw_movies(spark, d), raw.raw_credits(spark, d), raw.raw_ratings(spark, d),
+                        td.users(spark, d), files.scratch_path(spark, "catalog"))
+
+
 @register("parse_nested")
 def _parse_nested(spark, d):
     c = raw.raw_credits(spark, d)
