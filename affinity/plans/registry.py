@@ -343,7 +343,7 @@ def _similar_items(spark, d):
 
 @register("recommend_content")
 def _recommend_content(spark, d):
-    return content.recommend_content(td.rate_table(spark, d), _similar(spark, d), 10)
+    return content.recommend_content_from_docs(td.rate_table(spark, d), td.overviews(spark, d), 10)
 
 
 @register("similar_items_facets")

@@ -91,3 +91,19 @@ def test_tfidf_rows_are_unit_and_similar_items_brute_force(spark):
     got = content.similar_items(docs, 10, max_rows_per_block=50).toPandas()
     got_lists = got.sort_values(["mov_id", "rank"]).groupby("mov_id")["similar_id"].apply(list).to_dict()
     assert {k: v for k, v in want.items() if v} == got_lists
+
+
+def test_seeded_tiles_equal_all_pairs_rows(spark):
+    rng = np.random.default_rng(3)
+    X = (rng.random((50, 20)) < 0.25) * rng.random((50, 20))
+    ids = np.arange(50)
+    r, c = np.nonzero(X)
+    entries = spark.createDataFrame(pd.DataFrame({"row_id": ids[r], "col_id": c, "value": X[r, c]}))
+    info = spark.createDataFrame(pd.DataFrame({"row_id": ids, "alpha": 0.0, "norm": np.linalg.norm(X, axis=1)}))
+    seeds = spark.createDataFrame(pd.DataFrame({"row_id": [3, 17, 41]}))
+    full = tiles.cosine_topk(entries, info, 4, exclude_zero=True, blocks=3).toPandas()
+    seeded = tiles.cosine_topk_seeded(entries, info, seeds, 4, exclude_zero=True, max_rows_per_block=7).toPandas()
+    key = ["row_id", "rank", "other_id"]
+    a = full[full.row_id.isin([3, 17, 41])].sort_values(key)[key].to_numpy()
+    b = seeded.sort_values(key)[key].to_numpy()
+    assert (a == b).all()
