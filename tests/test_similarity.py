@@ -107,3 +107,33 @@ def test_seeded_tiles_equal_all_pairs_rows(spark):
     a = full[full.row_id.isin([3, 17, 41])].sort_values(key)[key].to_numpy()
     b = seeded.sort_values(key)[key].to_numpy()
     assert (a == b).all()
+
+
+def test_user_cf_exact_under_hot_user_and_hot_item(spark):
+    """One user holds a third of all ratings; one item is rated by almost everyone."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for u in range(1, 60):
+        for m in rng.choice(np.arange(1, 400), size=6, replace=False):
+            rows.append((u, int(m), float(rng.integers(0, 6))))
+        rows.append((u, 0, float(rng.integers(0, 6))))            # hot item 0
+    hot = [(1000, int(m), float(rng.integers(0, 6))) for m in range(0, 220)]
+    rows += hot                                                     # hot user ~ 1/3 of rows
+    assert len(hot) >= len(rows) / 3
+    cells = ranking.rating_cells(spark.createDataFrame(rows, "user_id long, mov_id long, grade double"))
+    p = cells.toPandas().pivot_table(index="user_id", columns="mov_id", values="grade")
+    imp = p.T.fillna(p.mean(axis=1)).T
+    v = imp.to_numpy()
+    sim = (v @ v.T) / np.outer(np.linalg.norm(v, axis=1), np.linalg.norm(v, axis=1))
+    ids = list(p.index)
+    nb = collab.user_neighbors(cells, 5, max_rows_per_block=16)
+    got = nb.toPandas().sort_values(["user_id", "rank"]).groupby("user_id")["neighbor_id"].apply(list).to_dict()
+    assert got == _brute_topk(ids, sim, 5, False)
+    rec = collab.recommend_user_cf(cells, nb, 10).toPandas()
+    nbp = nb.toPandas()
+    for u in [1000, 1, 2, 3]:
+        r = nbp[nbp.user_id == u]
+        score = (imp.iloc[[ids.index(x) for x in r.neighbor_id]].T * r.sim.to_numpy()).T.mean(axis=0)
+        s = score[p.loc[u][p.loc[u].isna()].index]
+        want = [m for _, m in sorted((-round(x, 9), m) for m, x in s.items())[:10]]
+        assert list(rec[rec.user_id == u].sort_values("rank").mov_id) == want
