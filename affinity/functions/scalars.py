@@ -105,6 +105,32 @@ def parse_nested(col, schema: T.ArrayType = GENRE_LIST) -> Column:
     return F.when(fast_ok, fast).otherwise(slow_parse(F.when(~fast_ok, raw)))
 
 
+def with_nested(df, col: str, schema: T.ArrayType = GENRE_LIST, out: str | None = None):
+    """``df`` with ``out`` (default: ``col`` replaced) = ``parse_nested(col)``.
+
+    Same result as the column form, but the JSON parse is a column of its
+    own, so it runs once per row: in the column form the Python fallback is
+    evaluated by a separate operator and both operators re-parse the text.
+    The fallback is marked non-deterministic so the optimizer never copies
+    the parse into another operator (e.g. the ``size(list) > 0`` filter it
+    infers for an ``explode`` and pushes below the projection).
+    """
+    out = out or col
+    raw = F.col(col)
+    tmp = f"_json_{out}"
+    df = df.withColumn(tmp, F.from_json(raw, schema, {"allowSingleQuotes": "true", "mode": "PERMISSIVE"}))
+    fast_ok = F.col(tmp).isNotNull() & ~raw.contains("\\")
+    parse = _literal_parser(schema)
+
+    @F.pandas_udf(schema)
+    def slow_parse(texts: pd.Series) -> pd.Series:
+        return pd.Series([parse(t) if isinstance(t, str) else None for t in texts], dtype=object)
+
+    slow_parse = slow_parse.asNondeterministic()
+    return (df.withColumn(out, F.when(fast_ok, F.col(tmp)).otherwise(slow_parse(F.when(~fast_ok, raw))))
+              .drop(tmp))
+
+
 # F6 -------------------------------------------------------------------------
 
 # Token: two or more word characters (letters, digits, underscore, any script).

@@ -1,6 +1,6 @@
 """Catalogue ETL: raw metadata / credits / ratings -> the normalised tables.
 
-Each raw input is parsed once (``parse_nested`` for the literal lists) and
+Each raw input is parsed once (``with_nested`` for the literal lists) and
 every output is a projection + explode + filter + dedupe of it.  "First per
 key" always orders by an explicit source-order column ``pos``; key sets are
 applied as semi-joins.
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from affinity.functions.scalars import (CAST_LIST, CREW_LIST, GENRE_LIST, empty_to_null,
-                                        parse_nested, truncating_int)
+                                        truncating_int, with_nested)
 
 # Fixed values (ETL synthetic user columns): birthday year 1950..2000, day 1..28.
 BIRTH_YEAR_FROM, BIRTH_YEARS = 1950, 51
@@ -74,14 +74,14 @@ def etl_rating(raw_ratings: DataFrame, items: DataFrame) -> DataFrame:
 
 # E3 / E4 --------------------------------------------------------------------
 
-def _parsed(df: DataFrame, col: str, schema) -> F.Column:
-    """The list column itself if already parsed (see ``load_all``), else parse it."""
-    return F.col(col) if isinstance(df.schema[col].dataType, T.ArrayType) else parse_nested(col, schema)
+def _parsed_frame(df: DataFrame, col: str, schema) -> DataFrame:
+    """``df`` with the list column parsed, unless it already is (see ``load_all``)."""
+    return df if isinstance(df.schema[col].dataType, T.ArrayType) else with_nested(df, col, schema)
 
 
 def _genre_rows(raw_movies: DataFrame) -> DataFrame:
-    g = raw_movies.select(F.col("id").try_cast("long").alias("mov_id"),
-                          F.explode(_parsed(raw_movies, "genres", GENRE_LIST)).alias("g"))
+    g = _parsed_frame(raw_movies, "genres", GENRE_LIST).select(
+        F.col("id").try_cast("long").alias("mov_id"), F.explode("genres").alias("g"))
     return g.select("mov_id", F.col("g.id").alias("genre_id"), F.col("g.name").alias("name"))
 
 
@@ -99,9 +99,9 @@ def etl_item_genre(raw_movies: DataFrame, items: DataFrame) -> DataFrame:
 # E5 / E7 --------------------------------------------------------------------
 
 def _crew_rows(raw_credits: DataFrame, job: str = "Director") -> DataFrame:
-    c = raw_credits.select(F.col("id").try_cast("long").alias("mov_id"),
-                           F.explode(F.filter(_parsed(raw_credits, "crew", CREW_LIST),
-                                              lambda m: m["job"] == job)).alias("m"))
+    c = _parsed_frame(raw_credits, "crew", CREW_LIST).select(
+        F.col("id").try_cast("long").alias("mov_id"),
+        F.explode(F.filter("crew", lambda m: m["job"] == job)).alias("m"))
     return c.select("mov_id", F.col("m.id").alias("director_id"), F.col("m.name").alias("name"),
                     F.col("m.gender").cast("int").alias("gender"))
 
@@ -122,8 +122,8 @@ def etl_item_director(raw_credits: DataFrame, items: DataFrame) -> DataFrame:
 # E6 / E8 --------------------------------------------------------------------
 
 def _cast_rows(raw_credits: DataFrame) -> DataFrame:
-    c = raw_credits.select(F.col("id").try_cast("long").alias("mov_id"), "pos",
-                           F.posexplode(_parsed(raw_credits, "cast", CAST_LIST)).alias("k", "m"))
+    c = _parsed_frame(raw_credits, "cast", CAST_LIST).select(
+        F.col("id").try_cast("long").alias("mov_id"), "pos", F.posexplode("cast").alias("k", "m"))
     return c.select("mov_id", "pos", "k", F.col("m.id").alias("cast_id"),
                     F.col("m.name").alias("name"), F.col("m.gender").cast("string").alias("gender"),
                     F.col("m.character").alias("role"))
@@ -198,9 +198,9 @@ def load_all(raw_movies: DataFrame, raw_credits: DataFrame, raw_ratings: DataFra
     from affinity.session import materialize
     from affinity.sources.files import LOAD_ORDER, load_table
 
-    rm = materialize(raw_movies.withColumn("genres", parse_nested("genres", GENRE_LIST)), "raw-movies")
-    rc = materialize(raw_credits.withColumn("cast", parse_nested("cast", CAST_LIST))
-                                .withColumn("crew", parse_nested("crew", CREW_LIST)), "raw-credits")
+    rm = materialize(with_nested(raw_movies, "genres", GENRE_LIST), "raw-movies")
+    rc = materialize(with_nested(with_nested(raw_credits, "cast", CAST_LIST), "crew", CREW_LIST),
+                     "raw-credits")
     loaded: dict[str, DataFrame] = {}
     loaded["website"] = load_table(etl_website(rm), f"{base_path}/website", "website")
     loaded["movie"] = load_table(etl_item(rm), f"{base_path}/movie", "movie")

@@ -306,9 +306,8 @@ def _etl_load_all(spark, d):
 
 @register("parse_nested")
 def _parse_nested(spark, d):
-    c = raw.raw_credits(spark, d)
-    p = c.select(F.col("id").cast("long").alias("mov_id"),
-                 F.explode(scalars.parse_nested("cast", scalars.CAST_LIST)).alias("m"))
+    c = scalars.with_nested(raw.raw_credits(spark, d), "cast", scalars.CAST_LIST)
+    p = c.select(F.col("id").cast("long").alias("mov_id"), F.explode("cast").alias("m"))
     return p.select("mov_id", F.col("m.id").alias("cast_id"), F.col("m.name").alias("name"),
                     F.col("m.gender").alias("gender"), F.col("m.character").alias("role"))
 

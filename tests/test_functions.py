@@ -32,6 +32,11 @@ def test_parse_nested_literals(spark):
     as_py = [None if g is None else [(e["id"], e["name"]) for e in g] for g in got]
     assert as_py == [[(16, "Animation")], [(1, "O'Brien")], [(2, None)], [], [(3, "José")],
                      [(4, "None: None")], None, None]
+    # The frame form (JSON parse held in a column) gives the same lists.
+    framed = df.withColumn("k", F.monotonically_increasing_id())
+    framed = scalars.with_nested(framed, "t", scalars.GENRE_LIST, out="p").orderBy("k")
+    assert [r.p for r in framed.select("p").collect()] == got
+    assert framed.columns == ["t", "k", "p"]
 
 
 def test_tokens_unicode_and_stop_words(spark):
