@@ -554,5 +554,6 @@ def _predict_mf(spark, d):
 def _recommend_all(spark, d):
     weighted = ranking.rank_weighted(td.ratings(spark, d), td.movies(spark, d), n=5,
                                      min_item=MIN_ITEM, min_user=MIN_USER)
-    content_recs = content.recommend_content(td.rate_table(spark, d), _similar(spark, d), 5)
+    # Neighbours of the users' seed items only (seeded tiles when cheaper).
+    content_recs = content.recommend_content_from_docs(td.rate_table(spark, d), td.overviews(spark, d), 5)
     return factor.recommend_all(_als_recs(spark, d, 5), content_recs, weighted, 5)
