@@ -90,7 +90,8 @@ def parse_nested(col, schema: T.ArrayType = GENRE_LIST) -> Column:
     Fast path: ``from_json`` (accepts single quotes) when the text holds no
     backslash and parses.  Anything else (``None`` values, escapes) goes to
     the Arrow-batched ``literal_eval`` fallback; text that is not a literal
-    list of dicts gives NULL.
+    list of dicts gives NULL.  On a DataFrame prefer ``with_nested``: it gives
+    the same lists but parses each row once.
     """
     raw = _c(col)
     fast = F.from_json(raw, schema, {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})

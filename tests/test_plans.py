@@ -38,3 +38,12 @@ def test_scans_are_pruned(spark):
 def test_global_top_n_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in _plan(spark, "onboarding_sample")
     assert "TakeOrderedAndProject" in _plan(spark, "search_names")
+
+
+@pytest.mark.parametrize("name", ["parse_nested", "etl_director", "etl_item_cast", "etl_genre"])
+def test_nested_literals_parsed_once(spark, name):
+    # One JSON parse and one Python pass per literal column: the fallback must
+    # not be copied into the filter Spark infers for explode.
+    plan = _plan(spark, name)
+    assert plan.count("ArrowEvalPython") == 1
+    assert plan.count("from_json(") == 1
