@@ -19,6 +19,7 @@ repeated rows are scored each; other columns are ignored.
 from __future__ import annotations
 
 import zlib
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -28,13 +29,14 @@ from pyspark.sql import functions as F
 
 from affinity.llm.common import byte_chunks, doc_bucket, table, text_bytes
 
-N_OWN = 9
+N_OWN = 11
 N_FEATURES = 3 * N_OWN + 3
-UPPER, LOWER, DIGIT, SPACE, SYMBOL = 1, 2, 3, 4, 5
+UPPER, LOWER, DIGIT, SPACE, SYMBOL, MARK = 1, 2, 3, 4, 5, 6       # SYMBOL: sentence punctuation; MARK: other
 
 
 def _classes() -> np.ndarray:
-    lut = np.full(256, SYMBOL, dtype=np.uint8)
+    lut = np.full(256, MARK, dtype=np.uint8)
+    lut[[ord(c) for c in ".,;:'\"()?!-"]] = SYMBOL
     lut[ord("A"):ord("Z") + 1] = UPPER
     lut[ord("a"):ord("z") + 1] = LOWER
     lut[128:] = LOWER
@@ -51,6 +53,7 @@ def line_features(texts: list[bytes]):
     lines: list[bytes] = []
     n_lines = np.empty(len(texts), dtype=np.int64)
     repeated: list[bool] = []
+    stutter: list[float] = []
     for i, t in enumerate(texts):
         ls = t.split(b"\n")
         n_lines[i] = len(ls)
@@ -58,6 +61,8 @@ def line_features(texts: list[bytes]):
         for x in ls:
             repeated.append(len(x) > 0 and x in seen)
             seen.add(x)
+            w = x.split()
+            stutter.append(sum(map(eq, w, w[1:])) / (len(w) + 2.0))
         lines += ls
     lens = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
     kind = CLASS_OF[np.frombuffer(b"".join(lines), dtype=np.uint8)]
@@ -70,11 +75,9 @@ def line_features(texts: list[bytes]):
 
     size = np.maximum(lens, 1)
     spaces = count(kind == SPACE)
-    symbol = kind == SYMBOL
+    symbol = kind >= SYMBOL
     double = np.zeros(len(kind), dtype=bool)
     double[1:] = symbol[1:] & symbol[:-1]
-    first_upper = np.zeros(len(kind), dtype=bool)
-    first_upper[1:] = (kind[1:] == UPPER) & (kind[:-1] != UPPER)
     packed = np.fromiter((len(zlib.compress(x, 1)) / len(x) if len(x) >= 48 else 0.6 for x in lines),
                          dtype=np.float64, count=len(lines))
     own = np.stack([
@@ -87,6 +90,8 @@ def line_features(texts: list[bytes]):
         np.minimum((size - spaces) / (spaces + 1.0), 40.0) / 10.0,
         2.0 * packed,
         np.asarray(repeated, dtype=np.float64),
+        np.minimum(40.0 * count(kind == MARK) / (size + 20.0), 2.0),
+        np.minimum(4.0 * np.asarray(stutter), 2.0),
     ], axis=1)
     first = np.zeros(len(lines), dtype=bool)
     at = np.cumsum(n_lines)
@@ -143,7 +148,7 @@ class _Adam:
         return -self.rate * (self.m / (1 - 0.9 ** self.t)) / (np.sqrt(self.v / (1 - 0.999 ** self.t)) + 1e-8)
 
 
-def _logistic(x, y, weight, l2=1e-3, steps=300, rate=0.1):
+def _logistic(x, y, weight, l2=1e-5, steps=400, rate=0.1):
     w, opt = np.zeros(x.shape[1]), _Adam(x.shape[1], rate)
     weight = weight / weight.sum()
     for _ in range(steps):
@@ -158,7 +163,7 @@ def _share(p_good, lens, n_lines):
     return (num[ends] - num[ends - n_lines]) / (den[ends] - den[ends - n_lines])
 
 
-def fit_crf(x, lens, n_lines, labels, steps: int = 120, l2: float = 1e-3):
+def fit_crf(x, lens, n_lines, labels, steps: int = 300, l2: float = 1e-5):
     """Weights, transitions and the final logistic map from line features and
     document labels (1 good, 0 bad)."""
     labels = np.asarray(labels, dtype=np.float64)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from affinity.llm import sharding
+from affinity.llm import quality, sharding
 
 
 def queries():
     return {
         "op8_best_fit_shards": sharding.query,
+        "op10_line_crf": quality.query,
     }
 
 
