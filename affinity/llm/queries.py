@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from affinity.llm import quality, sharding
+from affinity.llm import quality, sharding, toxicity
 
 
 def queries():
     return {
+        "op7_bigru_attention": toxicity.query,
         "op8_best_fit_shards": sharding.query,
         "op10_line_crf": quality.query,
     }
