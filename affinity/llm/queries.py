@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from affinity.llm import quality, sharding, toxicity
+from affinity.llm import lm, quality, sharding, toxicity
 
 
 def queries():
     return {
+        "op4_hashed_maxent": lm.query,
         "op7_bigru_attention": toxicity.query,
         "op8_best_fit_shards": sharding.query,
         "op10_line_crf": quality.query,
