@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from affinity.llm import lm, neardup, quality, sharding, toxicity
+from affinity.llm import decontam, lm, neardup, quality, sharding, toxicity
 
 
 def queries():
     return {
+        "op1_bm25_decontam": decontam.query,
         "op3_weighted_minhash": neardup.query,
         "op4_hashed_maxent": lm.query,
         "op7_bigru_attention": toxicity.query,
