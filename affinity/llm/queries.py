@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from affinity.llm import decontam, lm, neardup, quality, sharding, toxicity
+from affinity.llm import decontam, lm, neardup, pieces, quality, sharding, toxicity
 
 
 def queries():
@@ -10,6 +10,7 @@ def queries():
         "op1_bm25_decontam": decontam.query,
         "op3_weighted_minhash": neardup.query,
         "op4_hashed_maxent": lm.query,
+        "op5_piece_lattice": pieces.query,
         "op7_bigru_attention": toxicity.query,
         "op8_best_fit_shards": sharding.query,
         "op10_line_crf": quality.query,
