@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from affinity.llm import decontam, lm, neardup, pieces, quality, sharding, toxicity
+from affinity.llm import decontam, html_main, lm, neardup, pieces, quality, sharding, toxicity
 
 
 def queries():
@@ -11,6 +11,7 @@ def queries():
         "op3_weighted_minhash": neardup.query,
         "op4_hashed_maxent": lm.query,
         "op5_piece_lattice": pieces.query,
+        "op6_host_suffixes": html_main.query,
         "op7_bigru_attention": toxicity.query,
         "op8_best_fit_shards": sharding.query,
         "op10_line_crf": quality.query,
