@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from affinity.llm import decontam, html_main, lm, neardup, pieces, quality, sharding, toxicity
+from affinity.llm import decontam, html_main, lm, neardup, pieces, quality, sharding, topk, toxicity
 
 
 def queries():
@@ -14,9 +14,12 @@ def queries():
         "op6_host_suffixes": html_main.query,
         "op7_bigru_attention": toxicity.query,
         "op8_best_fit_shards": sharding.query,
+        "op9_pivot_topk": topk.query,
         "op10_line_crf": quality.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op9_pivot_topk": topk.SQL,
+    }
