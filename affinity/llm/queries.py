@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from affinity.llm import decontam, html_main, lm, neardup, pieces, quality, sharding, topk, toxicity
+from affinity.llm import decontam, html_main, lm, neardup, pieces, quality, quotes, sharding, topk, toxicity
 
 
 def queries():
     return {
         "op1_bm25_decontam": decontam.query,
+        "op2_quote_links": quotes.query,
         "op3_weighted_minhash": neardup.query,
         "op4_hashed_maxent": lm.query,
         "op5_piece_lattice": pieces.query,
@@ -21,5 +22,6 @@ def queries():
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_quote_links": quotes.SQL,
         "op9_pivot_topk": topk.SQL,
     }
