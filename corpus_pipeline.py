@@ -1,13 +1,74 @@
-"""Corpus pipeline: filtering stages over ``documents``, each one operator."""
+"""Corpus pipeline over ``documents``: quality, toxicity, near copies, test leaks, pieces.
+
+Every stage takes (spark, docs, sf_dir), works on all rows its predecessor kept and
+returns a DataFrame; ``run`` writes each result as Parquet in the shared checkpoint
+folder and rereads it.  Stages 1 to 4 keep the columns of ``documents`` and drop rows;
+the last returns the piece ids of what is left.
+
+SQL cannot express the stages (trained scores, consistent sampling), so there is no
+oracle; the tests compare the decisions with brute force on small tables.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from affinity.llm import decontam, neardup, pieces, quality, toxicity
+from affinity.llm.common import table
+from affinity.session import materialize
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+MIN_QUALITY, MAX_TOXIC = 0.3, 0.7
+
+
+def keep_quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line classifier does not reject (score >= MIN_QUALITY)."""
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score_column(docs.select(*COLUMNS), model, "_score")
+    return scored.where(F.col("_score") >= MIN_QUALITY).select(*COLUMNS)
+
+
+def keep_civil(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity network does not reject (score < MAX_TOXIC)."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_column(docs.select(*COLUMNS), model, "_score")
+    return scored.where(F.col("_score") < MAX_TOXIC).select(*COLUMNS)
+
+
+def keep_one_of_each(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class: the one with the least id.
+
+    Repeated rows of it collapse to one."""
+    classes = neardup.near_duplicates(docs)
+    best = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_id")).distinct()
+    kept = docs.select(*COLUMNS).join(best, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    return kept.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
+
+
+def keep_clean(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    leaks = decontam.find_leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_id")).distinct()
+    return docs.select(*COLUMNS).join(leaks, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+
+
+def encode(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_pieces, ids and round_trip of every document left."""
+    return pieces.encode_documents(docs)
+
+
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("toxicity", keep_civil),
+    ("near duplicates", keep_one_of_each),
+    ("benchmark decontamination", keep_clean),
+    ("sentencepiece", encode),
+]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir: str):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def run(spark, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*COLUMNS)
+    for k, (_, stage) in enumerate(STAGES):
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{k}")
     return docs
