@@ -1,6 +1,6 @@
 """Scalar column functions used by the ETL and the text operators.
 
-All of these are JVM-side column expressions except ``parse_nested``'s
+All of these are JVM-side column expressions except ``with_nested``'s
 fallback, an Arrow-batched Python UDF that only receives the rows the
 JVM JSON parser could not read (every other row is passed as NULL).
 """
@@ -62,7 +62,10 @@ def _literal_parser(schema: T.ArrayType):
         if isinstance(dt, T.LongType):
             if isinstance(v, bool) or not isinstance(v, (int, float)):
                 raise ValueError("not a number")
-            return int(v)
+            v = int(v)
+            if not -(2 ** 63) <= v < 2 ** 63:
+                raise ValueError("outside the long range")
+            return v
         return v if isinstance(v, str) else str(v)
 
     def parse(text):
@@ -78,57 +81,53 @@ def _literal_parser(schema: T.ArrayType):
                     return None
                 out.append({n: conv(d.get(n), dt) for n, dt in fields})
             return out
-        except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
+        except (ValueError, SyntaxError, TypeError, OverflowError, MemoryError, RecursionError):
             return None
 
     return parse
 
 
-def parse_nested(col, schema: T.ArrayType = GENRE_LIST) -> Column:
-    """Parse a Python list-of-dict literal (``ast.literal_eval`` semantics).
-
-    Fast path: ``from_json`` (accepts single quotes) when the text holds no
-    backslash and parses.  Anything else (``None`` values, escapes) goes to
-    the Arrow-batched ``literal_eval`` fallback; text that is not a literal
-    list of dicts gives NULL.  On a DataFrame prefer ``with_nested``: it gives
-    the same lists but parses each row once.
-    """
-    raw = _c(col)
-    fast = F.from_json(raw, schema, {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
-    fast_ok = fast.isNotNull() & ~raw.contains("\\")
-    parse = _literal_parser(schema)
-
-    @F.pandas_udf(schema)
-    def slow_parse(texts: pd.Series) -> pd.Series:
-        # Rows the fast path handled arrive as NULL and are skipped.
-        return pd.Series([parse(t) if isinstance(t, str) else None for t in texts], dtype=object)
-
-    return F.when(fast_ok, fast).otherwise(slow_parse(F.when(~fast_ok, raw)))
+def _read_by_json(raw: Column, parsed: Column, schema: T.ArrayType) -> Column:
+    """Whether the JSON reading of a literal is sure to equal ``ast.literal_eval``'s:
+    one list, no escapes, no bare words, no number where text is declared, and
+    every declared field read.  All else goes to the fallback."""
+    texts = "|".join(f.name for f in schema.elementType.fields if isinstance(f.dataType, T.StringType))
+    whole = F.exists(parsed, lambda e: e.isNull() | F.array_contains(
+        F.array(*[e[f.name].isNull() for f in schema.elementType.fields]), True))
+    return (parsed.isNotNull() & ~F.coalesce(whole, F.lit(True))
+            & raw.rlike(r"^\s*\[") & ~raw.contains("\\") & ~raw.rlike(r"\]\s*[^\s]") & raw.rlike(r"\]\s*$")
+            & ~raw.rlike(r"[:\[,]\s*[A-Za-z+]") & ~raw.rlike(r"/[/*]")
+            & ~raw.rlike(rf"['\"](?:{texts})['\"]\s*:\s*[-.\d]"))
 
 
 def with_nested(df, col: str, schema: T.ArrayType = GENRE_LIST, out: str | None = None):
-    """``df`` with ``out`` (default: ``col`` replaced) = ``parse_nested(col)``.
-
-    Same result as the column form, but the JSON parse is a column of its
-    own, so it runs once per row: in the column form the Python fallback is
-    evaluated by a separate operator and both operators re-parse the text.
-    The fallback is marked non-deterministic so the optimizer never copies
-    the parse into another operator (e.g. the ``size(list) > 0`` filter it
-    infers for an ``explode`` and pushes below the projection).
+    """``df`` with ``out`` (default: ``col`` replaced) = the parsed literal.
+
+    A cell is a Python list-of-dict literal (``ast.literal_eval`` semantics):
+    declared number fields must be numbers (truncated) or None, declared text
+    fields are taken as text, missing fields are NULL; anything else gives a NULL
+    list.  ``from_json`` (accepts single quotes) reads the cells on which both
+    agree for sure, an Arrow-batched ``literal_eval`` the rest.
+
+    The JSON parse is a column of its own, so it runs once per row, and the
+    fallback is marked non-deterministic so the optimizer never copies the
+    parse into another operator (e.g. the ``size(list) > 0`` filter it infers
+    for an ``explode`` and pushes below the projection).
     """
     out = out or col
     raw = F.col(col)
     tmp = f"_json_{out}"
     df = df.withColumn(tmp, F.from_json(raw, schema, {"allowSingleQuotes": "true", "mode": "PERMISSIVE"}))
-    fast_ok = F.col(tmp).isNotNull() & ~raw.contains("\\")
+    fast_ok = _read_by_json(raw, F.col(tmp), schema)
     parse = _literal_parser(schema)
 
     @F.pandas_udf(schema)
     def slow_parse(texts: pd.Series) -> pd.Series:
+        # Rows that JSON has read arrive as NULL and are skipped.
         return pd.Series([parse(t) if isinstance(t, str) else None for t in texts], dtype=object)
 
     slow_parse = slow_parse.asNondeterministic()
-    return (df.withColumn(out, F.when(fast_ok, F.col(tmp)).otherwise(slow_parse(F.when(~fast_ok, raw))))
+    return (df.withColumn(out, F.when(fast_ok, F.col(tmp)).otherwise(slow_parse(F.when(~F.coalesce(fast_ok, F.lit(False)), raw))))
               .drop(tmp))
 
 
@@ -169,12 +168,6 @@ def raw_tokens(col) -> Column:
     return F.regexp_extract_all(F.lower(_c(col)), F.lit(TOKEN_PATTERN), 1)
 
 
-def tokens(col, stop_words=ENGLISH_STOP_WORDS) -> Column:
-    """raw_tokens without stop words, as one array expression (small inputs)."""
-    stop = F.array(*[F.lit(w) for w in stop_words])
-    return F.filter(raw_tokens(col), lambda t: ~F.array_contains(stop, t))
-
-
 def drop_stop_words(df, term_col: str = "term", stop_words=ENGLISH_STOP_WORDS):
     """Remove stop-word rows from an exploded token frame.
 

@@ -66,3 +66,14 @@ def onboarding_sample(movies: DataFrame, n: int = ONBOARD_N, seed: int = SAMPLE_
     h = F.pmod(F.col("mov_id") * SAMPLE_MUL + F.lit(seed), F.lit(SAMPLE_MOD))
     return (movies.withColumn("draw", h).orderBy("draw", "mov_id").limit(n)
                   .select("mov_id", "name", "draw"))
+
+
+def onboard_user(snapshot: DataFrame, users: DataFrame, movies: DataFrame, n: int = ONBOARD_N) -> DataFrame:
+    """M4: a new user (next free id) rates the n sampled movies; the first ratings are
+    folded into the snapshot as upserts.  The grade shown is 1 + draw mod 5."""
+    new_id = users.agg((F.max("user_id") + 1).alias("i")).scalar()
+    log = onboarding_sample(movies, n).select(
+        "mov_id", new_id.alias("user_id"), F.lit("upsert").alias("op"),
+        (1 + F.col("draw") % 5).cast("double").alias("grade"), F.lit(None).cast("string").alias("review"),
+        F.lit("2000-01-01").cast("timestamp").alias("ts"), F.col("draw").alias("seq"))
+    return apply_rating_changes(snapshot, log)

@@ -78,18 +78,25 @@ def unrated_items(cells: DataFrame, neighbors: DataFrame) -> DataFrame:
 def recommend_user_cf(cells: DataFrame, neighbors: DataFrame, n: int = RECOMMEND_N) -> DataFrame:
     """Top-n unrated items per user by mean of neighbour-weighted imputed ratings."""
     means = _means(cells)
+    neighbors = materialize(neighbors, "neighbours")
     nb = neighbors.select("user_id", "neighbor_id", "sim")
     base = (nb.join(means.select(F.col("user_id").alias("neighbor_id"), "mu"), "neighbor_id")
               .groupBy("user_id").agg((F.sum(F.col("sim") * F.col("mu")) / F.count("*")).alias("base"),
                                       F.count("*").alias("kn")))
     rated = cells.select("user_id", "mov_id")
-    contrib = neighbour_contributions(cells, neighbors)
+    contrib = materialize(neighbour_contributions(cells, neighbors), "contributions")
     scored = (contrib.join(rated, ["user_id", "mov_id"], "left_anti").join(base, "user_id")
                      .select("user_id", "mov_id",
                              (F.col("base") + F.col("contrib") / F.col("kn")).alias("score")))
     # Fallback: items nobody in N(u) rated score base_u; take the smallest ids
     # outside u's excluded set (rated or neighbour-rated).
-    excluded = rated.unionByName(contrib.select("user_id", "mov_id")).distinct()
+    # Only users with fewer than n scored items above the base need them.
+    above = (scored.join(base.select("user_id", "base"), "user_id")
+                   .where(rank_key(F.col("score")) > rank_key(F.col("base")))
+                   .groupBy("user_id").agg(F.count("*").alias("above")))
+    base = (base.join(above, "user_id", "left").where(F.coalesce("above", F.lit(0)) < n).drop("above"))
+    excluded = (rated.unionByName(contrib.select("user_id", "mov_id")).distinct()
+                     .join(base.select("user_id"), "user_id", "left_semi"))
     n_excl = excluded.groupBy("user_id").agg(F.count("*").alias("x"))
     items = dense_index(cells, "mov_id")
     n_items = items.agg(F.count("*")).scalar()

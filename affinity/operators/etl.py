@@ -29,32 +29,42 @@ def first_by_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
 # E1 -------------------------------------------------------------------------
 
 def _typed_movies(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    """Typed columns plus ``reason``: why a row is no movie (NULL if it is one)."""
+    date, revenue = empty_to_null("release_date"), empty_to_null("revenue")
+    t = raw.select(
         F.col("title").alias("name"),
         F.col("id").try_cast("long").alias("mov_id"),
         F.col("original_language").alias("language"),
         truncating_int("runtime").alias("runtime"),
-        F.try_to_date(empty_to_null("release_date")).alias("release_date"),
-        empty_to_null("revenue").try_cast("long").alias("revenue"),
+        F.try_to_date(date).alias("release_date"),
+        revenue.try_cast("long").alias("revenue"),
         empty_to_null("poster_path").alias("poster_path"),
         empty_to_null("overview").alias("overview"),
         "pos", F.col("runtime").alias("runtime_raw"),
-    )
+        date.isNotNull().alias("_dated"), revenue.isNotNull().alias("_priced"))
+    reason = (F.when(F.col("mov_id").isNull(), "bad_id")
+               .when(F.col("runtime").isNull(), "bad_runtime")
+               .when(F.col("_dated") & F.col("release_date").isNull(), "bad_release_date")
+               .when(F.col("_priced") & F.col("revenue").isNull(), "bad_revenue"))
+    return t.withColumn("reason", reason).drop("_dated", "_priced")
 
 
 def etl_item(raw_movies: DataFrame) -> DataFrame:
-    """Typed movie rows; unparsable id/runtime dropped; first row per id."""
-    t = _typed_movies(raw_movies).where(F.col("mov_id").isNotNull() & F.col("runtime").isNotNull())
-    return first_by_key(t, ["mov_id"], ["pos"]).drop("pos", "runtime_raw")
+    """Typed movie rows; rows with an unparsable value dropped; first row per id."""
+    t = _typed_movies(raw_movies).where(F.col("reason").isNull())
+    return first_by_key(t, ["mov_id"], ["pos"]).drop("pos", "runtime_raw", "reason")
 
 
 def reject_malformed(raw_movies: DataFrame) -> DataFrame:
     """The raw movie rows E1 rejects, with the reason (side output)."""
-    t = _typed_movies(raw_movies)
-    reason = (F.when(F.col("mov_id").isNull(), "bad_id")
-               .when(F.col("runtime").isNull(), "bad_runtime"))
-    return (t.withColumn("reason", reason).where(F.col("reason").isNotNull())
-             .select("pos", F.col("name"), "runtime_raw", "reason"))
+    return (_typed_movies(raw_movies).where(F.col("reason").isNotNull())
+            .select("pos", "name", "runtime_raw", "reason"))
+
+
+def reject_literals(raw: DataFrame, col: str, schema) -> DataFrame:
+    """Cells that hold a text but no list literal: (id, literal)."""
+    p = with_nested(raw.select("id", F.col(col).alias("literal")), "literal", schema, out="_parsed")
+    return p.where(F.col("literal").isNotNull() & F.col("_parsed").isNull()).select("id", "literal")
 
 
 # E2 -------------------------------------------------------------------------

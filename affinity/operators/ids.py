@@ -1,42 +1,30 @@
 """Dense 0-based integer ids (A14) without a single-partition window.
 
-Distinct keys are range-partitioned and sorted; each partition numbers its
-rows locally, and per-partition offsets (one row per partition, a proven
-size bound) are broadcast back.  The locally numbered frame is materialised
-(written once under the checkpoint folder) so both uses read the same rows.
+Distinct keys are range-partitioned and sorted; ``monotonically_increasing_id``
+then holds the partition and the local position.  The numbered frame is
+written once (so both uses read the same rows) and per-partition offsets
+(one row per partition, a proven size bound) are broadcast back.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from affinity.session import materialize
 
+LOCAL_BITS = 33      # bits of a monotonically increasing id that hold the local position
+
 
 def dense_index(keys: DataFrame, col: str, idx_col: str = "idx",
                 partitions: int | None = None) -> DataFrame:
     spark = keys.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    d = keys.select(col).distinct().repartitionByRange(n, col).sortWithinPartitions(col)
-    key_type = d.schema[col].dataType
-    schema = T.StructType([T.StructField(col, key_type), T.StructField("_pid", T.IntegerType()),
-                           T.StructField("_local", T.LongType())])
-
-    def number(batches):
-        pid = TaskContext.get().partitionId()
-        i = 0
-        for pdf in batches:
-            m = len(pdf)
-            yield pd.DataFrame({col: pdf[col], "_pid": np.full(m, pid, dtype=np.int32),
-                                "_local": np.arange(i, i + m, dtype=np.int64)})
-            i += m
-
-    loc = materialize(d.mapInPandas(number, schema), "dense-index")
+    d = (keys.select(col).distinct().repartitionByRange(n, col).sortWithinPartitions(col)
+             .withColumn("_mid", F.monotonically_increasing_id()))
+    loc = materialize(d, "dense-index").select(
+        col, F.shiftright("_mid", LOCAL_BITS).alias("_pid"),
+        F.col("_mid").bitwiseAND((1 << LOCAL_BITS) - 1).alias("_local"))
     counts = loc.groupBy("_pid").agg(F.count("*").alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))

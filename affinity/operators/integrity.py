@@ -37,9 +37,10 @@ def fk_violations(refs: list[tuple[str, DataFrame, str, DataFrame, str]]) -> Dat
     """
     out = None
     for name, child, col, parent, pcol in refs:
-        c = child.where(F.col(col).isNotNull()).select(F.col(col).alias("_v"))
+        # Distinct child values first: a hot value is one row per map task in the join.
+        c = child.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).count()
         p = parent.select(F.col(pcol).alias("_v"))
-        v = (c.join(p, "_v", "left_anti").groupBy("_v").count()
+        v = (c.join(p, "_v", "left_anti")
               .select(F.lit(name).alias("tbl"), F.lit(col).alias("col"),
                       F.col("_v").cast("string").alias("value"), F.col("count").alias("n")))
         out = v if out is None else out.unionByName(v)

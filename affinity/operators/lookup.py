@@ -156,6 +156,11 @@ def item_facets(direct: DataFrame, directors: DataFrame, belong_to: DataFrame,
              .select("mov_id", "director", "genre", "cast_name"))
 
 
+def link_by_item(links: DataFrame, ids: Iterable | None = None) -> DataFrame:
+    """Outside links by movie."""
+    return _keyed(links, "mov_id", ids)
+
+
 def person_by_id(cast: DataFrame, directors: DataFrame, ids: Iterable | None = None) -> DataFrame:
     """Actor and director rows by key, tagged with the entity."""
     c = _keyed(cast, "cast_id", ids).select(

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from affinity.session import materialize
+
 # Fixed values (reference defaults).
 DAMPING_M = 10              # weighted mean: minimum votes
 TOP_N = 10                  # notebook rankings
@@ -24,6 +26,8 @@ SPLIT_ITEM_MUL = 17
 SPLIT_TEST_FROM = 8
 SCORE_PLACES = 9            # rounding used for ordering
 OUT_PLACES = 6              # rounding used for reported values
+DRAW_MUL, DRAW_ADD, DRAW_MOD = 1103515245, 12345, 2147483648   # portable pseudo-random order
+DRAW_BUCKETS = 4096
 
 
 def rank_key(score: Column) -> Column:
@@ -64,16 +68,33 @@ def holdout_split(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ratings.where(~t), ratings.where(t)
 
 
+def pair_draw(user: str = "user_id", item: str = "mov_id", seed: int = 17) -> Column:
+    """A portable pseudo-random number in [0, 2^31) of a (user, item) pair."""
+    mod = F.lit(DRAW_MOD)
+    mixed = F.pmod(F.pmod(F.col(user), mod) * 7919 + F.pmod(F.col(item), mod) * 104729 + F.lit(seed), mod)
+    return F.pmod(mixed * DRAW_MUL + DRAW_ADD, mod)
+
+
 def holdout_exact(ratings: DataFrame, n: int, seed: int = 17) -> tuple[DataFrame, DataFrame]:
-    """Exactly the n (user, item) pairs first in a seeded hash order are test.
+    """Exactly the n (user, item) pairs first in a seeded draw order are test.
 
-    The n-pair test key set comes from a top-n (TakeOrderedAndProject, no
-    global sort); every row of a test pair is held out, and train is the
-    anti-join.  With fewer than n pairs all are test.
+    ``n`` may be a share of all pairs, so no task sorts or gathers n rows: a
+    histogram of the draws (``DRAW_BUCKETS`` rows at most) gives the bucket in
+    which the n-th pair falls; lower buckets are test as a whole and only that
+    one bucket is ranked.  Every row of a test pair is held out.  With fewer
+    than n pairs all are test.
     """
-    pairs = ratings.select("user_id", "mov_id").distinct()
-    h = F.xxhash64("user_id", "mov_id", F.lit(seed))
-    test_keys = pairs.orderBy(h, "user_id", "mov_id").limit(n)
+    pairs = materialize(ratings.select("user_id", "mov_id").distinct().withColumn("draw", pair_draw(seed=seed))
+                               .withColumn("bucket", F.floor(F.col("draw") / (DRAW_MOD // DRAW_BUCKETS))), "pair-draws")
+    edge, left = None, n
+    for r in sorted(pairs.groupBy("bucket").count().collect()):       # at most DRAW_BUCKETS rows
+        if r["count"] > left:
+            edge = r["bucket"]
+            break
+        left -= r["count"]
+    whole = pairs.where(F.col("bucket") < (edge if edge is not None else DRAW_BUCKETS + 1))
+    rest = pairs.where(F.col("bucket") == (edge if edge is not None else -1)).orderBy("draw", "user_id", "mov_id").limit(left)
+    test_keys = whole.select("user_id", "mov_id").unionByName(rest.select("user_id", "mov_id"))
     test = ratings.join(test_keys, ["user_id", "mov_id"], "left_semi")
     train = ratings.join(test_keys, ["user_id", "mov_id"], "left_anti")
     return train, test
@@ -107,11 +128,6 @@ def user_mean_rating(cells: DataFrame) -> DataFrame:
     return cells.groupBy("user_id").agg(F.avg("grade").alias("mean"), F.count("*").alias("n"))
 
 
-def global_mean(cells: DataFrame) -> Column:
-    """Mean over all cells as a scalar subquery (run once, inlined as a value)."""
-    return cells.agg(F.avg("grade")).scalar()
-
-
 def prepared_cells(ratings: DataFrame, min_item: int, min_user: int,
                    holdout: bool = True) -> tuple[DataFrame, DataFrame]:
     """Filter -> split -> cells.  Returns (train cells, test rows)."""
@@ -234,6 +250,19 @@ def impute_user_mean(pairs: DataFrame, cells: DataFrame, user_means: DataFrame |
     return j.withColumn("imputed", F.coalesce("cell_grade", "user_mean"))
 
 
-def unrated_items(candidates: DataFrame, cells: DataFrame) -> DataFrame:
-    """Candidate (user, item) pairs the user has not rated (anti-join)."""
-    return candidates.join(cells.select("user_id", "mov_id"), ["user_id", "mov_id"], "left_anti")
+def stage_counts(ratings: DataFrame, min_item: int, min_user: int) -> DataFrame:
+    """Row counts of the modelling stages (step, stage, rows).
+
+    One pass over the ratings: they are folded to (user, item) pairs with their
+    row counts, and every stage is a conditional sum over the pairs."""
+    pairs = ratings.groupBy("user_id", "mov_id").agg(F.count("*").alias("n"))
+    items = (pairs.groupBy(F.col("mov_id").alias("_i")).agg(F.sum("n").alias("ni")))
+    users = (pairs.groupBy(F.col("user_id").alias("_u")).agg(F.sum("n").alias("nu")))
+    j = pairs.join(items, F.col("mov_id") == F.col("_i")).join(users, F.col("user_id") == F.col("_u"))
+    core = (F.col("ni") > min_item) & (F.col("nu") > min_user)
+    train = core & ~is_test_pair()
+    total = lambda cond, what: F.coalesce(F.sum(F.when(cond, what)), F.lit(0)).cast("long")
+    sums = j.agg(total(F.lit(True), F.col("n")).alias("a"), F.count("*").alias("b"), total(core, F.col("n")).alias("c"),
+                 total(train, F.col("n")).alias("d"), total(train, F.lit(1)).alias("e"))
+    return sums.select(F.expr("stack(5, 0L, 'rating_rows', a, 1L, 'rate', b, 2L, 'core', c, 3L, 'train', d, "
+                              "4L, 'train_cells', e) as (step, stage, rows)"))

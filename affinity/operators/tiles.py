@@ -35,6 +35,8 @@ from pyspark.sql import types as T
 from affinity.session import materialize
 
 SCORE_PLACES = 9
+ENTRY, INFO = 0, 1
+TASKS_PER_CORE = 8
 OUT_SCHEMA = T.StructType([T.StructField("row_id", T.LongType()),
                            T.StructField("other_id", T.LongType()),
                            T.StructField("sim", T.DoubleType())])
@@ -43,6 +45,12 @@ DENSE_COL_CHUNK = 512         # columns per BLAS step
 DENSE_RATIO = 16              # column goes dense when n_left*n_right > ni*nj/16
 
 
+def round_half_up(x: np.ndarray) -> np.ndarray:
+    """SCORE_PLACES decimals, halves away from zero as in the SQL ``round``."""
+    scale = 10.0 ** SCORE_PLACES
+    return np.sign(x) * np.floor(np.abs(x) * scale + 0.5) / scale
+
+
 def _topk(keys: np.ndarray, k: int):
     """Per row of ``keys`` the k largest (ties: lower column index first)."""
     if keys.size == 0:
@@ -119,7 +127,7 @@ def _cooc(ni, nj, lr, lc, lv, rr, rc, rv):
 def _tile_fn(k: int, exclude_zero: bool):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         i, j = int(pdf["tile_i"].iat[0]), int(pdf["tile_j"].iat[0])
-        is_info = pdf["col_id"].isna().to_numpy()
+        is_info = pdf["kind"].to_numpy() == INFO
         blk = pdf["block"].to_numpy()
         info, ent = pdf[is_info], pdf[~is_info]
         li = info[blk[is_info] == i].sort_values("row_id")
@@ -136,7 +144,7 @@ def _tile_fn(k: int, exclude_zero: bool):
         den = np.outer(nl, nr)
         with np.errstate(divide="ignore", invalid="ignore"):
             sim = np.where(den > 0, (np.outer(al, ar) + S) / den, 0.0)
-        keys = np.round(sim, SCORE_PLACES)
+        keys = round_half_up(sim)
         if i == j:
             np.fill_diagonal(keys, -np.inf)
         if exclude_zero:
@@ -176,30 +184,42 @@ def cosine_topk(entries: DataFrame, info: DataFrame, k: int, exclude_zero: bool
         blocks = blocks_for(inf.count(), e.count(), max_rows_per_block, max_entries_per_block)
     B = int(blocks)
     blk = F.pmod(F.xxhash64("row_id"), F.lit(B)).cast("int")
-    rows = (e.select("row_id", "col_id", "value", F.lit(None).cast("double").alias("alpha"),
-                     F.lit(None).cast("double").alias("norm"))
-             .unionByName(inf.select("row_id", F.lit(None).cast("long").alias("col_id"),
-                                     F.lit(None).cast("double").alias("value"), "alpha", "norm"))
-             .withColumn("block", blk))
+    rows = _tagged(e, inf).withColumn("block", blk)
     other = F.explode(F.sequence(F.lit(0), F.lit(B - 1)))
     tiled = (rows.select("*", other.alias("other"))
                  .select(F.least("block", "other").alias("tile_i"),
                          F.greatest("block", "other").alias("tile_j"),
-                         "block", "row_id", "col_id", "value", "alpha", "norm"))
-    # One tile per task as far as hashing allows: an explicit partition count
-    # (not coalesced by AQE) of twice the number of tiles.
-    n_tiles = B * (B + 1) // 2
-    tiled = tiled.repartition(max(2 * n_tiles, 1), "tile_i", "tile_j")
+                         "block", "kind", "row_id", "col_id", "value", "alpha", "norm"))
+    tiled = tiled.repartition(tile_partitions(e.sparkSession, B * (B + 1) // 2), "tile_i", "tile_j")
     cand = tiled.groupBy("tile_i", "tile_j").applyInPandas(_tile_fn(k, exclude_zero), OUT_SCHEMA)
     w = Window.partitionBy("row_id").orderBy(F.desc(F.round("sim", SCORE_PLACES)), F.asc("other_id"))
     return (cand.withColumn("rank", F.row_number().over(w).cast("long"))
                 .where(F.col("rank") <= k))
 
 
+def _tagged(entries: DataFrame, info: DataFrame) -> DataFrame:
+    """Entries and row info in one frame; ``kind`` tells them apart, so that no id
+    column holds a NULL (a NULL would turn ids into doubles in the kernel)."""
+    zero = F.lit(0.0)
+    return (entries.select(F.lit(ENTRY).alias("kind"), "row_id", "col_id", "value",
+                           zero.alias("alpha"), zero.alias("norm"))
+            .unionByName(info.select(F.lit(INFO).alias("kind"), "row_id", F.lit(0).cast("long").alias("col_id"),
+                                     zero.alias("value"), "alpha", "norm")))
+
+
+def tile_partitions(spark, n_tiles: int) -> int:
+    """Partitions for ``n_tiles`` tiles: two per tile for few tiles (hashing then
+    puts about one in a task), a fixed number per core for many; a task works
+    through its tiles one at a time, so memory does not depend on this."""
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+               TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    return max(1, min(2 * n_tiles, most))
+
+
 def _seeded_tile_fn(k: int, exclude_zero: bool):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         side = pdf["side"].to_numpy()
-        is_info = pdf["col_id"].isna().to_numpy()
+        is_info = pdf["kind"].to_numpy() == INFO
         li = pdf[(side == 0) & is_info].sort_values("row_id")
         rj = pdf[(side == 1) & is_info].sort_values("row_id")
         lid, rid = li["row_id"].to_numpy(np.int64), rj["row_id"].to_numpy(np.int64)
@@ -214,7 +234,7 @@ def _seeded_tile_fn(k: int, exclude_zero: bool):
         num = np.outer(li["alpha"].to_numpy(np.float64), rj["alpha"].to_numpy(np.float64)) + S
         with np.errstate(divide="ignore", invalid="ignore"):
             sim = np.where(den > 0, num / den, 0.0)
-        keys = np.round(sim, SCORE_PLACES)
+        keys = round_half_up(sim)
         keys[lid[:, None] == rid[None, :]] = -np.inf          # self
         if exclude_zero:
             keys[keys <= 0] = -np.inf
@@ -243,19 +263,16 @@ def cosine_topk_seeded(entries: DataFrame, info: DataFrame, seeds: DataFrame, k:
     br = blocks_for(inf.count(), e.count(), max_rows_per_block, max_entries_per_block)
 
     def rows(ent, inf_, side, own_blocks, other_blocks):
-        r = (ent.select("row_id", "col_id", "value", F.lit(None).cast("double").alias("alpha"),
-                        F.lit(None).cast("double").alias("norm"))
-                .unionByName(inf_.select("row_id", F.lit(None).cast("long").alias("col_id"),
-                                         F.lit(None).cast("double").alias("value"), "alpha", "norm")))
+        r = _tagged(ent, inf_)
         own = F.pmod(F.xxhash64("row_id"), F.lit(own_blocks)).cast("int")
         other = F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1)))
         r = r.select("*", F.lit(side).alias("side"), own.alias("own"), other.alias("other"))
         ti, tj = (F.col("own"), F.col("other")) if side == 0 else (F.col("other"), F.col("own"))
-        return r.select(ti.alias("tile_i"), tj.alias("tile_j"), "side", "row_id", "col_id", "value",
+        return r.select(ti.alias("tile_i"), tj.alias("tile_j"), "side", "kind", "row_id", "col_id", "value",
                         "alpha", "norm")
 
     tiled = rows(se, si, 0, bl, br).unionByName(rows(e, inf, 1, br, bl))
-    tiled = tiled.repartition(max(2 * bl * br, 1), "tile_i", "tile_j")
+    tiled = tiled.repartition(tile_partitions(e.sparkSession, bl * br), "tile_i", "tile_j")
     cand = tiled.groupBy("tile_i", "tile_j").applyInPandas(_seeded_tile_fn(k, exclude_zero), OUT_SCHEMA)
     w = Window.partitionBy("row_id").orderBy(F.desc(F.round("sim", SCORE_PLACES)), F.asc("other_id"))
     return (cand.withColumn("rank", F.row_number().over(w).cast("long"))

@@ -48,6 +48,31 @@ act AS (
               ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity) AS rn
     FROM lineitem) WHERE rn = 1)"""
 
+# The raw movie file: clean rows, then the dirty ones (raw.raw_movies).
+RAW_MOVIES = GENRE + """,
+raw_movies AS (
+  SELECT p_name AS title, CAST(p_partkey AS VARCHAR) AS id, CAST(p_size AS VARCHAR) || '.0' AS runtime,
+         '[{''id'': ' || g.genre_id || ', ''name'': ''' || p_type || '''}]' AS genres,
+         CASE WHEN p_size % 10 = 0 THEN '' WHEN p_size % 10 = 5 THEN 'nm' || CAST(p_partkey AS VARCHAR)
+              ELSE 'tt' || lpad(CAST(p_partkey AS VARCHAR), 7, '0') END AS imdb_id, p_partkey AS pos, 0 AS kind
+  FROM part JOIN genre g ON g.name = p_type
+  UNION ALL
+  SELECT CASE p_partkey % 20 WHEN 1 THEN 'Again ' || p_name WHEN 7 THEN 'O''Neil "X\\Y"' ELSE p_name END,
+         CASE p_partkey % 20 WHEN 1 THEN CAST(p_partkey AS VARCHAR) WHEN 2 THEN 'x' || CAST(p_partkey AS VARCHAR)
+              WHEN 7 THEN CAST(20000000 + p_partkey AS VARCHAR) WHEN 8 THEN CAST(30000000 + p_partkey AS VARCHAR)
+              ELSE CAST(10000000 + p_partkey AS VARCHAR) END,
+         CASE p_partkey % 20 WHEN 1 THEN '1.0' WHEN 3 THEN 'abc' WHEN 4 THEN '' WHEN 7 THEN '81.7' ELSE '70' END,
+         CASE WHEN p_partkey % 20 = 8 THEN '[{''id'': 1' ELSE '[]' END, '', 1000000000 + p_partkey, p_partkey % 20
+  FROM part WHERE p_partkey % 20 BETWEEN 1 AND 8)"""
+
+# Literals in eight forms (raw.raw_literals).
+RAW_LITERALS = """
+lit0 AS (
+  SELECT l_orderkey % 8 AS form, l_partkey AS mov_id, l_suppkey AS cast_id, s_name, l_suppkey % 2 AS gender, l_returnflag AS role,
+         '{''id'': ' || l_suppkey || ', ''name'': ''' || s_name || ''', ''gender'': ' || (l_suppkey % 2) ||
+         ', ''character'': ''' || l_returnflag || '''}' AS plain
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)"""
+
 PROFILES_BODY = """
 mg AS (SELECT mov_id, min(genre_id) AS genre_id FROM belong_to GROUP BY mov_id),
 best AS (SELECT user_id, genre_id AS fav FROM (
@@ -102,7 +127,7 @@ w AS (SELECT mov_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY mov_id))
 DOC_TF = f"""
 SELECT mov_id, term, CAST(count(*) AS DOUBLE) AS tf FROM (
   SELECT doc_id AS mov_id, unnest(regexp_extract_all(lower(text), '{TOKEN_PATTERN}', 1)) AS term
-  FROM documents WHERE lang = 'en' AND text IS NOT NULL)
+  FROM documents WHERE text IS NOT NULL)
 WHERE term NOT IN {STOP} GROUP BY mov_id, term"""
 
 SIMILAR = """
@@ -279,11 +304,24 @@ UNION ALL (SELECT 'director', director_id, name FROM director WHERE name ILIKE '
     q["etl_item"] = """
 SELECT p_name AS name, p_partkey AS mov_id, 'en' AS language, p_size AS runtime,
        CAST(NULL AS DATE) AS release_date, CAST(round(p_retailprice * 100) AS BIGINT) AS revenue,
-       CAST(NULL AS VARCHAR) AS poster_path, CAST(NULL AS VARCHAR) AS overview FROM part"""
-
-    q["reject_malformed"] = """
-SELECT p_partkey AS pos, p_name AS name, CAST(p_size AS VARCHAR) || '.0' AS runtime_raw, 'bad_runtime' AS reason
-FROM part WHERE p_size IS NULL"""
+       CAST(NULL AS VARCHAR) AS poster_path, CAST(NULL AS VARCHAR) AS overview FROM part
+UNION ALL SELECT 'O''Neil "X\\Y"', 20000000 + p_partkey, 'en', 81, DATE '1995-12-17', NULL, NULL, NULL
+FROM part WHERE p_partkey % 20 = 7
+UNION ALL SELECT p_name, 30000000 + p_partkey, 'en', 70, NULL, NULL, NULL, NULL FROM part WHERE p_partkey % 20 = 8"""
+
+    q["reject_malformed"] = f"""WITH {RAW_MOVIES}
+SELECT pos, title AS name, runtime AS runtime_raw,
+       CASE kind WHEN 2 THEN 'bad_id' WHEN 3 THEN 'bad_runtime' WHEN 4 THEN 'bad_runtime'
+                 WHEN 5 THEN 'bad_release_date' ELSE 'bad_revenue' END AS reason
+FROM raw_movies WHERE kind BETWEEN 2 AND 6"""
+
+    q["csv_scan"] = f"WITH {RAW_MOVIES} SELECT title, id, nullif(runtime, '') AS runtime, genres, nullif(imdb_id, '') AS imdb_id FROM raw_movies"
+    q["load_table"] = f"WITH {RATE} SELECT mov_id, user_id, grade, review FROM rate"
+    q["reject_literals"] = f"""WITH {RAW_MOVIES}, {RAW_LITERALS}
+SELECT CAST(mov_id AS VARCHAR) AS id,
+       CASE form WHEN 5 THEN 'None' WHEN 6 THEN '[' || plain || '] junk' ELSE plain END AS literal
+FROM lit0 WHERE form >= 5
+UNION ALL SELECT id, genres FROM raw_movies WHERE kind = 8"""
 
     q["etl_rating"] = f"""WITH {RATINGS}
 SELECT mov_id, user_id, grade, CAST(NULL AS VARCHAR) AS review FROM (
@@ -307,14 +345,21 @@ JOIN director d ON p.p_brand = d.name"""
     q["etl_link"] = """
 SELECT DISTINCT p_partkey AS mov_id, 'tt' || lpad(CAST(p_partkey AS VARCHAR), 7, '0') AS web_id
 FROM part WHERE p_size % 10 NOT IN (0, 5)"""
-    q["link_by_item"] = q["etl_link"]
+    keys = "(3, 17, 58, 131, 1000000000000)"
+    q["link_by_item"] = q["etl_link"] + f" AND p_partkey IN {keys}"
+    q["lookup_item"] = q["item_by_id"] + f" WHERE mov_id IN {keys}"
+    q["lookup_item_genres"] = q["item_genres"] + f" AND b.mov_id IN {keys}"
+    q["lookup_item_cast"] = q["item_cast"] + f" AND a.mov_id IN {keys}"
+    q["lookup_item_reviews"] = q["item_reviews"] + f" AND r.mov_id IN {keys}"
+    q["lookup_person"] = f"SELECT * FROM ({q['person_by_id']}) WHERE person_id IN (1, 2, 5, 1000000000000)"
+    q["lookup_user"] = q["user_by_name"] + " WHERE username IN ('customer#000000003', 'customer#000000011', 'nobody')"
     q["etl_website"] = """
 SELECT DISTINCT CASE WHEN p_size % 10 = 5 THEN 'nm' || CAST(p_partkey AS VARCHAR)
                      ELSE 'tt' || lpad(CAST(p_partkey AS VARCHAR), 7, '0') END AS web_id
 FROM part WHERE p_size % 10 <> 0"""
     q["etl_load_all"] = f"""WITH {RATE}, {GENRE}, {DIRECTOR}, {CAST}, {USERS}, {PROFILES_BODY}
 SELECT CAST(0 AS BIGINT) AS step, 'website' AS tbl, (SELECT count(*) FROM part WHERE p_size % 10 <> 0) AS rows
-UNION ALL SELECT 1, 'movie', (SELECT count(*) FROM part)
+UNION ALL SELECT 1, 'movie', (SELECT count(*) + count(CASE WHEN p_partkey % 20 IN (7, 8) THEN 1 END) FROM part)
 UNION ALL SELECT 2, 'link', (SELECT count(*) FROM part WHERE p_size % 10 NOT IN (0, 5))
 UNION ALL SELECT 3, 'genre', (SELECT count(*) FROM genre)
 UNION ALL SELECT 4, 'user_most_like', (SELECT count(*) FROM profiles)
@@ -327,13 +372,14 @@ UNION ALL SELECT 9, 'direct', (SELECT count(*) FROM (SELECT DISTINCT l.l_partkey
                                JOIN part p ON l.l_partkey = p.p_partkey JOIN director d ON p.p_brand = d.name))
 UNION ALL SELECT 10, 'act', (SELECT count(*) FROM act)"""
 
-    q["parse_nested"] = """
-SELECT l.l_partkey AS mov_id, l.l_suppkey AS cast_id, s.s_name AS name, l.l_suppkey % 2 AS gender,
-       l.l_returnflag AS role
-FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey"""
+    q["parse_nested"] = f"""WITH {RAW_LITERALS}
+SELECT mov_id, cast_id,
+       CASE form WHEN 1 THEN 'O''' || s_name WHEN 2 THEN s_name || 'A' ELSE s_name END AS name,
+       CASE WHEN form <> 3 THEN gender END AS gender, role
+FROM lit0 WHERE form < 4"""
 
     # content ---------------------------------------------------------------
-    tw = tfidf_cte(DOC_TF, "SELECT count(*) AS n FROM documents WHERE lang = 'en' AND text IS NOT NULL")
+    tw = tfidf_cte(DOC_TF, "SELECT count(*) AS n FROM documents WHERE text IS NOT NULL")
     q["tfidf_weights"] = f"WITH {tw} SELECT mov_id, term, round(weight, 6) AS weight FROM w"
     q["similar_items"] = f"""WITH {tw}, {SIMILAR}
 SELECT mov_id, CAST(rank AS BIGINT) AS rank, similar_id, round(sim, 6) AS sim FROM ranked WHERE rank <= 10"""
@@ -387,6 +433,33 @@ pairs AS (SELECT DISTINCT user_id, mov_id FROM test)
 SELECT p.user_id, p.mov_id, round(coalesce(x.grade, um.mu), 6) AS imputed
 FROM pairs p LEFT JOIN cells x ON x.user_id = p.user_id AND x.mov_id = p.mov_id
 LEFT JOIN um ON um.user_id = p.user_id"""
+    q["impute_rated"] = f"""WITH {c},
+um AS (SELECT user_id, avg(grade) AS mu FROM cells GROUP BY user_id),
+pairs AS (SELECT user_id, mov_id FROM test UNION SELECT user_id, mov_id FROM cells)
+SELECT p.user_id, p.mov_id, round(coalesce(x.grade, um.mu), 6) AS imputed
+FROM pairs p LEFT JOIN cells x ON x.user_id = p.user_id AND x.mov_id = p.mov_id
+LEFT JOIN um ON um.user_id = p.user_id"""
+    q["holdout_exact"] = f"""WITH {RATINGS},
+pairs AS (SELECT DISTINCT user_id, mov_id FROM r),
+drawn AS (SELECT *, (((user_id % 2147483648) * 7919 + (mov_id % 2147483648) * 104729 + 17) % 2147483648 * 1103515245 + 12345)
+                    % 2147483648 AS draw FROM pairs),
+held AS (SELECT user_id, mov_id FROM drawn ORDER BY draw, user_id, mov_id LIMIT 10000)
+SELECT r.user_id, r.mov_id, r.grade, CASE WHEN h.user_id IS NULL THEN 'train' ELSE 'test' END AS part
+FROM r LEFT JOIN held h ON h.user_id = r.user_id AND h.mov_id = r.mov_id"""
+    q["factor_top"] = """
+WITH p AS (
+  SELECT a.vec_id AS user_id, b.vec_id AS mov_id,
+         list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS score
+  FROM embeddings a CROSS JOIN embeddings b),
+t AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, mov_id) AS rank FROM p)
+SELECT user_id, CAST(rank AS BIGINT) AS rank, mov_id, round(score, 6) AS score FROM t WHERE rank <= 10"""
+    content5 = q["recommend_content"].replace("r.rank <= 10", "r.rank <= 5").replace("rank <= 10", "rank <= 5")
+    weighted5 = q["rank_weighted"].replace("WHERE rank <= 10", "WHERE rank <= 5")
+    q["recommend_lists"] = f"""
+WITH cont AS ({content5}), wei AS ({weighted5})
+SELECT user_id, 'content' AS method, rank, mov_id, score FROM cont
+UNION ALL SELECT CAST(NULL AS BIGINT), 'weighted', rank, mov_id, score FROM wei
+UNION ALL SELECT c_custkey, 'weighted', rank, mov_id, score FROM customer CROSS JOIN wei"""
     q["dense_ids"] = f"""WITH {RATINGS}
 SELECT 'user' AS kind, user_id AS id, row_number() OVER (ORDER BY user_id) - 1 AS idx FROM (SELECT DISTINCT user_id FROM r)
 UNION ALL
@@ -460,10 +533,16 @@ SELECT mov_id, user_id, grade, review FROM rate r
 WHERE NOT EXISTS (SELECT 1 FROM log k WHERE k.mov_id = r.mov_id AND k.user_id = r.user_id)
 UNION ALL SELECT mov_id, user_id, grade, review FROM changed"""
 
-    q["append_new_items"] = f"WITH {MOVIE} SELECT * FROM movie"
+    q["append_new_items"] = f"""WITH {MOVIE}
+SELECT CASE WHEN runtime <= 40 THEN name ELSE 'New ' || name END AS name, mov_id, runtime, revenue FROM movie"""
+    q["onboarding_fold"] = f"""WITH {RATE},
+drawn AS (SELECT p_partkey AS mov_id, (p_partkey * 1103515245 + 12345) % 2147483648 AS draw FROM part ORDER BY draw, mov_id LIMIT 8)
+SELECT mov_id, user_id, grade, review FROM rate
+UNION ALL SELECT mov_id, (SELECT max(c_custkey) + 1 FROM customer), CAST(1 + draw % 5 AS DOUBLE), NULL FROM drawn"""
 
     q["append_new_users"] = f"""WITH {USERS},
-su AS (SELECT 'user' || CAST(user_id AS VARCHAR) AS username, 'User ' || CAST(user_id AS VARCHAR) AS name,
+su AS (SELECT CASE WHEN event_id % 2 = 0 THEN printf('customer#%09d', user_id) ELSE 'user' || CAST(user_id AS VARCHAR) END AS username,
+              'User ' || CAST(user_id AS VARCHAR) AS name,
               event_id AS seq FROM events WHERE event_type = 'signup'),
 fs AS (SELECT username, name, seq FROM (
   SELECT *, row_number() OVER (PARTITION BY username ORDER BY seq) AS rn FROM su) WHERE rn = 1),
@@ -482,14 +561,19 @@ FROM part ORDER BY draw, mov_id LIMIT 8"""
         return (f"SELECT '{name}' AS tbl, {k} AS key, count(*) AS n FROM {src} "
                 f"GROUP BY {', '.join(keys)} HAVING count(*) > 1")
 
-    q["pk_violations"] = f"""WITH {RATE}, {MOVIE}, {GENRE}, {DIRECTOR}, {CAST}, {USERS}
+    links = f"""
+website AS ({q["etl_website"]}), link AS ({q["etl_link"]}),
+feed AS (SELECT l_partkey + l_linenumber - 1 AS mov_id, 'tt' || lpad(CAST(l_partkey AS VARCHAR), 7, '0') AS web_id FROM lineitem)"""
+
+    q["pk_violations"] = f"""WITH {RATE}, {MOVIE}, {GENRE}, {DIRECTOR}, {CAST}, {USERS}, {links}
 """ + "\nUNION ALL ".join([
         pk("rating_rows", "r", ["mov_id", "user_id"]), pk("rate", "rate", ["mov_id", "user_id"]),
         pk("movie", "movie", ["mov_id"]), pk("genre", "genre", ["genre_id"]),
         pk("director", "director", ["director_id"]), pk("mov_cast", "mov_cast", ["cast_id"]),
         pk("user_most_like", "users", ["user_id"]), pk("user_most_like.username", "users", ["username"]),
         pk("belong_to", "belong_to", ["mov_id", "genre_id"]), pk("direct", "direct", ["mov_id", "director_id"]),
-        pk("act", "act", ["mov_id", "cast_id"])])
+        pk("act", "act", ["mov_id", "cast_id"]), pk("website", "website", ["web_id"]), pk("link", "link", ["mov_id"]),
+        pk("feed_link", "feed", ["mov_id", "web_id"])])
 
     def fk(name, child, col, parent, pcol):
         return (f"SELECT '{name}' AS tbl, '{col}' AS col, CAST({col} AS VARCHAR) AS value, count(*) AS n "
@@ -499,7 +583,7 @@ FROM part ORDER BY draw, mov_id LIMIT 8"""
     log_cte = """
 log AS (SELECT event_id % 50 AS mov_id, user_id, least(5.0, CAST(floor(value / 50.0) AS DOUBLE)) AS grade,
         event_id AS seq FROM events)"""
-    q["fk_violations"] = f"""WITH {RATE}, {MOVIE}, {GENRE}, {DIRECTOR}, {CAST}, {USERS}, {log_cte}
+    q["fk_violations"] = f"""WITH {PROFILES}, {MOVIE}, {DIRECTOR}, {CAST}, {log_cte}, {links}
 """ + "\nUNION ALL ".join([
         fk("rate", "rate", "mov_id", "movie", "mov_id"), fk("rate", "rate", "user_id", "users", "user_id"),
         fk("belong_to", "belong_to", "mov_id", "movie", "mov_id"),
@@ -508,13 +592,19 @@ log AS (SELECT event_id % 50 AS mov_id, user_id, least(5.0, CAST(floor(value / 5
         fk("direct", "direct", "director_id", "director", "director_id"),
         fk("act", "act", "mov_id", "movie", "mov_id"), fk("act", "act", "cast_id", "mov_cast", "cast_id"),
         fk("rating_changes", "log", "mov_id", "movie", "mov_id"),
-        fk("rating_changes", "log", "user_id", "users", "user_id")])
+        fk("rating_changes", "log", "user_id", "users", "user_id"),
+        fk("link", "link", "mov_id", "movie", "mov_id"), fk("link", "link", "web_id", "website", "web_id"),
+        fk("feed_link", "feed", "mov_id", "movie", "mov_id"), fk("feed_link", "feed", "web_id", "website", "web_id"),
+        fk("user_most_like", "profiles", "genre_id", "genre", "genre_id"),
+        fk("rate_after_removal", "rate", "mov_id", "(SELECT * FROM movie WHERE runtime > 5)", "mov_id")])
 
     q["check_violations"] = f"""WITH {PROFILES}, {DIRECTOR}, {log_cte}
 SELECT 'rate' AS tbl, 'grade_range' AS rule, CAST(mov_id AS VARCHAR) || '|' || CAST(user_id AS VARCHAR) AS key
 FROM rate WHERE NOT coalesce(grade >= 0 AND grade <= 5, true)
 UNION ALL SELECT 'rating_rows', 'rating_range', CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)
 FROM r WHERE NOT coalesce(rating >= 0 AND rating <= 5, true)
+UNION ALL SELECT 'rating_feed', 'rating_range', CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)
+FROM r WHERE NOT (l_quantity / 9.0 >= 0 AND l_quantity / 9.0 <= 5)
 UNION ALL SELECT 'rating_changes', 'grade_range', CAST(seq AS VARCHAR) FROM log
 WHERE NOT coalesce(grade >= 0 AND grade <= 5, true)
 UNION ALL SELECT 'director', 'gender_range', CAST(director_id AS VARCHAR) FROM director
@@ -528,12 +618,16 @@ WHERE NOT coalesce(birthday > DATE '1900-01-01' AND birthday < current_date, tru
                 f"CASE WHEN {nn} THEN 'not_null' ELSE 'too_long' END AS rule, CAST({key} AS VARCHAR) AS key "
                 f"FROM {src} WHERE ({nn}) OR length({col}) > 255")
 
-    q["domain_violations"] = f"""WITH {MOVIE}, {GENRE}, {DIRECTOR}, {CAST}, {USERS}
+    q["domain_violations"] = f"""WITH {RATE}, {MOVIE}, {GENRE}, {DIRECTOR}, {CAST}, {USERS}, {links},
+texts AS (SELECT doc_id AS mov_id, text AS name FROM documents)
 """ + "\nUNION ALL ".join([
         dom("movie", "movie", "mov_id", "name", False), dom("genre", "genre", "genre_id", "name", False),
         dom("director", "director", "director_id", "name", False),
         dom("mov_cast", "mov_cast", "cast_id", "name", False),
         dom("user_most_like", "users", "user_id", "name", False),
-        dom("user_most_like", "users", "user_id", "username", True)])
+        dom("user_most_like", "users", "user_id", "username", True),
+        dom("website", "website", "web_id", "web_id", True), dom("link", "link", "mov_id", "web_id", True),
+        dom("movie_from_text", "texts", "mov_id", "name", False),
+        dom("rate", "rate", "mov_id || '|' || user_id", "review", True)])
     # DuckDB's count_if is HUGEINT; Spark's is BIGINT.
     return {k: re.sub(r"count_if\(([^()]*)\)", r"CAST(count_if(\1) AS BIGINT)", v) for k, v in q.items()}

@@ -21,6 +21,10 @@ from affinity.sources import testdata as td
 
 MIN_ITEM, MIN_USER = 30, 10
 SEARCH_TEXT = "R"
+HOLDOUT_PAIRS = 10_000                       # exact hold-out size
+# Keys of the point lookups (page requests for these entities).
+ITEM_KEYS, PERSON_KEYS = (3, 17, 58, 131, 10 ** 12), (1, 2, 5, 10 ** 12)
+USER_KEYS = ("customer#000000003", "customer#000000011", "nobody")
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -121,17 +125,14 @@ def _first_by_key(spark, d):
 
 @register("stage_counts")
 def _stage_counts(spark, d):
-    rows = td.ratings(spark, d)
-    core = ranking.dense_core_ratings(rows, MIN_ITEM, MIN_USER)
-    train, _ = ranking.holdout_split(core)
-    stages = [("rating_rows", rows), ("rate", td.rate_table(spark, d)), ("core", core),
-              ("train", train), ("train_cells", ranking.rating_cells(train))]
-    out = None
-    for i, (name, df) in enumerate(stages):
-        c = df.agg(F.count("*").alias("rows")).select(
-            F.lit(i).cast("long").alias("step"), F.lit(name).alias("stage"), "rows")
-        out = c if out is None else out.unionByName(c)
-    return out
+    return ranking.stage_counts(td.ratings(spark, d), MIN_ITEM, MIN_USER)
+
+
+@register("holdout_exact")
+def _holdout_exact(spark, d):
+    train, test = ranking.holdout_exact(td.ratings(spark, d), HOLDOUT_PAIRS)
+    return (train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+                 .select("user_id", "mov_id", "grade", "part"))
 
 
 # ----------------------------------------------------------------- lookup --
@@ -231,7 +232,39 @@ def _search_names(spark, d):
 @register("link_by_item")
 def _link_by_item(spark, d):
     rm = raw.raw_movies(spark, d)
-    return etl.etl_link(rm, etl.etl_item(rm))
+    return lookup.link_by_item(etl.etl_link(rm, etl.etl_item(rm)), ITEM_KEYS)
+
+
+# Point lookups: the same lookups for a few keys, pushed into the scans.
+
+@register("lookup_item")
+def _lookup_item(spark, d):
+    return lookup.item_by_id(td.movies(spark, d), ITEM_KEYS)
+
+
+@register("lookup_item_genres")
+def _lookup_item_genres(spark, d):
+    return lookup.item_genres(td.movies(spark, d), td.belong_to(spark, d), td.genres(spark, d), ITEM_KEYS)
+
+
+@register("lookup_item_cast")
+def _lookup_item_cast(spark, d):
+    return lookup.item_cast(td.movies(spark, d), td.act(spark, d), td.cast_members(spark, d), ITEM_KEYS)
+
+
+@register("lookup_item_reviews")
+def _lookup_item_reviews(spark, d):
+    return lookup.item_reviews(td.rate_table(spark, d), td.users(spark, d), ITEM_KEYS)
+
+
+@register("lookup_person")
+def _lookup_person(spark, d):
+    return lookup.person_by_id(td.cast_members(spark, d), td.directors(spark, d), PERSON_KEYS)
+
+
+@register("lookup_user")
+def _lookup_user(spark, d):
+    return lookup.user_by_name(td.users(spark, d), USER_KEYS)
 
 
 # -------------------------------------------------------------------- etl --
@@ -306,12 +339,18 @@ def _etl_load_all(spark, d):
 
 @register("parse_nested")
 def _parse_nested(spark, d):
-    c = scalars.with_nested(raw.raw_credits(spark, d), "cast", scalars.CAST_LIST)
+    c = scalars.with_nested(raw.raw_literals(spark, d), "cast", scalars.CAST_LIST)
     p = c.select(F.col("id").cast("long").alias("mov_id"), F.explode("cast").alias("m"))
     return p.select("mov_id", F.col("m.id").alias("cast_id"), F.col("m.name").alias("name"),
                     F.col("m.gender").alias("gender"), F.col("m.character").alias("role"))
 
 
+@register("reject_literals")
+def _reject_literals(spark, d):
+    return etl.reject_literals(raw.raw_literals(spark, d), "cast", scalars.CAST_LIST).unionByName(
+        etl.reject_literals(raw.raw_movies(spark, d), "genres", scalars.GENRE_LIST))
+
+
 @register("csv_scan")
 def _csv_scan(spark, d):
     path = files.write_csv(raw.raw_movies(spark, d).drop("pos"), files.scratch_path(spark, "raw_movies_csv"))
@@ -355,46 +394,61 @@ def _similar_facets(spark, d):
 
 # ----------------------------------------------------------------- collab --
 
-def _train_cells(spark, d):
-    """Train cells and test rows, each written once and shared by every branch."""
-    cells, test = ranking.prepared_cells(td.ratings(spark, d), MIN_ITEM, MIN_USER)
-    return materialize(cells, "train-cells"), materialize(test, "test-rows")
+def _train(spark, d):
+    """Train cells, written once and shared by every branch."""
+    return materialize(ranking.prepared_cells(td.ratings(spark, d), MIN_ITEM, MIN_USER)[0], "train-cells")
+
+
+def _train_test(spark, d):
+    """Train cells and test rows; the filtered ratings behind both are written once."""
+    core = materialize(ranking.dense_core_ratings(td.ratings(spark, d), MIN_ITEM, MIN_USER), "core")
+    train, test = ranking.holdout_split(core)
+    return materialize(ranking.rating_cells(train), "train-cells"), test
 
 
 @register("user_neighbors")
 def _user_neighbors(spark, d):
-    cells, _ = _train_cells(spark, d)
+    cells = _train(spark, d)
     nb = collab.user_neighbors(cells, 5)
     return nb.select("user_id", "rank", "neighbor_id", F.round("sim", 6).alias("sim"))
 
 
 @register("recommend_user_cf")
 def _recommend_user_cf(spark, d):
-    cells, _ = _train_cells(spark, d)
+    cells = _train(spark, d)
     return collab.recommend_user_cf(cells, collab.user_neighbors(cells, 5), 10)
 
 
 @register("predict_user_cf")
 def _predict_user_cf(spark, d):
-    cells, test = _train_cells(spark, d)
+    cells, test = _train_test(spark, d)
     p = collab.predict_user_cf(cells, collab.user_neighbors(cells, 5), test)
     return p.select("user_id", "mov_id", "grade", F.round("prediction", 6).alias("prediction"))
 
 
 @register("unrated_items")
 def _unrated(spark, d):
-    cells, _ = _train_cells(spark, d)
+    cells = _train(spark, d)
     return collab.unrated_items(cells, collab.user_neighbors(cells, 5))
 
 
 @register("impute_user_mean")
 def _impute(spark, d):
-    cells, test = _train_cells(spark, d)
+    cells, test = _train_test(spark, d)
     pairs = test.select("user_id", "mov_id").distinct()
     out = ranking.impute_user_mean(pairs, cells)
     return out.select("user_id", "mov_id", F.round("imputed", 6).alias("imputed"))
 
 
+@register("impute_rated")
+def _impute_rated(spark, d):
+    # Rated pairs keep their grade, all others of the same users get the mean.
+    cells, test = _train_test(spark, d)
+    pairs = test.select("user_id", "mov_id").unionByName(cells.select("user_id", "mov_id")).distinct()
+    out = ranking.impute_user_mean(pairs, cells)
+    return out.select("user_id", "mov_id", F.round("imputed", 6).alias("imputed"))
+
+
 @register("dense_ids")
 def _dense_ids(spark, d):
     return ids.dense_ids(td.ratings(spark, d))
@@ -404,7 +458,7 @@ def _dense_ids(spark, d):
 
 @register("predict_bias")
 def _predict_bias(spark, d):
-    cells, test = _train_cells(spark, d)
+    cells, test = _train_test(spark, d)
     p = evaluate.predict_bias(cells, test)
     return p.select("user_id", "mov_id", "grade", F.round("prediction", 6).alias("prediction"))
 
@@ -421,7 +475,7 @@ def _rmse_all(cells, test):
 
 def _rmse_query(method):
     def q(spark, d):
-        return _rmse_all(*_train_cells(spark, d))[method]()
+        return _rmse_all(*_train_test(spark, d))[method]()
     return q
 
 
@@ -431,10 +485,21 @@ for _m in ("mean", "weighted", "user_cf", "bias"):
 
 @register("compare_methods")
 def _compare(spark, d):
-    fns = _rmse_all(*_train_cells(spark, d))
+    fns = _rmse_all(*_train_test(spark, d))
     return evaluate.compare_methods([fns[m]() for m in ("mean", "weighted", "user_cf", "bias")])
 
 
+@register("compare_models")
+def _compare_models(spark, d):
+    # All six methods on the same split, with scored and missing counts.
+    cells, test = _train_test(spark, d)
+    fns = _rmse_all(cells, test)
+    return evaluate.compare_methods(
+        [fns[m]() for m in ("mean", "weighted", "user_cf", "bias")]
+        + [evaluate.rmse(factor.predict_mf(cells, test), "mf"),
+           evaluate.rmse(factor.predict_als(factor.fit_als(cells), test), "als")])
+
+
 # ---------------------------------------------------------------- changes --
 
 @register("apply_rating_changes")
@@ -444,13 +509,18 @@ def _apply_changes(spark, d):
 
 @register("append_new_items")
 def _append_items(spark, d):
+    # The incoming batch renames every movie: rows that exist keep their name.
     m = td.movies(spark, d)
-    return changes.append_new_items(m.where(F.col("runtime") <= 40), m)
+    incoming = m.withColumn("name", F.concat(F.lit("New "), F.col("name")))
+    return changes.append_new_items(m.where(F.col("runtime") <= 40), incoming)
 
 
 def _signups(spark, d):
     e = td.table(spark, d, "events").where(F.col("event_type") == "signup")
-    return e.select(F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("username"),
+    # Even events ask for a name that a customer already has, odd ones for a new one.
+    taken = F.format_string("customer#%09d", F.col("user_id"))
+    name = F.when(F.col("event_id") % 2 == 0, taken).otherwise(F.concat(F.lit("user"), F.col("user_id").cast("string")))
+    return e.select(name.alias("username"),
                     F.concat(F.lit("User "), F.col("user_id").cast("string")).alias("name"),
                     F.col("event_id").alias("seq"))
 
@@ -465,11 +535,30 @@ def _onboarding(spark, d):
     return changes.onboarding_sample(td.movies(spark, d), 8)
 
 
+@register("onboarding_fold")
+def _onboarding_fold(spark, d):
+    return changes.onboard_user(td.rate_table(spark, d), td.users(spark, d), td.movies(spark, d), 8)
+
+
 # -------------------------------------------------------------- integrity --
 
+def _links(spark, d):
+    """Loaded website and link tables."""
+    rm = raw.raw_movies(spark, d)
+    return etl.etl_website(rm), etl.etl_link(rm, etl.etl_item(rm))
+
+
+def _feed_links(spark, d):
+    """One link row per order line: repeated keys and unknown ids occur."""
+    li = td.table(spark, d, "lineitem")
+    return li.select((F.col("l_partkey") + F.col("l_linenumber") - 1).alias("mov_id"),
+                     F.concat(F.lit("tt"), F.lpad(F.col("l_partkey").cast("string"), 7, "0")).alias("web_id"))
+
+
 @register("pk_violations")
 def _pk(spark, d):
     u = td.users(spark, d)
+    website, link = _links(spark, d)
     return integrity.pk_violations({
         "rating_rows": (td.ratings(spark, d), ["mov_id", "user_id"]),
         "rate": (td.rate_table(spark, d), ["mov_id", "user_id"]),
@@ -482,6 +571,9 @@ def _pk(spark, d):
         "belong_to": (td.belong_to(spark, d), ["mov_id", "genre_id"]),
         "direct": (td.direct(spark, d), ["mov_id", "director_id"]),
         "act": (td.act(spark, d), ["mov_id", "cast_id"]),
+        "website": (website, ["web_id"]),
+        "link": (link, ["mov_id"]),
+        "feed_link": (_feed_links(spark, d), ["mov_id", "web_id"]),
     })
 
 
@@ -489,6 +581,8 @@ def _pk(spark, d):
 def _fk(spark, d):
     m, u = td.movies(spark, d), td.users(spark, d)
     r, log = td.rate_table(spark, d), td.change_log(spark, d)
+    website, link = _links(spark, d)
+    feed = _feed_links(spark, d)
     return integrity.fk_violations([
         ("rate", r, "mov_id", m, "mov_id"), ("rate", r, "user_id", u, "user_id"),
         ("belong_to", td.belong_to(spark, d), "mov_id", m, "mov_id"),
@@ -498,6 +592,11 @@ def _fk(spark, d):
         ("act", td.act(spark, d), "mov_id", m, "mov_id"),
         ("act", td.act(spark, d), "cast_id", td.cast_members(spark, d), "cast_id"),
         ("rating_changes", log, "mov_id", m, "mov_id"), ("rating_changes", log, "user_id", u, "user_id"),
+        ("link", link, "mov_id", m, "mov_id"), ("link", link, "web_id", website, "web_id"),
+        ("feed_link", feed, "mov_id", m, "mov_id"), ("feed_link", feed, "web_id", website, "web_id"),
+        ("user_most_like", _profiles(spark, d), "genre_id", td.genres(spark, d), "genre_id"),
+        # Parents removed from the catalogue: short movies gone, their rows left behind.
+        ("rate_after_removal", r, "mov_id", m.where(F.col("runtime") > 5), "mov_id"),
     ])
 
 
@@ -508,6 +607,9 @@ def _check(spark, d):
         ("rating_rows", "rating_range", td.rating_rows(spark, d), ["l_orderkey", "l_linenumber"],
          integrity.grade_in_range("rating")),
         ("rating_changes", "grade_range", td.change_log(spark, d), ["seq"], integrity.grade_in_range()),
+        # A feed on a scale of nine instead of ten overshoots.
+        ("rating_feed", "rating_range", td.rating_rows(spark, d).withColumn("rating", F.col("l_quantity") / 9.0),
+         ["l_orderkey", "l_linenumber"], integrity.grade_in_range("rating")),
         ("director", "gender_range", td.directors(spark, d), ["director_id"], integrity.gender_in_range()),
         ("user_most_like", "birthday_range", _profiles(spark, d), ["user_id"], integrity.birthday_in_range()),
     ])
@@ -516,6 +618,7 @@ def _check(spark, d):
 @register("domain_violations")
 def _domain(spark, d):
     u = td.users(spark, d)
+    website, link = _links(spark, d)
     return integrity.domain_violations([
         ("movie", td.movies(spark, d), ["mov_id"], "name", False),
         ("genre", td.genres(spark, d), ["genre_id"], "name", False),
@@ -523,6 +626,11 @@ def _domain(spark, d):
         ("mov_cast", td.cast_members(spark, d), ["cast_id"], "name", False),
         ("user_most_like", u, ["user_id"], "name", False),
         ("user_most_like", u, ["user_id"], "username", True),
+        ("website", website, ["web_id"], "web_id", True),
+        ("link", link, ["mov_id"], "web_id", True),
+        # Free text loaded into a name column, and a column that must not be empty.
+        ("movie_from_text", td.overviews(spark, d).withColumnRenamed("overview", "name"), ["mov_id"], "name", False),
+        ("rate", td.rate_table(spark, d), ["mov_id", "user_id"], "review", True),
     ])
 
 
@@ -530,12 +638,12 @@ def _domain(spark, d):
 
 @register("als_fit_rmse")
 def _als_rmse(spark, d):
-    cells, test = _train_cells(spark, d)
+    cells, test = _train_test(spark, d)
     return factor.als_fit_rmse(cells, test)
 
 
 def _als_recs(spark, d, n):
-    cells, _ = _train_cells(spark, d)
+    cells = _train(spark, d)
     return factor.recommend_als(factor.fit_als(cells), n)
 
 
@@ -546,14 +654,34 @@ def _recommend_als(spark, d):
 
 @register("predict_mf")
 def _predict_mf(spark, d):
-    cells, test = _train_cells(spark, d)
+    cells, test = _train_test(spark, d)
     return factor.predict_mf(cells, test)
 
 
+@register("factor_top")
+def _factor_top(spark, d):
+    # The factor scoring kernel on given vectors: ten best for every vector.
+    e = td.table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"))
+    t = factor.top_dot_products(e, e, 10)
+    return t.select("user_id", "rank", "mov_id", F.round("score", 6).alias("score"))
+
+
+def _weighted(spark, d):
+    return ranking.rank_weighted(td.ratings(spark, d), td.movies(spark, d), n=5, min_item=MIN_ITEM, min_user=MIN_USER)
+
+
+def _content(spark, d):
+    return content.recommend_content_from_docs(td.rate_table(spark, d), td.overviews(spark, d), 5)
+
+
+@register("recommend_lists")
+def _recommend_lists(spark, d):
+    # The side-by-side lists without ALS: every user gets the weighted list as well.
+    none = spark.createDataFrame([], "user_id long, rank long, mov_id long, score double")
+    return factor.recommend_all(none, _content(spark, d), _weighted(spark, d), 5, users=td.users(spark, d))
+
+
 @register("recommend_all")
 def _recommend_all(spark, d):
-    weighted = ranking.rank_weighted(td.ratings(spark, d), td.movies(spark, d), n=5,
-                                     min_item=MIN_ITEM, min_user=MIN_USER)
-    # Neighbours of the users' seed items only (seeded tiles when cheaper).
-    content_recs = content.recommend_content_from_docs(td.rate_table(spark, d), td.overviews(spark, d), 5)
-    return factor.recommend_all(_als_recs(spark, d, 5), content_recs, weighted, 5)
+    return factor.recommend_all(_als_recs(spark, d, 5), _content(spark, d), _weighted(spark, d), 5,
+                                users=td.users(spark, d))

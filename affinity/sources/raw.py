@@ -10,6 +10,9 @@ parse, filter and deduplicate real volumes:
   ``genres`` = ``[{'id': <genre id>, 'name': '<p_type>'}]``;
   ``imdb_id`` = ``''`` when p_size mod 10 = 0, ``'nm'``+id when p_size mod 10
   = 5, else ``'tt'`` + 7-digit id.
+  Some parts add a second, dirty row after all others: an id that occurs
+  before, ids, runtimes, dates and revenues that do not parse, and odd but valid
+  values (quotes and a backslash in the title, empty texts, a cut literal).
 * credits: one row per ``lineitem`` row; ``cast`` = the line's supplier as
   ``[{'id', 'name', 'gender', 'character'}]`` (character = return flag);
   ``crew`` = the part's brand as Director plus the supplier as Producer.
@@ -42,7 +45,7 @@ def raw_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
              .otherwise(F.concat(F.lit("tt"), F.lpad(F.col("p_partkey").cast("string"), 7, "0"))))
     genres = F.concat(F.lit("[{'id': "), F.col("genre_id").cast("string"),
                       F.lit(", 'name': "), _q(F.col("p_type")), F.lit("}]"))
-    return j.select(
+    clean = j.select(
         F.col("p_name").alias("title"),
         F.col("p_partkey").cast("string").alias("id"),
         F.lit("en").alias("original_language"),
@@ -55,6 +58,58 @@ def raw_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
         imdb.alias("imdb_id"),
         F.col("p_partkey").alias("pos"),
     )
+    return clean.unionByName(_dirty_movies(p).select(*clean.columns))
+
+
+DIRTY_MOD, DIRTY_POS = 20, 1_000_000_000
+ODD_TITLE = "O'Neil \"X\\Y\""
+
+
+def _dirty_movies(part: DataFrame) -> DataFrame:
+    k = F.col("p_partkey") % DIRTY_MOD
+    new_id = lambda base: (F.lit(base) + F.col("p_partkey")).cast("string")
+    case = lambda pairs, other: F.coalesce(*[F.when(k == n, v) for n, v in pairs], other)
+    text = F.lit
+    return part.where(k.between(1, 8)).select(
+        case([(1, F.concat(text("Again "), F.col("p_name"))), (7, text(ODD_TITLE))], F.col("p_name")).alias("title"),
+        case([(1, F.col("p_partkey").cast("string")), (2, F.concat(text("x"), F.col("p_partkey").cast("string"))),
+              (7, new_id(20_000_000)), (8, new_id(30_000_000))], new_id(10_000_000)).alias("id"),
+        text("en").alias("original_language"),
+        case([(1, text("1.0")), (3, text("abc")), (4, text("")), (7, text("81.7"))], text("70")).alias("runtime"),
+        case([(5, text("1995-02-30")), (7, text("1995-12-17"))], text("")).alias("release_date"),
+        case([(6, text("12,5"))], text("")).alias("revenue"),
+        text("").alias("poster_path"), text("").alias("overview"),
+        case([(8, text("[{'id': 1"))], text("[]")).alias("genres"),
+        text("").alias("imdb_id"),
+        (F.lit(DIRTY_POS) + F.col("p_partkey")).alias("pos"))
+
+
+def raw_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, cast): one literal per ``lineitem`` row in eight forms by order key: plain,
+    a quote in the name, an escape, None and a decimal id, an empty list, the word
+    None, text after the list, and a dict instead of a list."""
+    li = td.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag")
+    s = td.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    j = li.join(s, li.l_suppkey == s.s_suppkey)
+    key, gender = F.col("l_suppkey").cast("string"), (F.col("l_suppkey") % 2).cast("string")
+
+    def member(id_, name, gender_):
+        return F.concat(F.lit("{'id': "), id_, F.lit(", 'name': "), name, F.lit(", 'gender': "), gender_,
+                        F.lit(", 'character': "), _q(F.col("l_returnflag")), F.lit("}"))
+
+    def listed(m):
+        return F.concat(F.lit("["), m, F.lit("]"))
+
+    name, none = _q(F.col("s_name")), F.lit("None")
+    plain = member(key, name, gender)
+    forms = [listed(plain),
+             listed(member(key, F.concat(F.lit("\"O'"), F.col("s_name"), F.lit("\"")), gender)),
+             listed(member(key, F.concat(F.lit("'"), F.col("s_name"), F.lit("\\x41'")), gender)),
+             listed(member(F.concat(key, F.lit(".0")), name, none)),
+             F.lit("[]"), none, F.concat(listed(plain), F.lit(" junk")), plain]
+    kind = F.col("l_orderkey") % len(forms)
+    return j.select(F.col("l_partkey").cast("string").alias("id"),
+                    F.coalesce(*[F.when(kind == i, f) for i, f in enumerate(forms)]).alias("cast"))
 
 
 def raw_credits(spark: SparkSession, sf_dir: str) -> DataFrame:

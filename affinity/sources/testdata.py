@@ -18,7 +18,7 @@ the DuckDB oracle SQL in ``affinity.plans.oracle``):
 * cast: ``supplier``; act = distinct (l_partkey, l_suppkey) with the role
   taken from the first line in source order.
 * user: ``customer``; gender = id mod 2.
-* overview text: ``documents`` (English rows for the English stop list).
+* overview text: all ``documents`` (the stop list is English, the texts need not be).
 * rating change log: ``events``.
 
 All functions are lazy; the parquet scan receives only the columns and
@@ -103,12 +103,15 @@ def _dim_from_attribute(spark, sf_dir, attr, id_col):
     """Distinct values of an attribute numbered 1.. in name order.
 
     Numbered with ``dense_index`` (range partitions + per-partition offsets,
-    no single-task window) and written once per session and table folder:
-    a dimension table is loaded once and read by every query after that.
+    no single-task window) and written once per session and state of the
+    ``part`` table (its files and their times), then read by every query.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, attr, id_col)
+    part = table(spark, sf_dir, "part")
+    files = tuple(sorted(map(tuple, part.select("_metadata.file_path", F.col("_metadata.file_modification_time").cast("string"))
+                                        .distinct().collect())))
+    key = (spark.sparkContext.applicationId, files, attr, id_col)
     if key not in _DIMENSIONS:
-        idx = dense_index(table(spark, sf_dir, "part").select(attr), attr)
+        idx = dense_index(part.select(attr), attr)
         dim = idx.select(F.col(attr).alias("name"), (F.col("idx") + 1).cast("long").alias(id_col))
         _DIMENSIONS[key] = materialize(dim, f"dim-{attr}")
     return _DIMENSIONS[key]
@@ -159,11 +162,9 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("c_custkey") % 2).cast("string").alias("gender"))
 
 
-def overviews(spark: SparkSession, sf_dir: str, english_only: bool = True) -> DataFrame:
-    """(mov_id, overview) documents; the English stop list fits English rows."""
+def overviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(mov_id, overview): every document, whole text."""
     d = table(spark, sf_dir, "documents")
-    if english_only:
-        d = d.where(F.col("lang") == "en")
     return d.select(F.col("doc_id").alias("mov_id"), F.col("text").alias("overview"))
 
 

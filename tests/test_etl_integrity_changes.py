@@ -96,13 +96,42 @@ def test_point_lookup_is_pushed_down(spark):
     assert sorted(r.mov_id for r in df.collect()) == [3, 5]
 
 
-def test_read_rating_lines_and_exact_holdout(spark, tmp_path):
-    from affinity.operators import ranking
+def test_rating_lines_agree_for_every_projection(spark, tmp_path):
     from affinity.sources import files
     p = tmp_path / "r.csv"
-    p.write_text("1,10,3.5\n2,10,4\nbad line\n3,11,5.0\n1,11,2\n")
-    df = files.read_rating_lines(spark, str(p))
-    assert sorted(tuple(r) for r in df.collect()) == [(1, 10, 3.5), (1, 11, 2.0), (2, 10, 4.0), (3, 11, 5.0)]
-    train, test = ranking.holdout_exact(df, 3)
-    assert test.count() == 3 and train.count() == 1
-    assert train.join(test, ["user_id", "mov_id"]).count() == 0
+    p.write_text("1,10,3.5\n2,10\nx,10,4\n3,11,5.0\n3,y,1\n3,11,4,9\n\n")
+    good, bad = files.read_rating_lines(spark, str(p))
+    assert sorted(tuple(r) for r in good.collect()) == [(1, 10, 3.5), (3, 11, 5.0)]
+    assert good.count() == 2 and sorted(r.mov_id for r in good.select("mov_id").collect()) == [1, 3]
+    assert good.select("grade").count() == 2 and bad.count() == 4
+    assert sorted(r.bad_line for r in bad.collect()) == ["2,10", "3,11,4,9", "3,y,1", "x,10,4"]
+
+
+def test_exact_holdout(spark):
+    from affinity.operators import ranking
+    rows = [(u, m, float(u % 5)) for u in range(40) for m in range(30)] + [(1, 1, 2.0)]
+    df = spark.createDataFrame(rows, "user_id long, mov_id long, grade double")
+    for n in (0, 1, 137, 1200, 5000):
+        train, test = ranking.holdout_exact(df, n)
+        assert test.select("user_id", "mov_id").distinct().count() == min(n, 1200)
+        assert train.count() + test.count() == len(rows)
+        assert train.join(test, ["user_id", "mov_id"]).count() == 0
+
+
+def test_bad_dates_and_revenues_are_rejected(spark):
+    raw = spark.createDataFrame(
+        [("A", "1", "en", "81.0", "1995-02-30", "", "", "", 0), ("B", "2", "en", "90", "", "12,5", "", "", 1),
+         ("C", "3", "en", "90", "1995-12-17", "7", "", "", 2)],
+        "title string, id string, original_language string, runtime string, release_date string, "
+        "revenue string, poster_path string, overview string, pos long")
+    assert [(r.mov_id, str(r.release_date), r.revenue) for r in etl.etl_item(raw).collect()] == [(3, "1995-12-17", 7)]
+    assert sorted((r.pos, r.reason) for r in etl.reject_malformed(raw).collect()) == [(0, "bad_release_date"), (1, "bad_revenue")]
+
+
+def test_onboarding_folds_first_ratings(spark):
+    snap = spark.createDataFrame([(1, 1, 3.0, "r")], "mov_id long, user_id long, grade double, review string")
+    users = spark.createDataFrame([(1,), (7,)], "user_id long")
+    movies = spark.createDataFrame([(i, f"m{i}") for i in range(30)], "mov_id long, name string")
+    got = changes.onboard_user(snap, users, movies, 8).collect()
+    new = [r for r in got if r.user_id == 8]
+    assert len(got) == 9 and len(new) == 8 and all(1 <= r.grade <= 5 for r in new)

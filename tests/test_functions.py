@@ -16,33 +16,47 @@ def test_empty_to_null_does_not_trim(spark):
     assert [r.v for r in df.select(scalars.empty_to_null("x").alias("v")).collect()] == [None, " ", "a"]
 
 
-def test_parse_nested_literals(spark):
-    rows = [
-        ("[{'id': 16, 'name': 'Animation'}]",),
-        ("""[{'id': 1, 'name': "O'Brien", 'job': 'Director'}]""",),
-        ("[{'id': 2, 'name': None}]",),
-        ("[]",),
-        ("[{'id': 3, 'name': 'Jos\\xe9'}]",),
-        ("[{'id': 4, 'name': 'None: None'}]",),
-        ("garbage",),
-        (None,),
-    ]
-    df = spark.createDataFrame(rows, "t string")
-    got = [r.p for r in df.select(scalars.parse_nested("t", scalars.GENRE_LIST).alias("p")).collect()]
-    as_py = [None if g is None else [(e["id"], e["name"]) for e in g] for g in got]
-    assert as_py == [[(16, "Animation")], [(1, "O'Brien")], [(2, None)], [], [(3, "José")],
-                     [(4, "None: None")], None, None]
-    # The frame form (JSON parse held in a column) gives the same lists.
-    framed = df.withColumn("k", F.monotonically_increasing_id())
-    framed = scalars.with_nested(framed, "t", scalars.GENRE_LIST, out="p").orderBy("k")
-    assert [r.p for r in framed.select("p").collect()] == got
-    assert framed.columns == ["t", "k", "p"]
+LITERALS = [
+    ("[{'id': 16, 'name': 'Animation'}]", [(16, "Animation")]),
+    ("""[{'id': 1, 'name': "O'Brien", 'job': 'Director'}]""", [(1, "O'Brien")]),
+    ("[{'id': 2, 'name': None}]", [(2, None)]),
+    ("[]", []),
+    ("[{'id': 3, 'name': 'Jos\\xe9'}]", [(3, "José")]),
+    ("[{'id': 4, 'name': 'None: None'}]", [(4, "None: None")]),
+    ("garbage", None),
+    (None, None),
+    ("{'id': 1, 'name': 'x'}", None),                       # a dict is no list
+    ("[{'id': 1, 'name': null}]", None),                    # null is no Python word
+    ("[{'id': 1, 'name': 'x'}] junk", None),
+    ("[{'id': 1, 'name': 'x'}], [{'id': 2, 'name': 'y'}]", None),
+    ("[{'id': 'abc', 'name': 'x'}]", None),                 # a number field must be a number
+    ("[{'id': 1.5, 'name': 'x'}]", [(1, "x")]),             # and is truncated
+    ("[{'id': 5, 'name': 1.50}]", [(5, "1.5")]),            # a text field is taken as text
+    ("[{'id': True, 'name': 'x'}]", None),
+    ("[{'name': 'only'}]", [(None, "only")]),
+    ("[{'id': 99999999999999999999, 'name': 'x'}]", None),
+    ("[{'id': 7, 'name': 'a]b, c'}]", [(7, "a]b, c")]),
+    ("[{'id': 8, 'name': 'x'}, None]", None),
+    ("  [ {'id': 9 , 'name' : 'sp'} ] ", [(9, "sp")]),
+]
+
+
+def test_nested_literals_follow_literal_eval(spark):
+    # The same table for the JSON path and for the fallback alone.
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(LITERALS)], "k long, t string")
+    got = scalars.with_nested(df, "t", scalars.GENRE_LIST, out="p").orderBy("k").collect()
+    slow = scalars._literal_parser(scalars.GENRE_LIST)
+    for r, (text, want) in zip(got, LITERALS, strict=True):
+        fast = None if r.p is None else [(e["id"], e["name"]) for e in r.p]
+        alone = slow(text)
+        assert fast == want, text
+        assert (None if alone is None else [(e["id"], e["name"]) for e in alone]) == want, text
 
 
 def test_tokens_unicode_and_stop_words(spark):
-    df = spark.createDataFrame([("The étion of a Ring ring, x y_z 42",)], "t string")
-    got = df.select(scalars.tokens("t").alias("k")).first().k
-    assert got == ["étion", "ring", "ring", "y_z", "42"]
+    df = spark.createDataFrame([(1, "The étion of a Ring ring, x y_z 42")], "mov_id long, t string")
+    a = df.select("mov_id", F.explode(scalars.raw_tokens("t")).alias("term"))
+    assert sorted(r.term for r in scalars.drop_stop_words(a).collect()) == sorted(["étion", "ring", "ring", "y_z", "42"])
 
 
 def test_stop_word_list_is_fixed():
@@ -50,9 +64,7 @@ def test_stop_word_list_is_fixed():
     assert scalars.ENGLISH_STOP_WORDS == sorted(scalars.ENGLISH_STOP_WORDS)
 
 
-def test_drop_stop_words_matches_array_filter(spark):
+def test_drop_stop_words(spark):
     df = spark.createDataFrame([(1, "the cat and the hat sat on the mat")], "mov_id long, t string")
     a = df.select("mov_id", F.explode(scalars.raw_tokens("t")).alias("term"))
-    b = sorted(r.term for r in scalars.drop_stop_words(a).collect())
-    c = sorted(df.select(F.explode(scalars.tokens("t")).alias("term")).toPandas().term)
-    assert b == c == ["cat", "hat", "mat", "sat"]
+    assert sorted(r.term for r in scalars.drop_stop_words(a).collect()) == ["cat", "hat", "mat", "sat"]

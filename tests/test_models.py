@@ -51,16 +51,33 @@ def test_dense_index_is_rank_by_key(spark):
 
 
 def test_tiled_als_top_n_matches_spark_ml(spark):
-    df = _planted(spark, 120, 90)
-    model = factor.fit_als(df, max_iter=5, rank=4)
-    ours = factor.top_dot_products(model.userFactors, model.itemFactors, 5, block=32).toPandas()
-    ref = (model.recommendForAllUsers(5)
-                .selectExpr("user_id", "posexplode(recommendations) as (pos, r)")
-                .selectExpr("user_id", "r.mov_id as mov_id", "r.rating as score").toPandas())
+    df = _planted(spark, 120, 90).select((F.col("user_id") + 2 ** 40).alias("user_id"), "mov_id", "grade")
+    model = factor.fit_als(df, max_iter=5, rank=4)              # ids beyond 32 bits are numbered
+    ours = factor.recommend_als(model, 5).toPandas()
+    ref = (model.model.recommendForAllUsers(5).selectExpr("user as idx", "explode(recommendations) as r")
+                .join(model.users, "idx").selectExpr("user_id", "r.item as item", "r.rating as score")
+                .join(model.items.withColumnRenamed("idx", "item"), "item").toPandas())
     a = ours.groupby("user_id").mov_id.apply(set).to_dict()
     b = ref.groupby("user_id").mov_id.apply(set).to_dict()
-    assert a.keys() == b.keys()
+    assert a.keys() == b.keys() and min(a) >= 2 ** 40
     same = sum(a[u] == b[u] for u in a)
     assert same >= 0.95 * len(a)          # float32 vs float64 ties may swap the 5th item
     m = ours.merge(ref, on=["user_id", "mov_id"])
-    assert np.allclose(m.score_x, m.score_y, atol=1e-4)
+    assert np.allclose(m["score_x"], m["score_y"], atol=1e-4)
+    given = spark.createDataFrame([(2 ** 40 + 3,), (5,)], "user_id long")
+    few = factor.recommend_als(model, 5, given)
+    assert {r.user_id for r in few.collect()} == {2 ** 40 + 3}
+    pairs = spark.createDataFrame([(2 ** 40 + 3, 1, 1.0), (5, 1, 1.0)], "user_id long, mov_id long, grade double")
+    assert sorted(r.prediction is None for r in factor.predict_als(model, pairs).collect()) == [False, True]
+
+
+def test_unseen_users_get_the_weighted_list(spark):
+    lists = "user_id long, rank long, mov_id long, score double"
+    als = spark.createDataFrame([(1, 1, 10, 5.0)], lists)
+    content = spark.createDataFrame([], lists)
+    weighted = spark.createDataFrame([(1, 7, 4.0), (2, 8, 3.0)], "rank long, mov_id long, score double")
+    users = spark.createDataFrame([(1,), (2,)], "user_id long")
+    got = sorted((r.user_id or 0, r.method, r.rank, r.mov_id) for r in
+                 factor.recommend_all(als, content, weighted, 5, users=users).collect())
+    assert got == [(0, "weighted", 1, 7), (0, "weighted", 2, 8), (1, "als", 1, 10),
+                   (2, "weighted", 1, 7), (2, "weighted", 2, 8)]

@@ -137,3 +137,13 @@ def test_user_cf_exact_under_hot_user_and_hot_item(spark):
         s = score[p.loc[u][p.loc[u].isna()].index]
         want = [m for _, m in sorted((-round(x, 9), m) for m, x in s.items())[:10]]
         assert list(rec[rec.user_id == u].sort_values("rank").mov_id) == want
+
+
+def test_large_column_ids_stay_apart(spark):
+    entries = spark.createDataFrame([(1, 2 ** 60, 1.0), (2, 2 ** 60 + 1, 1.0)], "row_id long, col_id long, value double")
+    info = spark.createDataFrame([(1, 0.0, 1.0), (2, 0.0, 1.0)], "row_id long, alpha double, norm double")
+    for blocks in (1, 4):
+        assert tiles.cosine_topk(entries, info, 3, exclude_zero=True, blocks=blocks).count() == 0
+    seeds = spark.createDataFrame([(1,)], "row_id long")
+    assert tiles.cosine_topk_seeded(entries, info, seeds, 3, exclude_zero=True).count() == 0
+    assert tiles.cosine_topk_seeded(entries, info, seeds, 3, exclude_zero=True, max_rows_per_block=1).count() == 0
