@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ def doc_bucket(col: str, n: int):
 
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of every row; null counts as the empty text."""
-    return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]
+    return [b"" if v is None else v for v in column.cast(pa.binary()).to_numpy(zero_copy_only=False)]
 
 
 def byte_chunks(texts: list[bytes], limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
@@ -38,19 +39,34 @@ def byte_chunks(texts: list[bytes], limit: int = 4 << 20) -> Iterator[tuple[int,
         yield start, len(texts)
 
 
+def row_slices(column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``limit`` bytes of a text column (one row at least)."""
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    ends, start = np.cumsum(size), 0
+    while start < len(size):
+        done = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, done + limit, side="right")))
+        yield start, end
+        start = end
+
+
 def word_ids(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Lower-case (A-Z) words split at ASCII white space.
 
     Returns (distinct words, index of each word in it, number of words per text).
     """
-    words: list[bytes] = []
-    lens = np.zeros(len(texts), dtype=np.int64)
-    for i, t in enumerate(texts):
-        w = t.lower().split()
-        lens[i] = len(w)
-        words += w
-    enc = pa.array(words, pa.binary()).dictionary_encode()
-    return enc.dictionary.to_pylist(), enc.indices.to_numpy(zero_copy_only=False).astype(np.int64), lens
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.binary()).view(pa.string())))
+    lens = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    enc = lists.flatten().dictionary_encode()
+    words = enc.dictionary.view(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+    ids = enc.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    if b"" in words:                                  # white space at the ends of a text
+        e = words.index(b"")
+        lens -= segment_sum(ids == e, lens).round().astype(np.int64)
+        ids = ids[ids != e]
+        ids[ids > e] -= 1
+        words.pop(e)
+    return words, ids, lens
 
 
 def segment_sum(values: np.ndarray, lens: np.ndarray) -> np.ndarray:

@@ -43,10 +43,10 @@ from affinity.llm.common import byte_chunks, doc_bucket, segment_sum, table, tex
 from affinity.session import materialize
 
 HEAD = 1 << 19
-HEAD_CLASSES, SLOTS, TAIL_CLASSES = 16, 64, 16
+HEAD_CLASSES, SLOTS, TAIL_CLASSES = 16, 32, 16
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
 ROWS = 1 << 14
-BATCH = 8192
+BATCH = 2048
 RATE = 0.1
 END = b""
 START = np.uint64(0x9E3779B97F4A7C15)
@@ -98,9 +98,8 @@ def class_rows(p1, p2):
     return _row(a), _row(b + np.uint64(1)), _row(a ^ (b >> np.uint64(7)) ^ np.uint64(2))
 
 
-def slot_rows(p1, p2, cls):
-    c = (cls.astype(np.uint64) + np.uint64(1)) * np.uint64(0xE7037ED1A0B428DB)
-    return (_row(p1 * np.uint64(0x8EBC6AF09C88C6E3) ^ c), _row(p2 * np.uint64(0x589965CC75374CC3) ^ c))
+def slot_rows(p1, cls):
+    return _row(p1 * np.uint64(0x8EBC6AF09C88C6E3) ^ (cls.astype(np.uint64) + np.uint64(1)) * np.uint64(0xE7037ED1A0B428DB))
 
 
 class Vocabulary:
@@ -158,8 +157,7 @@ def log_probs(w: dict, voc: Vocabulary, p1, p2, cls, slot) -> np.ndarray:
         lp = z[r, c] - np.log(total[:, 0])
         head = np.flatnonzero(slot[e] >= 0)
         if len(head):
-            g1, g2 = slot_rows(p1[e][head], p2[e][head], c[head])
-            z, _, total = _softmax(voc.slot_bias[c[head]] + w["slot"][g1] + w["slot"][g2])
+            z, _, total = _softmax(voc.slot_bias[c[head]] + w["slot"][slot_rows(p1[e][head], c[head])])
             lp[head] += z[np.arange(len(head)), slot[e][head]] - np.log(total[:, 0])
         out[e] = lp
     return out
@@ -172,9 +170,11 @@ def _update(weights, seen, energy, rows, d):
     order = np.argsort(flat.astype(np.uint16), kind="stable")
     at = flat[order]
     start = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    g = np.add.reduceat(d[order % n], start, axis=0)
+    run = np.cumsum(d[order % n], axis=0)                 # sums of segments as differences
+    g = run[np.append(start[1:], len(at)) - 1]
+    g[1:] -= run[start[1:] - 1]
     touched = at[start]
-    energy[touched] += (g * g).mean(axis=1)
+    energy[touched] += np.einsum("ij,ij->i", g, g) / g.shape[1]
     weights[touched] -= RATE * g / np.sqrt(energy[touched] + 1e-6)[:, None]
     seen[touched] += np.diff(np.append(start, len(at)))
 
@@ -190,11 +190,11 @@ def train_tokens(w: dict, seen: dict, energy: dict, voc: Vocabulary, p1, p2, cls
         _update(w["class"], seen["class"], energy["class"], rows, d)
         head = np.flatnonzero(slot[e] >= 0)
         if len(head):
-            rows = slot_rows(p1[e][head], p2[e][head], c[head])
-            _, ex, total = _softmax(voc.slot_bias[c[head]] + w["slot"][rows[0]] + w["slot"][rows[1]])
+            rows = slot_rows(p1[e][head], c[head])
+            _, ex, total = _softmax(voc.slot_bias[c[head]] + w["slot"][rows])
             d = ex / total
             d[np.arange(len(head)), slot[e][head]] -= 1.0
-            _update(w["slot"], seen["slot"], energy["slot"], rows, d)
+            _update(w["slot"], seen["slot"], energy["slot"], (rows,), d)
 
 
 def count_tokens(docs: DataFrame) -> DataFrame:
