@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.llm.common import byte_chunks, table
+from affinity.llm.common import byte_chunks, table, word_ids
 from affinity.llm.components import components
 from affinity.llm.lm import hashes
 from affinity.session import materialize
@@ -55,46 +55,50 @@ FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D0
                                   0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
+def plain(text: str | None) -> bytes:
+    """Lower case without ASCII punctuation."""
+    return (text or "").lower().encode("utf-8", "surrogatepass").translate(None, PUNCTUATION)
+
+
 def words_of(text: str | None) -> list[bytes]:
-    raw = (text or "").lower().encode("utf-8", "surrogatepass")
-    return raw.translate(None, PUNCTUATION).split()
-
-
-def key_of(words: list[bytes], text: str | None) -> bytes:
-    """16 bytes that stand for the words (for the raw text where there are none)."""
-    body = b" ".join(words) if words else b"\x00" + (text or "").encode("utf-8", "surrogatepass")
-    return hashlib.blake2b(body, digest_size=16).digest()
-
-
-def shingles(docs: list[list[bytes]]):
-    """(distinct shingles of each text, their counts, shingles per text)."""
-    flat = [w for d in docs for w in d]
-    lens = np.fromiter(map(len, docs), dtype=np.int64, count=len(docs))
-    enc = pa.array(flat, pa.binary()).dictionary_encode()
-    seq = hashes(enc.dictionary.to_pylist())[enc.indices.to_numpy(zero_copy_only=False)]
-    ends = np.cumsum(lens)
-    roll = np.zeros(len(seq), dtype=np.uint64)
-    for k in range(SHINGLE):
-        part = seq * FACTORS[k]
-        roll[:len(seq) - k] += part[k:] ^ (part[k:] >> np.uint64(31))
-    out, counts, n = [], [], np.zeros(len(docs), dtype=np.int64)
-    for i, (end, m) in enumerate(zip(ends, lens)):
-        if m == 0:
-            continue
-        if m < SHINGLE:
-            h = seq[end - m:end]
-            s = np.array([np.bitwise_xor.reduce((h + np.arange(m, dtype=np.uint64)) * FACTORS[0]) + np.uint64(m)])
-        else:
-            s = np.sort(roll[end - m:end - SHINGLE + 1])
-        first = np.ones(len(s), dtype=bool)
-        first[1:] = s[1:] != s[:-1]
-        at = np.flatnonzero(first)
-        out.append(s[at])
-        counts.append(np.diff(np.append(at, len(s))))
-        n[i] = len(at)
-    if not out:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), n
-    return np.concatenate(out), np.concatenate(counts), n
+    return plain(text).split()
+
+
+class Shingles:
+    """Distinct shingles ``s`` of some texts one after the other, their counts ``c``,
+    shingles per text ``n``, and 16 bytes per text that stand for its words (for the
+    raw text where there are none)."""
+
+    def __init__(self, texts: list[str | None]):
+        words, ids, lens = word_ids([plain(t) for t in texts])
+        seq = hashes(words)[ids]
+        ends = np.cumsum(lens)
+        roll = np.zeros(len(seq), dtype=np.uint64)
+        for k in range(SHINGLE):
+            part = seq * FACTORS[k]
+            roll[:len(seq) - k] += part[k:] ^ (part[k:] >> np.uint64(31))
+        out, counts, self.keys = [], [], []
+        self.n = np.zeros(len(texts), dtype=np.int64)
+        for i, (end, m) in enumerate(zip(ends.tolist(), lens.tolist())):
+            body = seq[end - m:end]
+            self.keys.append(hashlib.blake2b(
+                body.tobytes() if m else b"raw " + (texts[i] or "").encode("utf-8", "surrogatepass"),
+                digest_size=16).hexdigest())
+            if m == 0:
+                continue
+            if m < SHINGLE:
+                mixed = (body + np.arange(m, dtype=np.uint64)) * FACTORS[0]
+                s = np.array([np.bitwise_xor.reduce(mixed) + np.uint64(m)])
+            else:
+                s = np.sort(roll[end - m:end - SHINGLE + 1])
+            first = np.ones(len(s), dtype=bool)
+            first[1:] = s[1:] != s[:-1]
+            at = np.flatnonzero(first)
+            out.append(s[at])
+            counts.append(np.diff(np.append(at, len(s))))
+            self.n[i] = len(at)
+        self.s = np.concatenate(out) if out else np.zeros(0, np.uint64)
+        self.c = np.concatenate(counts) if out else np.zeros(0, np.int64)
 
 
 def idf_bucket(s: np.ndarray) -> np.ndarray:
@@ -128,12 +132,11 @@ def _first_pass(batches):
     for batch in batches:
         texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
         for a, b in byte_chunks([t or "" for t in texts], 1 << 20):
-            docs = [words_of(t) for t in texts[a:b]]
-            s, _, _ = shingles(docs)
-            total += np.bincount(idf_bucket(s), minlength=IDF_BUCKETS)
+            sh = Shingles(texts[a:b])
+            total += np.bincount(idf_bucket(sh.s), minlength=IDF_BUCKETS)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": pa.array(ids[a:b], pa.int64()),
-                "key": pa.array([key_of(d, t).hex() for d, t in zip(docs, texts[a:b])]),
+                "key": pa.array(sh.keys, pa.string()),
                 "salt": pa.nulls(b - a, pa.int32()), "counts": pa.nulls(b - a, pa.binary())})
     if total.any():
         yield pa.RecordBatch.from_pydict({
@@ -156,18 +159,17 @@ def _sampler(idf):
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in byte_chunks([t or "" for t in texts], 1 << 19):
-                docs = [words_of(t) for t in texts[a:b]]
-                s, c, n = shingles(docs)
-                got = sample(s, c * idf.value[idf_bucket(s)], n)
-                keep = n > 0
-                band = got.reshape(len(docs), BANDS, BAND_ROWS).astype(np.uint64)
+                sh = Shingles(texts[a:b])
+                got = sample(sh.s, sh.c * idf.value[idf_bucket(sh.s)], sh.n)
+                keep = sh.n > 0
+                band = got.reshape(b - a, BANDS, BAND_ROWS).astype(np.uint64)
                 mixed = np.zeros(band.shape[:2], dtype=np.uint64)
                 for k in range(BAND_ROWS):
                     mixed = (mixed ^ band[:, :, k]) * FACTORS[k]
                     mixed ^= mixed >> np.uint64(29)
                 mixed = (mixed + np.arange(BANDS, dtype=np.uint64)) * FACTORS[3]
                 yield pa.RecordBatch.from_pydict({
-                    "key": pa.array([key_of(d, t).hex() for d, t, k in zip(docs, texts[a:b], keep) if k]),
+                    "key": pa.array([x for x, k in zip(sh.keys, keep) if k], pa.string()),
                     "bands": pa.array([x.tolist() for x in mixed[keep].view(np.int64)], pa.list_(pa.int64())),
                     "sketch": pa.array([x.tobytes() for x in got[keep].astype(np.uint16)], pa.binary())})
     return run
@@ -177,13 +179,13 @@ def _own_text(batches):
     """Rows whose text has the row's key (an id may stand for several texts)."""
     for batch in batches:
         texts, keys = batch.column("text").to_pylist(), batch.column("key").to_pylist()
-        yield batch.filter(pa.array([key_of(words_of(t), t).hex() == k for t, k in zip(texts, keys)], pa.bool_()))
+        yield batch.filter(pa.array([a == b for a, b in zip(Shingles(texts).keys, keys)], pa.bool_()))
 
 
 def _verifier(idf):
     def weighted(text):
-        s, c, _ = shingles([words_of(text)])
-        return s, c * idf.value[idf_bucket(s)]
+        sh = Shingles([text])
+        return sh.s, sh.c * idf.value[idf_bucket(sh.s)]
 
     def run(batches):
         for batch in batches:
