@@ -30,7 +30,8 @@ from affinity.llm.common import byte_chunks, doc_bucket, table, word_ids
 from affinity.llm.quality import _Adam, _logistic, _sigmoid, labelled_sample
 
 WINDOW, STRIDE = 32, 24
-BUCKETS, WORD_DIM, CHAR_DIM, HIDDEN = 1 << 13, 5, 7, 8
+BUCKETS, WORD_DIM, CHAR_DIM, HIDDEN = 1 << 15, 5, 7, 8
+LEAST_DOCS = 3          # training documents that a word or a gram must occur in to have an embedding
 DIM = WORD_DIM + CHAR_DIM
 PUNCTUATION = b".,;:!?\"'()[]{}*$&%#|<>"
 BLOCK = 2048
@@ -225,7 +226,8 @@ def _log_odds(buckets, doc, labels):
     return np.log((one + 0.5) / (n1 + 1)) - np.log((zero + 0.5) / (n0 + 1))
 
 
-def fit_network(texts: list[bytes], labels, rounds: int = 5, inner: int = 3, batch: int = 128) -> dict:
+def fit_network(texts: list[bytes], labels, rounds: int = 5, inner: int = 3, batch: int = 128,
+                least_steps: int = 60) -> dict:
     labels = np.asarray(labels, dtype=np.int64)
     words, ids, lens = word_ids(texts)
     feats = word_features(words)
@@ -252,6 +254,12 @@ def fit_network(texts: list[bytes], labels, rounds: int = 5, inner: int = 3, bat
         zero += np.bincount(u[y == 0] % BUCKETS, minlength=BUCKETS)
     n1, n0 = max(int(labels.sum()), 1), max(int((1 - labels).sum()), 1)
     p["char"][:, 0] = np.clip(np.log((one + 0.5) / (n1 + 1)) - np.log((zero + 0.5) / (n0 + 1)), -3, 3)
+    # Features of a few documents would only be learnt by heart.
+    common = np.bincount(pw, minlength=len(words)) >= LEAST_DOCS
+    known = {"word": np.zeros(BUCKETS, dtype=bool), "char": one + zero >= LEAST_DOCS}
+    known["word"][feats[0][common]] = True
+    for k, on in known.items():
+        p[k][~on] = 0.0
     x = word_inputs(p, feats)
     logit = np.zeros(len(first))
     if len(ids):                                      # the first round picks windows by the log-odds alone
@@ -265,12 +273,14 @@ def fit_network(texts: list[bytes], labels, rounds: int = 5, inner: int = 3, bat
         rank = np.arange(len(order)) - np.searchsorted(doc[order], doc[order], side="left")
         y_of = labels[doc[order]]
         pick = order[(rank < np.where(y_of == 1, 1, 2)) & (length[order] > 0)]
-        for _ in range(inner):
+        for _ in range(max(inner, -(-least_steps // max(-(-len(pick) // batch), 1)))):
             rng.shuffle(pick)
             for s in range(0, len(pick), batch):
                 b = pick[s:s + batch]
                 at = np.minimum(first[b][:, None] + np.arange(WINDOW), max(len(ids) - 1, 0))
                 g = _gradient(p, feats, ids[at], length[b], labels[doc[b]])
+                for k, on in known.items():
+                    g[k][~on] = 0.0
                 for k in p:
                     p[k] = (p[k].ravel() + opts[k].step(g[k].ravel())).reshape(p[k].shape).astype(np.float32)
         logit = window_logits(p, word_inputs(p, feats), ids, first, length)
