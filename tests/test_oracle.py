@@ -5,6 +5,7 @@ import math
 import pytest
 
 import __spark_entry__ as E
+from affinity.plans import oracle, registry
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -24,11 +25,11 @@ def _canon(rows, cols):
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.sql()))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = registry.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
-    res = duck.execute(E.oracle_sql()[name])
+    res = duck.execute(oracle.sql()[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
@@ -36,9 +37,9 @@ def test_query_matches_oracle(spark, duck, name):
     assert _canon(rows, df.columns) == _canon(orows, ocols)
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(oracle.sql())))
 def test_rows_only_queries_run(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = registry.queries()[name](spark, SF_SMALL)
     assert df.count() >= 0
 
 
