@@ -2,21 +2,25 @@
 
 Words are lower-case without ASCII punctuation; a shingle is five consecutive words
 (all words of a shorter text).  The weight of a shingle in a text is its count there
-times ln(1 + T / df), where df counts (text, shingle) incidences over ALL texts in one
-of ``IDF_BUCKETS`` hash buckets and T is their total.  Bucketed counts keep the table
-fixed in size; they also keep the weights of shared and unshared shingles comparable,
-so that many copies of a text do not push their own similarity down.
+times ln(1 + T / df) ** IDF_POWER, where df counts (text, shingle) incidences over ALL
+texts in one of ``IDF_BUCKETS`` hash buckets and T is their total.  Bucketed counts
+keep the table fixed in size.  The power damps the weights: the shingles that a large
+group of near copies shares have a high df just because of the group, and undamped
+weights would push the similarity of its members below that of a single pair.
 
 1. Texts with equal words are one node (partial aggregates; copies are not expanded).
-2. Improved consistent weighted sampling draws ``BANDS * BAND_ROWS`` samples a text;
-   texts that agree on all samples of a band share a bucket.
-3. In each bucket every member is compared with the bucket's leader (its least node).
-   Members that are not similar to it elect the next leader, until none is left.
+2. Improved consistent weighted sampling draws ``BANDS * BAND_ROWS`` samples a text.
+   Texts that agree on all samples of two bands share a bucket (at a similarity of
+   0.8 two of 14 bands agree with probability 0.9993; texts that only share a common
+   passage rarely agree on two).
+3. In each bucket every member is compared with leaders of other components: one at
+   first, then up to 2, 4, 8 ... a round.  Leaders and members similar to one leave the
+   bucket, and links join components; a bucket goes on until its rest is in one component.
 4. Weighted Jaccard similarity is a metric's complement, so a member y with similarity
    to the leader above 1 - 2(1 - 0.8) could still be similar to a text that joined the
    leader.  Where y ended in another component, y is compared with those members of
    the bucket that the triangle inequality allows.
-5. Pairs are compared only if at least half of their samples agree; all that are
+5. Pairs are compared only if at least two fifths of their samples agree; all that are
    compared are verified by exact weighted Jaccard similarity >= ``threshold``.
    Classes are the connected components of the verified links.
 
@@ -42,14 +46,17 @@ from affinity.llm.lm import hashes
 from affinity.session import materialize
 
 SHINGLE = 5
-BANDS, BAND_ROWS = 12, 3
+BANDS, BAND_ROWS = 14, 3
 SAMPLES = BANDS * BAND_ROWS
 IDF_BUCKETS = 1 << 16
+IDF_POWER = 0.25
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 SEED = np.random.default_rng(20240229)
-GAMMA = SEED.gamma(2.0, 1.0, 1 << 16).astype(np.float32)
-LOG_C = np.log(SEED.gamma(2.0, 1.0, 1 << 16)).astype(np.float32)
-BETA = SEED.random(1 << 16).astype(np.float32)
+DRAW_BITS = 14           # random draws of a shingle come from tables of this size
+GAMMA = SEED.gamma(2.0, 1.0, 1 << DRAW_BITS).astype(np.float32)
+LOG_C = np.log(SEED.gamma(2.0, 1.0, 1 << DRAW_BITS)).astype(np.float32)
+BETA = SEED.random(1 << DRAW_BITS).astype(np.float32)
+ABOVE_ZERO = np.float32(128.0)
 ODD = SEED.integers(1 << 62, size=(SAMPLES, 2)).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB,
                                   0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -113,16 +120,30 @@ def sample(s: np.ndarray, weight: np.ndarray, n: np.ndarray) -> np.ndarray:
         return out
     starts = (np.cumsum(n) - n)[full]
     log_w = np.log(weight).astype(np.float32)
+    at = np.empty(len(s), dtype=np.intp)
+    key = np.empty(len(s), dtype=np.uint64)
+    r, beta, score, t = (np.empty(len(s), dtype=np.float32) for _ in range(4))
     for j in range(SAMPLES):
         h = s * ODD[j, 0]
-        at = (h >> np.uint64(48)).astype(np.intp)
-        r, beta = GAMMA[at], BETA[at]
-        t = np.floor(log_w / r + beta)
-        score = LOG_C[at] + r * (beta - t - np.float32(1.0))
-        bits = score.view(np.uint32)
-        order = np.where(bits >> np.uint32(31), ~bits, bits | np.uint32(0x80000000)).astype(np.uint64)
-        who = ((h ^ (t.astype(np.int64).view(np.uint64) * FACTORS[1])) * ODD[j, 1]) >> np.uint64(32)
-        out[full, j] = np.minimum.reduceat((order << np.uint64(32)) | who, starts).astype(np.uint32)
+        at[:] = h >> np.uint64(64 - DRAW_BITS)
+        np.take(GAMMA, at, out=r, mode="clip")
+        np.take(BETA, at, out=beta, mode="clip")
+        np.take(LOG_C, at, out=score, mode="clip")
+        np.divide(log_w, r, out=t)
+        t += beta
+        np.floor(t, out=t)
+        # ln c - r (t - beta + 1), moved above zero: then its bits sort like its value.
+        beta -= t
+        beta -= np.float32(1.0)
+        beta *= r
+        score += beta
+        score += ABOVE_ZERO
+        who = h.astype(np.uint32)
+        who ^= t.astype(np.int32).view(np.uint32) * np.uint32(0x9E3779B1)
+        key[:] = score.view(np.uint32)
+        key <<= np.uint64(32)
+        key |= who
+        out[full, j] = np.minimum.reduceat(key, starts).astype(np.uint32)
     return out
 
 
@@ -151,7 +172,7 @@ def _add_counts(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _weights(counts: np.ndarray) -> np.ndarray:
-    return np.log1p(max(int(counts.sum()), 1) / np.maximum(counts, 1.0))
+    return np.log1p(max(int(counts.sum()), 1) / np.maximum(counts, 1.0)) ** IDF_POWER
 
 
 def _sampler(idf):
@@ -210,6 +231,14 @@ def _agree(a: str, b: str):
                   f"n + if(substring({a}, i, 2) = substring({b}, i, 2), 1, 0))")
 
 
+def _grown(star: DataFrame | None, links: DataFrame, name: str) -> DataFrame:
+    """(node, root) of the components after more links; ``star``: those before."""
+    edges = links.select(F.col("lead").alias("u"), F.col("other").alias("v"))
+    if star is not None:
+        edges = edges.unionByName(star.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")))
+    return materialize(components(edges, name), f"{name}-root")
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """(doc_id, class_id, n_links): class_id is the least doc_id of the class, n_links
     the number of verified links of the document's text to other texts."""
@@ -229,6 +258,13 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
          .groupBy("key").agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "op3-sketches")
     member = bands.select("key", F.explode("bands").alias("bucket"))
     shared = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    # Buckets of two bands each, for texts that share bands with others at all.
+    pairs_of = """flatten(transform(sequence(1, size(b) - 1), i -> transform(slice(b, i + 1, size(b) - i),
+                  x -> xxhash64(b[i - 1], x))))"""
+    member = (member.join(shared, "bucket").groupBy("key").agg(F.sort_array(F.collect_list("bucket")).alias("b"))
+                    .where(F.size("b") > 1).select("key", F.explode(F.expr(pairs_of)).alias("bucket")))
+    member = materialize(member, "op3-pairs")
+    shared = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     member = materialize(member.join(shared, "bucket"), "op3-members")
     candidates = member.select("key").distinct()
     texts = (nodes.join(candidates, "key").join(d, "doc_id").select("key", "text")
@@ -239,37 +275,45 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         side = lambda c: texts.select(F.col("key").alias(c), F.col("text").alias(f"{c}_text"),
                                       F.col("sketch").alias(f"{c}_sketch"))
         joined = (pairs.join(side("other"), "other").join(side("lead"), "lead")
-                       .where(_agree("lead_sketch", "other_sketch") >= SAMPLES // 2)
+                       .where(_agree("lead_sketch", "other_sketch") >= 2 * SAMPLES // 5)
                        .select("lead", "other", "lead_text", "other_text"))
         return materialize(joined.mapInArrow(_verifier(idf), "lead string, other string, sim double"), name)
 
-    links, rest, compared, turn = None, member, None, 0
+    star, links, rest, compared, turn = None, None, member, None, 0
     while True:
-        lead = rest.groupBy("bucket").agg(F.min("key").alias("lead"))
-        led = materialize(rest.join(lead, "bucket").where("key <> lead"), f"op3-led{turn}")
+        # Members of one component need no comparison: only buckets with several go on.
+        now = (rest.withColumn("root", F.col("key")) if star is None else
+               rest.join(star.withColumnRenamed("node", "key"), "key", "left")
+                   .withColumn("root", F.coalesce("root", "key")))
+        several = (now.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"))
+                      .where("a <> b").select("bucket"))
+        now = materialize(now.join(several, "bucket"), f"op3-open{turn}")
+        seat = F.pmod(F.xxhash64("root", F.lit(turn)), F.lit(2 ** turn))
+        lead = (now.groupBy("bucket", seat.alias("seat")).agg(F.min(F.struct("key", "root")).alias("l"))
+                   .select("bucket", F.col("l.key").alias("lead"), F.col("l.root").alias("lead_root")))
+        led = materialize(now.join(lead, "bucket").where("root <> lead_root").select("bucket", "key", "lead"),
+                          f"op3-led{turn}")
         if led.isEmpty():
             break
         sims = verify(led.select("lead", F.col("key").alias("other")).distinct(), f"op3-sims{turn}")
         good = sims.where(F.col("sim") >= threshold).select("lead", "other")
         links = good if links is None else links.unionByName(good)
-        seen = led.join(sims.withColumnRenamed("other", "key"), ["lead", "key"], "left")
+        seen = materialize(led.join(sims.withColumnRenamed("other", "key"), ["lead", "key"]).where(
+            F.col("sim") >= 2 * threshold - 1), f"op3-seen{turn}")
         compared = seen if compared is None else compared.unionByName(seen)
-        rest = materialize(seen.where(F.coalesce("sim", F.lit(0.0)) < threshold).select("bucket", "key"),
-                           f"op3-rest{turn}")
+        done = (lead.select("bucket", F.col("lead").alias("key"))
+                    .unionByName(seen.where(F.col("sim") >= threshold).select("bucket", "key")).distinct())
+        rest = materialize(now.select("bucket", "key").join(done, ["bucket", "key"], "left_anti"), f"op3-rest{turn}")
+        star = _grown(star, good, f"op3-star{turn}")
         turn += 1
 
-    root = None
     if links is not None:
-        links = materialize(links.distinct(), "op3-links")
-        root = materialize(components(links.select(F.col("lead").alias("u"), F.col("other").alias("v")), "op3-a"),
-                           "op3-root")
         # Members that may be similar to a text that joined their bucket's leader.
-        slack = 2 * threshold - 1
-        label = lambda c: root.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+        label = lambda c: star.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
         with_root = (compared.join(label("key"), "key", "left").join(label("lead"), "lead", "left")
                      .withColumn("key_root", F.coalesce("key_root", "key")))
-        grey = with_root.where((F.col("sim") < threshold) & (F.col("sim") >= slack)
-                               & F.col("lead_root").isNotNull() & (F.col("key_root") != F.col("lead_root")))
+        grey = with_root.where((F.col("sim") < threshold) & F.col("lead_root").isNotNull()
+                               & (F.col("key_root") != F.col("lead_root")))
         joined = compared.where(F.col("sim") >= threshold).select(
             "bucket", "lead", F.col("key").alias("other"), F.col("sim").alias("near"))
         extra = (grey.select("bucket", "lead", F.col("key"), "sim").join(joined, ["bucket", "lead"])
@@ -277,8 +321,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
                      .select(F.col("key").alias("lead"), "other").distinct())
         more = (verify(extra, "op3-extra").where(F.col("sim") >= threshold).select("lead", "other"))
         links = materialize(links.unionByName(more).distinct(), "op3-all-links")
-        root = materialize(components(links.select(F.col("lead").alias("u"), F.col("other").alias("v")), "op3-b"),
-                           "op3-classes")
+        root = star if more.isEmpty() else _grown(star, more, "op3-classes")
         degree = (links.select(F.col("lead").alias("key")).unionByName(links.select(F.col("other").alias("key")))
                        .groupBy("key").agg(F.count(F.lit(1)).alias("n_links")))
         place = (nodes.join(root.withColumnRenamed("node", "key"), "key", "left")
