@@ -20,7 +20,7 @@ weights would push the similarity of its members below that of a single pair.
    to the leader above 1 - 2(1 - 0.8) could still be similar to a text that joined the
    leader.  Where y ended in another component, y is compared with those members of
    the bucket that the triangle inequality allows.
-5. Pairs are compared only if at least two fifths of their samples agree; all that are
+5. Texts are compared only if at least ``AGREE`` of their samples agree; all that are
    compared are verified by exact weighted Jaccard similarity >= ``threshold``.
    Classes are the connected components of the verified links.
 
@@ -48,6 +48,8 @@ from affinity.session import materialize
 SHINGLE = 5
 BANDS, BAND_ROWS = 14, 3
 SAMPLES = BANDS * BAND_ROWS
+AGREE = 24               # samples of 42 that must agree before texts are compared: at a
+                         # similarity of 0.8 fewer agree with probability 2e-4
 IDF_BUCKETS = 1 << 16
 IDF_POWER = 0.25
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -269,14 +271,16 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     candidates = member.select("key").distinct()
     texts = (nodes.join(candidates, "key").join(d, "doc_id").select("key", "text")
                   .mapInArrow(_own_text, "key string, text string").dropDuplicates(["key"]))
-    texts = materialize(texts.join(bands.select("key", "sketch"), "key"), "op3-texts")
+    texts = materialize(texts, "op3-texts")
 
     def verify(pairs: DataFrame, name: str) -> DataFrame:
-        side = lambda c: texts.select(F.col("key").alias(c), F.col("text").alias(f"{c}_text"),
-                                      F.col("sketch").alias(f"{c}_sketch"))
-        joined = (pairs.join(side("other"), "other").join(side("lead"), "lead")
-                       .where(_agree("lead_sketch", "other_sketch") >= 2 * SAMPLES // 5)
-                       .select("lead", "other", "lead_text", "other_text"))
+        # Sketches first: only pairs that can be similar carry texts through a shuffle.
+        sketch = lambda c: bands.select(F.col("key").alias(c), F.col("sketch").alias(f"{c}_sketch"))
+        text = lambda c: texts.select(F.col("key").alias(c), F.col("text").alias(f"{c}_text"))
+        near = materialize(pairs.join(sketch("other"), "other").join(sketch("lead"), "lead")
+                                .where(_agree("lead_sketch", "other_sketch") >= AGREE).select("lead", "other"), f"{name}-near")
+        joined = (near.join(text("other"), "other").join(text("lead"), "lead")
+                      .select("lead", "other", "lead_text", "other_text"))
         return materialize(joined.mapInArrow(_verifier(idf), "lead string, other string, sim double"), name)
 
     star, links, rest, compared, turn = None, None, member, None, 0
