@@ -8,9 +8,9 @@ about ``SHARD_PARTS`` parts, and one shard at a time (bounded) is broadcast to t
 tasks that scan the documents.
 
 Every overlapping window of ``PASSAGE`` words of every document is a query.  The sums
-of its distinct terms' block maxima bound what any block of ``BLOCK`` parts can score;
-windows with a block at or above the threshold go through block-max WAND, which
-returns all parts at or above it.  Each found item is verified in the document around
+of its distinct terms' maxima over super-blocks, then over blocks of ``BLOCK`` parts,
+bound what any part can score; windows with a block at or above the threshold go
+through block-max WAND, which returns all parts at or above it.  Each found item is verified in the document around
 the window: at least ``overlap`` of the 3-grams of its question and of its answer (its
 last line or sentence; none if it has only one) must occur there.
 
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import pickle
 import re
+from bisect import bisect_left
 from functools import reduce
 
 import numpy as np
@@ -37,7 +38,7 @@ from affinity.llm.neardup import PUNCTUATION, words_of
 from affinity.session import materialize
 
 PART, PASSAGE, STRIDE = 64, 128, 64
-BLOCK, SHARD_PARTS = 8, 1000
+BLOCK, SUPER, SHARD_PARTS = 2, 4, 1000      # parts a block, blocks a super-block, parts a shard
 K1, B = 1.2, 0.75
 SCHEMA = ("doc_id long, item_id long, score double, question_overlap double, answer_overlap double,"
           "first_word long, n_passages long")
@@ -71,56 +72,60 @@ class Index:
             for t, x in impacts.items():
                 post.setdefault(t, []).append((d, x))
         self.terms = {t: i for i, t in enumerate(sorted(post))}
-        self.docs, self.impact, self.block_of = [], [], []
+        self.docs: list[list[int]] = []
+        self.impact: list[list[float]] = []
         n_blocks = -(-len(parts) // BLOCK)
         self.block_max = np.zeros((len(self.terms), max(n_blocks, 1)), dtype=np.float32)
         for t in self.terms:
-            d = np.array([x[0] for x in post[t]])
-            w = np.array([x[1] for x in post[t]])
-            self.docs.append(d)
-            self.impact.append(w)
-            np.maximum.at(self.block_max[self.terms[t]], d // BLOCK, w.astype(np.float32))
-        self.term_max = np.array([w.max() for w in self.impact]) if self.impact else np.zeros(0)
+            self.docs.append([x[0] for x in post[t]])
+            self.impact.append([x[1] for x in post[t]])
+            np.maximum.at(self.block_max[self.terms[t]], np.array(self.docs[-1]) // BLOCK,
+                          np.array(self.impact[-1], dtype=np.float32))
+        self.super_max = np.maximum.reduceat(self.block_max, np.arange(0, self.block_max.shape[1], SUPER), axis=1)
+        self.term_max = np.array([max(w) for w in self.impact]) if self.impact else np.zeros(0)
 
     def search(self, terms: list[int], least: float) -> dict[int, float]:
         """Block-max WAND: all parts scoring at least ``least`` for the terms."""
         eps = 1e-9
-        cursors = [[0, t] for t in terms]                    # position in the list, term
         found: dict[int, float] = {}
-        at = lambda c: int(self.docs[c[1]][c[0]])             # noqa: E731
-
-        def advance(c, doc):
-            c[0] = int(np.searchsorted(self.docs[c[1]], doc))
-            return c[0] < len(self.docs[c[1]])
-
+        most = {t: float(self.term_max[t]) for t in terms}
+        # A cursor is (document, position in the list, term): sorting needs no key.
+        cursors = [(self.docs[t][0], 0, t) for t in terms]
         while cursors:
-            cursors.sort(key=at)
+            cursors.sort()
             total, pivot = 0.0, None
             for i, c in enumerate(cursors):
-                total += self.term_max[c[1]]
+                total += most[c[2]]
                 if total >= least - eps:
                     pivot = i
                     break
             if pivot is None:
                 break
-            doc = at(cursors[pivot])
-            while pivot + 1 < len(cursors) and at(cursors[pivot + 1]) == doc:
+            doc = cursors[pivot][0]
+            while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == doc:
                 pivot += 1
-            block = doc // BLOCK
-            bound = sum(float(self.block_max[c[1], block]) for c in cursors[:pivot + 1])
+            ahead, block = cursors[:pivot + 1], doc // BLOCK
+            bound = float(self.block_max[[c[2] for c in ahead], block].sum())
             if bound < least - 1e-5:                          # nothing in this block: skip it
                 target = (block + 1) * BLOCK
                 if pivot + 1 < len(cursors):
-                    target = max(doc + 1, min(target, at(cursors[pivot + 1])))
-            elif at(cursors[0]) == doc:
-                score = sum(float(self.impact[c[1]][c[0]]) for c in cursors[:pivot + 1])
+                    target = max(doc + 1, min(target, cursors[pivot + 1][0]))
+            elif ahead[0][0] == doc:
+                score = sum(self.impact[t][k] for _, k, t in ahead)
                 if score >= least - eps:
                     found[doc] = score
                 target = doc + 1
             else:
                 target = doc
-            alive = [c for c in cursors[:pivot + 1] if advance(c, target)]
-            cursors = alive + cursors[pivot + 1:]
+            moved = []
+            for d, k, t in ahead:
+                if d < target:
+                    k = bisect_left(self.docs[t], target, k)
+                    if k == len(self.docs[t]):
+                        continue
+                    d = self.docs[t][k]
+                moved.append((d, k, t))
+            cursors = moved + cursors[pivot + 1:]
         return found
 
 
@@ -196,8 +201,8 @@ def _with_copy(fn):
 def search_texts(index: Index, texts: list[bytes], threshold: float, overlap: float):
     """(text number, item, score, question overlap, answer overlap, first word, passages)."""
     words, ids, lens = word_ids(texts)
-    plain = [w.decode("utf-8", "surrogatepass").lower().encode("utf-8", "surrogatepass").translate(None, PUNCTUATION)
-             for w in words]
+    plain = [(w if w.isascii() else w.decode("utf-8", "surrogatepass").lower().encode("utf-8", "surrogatepass"))
+             .translate(None, PUNCTUATION) for w in words]
     blank = np.array([not w for w in plain], dtype=bool)
     term = np.array([index.terms.get(w, -1) for w in plain], dtype=np.int64)
     doc = np.repeat(np.arange(len(texts)), lens)
@@ -220,17 +225,14 @@ def search_texts(index: Index, texts: list[bytes], threshold: float, overlap: fl
         k = last - back
         ok = (k >= 0) & (k < n_win[doc[hit]]) & (pos[hit] < k * STRIDE + PASSAGE)
         pairs.append((win_of[doc[hit][ok]] + k[ok]) * len(index.terms) + t[hit[ok]])
-    pairs = np.unique(np.concatenate(pairs))
+    pairs = np.sort(np.concatenate(pairs))
+    pairs = pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])]          # distinct terms of a window
     win, wt = pairs // len(index.terms), pairs % len(index.terms)
     start = np.flatnonzero(np.concatenate([[True], win[1:] != win[:-1]]))
-    # First the terms' maxima, then the block maxima of the windows that are left.
-    rough = np.add.reduceat(index.term_max[wt], start) >= threshold - 1e-6
     ends = np.append(start[1:], len(win))
     out: dict[tuple[int, tuple], list] = {}
-    for i in np.flatnonzero(rough):
+    for i in _promising(index, wt, start, ends, threshold):
         sel = wt[start[i]:ends[i]]
-        if index.block_max[sel].sum(axis=0).max() < threshold - 1e-5:
-            continue
         w = int(win[start[i]])
         d = int(np.searchsorted(win_of, w, side="right") - 1)
         for part, score in index.search(sel.tolist(), threshold).items():
@@ -253,6 +255,19 @@ def search_texts(index: Index, texts: list[bytes], threshold: float, overlap: fl
     return [(d, item[0], *v) for (d, item), v in out.items()]
 
 
+def _promising(index: Index, terms, start, ends, threshold: float) -> np.ndarray:
+    """Windows (runs of ``terms``) whose bounds reach the threshold in some block."""
+    left = np.arange(len(start))
+    for bounds in (index.term_max[:, None], index.super_max, index.block_max):
+        if not len(left):
+            break
+        size = (ends - start)[left]
+        at = np.cumsum(size) - size
+        flat = terms[np.repeat(start[left] - at, size) + np.arange(size.sum())]
+        left = left[np.add.reduceat(bounds[flat], at, axis=0).max(axis=1) >= threshold - 1e-5]
+    return left
+
+
 def _all_grams(words, n):
     return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)}
 
