@@ -11,7 +11,7 @@ nothing else is changed, so decoding gives back the text).
    exploded from every distinct segment and equi-joined with the piece table (bounded:
    the vocabulary); the edges are grouped by segment in the partition they were made in,
    and a higher-order ``aggregate`` folds Viterbi over them.  A character without a
-   piece is one edge of score ``min - 10``, written as its UTF-8 byte pieces.  Of equal
+   piece is one edge of score ``min - 10``, spelled as its UTF-8 byte pieces.  Of equal
    scores the longest last piece wins.
 3. The ``HEAD`` most frequent segments (at most) are broadcast; each text gets the paths
    of its rarer segments by a join, and tasks put the piece ids of whole texts together.
@@ -28,23 +28,25 @@ from __future__ import annotations
 
 import os
 import re
-import zlib
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.llm.common import byte_chunks, table
+from affinity.llm.common import byte_chunks, row_slices, table
 from affinity.session import materialize
 
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 MARK = "▁"
-HEAD = 1 << 20
+HEAD = 850_000          # segments broadcast, some 20 MB
 HEAD_CHARS = 32
+MERGE = 1_000_000
 BYTE_0 = 3
 
 
@@ -64,8 +66,12 @@ class Vocabulary:
                              else p.replace(MARK, " ").encode() if plain else b"")
         self.unknown = min(s for _, _, s in self.rows) - 10.0
         self.longest = max(len(p) for p, _, _ in self.rows)
-        self.pairs = np.unique(np.array([(ord(a) << 21) | ord(b) for p, _, _ in self.rows for a, b in zip(p, p[1:])],
-                                        dtype=np.int64))
+        inner = sorted({(a, b) for p, _, _ in self.rows for a, b in zip(p, p[1:])})
+        letters = sorted({x for pair in inner for x in pair})
+        self.letter = np.zeros(0x110000, dtype=np.int32)         # 0: a character inside no pair
+        self.letter[[ord(x) for x in letters]] = np.arange(1, len(letters) + 1)
+        self.joined = np.zeros((len(letters) + 1, len(letters) + 1), dtype=bool)
+        self.joined[[self.letter[ord(a)] for a, _ in inner], [self.letter[ord(b)] for _, b in inner]] = True
         self.offsets = np.concatenate([[0], np.cumsum([len(t) for t in self.text])])
         self.bytes = np.frombuffer(b"".join(self.text), dtype=np.uint8)
 
@@ -75,45 +81,65 @@ def vocabulary(path: str = MODEL) -> Vocabulary:
     return Vocabulary(path)
 
 
-def split_words(text: str) -> list[str]:
-    """Words with the white space before them, less its first space (which every
-    word has, the first one by the mark put before the text)."""
-    text = text.replace(MARK, " ")
-    if "  " in text or text[:1] == " ":
-        return [w[1:] for w in re.findall(r" +[^ ]*", " " + text)]
-    return text.split(" ")
+def joined_runs(text: str) -> str:
+    """The text with every space that follows a space (or begins the text, where a
+    mark is put before it) written as the mark, so that splitting at the spaces left
+    gives words with their white space."""
+    if MARK in text:
+        text = text.replace(MARK, " ")
+    if "  " in text:
+        text = re.sub("  +", lambda m: " " + MARK * (len(m.group()) - 1), text)
+    return MARK + text[1:] if text[:1] == " " else text
+
+
+def _cleaned(column: pa.Array) -> pa.Array:
+    """The texts by ``joined_runs``; '' for null."""
+    column = pc.fill_null(column, "")
+    odd = pc.or_(pc.or_(pc.match_substring(column, "  "), pc.match_substring(column, MARK)), pc.starts_with(column, " "))
+    if pc.any(odd).as_py():
+        at = odd.to_numpy(zero_copy_only=False)
+        column = pa.array([joined_runs(t) if o else t for t, o in zip(column.to_pylist(), at)], pa.string())
+    return column
 
 
 class Segments:
-    """Segments of the words of some texts."""
-
-    def __init__(self, texts: list[str], pairs: np.ndarray):
-        words: list[str] = []
-        self.lens = np.zeros(len(texts), dtype=np.int64)
-        for i, t in enumerate(texts):
-            w = split_words(t) if t else []
-            self.lens[i] = len(w)
-            words += w
-        enc = pa.array(words, pa.string()).dictionary_encode()
+    """Segments of the words of some texts.
+
+    ``ids``: distinct word of every word, ``lens``: words per text, ``seg_of``: distinct
+    segment of every segment of the distinct words, ``n``: segments per distinct word,
+    ``segs``: the distinct segments."""
+
+    def __init__(self, texts: pa.Array, v: Vocabulary):
+        texts = _cleaned(texts)
+        lists = pc.split_pattern(texts, " ")
+        self.lens = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        enc = lists.flatten().dictionary_encode()
         self.ids = enc.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        distinct = [MARK + w.replace(" ", MARK) for w in enc.dictionary.to_pylist()]
-        whole = "".join(distinct)
-        cps = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
-        size = np.fromiter(map(len, distinct), dtype=np.int64, count=len(distinct))
+        empty = pc.binary_length(texts).to_numpy(zero_copy_only=False) == 0      # the empty text has no word
+        if empty.any():
+            self.ids = self.ids[~np.repeat(empty, self.lens)]
+            self.lens[empty] = 0
+        marked = pc.binary_join_element_wise(pa.scalar(MARK), enc.dictionary, pa.scalar(""))
+        size = pc.utf8_length(marked).to_numpy(zero_copy_only=False).astype(np.int64)
+        raw = b"".join(marked.view(pa.binary()).to_numpy(zero_copy_only=False)) if len(marked) else b""
+        cps = np.frombuffer(raw.decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        letter = v.letter[cps]
         cut = np.ones(len(cps), dtype=bool)
-        if len(cps) > 1 and len(pairs):
-            pair = (cps[:-1] << 21) | cps[1:]
-            at = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
-            cut[1:] = pairs[at] != pair
-        cut[np.cumsum(size) - size] = True
-        begin = np.flatnonzero(cut).tolist()
-        segs = [whole[a:b] for a, b in zip(begin, [*begin[1:], len(whole)])]
-        enc = pa.array(segs, pa.string()).dictionary_encode()
-        self.segs = enc.dictionary.to_pylist()
+        cut[1:] = ~v.joined[letter[:-1], letter[1:]]
+        first = np.cumsum(size) - size
+        cut[first] = True
+        width = np.where(cps < 0x80, 1, np.where(cps < 0x800, 2, np.where(cps < 0x10000, 3, 4)))
+        starts = (np.cumsum(width) - width)[cut]
+        offsets = np.append(starts, len(raw)).astype(np.int32)
+        segs = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(raw))
+        enc = segs.dictionary_encode()
+        self.segs = enc.dictionary
         self.seg_of = enc.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        self.n = np.add.reduceat(cut.astype(np.int64), np.cumsum(size) - size) if len(size) else size
-        self.hash = np.fromiter((xxhash.xxh64_intdigest(s.encode("utf-8", "surrogatepass"), 42) for s in self.segs),
-                                dtype=np.uint64, count=len(self.segs))
+        self.n = np.add.reduceat(cut.astype(np.int64), first) if len(size) else size
+
+    def hashes(self) -> np.ndarray:
+        words = self.segs.view(pa.binary()).to_numpy(zero_copy_only=False)
+        return np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in words), dtype=np.uint64, count=len(words))
 
     def sequence(self) -> tuple[np.ndarray, np.ndarray]:
         """Segment number of every segment of all texts in order, segments per text."""
@@ -124,32 +150,56 @@ class Segments:
         return flat, np.diff(np.concatenate([[0], ends]))
 
 
-def count_segments(docs: DataFrame, path: str = MODEL) -> DataFrame:
-    """(seg, c) over all texts."""
+def count_segments(docs: DataFrame, path: str = MODEL, partitions: int | None = None) -> DataFrame:
+    """(seg, c) over all texts, partitioned by segment.
+
+    Each task adds up its own counts (at most ``MERGE`` segments at a time)."""
     def partial(batches):
-        pairs = vocabulary(path).pairs
+        v, kept = vocabulary(path), []
+
+        def merged():
+            t = pa.concat_tables(kept).group_by("seg").aggregate([("n", "sum")])
+            return pa.table([t["seg"], t["n_sum"]], names=["seg", "n"]).combine_chunks()
+
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for s, e in byte_chunks(texts, 8 << 20):
-                g = Segments(texts[s:e], pairs)
+            texts = batch.column("text")
+            for s, e in row_slices(texts):
+                g = Segments(texts[s:e], v)
                 words = np.bincount(g.ids, minlength=len(g.n))
                 c = np.bincount(g.seg_of, weights=np.repeat(words, g.n), minlength=len(g.segs))
-                yield pa.RecordBatch.from_arrays([pa.array(g.segs, pa.string()), pa.array(c.astype(np.int64))],
-                                                 ["seg", "n"])
-    return docs.select("text").mapInArrow(partial, "seg string, n long").groupBy("seg").agg(F.sum("n").alias("c"))
+                kept.append(pa.table([g.segs, pa.array(c.astype(np.int64))], names=["seg", "n"]))
+                if sum(t.num_rows for t in kept) > MERGE:
+                    kept[:] = [merged()]
+                    if kept[0].num_rows > MERGE // 2:
+                        yield from kept.pop().to_batches(50_000)
+        if kept:
+            yield from merged().to_batches(50_000)
+
+    n = partitions or max(64, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return (docs.select("text").mapInArrow(partial, "seg string, n long").repartition(n, "seg")
+                .groupBy("seg").agg(F.sum("n").alias("c")))
+
 
+def _utf8_pieces(code: str) -> str:
+    """SQL array of the byte pieces of a code point."""
+    tail = lambda shift: f"{BYTE_0 + 128} + (shiftright({code}, {shift}) & 63)"
+    return (f"CASE WHEN {code} < 128 THEN array({BYTE_0} + {code}) "
+            f"WHEN {code} < 2048 THEN array({BYTE_0 + 192} + shiftright({code}, 6), {tail(0)}) "
+            f"WHEN {code} < 65536 THEN array({BYTE_0 + 224} + shiftright({code}, 12), {tail(6)}, {tail(0)}) "
+            f"ELSE array({BYTE_0 + 240} + shiftright({code}, 18), {tail(12)}, {tail(6)}, {tail(0)}) END")
 
-def viterbi(segs: DataFrame, path: str = MODEL, partitions: int | None = None) -> DataFrame:
-    """(seg, c, ids) for a table of distinct segments; an id below 0 stands for the
-    character of that (negated) code point, to be written as bytes."""
+
+def viterbi(segs: DataFrame, path: str = MODEL) -> DataFrame:
+    """(seg, c, ids) for a table of distinct segments.
+
+    Exploding and the broadcast join keep the partitioning by segment, so grouping the
+    edges needs no shuffle where ``segs`` comes partitioned by segment."""
     spark = segs.sparkSession
     v = vocabulary(path)
     pieces = spark.createDataFrame(pd.DataFrame(v.rows, columns=["piece", "id", "score"]),
                                    "piece string, id int, score double")
-    n = partitions or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     length = F.char_length("seg")
-    edges = (segs.select("seg", "c").repartition(n, "seg")
-                 .select("seg", "c", F.posexplode(F.transform(
+    edges = (segs.select("seg", "c", F.posexplode(F.transform(
                      F.sequence(F.lit(1), length), lambda i: F.least(F.lit(v.longest), length - i + 1))))
                  .select("seg", "c", F.col("pos").alias("start"), F.explode(F.sequence(F.lit(1), "col")).alias("size"))
                  .withColumn("piece", F.expr("substring(seg, start + 1, size)"))
@@ -159,40 +209,33 @@ def viterbi(segs: DataFrame, path: str = MODEL, partitions: int | None = None) -
                                               F.coalesce("score", F.lit(v.unknown)).alias("score"),
                                               F.coalesce("id", -F.ascii("piece")).alias("id")).alias("edge")))
     grouped = edges.groupBy("seg").agg(F.first("c").alias("c"), F.sort_array(F.collect_list("edge")).alias("edges"))
-    fold = """aggregate(edges,
-        named_struct('best', array(0.0D), 'back', array(named_struct('start', 0, 'id', 0))),
-        (a, e) -> if(size(a.best) <= e.end,
-            named_struct('best', concat(a.best, array(a.best[e.start] + e.score)),
-                         'back', concat(a.back, array(named_struct('start', e.start, 'id', e.id)))),
-            if(a.best[e.start] + e.score > a.best[e.end],
-               named_struct('best', concat(slice(a.best, 1, e.end), array(a.best[e.start] + e.score)),
-                            'back', concat(slice(a.back, 1, e.end), array(named_struct('start', e.start, 'id', e.id)))),
+    # back[end]: best score of a path to ``end`` and its last edge.
+    fold = """aggregate(edges, array(named_struct('score', 0.0D, 'start', 0, 'id', 0)),
+        (a, e) -> if(size(a) <= e.end,
+            concat(a, array(named_struct('score', a[e.start].score + e.score, 'start', e.start, 'id', e.id))),
+            if(a[e.start].score + e.score > a[e.end].score,
+               concat(slice(a, 1, e.end),
+                      array(named_struct('score', a[e.start].score + e.score, 'start', e.start, 'id', e.id))),
                a)))"""
     trace = """aggregate(sequence(2, size(back)),
         named_struct('at', size(back) - 1, 'ids', cast(array() as array<int>)),
         (a, i) -> if(a.at = 0, a, named_struct('at', back[a.at].start, 'ids', concat(array(back[a.at].id), a.ids))),
         a -> a.ids)"""
-    return (grouped.select("seg", "c", F.expr(f"({fold}).back").alias("back"))
-                   .select("seg", "c", F.expr(trace).alias("ids")))
-
-
-def _bytes_of(ids) -> list[int]:
-    out = []
-    for i in ids:
-        out += [i] if i >= 0 else [BYTE_0 + b for b in chr(-i).encode("utf-8", "surrogatepass")]
-    return out
+    plain = (grouped.select("seg", "c", F.expr(fold).alias("back")).select("seg", "c", F.expr(trace).alias("ids")))
+    spelled = F.expr(f"flatten(transform(ids, i -> if(i >= 0, array(i), {_utf8_pieces('(-i)')})))")
+    return plain.withColumn("ids", F.when(F.exists("ids", lambda i: i < 0), spelled).otherwise(F.col("ids")))
 
 
 class Paths:
     """Piece ids of segments, by sorted segment hash."""
 
-    def __init__(self, hash_: np.ndarray, ids: list):
+    def __init__(self, hash_: np.ndarray, ids: np.ndarray, size: np.ndarray):
         order = np.argsort(hash_, kind="stable")
-        self.hash = hash_[order]
-        lists = [_bytes_of(ids[i]) for i in order]
-        self.size = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-        self.start = np.cumsum(self.size) - self.size
-        self.ids = np.fromiter((x for y in lists for x in y), dtype=np.int32, count=int(self.size.sum()))
+        start = np.cumsum(size) - size
+        self.hash, self.size = hash_[order], size[order].astype(np.int32)
+        self.start = np.cumsum(self.size, dtype=np.int64) - self.size
+        take = np.repeat(start[order] - self.start, self.size) + np.arange(len(ids))
+        self.ids = ids[take].astype(np.uint16 if ids.max(initial=0) < 1 << 16 else np.int32)
 
     def look_up(self, hash_: np.ndarray) -> np.ndarray:
         """Position of every hash, -1 where it is missing."""
@@ -202,39 +245,38 @@ class Paths:
         return np.where(self.hash[at] == hash_, at, -1)
 
 
-def head_paths(encoded: DataFrame, head: int = HEAD) -> Paths:
-    """The most frequent segments, at most ``head`` of at most HEAD_CHARS characters."""
-    short = encoded.where(F.char_length("seg") <= HEAD_CHARS)
+def head_paths(encoded: DataFrame, head: int = HEAD) -> tuple[Paths, int]:
+    """The most frequent segments, at most ``head`` of at most HEAD_CHARS characters, and
+    their least count."""
+    short = encoded.where("short")
     room, least = head, None
     for r in short.groupBy(F.least("c", F.lit(100_000)).alias("c")).count().orderBy(F.desc("c")).collect():
         if r["count"] > room:
             break
         room, least = room - r["count"], r["c"]
     if least is None:
-        return Paths(np.zeros(0, np.uint64), [])
-    rows = short.where(F.col("c") >= least).select(F.xxhash64("seg").alias("h"), "ids").toArrow()
-    ids = rows["ids"].combine_chunks()
-    flat, off = ids.values.to_numpy(), ids.offsets.to_numpy()
-    return Paths(rows["h"].to_numpy().view(np.uint64), [flat[a:b].tolist() for a, b in zip(off[:-1], off[1:])])
+        return Paths(np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int64)), 2 ** 62
+    rows = short.where(F.col("c") >= least).select("h", "ids").toArrow()
+    return Paths(rows["h"].to_numpy().view(np.uint64), pc.list_flatten(rows["ids"]).to_numpy(),
+                 pc.list_value_length(rows["ids"]).to_numpy().astype(np.int64)), least
 
 
 def _rare(head, path):
     """Segments of each text that are not in the head: (doc_id, text_hash, h)."""
     def run(batches):
-        pairs = vocabulary(path).pairs
+        v = vocabulary(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            ids, th = batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist()
-            for s, e in byte_chunks(texts):
-                g = Segments(texts[s:e], pairs)
-                missing = head.value.look_up(g.hash) < 0
+            texts, ids, th = batch.column("text"), batch.column("doc_id"), batch.column("text_hash")
+            for s, e in row_slices(texts):
+                g = Segments(texts[s:e], v)
+                hash_ = g.hashes()
+                missing = head.value.look_up(hash_) < 0
                 flat, n = g.sequence()
                 doc = np.repeat(np.arange(e - s), n)[missing[flat]] if len(flat) else np.zeros(0, np.int64)
                 key = np.unique(doc * max(len(g.segs), 1) + flat[missing[flat]]) if len(doc) else doc
                 d, k = key // max(len(g.segs), 1), key % max(len(g.segs), 1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([ids[s + x] for x in d], pa.int64()), pa.array([th[s + x] for x in d], pa.int64()),
-                     pa.array(g.hash[k].view(np.int64), pa.int64())], ["doc_id", "text_hash", "h"])
+                    [ids.take(pa.array(s + d)), th.take(pa.array(s + d)), pa.array(hash_[k].view(np.int64), pa.int64())], ["doc_id", "text_hash", "h"])
     return run
 
 
@@ -249,38 +291,50 @@ def decode(ids: np.ndarray, n: np.ndarray, v: Vocabulary) -> list[bytes]:
 
 def _encoder(head, path):
     def run(batches):
-        v = vocabulary(path)
+        v, unpack = vocabulary(path), zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            texts = [zlib.decompress(t).decode("utf-8", "surrogatepass") for t in batch.column("packed").to_pylist()]
-            ids = batch.column("doc_id").to_pylist()
-            rare = batch.column("rare").to_pylist()
-            for s, e in byte_chunks(texts):
-                g = Segments(texts[s:e], v.pairs)
-                own = {r["h"]: r["ids"] for x in rare[s:e] for r in x or ()}
-                tail = Paths(np.array(list(own), dtype=np.int64).view(np.uint64), list(own.values()))
-                at, at2 = head.value.look_up(g.hash), tail.look_up(g.hash)
-                h = head.value
-                size = np.where(at >= 0, h.size[at] if len(h.size) else 0, tail.size[at2] if len(tail.size) else 0)
-                start = np.where(at >= 0, h.start[at] if len(h.start) else 0,
-                                 len(h.ids) + (tail.start[at2] if len(tail.start) else 0))
-                every = np.concatenate([h.ids, tail.ids]) if len(tail.ids) else h.ids
-                flat, n = g.sequence()
-                c = size[flat]
-                out = every[np.repeat(start[flat] - (np.cumsum(c) - c), c) + np.arange(c.sum())]
-                ends = np.concatenate([[0], np.cumsum(c)])[np.concatenate([[0], np.cumsum(n)])]
-                back = decode(out, np.diff(ends), v)
-                same = [b == t.encode("utf-8", "surrogatepass") for b, t in zip(back, texts[s:e])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[s:e], pa.int64()), pa.array(np.diff(ends), pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out, pa.int32())),
-                     pa.array(same, pa.bool_())], ["doc_id", "n_pieces", "ids", "round_trip"])
+            packed, rare = batch.column("packed"), batch.column("rare")
+            for s, e in row_slices(packed, 1 << 20):
+                yield from encode_some([unpack(t.as_py()).decode("utf-8", "surrogatepass") for t in packed[s:e]],
+                                       batch.column("doc_id")[s:e], rare[s:e].to_pylist(), head.value, v)
     return run
 
 
+def encode_some(texts, doc_ids, rare, h: Paths, v: Vocabulary):
+    for s, e in byte_chunks(texts):
+        g = Segments(pa.array(texts[s:e], pa.string()), v)
+        hash_ = g.hashes()
+        own = {r["h"]: r["ids"] for x in rare[s:e] for r in x or ()}
+        lists = list(own.values())
+        tail = Paths(np.array(list(own), dtype=np.int64).view(np.uint64),
+                     np.array([x for y in lists for x in y], dtype=np.int32),
+                     np.array(list(map(len, lists)), dtype=np.int64))
+        at, at2 = h.look_up(hash_), tail.look_up(hash_)
+        size = np.where(at >= 0, h.size[at] if len(h.size) else 0, tail.size[at2] if len(tail.size) else 0)
+        start = np.where(at >= 0, h.start[at] if len(h.start) else 0,
+                         len(h.ids) + (tail.start[at2] if len(tail.start) else 0))
+        flat, n = g.sequence()
+        # Paths of this chunk's segments one after the other, then their sequence.
+        own_start = np.cumsum(size) - size
+        from_ = np.repeat(start - own_start, size) + np.arange(size.sum())
+        every = np.where(from_ < len(h.ids), h.ids[np.minimum(from_, len(h.ids) - 1)] if len(h.ids) else 0,
+                         tail.ids[np.maximum(from_ - len(h.ids), 0)] if len(tail.ids) else 0).astype(np.int32)
+        c = size[flat]
+        out = every[np.repeat(own_start[flat] - (np.cumsum(c) - c), c) + np.arange(c.sum())]
+        ends = np.concatenate([[0], np.cumsum(c)])[np.concatenate([[0], np.cumsum(n)])]
+        back = decode(out, np.diff(ends), v)
+        same = [b == t.encode("utf-8", "surrogatepass") for b, t in zip(back, texts[s:e])]
+        yield pa.RecordBatch.from_arrays(
+            [doc_ids[s:e], pa.array(np.diff(ends), pa.int64()),
+             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out, pa.int32())),
+             pa.array(same, pa.bool_())], ["doc_id", "n_pieces", "ids", "round_trip"])
+
+
 def _pack(batches):
     """Texts compressed for the shuffle that brings their rare segments."""
+    pack = zstandard.ZstdCompressor(level=3).compress
     for batch in batches:
-        packed = [zlib.compress((t or "").encode("utf-8", "surrogatepass"), 1) for t in batch.column("text").to_pylist()]
+        packed = [pack((t or "").encode("utf-8", "surrogatepass")) for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(packed, pa.binary())],
                                          ["doc_id", "text_hash", "packed"])
 
@@ -290,14 +344,16 @@ def encode_documents(docs: DataFrame, path: str = MODEL, head: int = HEAD) -> Da
     decoding them gives the text back."""
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    segs = materialize(count_segments(d, path), "op5-segments")
-    encoded = materialize(viterbi(segs, path), "op5-paths")
-    shared = spark.sparkContext.broadcast(head_paths(encoded, head))         # at most HEAD short segments
+    encoded = materialize(viterbi(count_segments(d, path), path).select(
+        F.xxhash64("seg").alias("h"), "c", (F.char_length("seg") <= HEAD_CHARS).alias("short"), "ids"), "op5-paths")
+    paths, least = head_paths(encoded, head)
+    shared = spark.sparkContext.broadcast(paths)                             # at most HEAD short segments
     keyed = d.withColumn("text_hash", F.xxhash64("text"))
-    rare = (keyed.mapInArrow(_rare(shared, path), "doc_id long, text_hash long, h long").distinct()
-                 .join(encoded.select(F.xxhash64("seg").alias("h"), "ids"), "h")
+    tail = encoded.where((F.col("c") < least) | ~F.col("short"))
+    rare = (keyed.mapInArrow(_rare(shared, path), "doc_id long, text_hash long, h long")
+                 .join(tail.select("h", "ids"), "h")
                  .groupBy(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"))
-                 .agg(F.collect_list(F.struct("h", "ids")).alias("rare")))
+                 .agg(F.collect_set(F.struct("h", "ids")).alias("rare")))
     packed = keyed.mapInArrow(_pack, "doc_id long, text_hash long, packed binary")
     whole = (packed.join(rare, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_t")), "left")
                    .select("doc_id", "packed", "rare"))

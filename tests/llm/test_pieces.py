@@ -55,12 +55,12 @@ def best_path(seg, v):
     while at:
         out.insert(0, best[at][2])
         at = best[at][1]
-    return out
+    return [j for i in out for j in ([i] if i >= 0 else [P.BYTE_0 + b for b in chr(-i).encode()])]
 
 
 def test_fold_equals_plain_viterbi(spark):
     v = P.vocabulary()
-    segs = ["▁the", "▁thereis", "ing", "▁▁▁▁x", "漢", "▁" + "an" * 20, "▁étét", "a" * 200]
+    segs = ["▁the", "▁thereis", "ing", "▁▁▁▁x", "漢", "▁" + "an" * 20, "▁étét", "a" * 200, "ʯ", "\U0001f9ff", "\x01"]
     got = {r["seg"]: r["ids"] for r in P.viterbi(spark.createDataFrame([(s, 1) for s in segs], "seg string, c long")).collect()}
     assert got == {s: best_path(s, v) for s in segs}
 
