@@ -85,7 +85,7 @@ class Shingles:
         roll = np.zeros(len(seq), dtype=np.uint64)
         for k in range(SHINGLE):
             part = seq * FACTORS[k]
-            roll[:len(seq) - k] += part[k:] ^ (part[k:] >> np.uint64(31))
+            roll[:max(len(seq) - k, 0)] += part[k:] ^ (part[k:] >> np.uint64(31))
         out, counts, self.keys = [], [], []
         self.n = np.zeros(len(texts), dtype=np.int64)
         for i, (end, m) in enumerate(zip(ends.tolist(), lens.tolist())):
