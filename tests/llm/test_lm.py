@@ -79,3 +79,37 @@ def test_hash_equals_sparks(spark):
     words = [b"", b"a", "çã".encode(), b"x" * 100]
     got = [r[0] for r in spark.createDataFrame([(w,) for w in words], "w binary").selectExpr("xxhash64(w)").collect()]
     assert L.hashes(words).view(np.int64).tolist() == got
+
+
+def test_a_head_token_is_chosen_by_the_skip_token():
+    """Words c and d follow the same word; only the word before that tells which."""
+    t = L.Tokens([b"a x c\nb x d\n" * 500])
+    count = np.bincount(t.ids, minlength=len(t.words))
+    tail = L.tail_class(t.words)
+    v = L.Vocabulary(t.hash, count, tail, count.sum(), len(count), np.bincount(tail, weights=count, minlength=L.TAIL_CLASSES),
+                     np.bincount(tail, minlength=L.TAIL_CLASSES))
+    _, cls, slot, _ = v.look_up(t)
+    p1, p2 = t.history()
+    w = L.new_weights()
+    seen = {k: np.zeros(L.ROWS) for k in w}
+    energy = {k: np.zeros(L.ROWS, np.float32) for k in w}
+    for _ in range(30):
+        L.train_tokens(w, seen, energy, v, p1, p2, cls[t.ids], slot[t.ids])
+    c, d = t.words.index(b"c"), t.words.index(b"d")
+    assert cls[c] == cls[d] and min(slot[c], slot[d]) >= 0
+    at = np.flatnonzero(np.isin(t.ids, [c, d]))
+    right = L.log_probs(w, v, p1[at], p2[at], cls[t.ids[at]], slot[t.ids[at]])
+    other = np.where(t.ids[at] == c, d, c)
+    wrong = L.log_probs(w, v, p1[at], p2[at], cls[other], slot[other])
+    assert (right > wrong + 1).all()
+
+
+def test_size_of_the_head():
+    words = [b"w%d" % i for i in range(2000)]
+    t = L.Tokens([b" ".join(words)])
+    c = np.arange(len(t.words), 0, -1)
+    tail = L.tail_class(t.words)
+    v = L.Vocabulary(t.hash, c, tail, c.sum(), len(c), np.bincount(tail, weights=c, minlength=L.TAIL_CLASSES),
+                     np.bincount(tail, minlength=L.TAIL_CLASSES))
+    _, _, slot, _ = v.look_up(t)
+    assert (slot[:1024] >= 0).all() and (slot[1024:] < 0).all()
