@@ -20,9 +20,9 @@ weights would push the similarity of its members below that of a single pair.
    to the leader above 1 - 2(1 - 0.8) could still be similar to a text that joined the
    leader.  Where y ended in another component, y is compared with those members of
    the bucket that the triangle inequality allows.
-5. Texts are compared only if at least ``AGREE`` of their samples agree; all that are
-   compared are verified by exact weighted Jaccard similarity >= ``threshold``.
-   Classes are the connected components of the verified links.
+5. Texts are compared only if at least ``AGREE`` of their samples agree (``AGREE_EXTRA``
+   in step 4, where only links count); all that are compared are verified by exact
+   weighted Jaccard similarity >= ``threshold``.  Classes are the connected components of the verified links.
 
 Edge cases: a null text counts as the empty text; texts without words are similar
 only to texts equal to them; repeated rows are copies; an empty table gives an empty
@@ -48,8 +48,10 @@ from affinity.session import materialize
 SHINGLE = 5
 BANDS, BAND_ROWS = 14, 3
 SAMPLES = BANDS * BAND_ROWS
-AGREE = 24               # samples of 42 that must agree before texts are compared: at a
-                         # similarity of 0.8 fewer agree with probability 2e-4
+AGREE = 16               # samples of 42 that must agree before a text is compared with a leader:
+                         # of texts that share two bands fewer agree with probability 2e-5 at a
+                         # similarity of 0.6, which step 4 needs
+AGREE_EXTRA = 24         # the same in step 4: probability 2e-4 at a similarity of 0.8
 IDF_BUCKETS = 1 << 16
 IDF_POWER = 0.25
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -273,12 +275,12 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
                   .mapInArrow(_own_text, "key string, text string").dropDuplicates(["key"]))
     texts = materialize(texts, "op3-texts")
 
-    def verify(pairs: DataFrame, name: str) -> DataFrame:
+    def verify(pairs: DataFrame, name: str, agree: int) -> DataFrame:
         # Sketches first: only pairs that can be similar carry texts through a shuffle.
         sketch = lambda c: bands.select(F.col("key").alias(c), F.col("sketch").alias(f"{c}_sketch"))
         text = lambda c: texts.select(F.col("key").alias(c), F.col("text").alias(f"{c}_text"))
         near = materialize(pairs.join(sketch("other"), "other").join(sketch("lead"), "lead")
-                                .where(_agree("lead_sketch", "other_sketch") >= AGREE).select("lead", "other"), f"{name}-near")
+                                .where(_agree("lead_sketch", "other_sketch") >= agree).select("lead", "other"), f"{name}-near")
         joined = (near.join(text("other"), "other").join(text("lead"), "lead")
                       .select("lead", "other", "lead_text", "other_text"))
         return materialize(joined.mapInArrow(_verifier(idf), "lead string, other string, sim double"), name)
@@ -299,7 +301,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
                           f"op3-led{turn}")
         if led.isEmpty():
             break
-        sims = verify(led.select("lead", F.col("key").alias("other")).distinct(), f"op3-sims{turn}")
+        sims = verify(led.select("lead", F.col("key").alias("other")).distinct(), f"op3-sims{turn}", AGREE)
         good = sims.where(F.col("sim") >= threshold).select("lead", "other")
         links = good if links is None else links.unionByName(good)
         seen = materialize(led.join(sims.withColumnRenamed("other", "key"), ["lead", "key"]).where(
@@ -323,7 +325,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         extra = (grey.select("bucket", "lead", F.col("key"), "sim").join(joined, ["bucket", "lead"])
                      .where((F.abs(F.col("sim") - F.col("near")) <= 1 - threshold))
                      .select(F.col("key").alias("lead"), "other").distinct())
-        more = (verify(extra, "op3-extra").where(F.col("sim") >= threshold).select("lead", "other"))
+        more = (verify(extra, "op3-extra", AGREE_EXTRA).where(F.col("sim") >= threshold).select("lead", "other"))
         links = materialize(links.unionByName(more).distinct(), "op3-all-links")
         root = star if more.isEmpty() else _grown(star, more, "op3-classes")
         degree = (links.select(F.col("lead").alias("key")).unionByName(links.select(F.col("other").alias("key")))

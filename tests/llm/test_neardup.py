@@ -1,3 +1,4 @@
+import math
 import random
 from collections import defaultdict
 
@@ -98,3 +99,46 @@ def test_components(spark):
                 todo.append(x)
         assert got[start] == min(seen)
     assert set(got) == set(near)
+
+
+def test_sketches_keep_what_the_triangle_inequality_needs():
+    """Probability that texts sharing two bands are not compared, by similarity."""
+    rest = N.SAMPLES - 2 * N.BAND_ROWS
+    lost = lambda agree, s: sum(math.comb(rest, k) * s ** k * (1 - s) ** (rest - k)
+                                for k in range(agree - 2 * N.BAND_ROWS))
+    assert lost(N.AGREE, 0.6) < 1e-4                             # leaders: grey pairs count
+    assert lost(N.AGREE_EXTRA, 0.8) < 1e-3                       # only links count
+
+
+def test_group_between_near_and_far_equals_all_pairs(spark):
+    """Copies at similarities of some 0.55 to 0.85 to one another."""
+    g = random.Random(11)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(120):
+        w = list(base)
+        for _ in range(3 + i % 12):
+            w[g.randrange(300)] = f"x{g.randrange(10 ** 6)}"
+        rows.append((i, " ".join(w)))
+    sets = [{tuple(t.split()[k:k + 5]) for k in range(296)} for _, t in rows]
+    sims = [len(a & b) / len(a | b) for k, a in enumerate(sets) for b in sets[:k]]
+    assert min(sims) < 0.6 and max(sims) > 0.85
+    got = classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    sh = N.Shingles([t for _, t in rows])
+    idf = N._weights(np.bincount(N.idf_bucket(sh.s), minlength=N.IDF_BUCKETS))
+    ends = np.cumsum(sh.n)
+    texts = [dict(zip(sh.s[e - n:e].tolist(), (sh.c * idf[N.idf_bucket(sh.s)])[e - n:e].tolist())) for e, n in zip(ends, sh.n)]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(texts)):
+        for b in range(a):
+            both = sum(min(w, texts[b][s]) for s, w in texts[a].items() if s in texts[b])
+            if both >= 0.8 * (sum(texts[a].values()) + sum(texts[b].values()) - both):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    assert got == {i: find(i) for i in range(len(rows))}
