@@ -12,7 +12,10 @@ of its distinct terms' maxima over super-blocks, then over blocks of ``BLOCK`` p
 bound what any part can score; windows with a block at or above the threshold go
 through block-max WAND, which returns all parts at or above it.  Each found item is verified in the document around
 the window: at least ``overlap`` of the 3-grams of its question and of its answer (its
-last line or sentence; none if it has only one) must occur there.
+last line or sentence; none if it has only one) must occur there.  Of an item longer than
+a part it is enough that this holds for the words of the found part; the answer counts
+where the part holds more than half of it (of ``PART`` words, if it is longer).  The
+overlaps given are those of the whole item.
 
 Words are lower-case without ASCII punctuation.  Edge cases: null or empty texts and
 items without words match nothing; items with a null id are ignored; equal items each
@@ -56,6 +59,14 @@ def question_answer(text: str) -> tuple[list[bytes], list[bytes]]:
     return words_of(text), []
 
 
+def part_of(q: list[bytes], a: list[bytes], part: int) -> tuple[list[bytes], list[bytes]]:
+    """Words of the question and of the answer in an index part, without a lesser piece of the answer."""
+    s = part * (PART // 2)
+    e = s + PART
+    answer = a[max(s - len(q), 0):max(e - len(q), 0)]
+    return q[s:e], answer if 2 * len(answer) > min(len(a), PART) else []
+
+
 def grams(words: list[bytes]) -> set[tuple[bytes, ...]]:
     n = min(3, len(words))
     return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)} if n else set()
@@ -66,9 +77,10 @@ class Index:
 
     def __init__(self, parts: list[tuple[int, dict[bytes, float]]], items: dict):
         self.item = [p[0] for p in parts]
+        self.part = [p[2] if len(p) > 2 else 0 for p in parts]
         self.items = items
         post: dict[bytes, list[tuple[int, float]]] = {}
-        for d, (_, impacts) in enumerate(parts):
+        for d, (_, impacts, *_) in enumerate(parts):
             for t, x in impacts.items():
                 post.setdefault(t, []).append((d, x))
         self.terms = {t: i for i, t in enumerate(sorted(post))}
@@ -153,9 +165,9 @@ def _parts(batches):
 def _shard(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values(["item_id", "copy", "part", "term"])
     parts, items = [], {}
-    for (item, copy, _), g in pdf[pdf["term"].notna()].groupby(["item_id", "copy", "part"], sort=True):
+    for (item, copy, part), g in pdf[pdf["term"].notna()].groupby(["item_id", "copy", "part"], sort=True):
         w = g["impact"].to_numpy(float)
-        parts.append(((int(item), int(copy)), dict(zip(map(bytes, g["term"]), w / w.sum()))))
+        parts.append(((int(item), int(copy)), dict(zip(map(bytes, g["term"]), w / w.sum())), int(part)))
     for r in pdf[pdf["text"].notna()].itertuples():
         items[(int(r.item_id), int(r.copy))] = question_answer(r.text)
     return pd.DataFrame({"shard": [pdf["shard"].iat[0]], "index": [pickle.dumps((parts, items))]})
@@ -248,7 +260,10 @@ def search_texts(index: Index, texts: list[bytes], threshold: float, overlap: fl
             near = [plain[x] for x in ids[start_of[d] + lo:start_of[d] + hi]]
             share = lambda x: (len(grams(x) & _all_grams(near, min(3, len(x)))) / len(grams(x))) if x else 1.0  # noqa: E731,B023
             sq, sa = share(q), share(a)
-            if sq >= overlap and sa >= overlap:
+            found = sq >= overlap and sa >= overlap
+            if not found and room > PART:
+                found = all(share(x) >= overlap for x in part_of(q, a, index.part[part]))
+            if found:
                 old = out.get(key)
                 out[key] = [max(score, old[0]), max(sq, old[1]), max(sa, old[2]), min(k, old[3]), old[4] + 1] if old \
                     else [score, sq, sa, k, 1]

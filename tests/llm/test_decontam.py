@@ -70,3 +70,26 @@ def test_benchmark_table_equals_substring_search(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = sorted((r["doc_id"], r["item_id"]) for r in D.query(spark, sf).collect())
     assert got == sorted((d, i) for d, t in docs for i, x in its if x in t)
+
+
+def test_partly_quoted_long_items(spark):
+    words = [f"unique{i % 200} phrase{i * 7}" for i in range(200)]
+    long = " ".join(words) + ".\nThe reply is short and given here"             # 400 words and an answer
+    middle = " ".join(f"asks{i}" for i in range(100)) + ". This last sentence answers it"
+    essay = "Tell me all.\n" + " ".join(f"essay{i}" for i in range(300))
+    its = items(spark, [(1, long), (2, middle), (3, essay)])
+    filler = " ".join(f"word{i}" for i in range(300))
+    rows = [(10, f"{filler} {' '.join(words[60:135])} {filler}"),              # 150 words of the middle
+            (11, f"{filler} {middle.split('. ')[0]} {filler}"),                # no last sentence
+            (12, f"{filler} {' '.join(essay.split()[100:220])} {filler}"),     # a piece of the answer
+            (13, f"{filler} {' '.join(words[60:68])} {filler}"),               # 16 words
+            (14, f"{filler} The reply is short and given here {filler}"), (15, filler), (16, long)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert pairs(docs, its) == [(10, 1), (11, 2), (12, 3), (16, 1)]
+
+
+def test_words_of_a_part():
+    q, a = list(range(70)), list(range(100, 110))
+    assert D.part_of(q, a, 0) == (q[:64], []) and D.part_of(q, a, 1) == (q[32:], a)
+    assert D.part_of(q[:60], a, 0) == (q[:60], [])                             # less than half of the answer
+    assert D.part_of(q[:2], list(range(200)), 1) == ([], list(range(30, 94)))
