@@ -160,12 +160,12 @@ def _first_pass(batches):
             sh = Shingles(texts[a:b])
             total += np.bincount(idf_bucket(sh.s), minlength=IDF_BUCKETS)
             yield pa.RecordBatch.from_pydict({
-                "doc_id": pa.array(ids[a:b], pa.int64()),
+                "doc_id": pa.array(ids[a:b], pa.int64()), "text_hash": batch.column("text_hash")[a:b],
                 "key": pa.array(sh.keys, pa.string()),
                 "salt": pa.nulls(b - a, pa.int32()), "counts": pa.nulls(b - a, pa.binary())})
     if total.any():
         yield pa.RecordBatch.from_pydict({
-            "doc_id": pa.nulls(1, pa.int64()), "key": pa.nulls(1, pa.string()),
+            "doc_id": pa.nulls(1, pa.int64()), "text_hash": pa.nulls(1, pa.int64()), "key": pa.nulls(1, pa.string()),
             "salt": pa.array([TaskContext.get().partitionId() % 64], pa.int32()),
             "counts": pa.array([total.tobytes()], pa.binary())})
 
@@ -207,6 +207,15 @@ def _own_text(batches):
         yield batch.filter(pa.array([a == b for a, b in zip(Shingles(texts).keys, keys)], pa.bool_()))
 
 
+def _keyed(batches):
+    """(key, text) of every row."""
+    for batch in batches:
+        texts = batch.column("text").to_pylist()
+        for a, b in byte_chunks([t or "" for t in texts], 1 << 20):
+            yield pa.RecordBatch.from_arrays([pa.array(Shingles(texts[a:b]).keys, pa.string()), batch.column("text")[a:b]],
+                                             ["key", "text"])
+
+
 def _verifier(idf):
     def weighted(text):
         sh = Shingles([text])
@@ -244,17 +253,25 @@ def _grown(star: DataFrame | None, links: DataFrame, name: str) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """(doc_id, class_id, n_links): class_id is the least doc_id of the class, n_links
-    the number of verified links of the document's text to other texts."""
+    """(doc_id, class_id, n_links): class_id is the least doc_id of the class (null where
+    no row of it has an id), n_links the number of verified links of the document's text
+    to other texts."""
+    return classed_rows(docs, threshold).select("doc_id", "class_id", "n_links")
+
+
+def classed_rows(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """(doc_id, text_hash, root, class_id, n_links) of every row: ``root`` names the class
+    also where ids are null, ``text_hash`` is the xxhash64 of the row's text."""
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    first = materialize(d.mapInArrow(_first_pass, "doc_id long, key string, salt int, counts binary"), "op3-first")
+    first = materialize(d.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        _first_pass, "doc_id long, text_hash long, key string, salt int, counts binary"), "op3-first")
     tallies = (first.where("counts IS NOT NULL").select("salt", "counts")
                     .groupBy("salt").applyInPandas(_add_counts, "salt int, counts binary")
                     .groupBy("salt").applyInPandas(_add_counts, "salt int, counts binary").collect())
     counts = np.frombuffer(tallies[0]["counts"], np.int64) if tallies else np.zeros(IDF_BUCKETS, np.int64)
     idf = spark.sparkContext.broadcast(_weights(counts))            # fixed size
-    keys = first.where("key IS NOT NULL").select("doc_id", "key")
+    keys = first.where("key IS NOT NULL").select("doc_id", "text_hash", "key")
     nodes = materialize(keys.groupBy("key").agg(F.min("doc_id").alias("doc_id")), "op3-nodes")
 
     bands = materialize(
@@ -272,7 +289,10 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     member = materialize(member.join(shared, "bucket"), "op3-members")
     candidates = member.select("key").distinct()
     texts = (nodes.join(candidates, "key").join(d, "doc_id").select("key", "text")
-                  .mapInArrow(_own_text, "key string, text string").dropDuplicates(["key"]))
+                  .mapInArrow(_own_text, "key string, text string"))
+    # Rows without an id are joined by their key.
+    texts = (texts.unionByName(d.where("doc_id IS NULL").select("text").mapInArrow(_keyed, "key string, text string")
+                                .join(candidates, "key", "left_semi")).dropDuplicates(["key"]))
     texts = materialize(texts, "op3-texts")
 
     def verify(pairs: DataFrame, name: str, agree: int) -> DataFrame:
@@ -335,10 +355,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
                       .select("key", F.coalesce("root", "key").alias("root"), "doc_id",
                               F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
         least = place.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-        place = place.join(least, "root").select("key", "class_id", "n_links")
+        place = place.join(least, "root").select("key", "root", "class_id", "n_links")
     else:
-        place = nodes.select("key", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    return keys.join(place, "key").select("doc_id", "class_id", "n_links")
+        place = nodes.select("key", F.col("key").alias("root"), F.col("doc_id").alias("class_id"),
+                             F.lit(0).cast("long").alias("n_links"))
+    return keys.join(place, "key").select("doc_id", "text_hash", "root", "class_id", "n_links")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -37,13 +37,16 @@ def keep_civil(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class: the one with the least id.
+    """One document of each near-duplicate class: the one with the least id (a null id
+    comes last), of several texts of that id the one with the least hash.
 
     Repeated rows of it collapse to one."""
-    classes = neardup.near_duplicates(docs)
-    best = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.select(*COLUMNS).join(best, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return kept.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    best = (neardup.classed_rows(docs).groupBy("root").agg(F.min(row).alias("r"))
+                   .select(F.col("r.doc_id").alias("_id"), F.col("r.text_hash").alias("_hash")))
+    kept = docs.select(*COLUMNS).withColumn("_text", F.xxhash64("text")).join(
+        best, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_text"]).drop("_text")
 
 
 def keep_clean(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

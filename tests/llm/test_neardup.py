@@ -142,3 +142,16 @@ def test_group_between_near_and_far_equals_all_pairs(spark):
                 x, y = find(a), find(b)
                 parent[max(x, y)] = min(x, y)
     assert got == {i: find(i) for i in range(len(rows))}
+
+
+def test_near_copies_without_ids_are_linked(spark):
+    long = [f"w{i}" for i in range(200)]
+    rows = [(None, " ".join(long)), (None, " ".join(long[:-3])), (None, " ".join(f"z{i}" for i in range(50))), (7, "some other text here now")]
+    got = N.classed_rows(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r["doc_id"]), str(r["class_id"]), r["n_links"]) for r in got) == [
+        ("7", "7", 0), ("None", "None", 0), ("None", "None", 1), ("None", "None", 1)]
+    assert len({r["root"] for r in got}) == 3
+    rows.append((3, " ".join(long[3:])))
+    assert sorted((str(r["doc_id"]), str(r["class_id"])) for r in N.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()) == [
+        ("3", "3"), ("7", "7"), ("None", "3"), ("None", "3"), ("None", "None")]

@@ -42,3 +42,13 @@ def test_empty_and_odd_rows(spark):
         for _, stage in C.STAGES:
             docs = stage(spark, docs, "/root/testdata/sf0.001")
         assert docs.count() <= len(data)
+
+
+def test_rows_of_a_class_are_known_by_their_text(spark):
+    """Null ids and ids of two texts: one row of each class is kept."""
+    copy, far, other = (" ".join(f"{x}{i}" for i in range(100)) for x in "abc")
+    rows = [(None, far), (None, far + " end"), (None, other), (1, copy), (1, copy + " more"), (2, copy + " end"), (2, "lonely words of the second id")]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r["doc_id"], r["text"][:3]) for r in C.keep_one_of_each(spark, df, "").collect()]
+    assert sorted(kept, key=str) == [(1, "a0 "), (2, "lon"), (None, "b0 "), (None, "c0 ")]
