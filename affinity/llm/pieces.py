@@ -16,8 +16,10 @@ nothing else is changed, so decoding gives back the text).
 3. The ``HEAD`` most frequent segments (at most) are broadcast; each text gets the paths
    of its rarer segments by a join, and tasks put the piece ids of whole texts together.
 
-The fold takes time quadratic in a segment's length; segments are a few characters
-except in unbroken strings of letters.
+The fold copies its states and takes time quadratic in a segment's length; segments are
+a few characters except in unbroken strings of letters.  Segments of more than ``LONG``
+characters leave the lattice: their path is found by the same rule in the task that
+encodes the text, in time proportional to their length.
 
 Edge cases: a null or empty text has no pieces; U+2581 in a text stands for a space and
 is decoded as one (``round_trip`` is false there); repeated rows are encoded each; an
@@ -46,6 +48,7 @@ MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 MARK = "▁"
 HEAD = 850_000          # segments broadcast, some 20 MB
 HEAD_CHARS = 32
+LONG = 1024             # characters of the longest segments in the lattice
 MERGE = 1_000_000
 BYTE_0 = 3
 
@@ -66,6 +69,9 @@ class Vocabulary:
                              else p.replace(MARK, " ").encode() if plain else b"")
         self.unknown = min(s for _, _, s in self.rows) - 10.0
         self.longest = max(len(p) for p, _, _ in self.rows)
+        self.best = {}
+        for p, i, x in sorted(self.rows, key=lambda r: (r[0], -r[2], r[1])):
+            self.best.setdefault(p, (i, x))
         inner = sorted({(a, b) for p, _, _ in self.rows for a, b in zip(p, p[1:])})
         letters = sorted({x for pair in inner for x in pair})
         self.letter = np.zeros(0x110000, dtype=np.int32)         # 0: a character inside no pair
@@ -150,6 +156,38 @@ class Segments:
         return flat, np.diff(np.concatenate([[0], ends]))
 
 
+def long_ones(segs: pa.Array) -> np.ndarray:
+    """Which segments are too long for the lattice."""
+    return pc.utf8_length(segs).to_numpy(zero_copy_only=False) > LONG
+
+
+def long_path(seg: str, v: Vocabulary) -> list[int]:
+    """Piece ids of the best path of one segment, by the rule of ``viterbi``."""
+    n = len(seg)
+    back, piece = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int32)
+    last = [0.0]                                      # scores of the last ends, as far as a piece reaches
+    for end in range(1, n + 1):
+        top = None
+        for start in range(max(0, end - v.longest), end):        # the longest last piece first
+            i, x = v.best.get(seg[start:end], (None, 0.0))
+            if i is None:
+                if end - start > 1:
+                    continue
+                i, x = -ord(seg[start]), v.unknown
+            x += last[start - end]
+            if top is None or x > top:
+                top, back[end], piece[end] = x, start, i
+        last.append(top)
+        if len(last) > v.longest:
+            del last[0]
+    out, at = [], n
+    while at:
+        i = int(piece[at])
+        out.extend([i] if i >= 0 else [BYTE_0 + b for b in reversed(chr(-i).encode("utf-8", "surrogatepass"))])
+        at = int(back[at])
+    return out[::-1]
+
+
 def count_segments(docs: DataFrame, path: str = MODEL, partitions: int | None = None) -> DataFrame:
     """(seg, c) over all texts, partitioned by segment.
 
@@ -168,6 +206,9 @@ def count_segments(docs: DataFrame, path: str = MODEL, partitions: int | None =
                 words = np.bincount(g.ids, minlength=len(g.n))
                 c = np.bincount(g.seg_of, weights=np.repeat(words, g.n), minlength=len(g.segs))
                 kept.append(pa.table([g.segs, pa.array(c.astype(np.int64))], names=["seg", "n"]))
+                far = long_ones(g.segs)
+                if far.any():
+                    kept[-1] = kept[-1].filter(pa.array(~far))
                 if sum(t.num_rows for t in kept) > MERGE:
                     kept[:] = [merged()]
                     if kept[0].num_rows > MERGE // 2:
@@ -270,7 +311,7 @@ def _rare(head, path):
             for s, e in row_slices(texts):
                 g = Segments(texts[s:e], v)
                 hash_ = g.hashes()
-                missing = head.value.look_up(hash_) < 0
+                missing = (head.value.look_up(hash_) < 0) & ~long_ones(g.segs)
                 flat, n = g.sequence()
                 doc = np.repeat(np.arange(e - s), n)[missing[flat]] if len(flat) else np.zeros(0, np.int64)
                 key = np.unique(doc * max(len(g.segs), 1) + flat[missing[flat]]) if len(doc) else doc
@@ -305,6 +346,8 @@ def encode_some(texts, doc_ids, rare, h: Paths, v: Vocabulary):
         g = Segments(pa.array(texts[s:e], pa.string()), v)
         hash_ = g.hashes()
         own = {r["h"]: r["ids"] for x in rare[s:e] for r in x or ()}
+        for k in np.flatnonzero(long_ones(g.segs)).tolist():
+            own[int(hash_[k:k + 1].view(np.int64)[0])] = long_path(g.segs[k].as_py(), v)
         lists = list(own.values())
         tail = Paths(np.array(list(own), dtype=np.int64).view(np.uint64),
                      np.array([x for y in lists for x in y], dtype=np.int32),

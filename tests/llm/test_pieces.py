@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from affinity.llm import pieces as P
@@ -67,3 +69,18 @@ def test_fold_equals_plain_viterbi(spark):
 
 def test_empty_table(spark):
     assert P.encode_documents(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_long_runs_without_a_cut(spark):
+    """A path of a long segment equals the lattice's, and 100,000 letters are encoded in whole."""
+    v = P.vocabulary()
+    g = random.Random(5)
+    segs = ["".join(g.choice("abcdeinrst") for _ in range(n)) for n in (1, 7, 60, 300)] + ["aaaaaaaaaaaa", "aéçx€𝄞b"]
+    want = {r["seg"]: list(r["ids"]) for r in P.viterbi(spark.createDataFrame([(s, 1) for s in segs], "seg string, c long")).collect()}
+    assert {s: P.long_path(s, v) for s in segs} == want
+    run = "".join(g.choice("abcdeinrst") for _ in range(100_000))
+    rows = [(1, run), (2, "one two " + run[:5000] + " three"), (3, "one two three")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in P.encode_documents(df).collect()}
+    assert all(got[i]["round_trip"] and got[i]["n_pieces"] == len(got[i]["ids"]) for i, _ in rows)
+    assert P.count_segments(df).where(f"char_length(seg) > {P.LONG}").count() == 0
