@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from affinity.llm import align, decontam, html_main, lm, neardup, pieces, prefix_trie, quality, quotes, sharding, topk, toxicity
+from affinity.llm import align, decontam, html_main, lm, neardup, pieces, prefix_trie, quality, quotes, sharding, suffix_dedup, topk, toxicity
 
 
 def queries():
@@ -18,6 +18,7 @@ def queries():
         "op9_pivot_topk": topk.query,
         "op10_line_crf": quality.query,
         "op11_token_alignment": align.query,
+        "op12_merged_transforms": suffix_dedup.query,
         "op13_zfast_trie": prefix_trie.query,
     }
 

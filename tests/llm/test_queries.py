@@ -13,12 +13,17 @@ CONTRACT = {
             "grown_shard": "int"},
     "op9": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"},
     "op10": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op11": {"doc_id": "bigint", "n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "n_links": "bigint",
+             "n_best": "bigint", "count_sum": "bigint", "groups_sha256": "string"},
+    "op12": {"doc_id": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"},
+    "op13": {"conv_id": "bigint", "depth": "bigint", "parent_conv_id": "bigint", "n_convs": "bigint", "n_children": "bigint",
+             "n_leaves": "bigint", "saved_tokens": "bigint", "ends_sha256": "string"},
 }
 
 
 def test_names_and_registration():
     assert [n.split("_")[0] for n in sorted(queries.queries(), key=lambda n: int(n[2:].split("_")[0]))] == \
-        [f"op{i}" for i in (*range(1, 12), 13)]
+        [f"op{i}" for i in range(1, 14)]
     assert set(queries.queries()) | {"pipeline"} <= set(E.queries())
     assert set(queries.oracle_sql()) <= set(E.oracle_sql())
 
