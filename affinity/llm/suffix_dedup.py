@@ -45,14 +45,15 @@ from affinity.llm.common import row_slices, table, text_bytes
 from affinity.session import materialize, release
 
 LENGTH = 200                     # fixed by the contract
-GRAM = 100                       # bytes of an anchor
+GRAM = 80                        # bytes of an anchor
 WORD = 8                         # bytes of a symbol of the transform; LENGTH is a multiple
 MAX_RUN = 256
 MAX_CONTEXTS = 256
 BUCKET_BYTES, SHARD_BYTES = 2 << 20, 1 << 19
 SLICE_BYTES = 1 << 20
-SALTS = 32
+SALTS = 8
 ROW_BITS = 40
+SIZE_BITS = 9                    # a place: its start, 8 bits of the run's size less one, one bit ``own``
 
 _RNG = np.random.default_rng(20240607)
 BYTE_VALUE = _RNG.integers(1 << 62, size=256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -125,7 +126,8 @@ def _sliding(pick, x: np.ndarray, width: int) -> np.ndarray:
 
 
 def _first_pass(batches):
-    """Rows of the documents, and rows of their runs: places packed by (anchor, context)."""
+    """Rows of the documents, and rows of their runs: the places of an (anchor, context) in
+    a slice of texts are one row, all but the first packed in ``more``."""
     row = TaskContext.get().partitionId() << ROW_BITS
     for batch in batches:
         for lo, hi in row_slices(batch.column("text"), SLICE_BYTES):
@@ -134,11 +136,11 @@ def _first_pass(batches):
             rows = np.arange(row, row + n)
             row += n
             none = lambda k, t: pa.nulls(k, t)
-            longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
             yield pa.RecordBatch.from_pydict({
                 "row": pa.array(rows), "doc_id": batch.column("doc_id")[lo:hi], "body": pa.array(texts, pa.binary()),
-                "anchor": none(n, pa.int64()), "context": none(n, pa.int64()), "size": none(n, pa.int32()),
-                "own": none(n, pa.bool_()), "rows": none(n, longs), "starts": none(n, ints)})
+                "sha": pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
+                "anchor": none(n, pa.int64()), "context": none(n, pa.int64()), "place": none(n, pa.int64()),
+                "k": none(n, pa.int32()), "more": none(n, pa.binary())})
             text, start, size, anchor, context, own = runs(texts)
             if len(text) == 0:
                 continue
@@ -147,14 +149,34 @@ def _first_pass(batches):
             new = np.ones(len(text), bool)
             new[1:] = (anchor[1:] != anchor[:-1]) | (context[1:] != context[:-1])
             head = np.flatnonzero(new)
-            offsets = pa.array(np.append(head, len(text)), pa.int32())
-            k = len(head)
+            m = len(head)
+            count = np.diff(np.append(head, len(text)))
+            place = (start << SIZE_BITS) | ((size - 1) << 1) | own
+            both = np.stack([rows[text], place], axis=1)
+            more = [None] * m
+            for i in np.flatnonzero(count > 1):
+                more[i] = both[head[i] + 1:head[i] + count[i]].tobytes()
             yield pa.RecordBatch.from_pydict({
-                "row": none(k, pa.int64()), "doc_id": none(k, pa.int64()), "body": none(k, pa.binary()),
-                "anchor": pa.array(anchor[head].view(np.int64)), "context": pa.array(context[head].view(np.int64)),
-                "size": pa.array(size[head].astype(np.int32)), "own": pa.array(own[head]),
-                "rows": pa.ListArray.from_arrays(offsets, pa.array(rows[text])),
-                "starts": pa.ListArray.from_arrays(offsets, pa.array(start.astype(np.int32)))})
+                "row": pa.array(rows[text[head]]), "doc_id": none(m, pa.int64()), "body": none(m, pa.binary()),
+                "sha": none(m, pa.string()), "anchor": pa.array(anchor[head].view(np.int64)),
+                "context": pa.array(context[head].view(np.int64)), "place": pa.array(place[head]),
+                "k": pa.array(count.astype(np.int32)), "more": pa.array(more, pa.binary())})
+
+
+def _places(batches):
+    """(row, start, size, cover) of every place of the repeated contexts."""
+    for batch in batches:
+        more = batch.column("more").to_pylist()
+        packed = [np.frombuffer(m, np.int64).reshape(-1, 2) if m else np.zeros((0, 2), np.int64) for m in more]
+        times = np.array([1 + len(p) for p in packed], np.int64)
+        if not len(times):
+            continue
+        first = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("row", "place")], axis=1)
+        both = np.concatenate([first, *packed])
+        who = np.concatenate([np.arange(len(times)), np.repeat(np.arange(len(times)), times - 1)])
+        yield pa.RecordBatch.from_pydict({
+            "row": pa.array(both[:, 0]), "start": pa.array(both[:, 1] >> SIZE_BITS),
+            "size": pa.array(((both[:, 1] >> 1) & (MAX_RUN - 1)) + 1), "cover": batch.column("cover").take(pa.array(who))})
 
 
 def _cut(batches):
@@ -218,10 +240,13 @@ def _ranks(key: np.ndarray, ended: np.ndarray) -> np.ndarray:
     return rank
 
 
-def merge(shards: list[Shard]) -> tuple[np.ndarray, np.ndarray]:
+def merge(shards: list[Shard], only_repeated: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(elements of all shards in merged order, interval of each), elements numbered
     shard after shard in their own order.
 
+    With ``only_repeated``, elements alone in their interval leave after each round: the
+    suffixes that go on to them are alone from the next round on.
+
     Only transforms are read.  Round by round the interleave is ordered by one more word
     ahead; the elements of one shard never change their order among each other within an
     interval, so each round is one stable deal by symbol."""
@@ -237,11 +262,18 @@ def merge(shards: list[Shard]) -> tuple[np.ndarray, np.ndarray]:
     for _ in range(LENGTH // WORD):
         moved = has[z]
         z, interval = z[moved], interval[moved]
+        if len(z) == 0:
+            break
         dealt = np.sort((code[z] << place) | np.arange(len(z), dtype=np.uint64))
         perm, sym = (dealt & np.uint64(0xFFFFFFFF)).astype(np.int64), dealt >> place
         former = interval[perm]
         new = np.ones(len(perm), bool)
         new[1:] = (sym[1:] != sym[:-1]) | (former[1:] != former[:-1])
+        if only_repeated:
+            alone = new.copy()
+            alone[:-1] &= new[1:]
+            z, interval = to[z[perm]][~alone], np.cumsum(new)[~alone]
+            continue
         z = np.concatenate([ends, to[z[perm]]])
         interval = np.concatenate([np.zeros(len(ends), np.int64), np.cumsum(new)])
     return z, interval
@@ -258,7 +290,7 @@ def repeated_starts(strings: list[bytes]) -> list[np.ndarray]:
         groups[-1].append(i)
         size += len(s)
     shards = [Shard([strings[i] for i in g]) for g in groups]
-    z, interval = merge(shards)
+    z, interval = merge(shards, only_repeated=True)
     owner = np.concatenate([np.asarray(g)[s.string[s.order]] for g, s in zip(groups, shards)])[z]
     at = np.concatenate([s.at[s.order] for s in shards])[z]
     lens = np.array([len(s) for s in strings])
@@ -323,10 +355,13 @@ def _remove(batches):
     """Counts and the hash of what is left of every document."""
     for batch in batches:
         out = []
-        for body, spans in zip(batch.column("body").to_pylist(), batch.column("spans").to_pylist()):
+        for body, sha, spans in zip(*(batch.column(c).to_pylist() for c in ("body", "sha", "spans"))):
+            if not spans:
+                out.append((len(body), 0, 0, sha))
+                continue
             n = len(body)
             edge = np.zeros(n + 1, np.int32)
-            for s in spans or ():
+            for s in spans:
                 if s["cover"] is None:
                     first, last = np.array([s["start"]]), np.array([s["start"] + s["size"] - 1])
                 else:
@@ -336,7 +371,7 @@ def _remove(batches):
                 np.add.at(edge, last + LENGTH, -1)
             gone = np.cumsum(edge[:n]) > 0
             starts = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-            kept = np.frombuffer(body, np.uint8)[~gone].tobytes() if starts else body
+            kept = np.frombuffer(body, np.uint8)[~gone].tobytes()
             out.append((n, n - len(kept), starts, hashlib.sha256(kept).hexdigest()))
         n, removed, spans, sha = zip(*out) if out else ((), (), (), ())
         yield pa.RecordBatch.from_pydict({
@@ -347,26 +382,29 @@ def _remove(batches):
 def remove_repeats(docs: DataFrame, max_contexts: int = MAX_CONTEXTS, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    first = materialize(d.mapInArrow(_first_pass, "row long, doc_id long, body binary, anchor long, context long, size int, own boolean, "
-                                     "rows array<long>, starts array<int>"), "op12-runs")
-    base = first.where("row IS NOT NULL").select("row", "doc_id", "body")
-    run = first.where("row IS NULL").select("anchor", "context", "size", "own", "rows", "starts")
-    ctx = materialize(run.groupBy("anchor", "context").agg(
-        F.sum(F.size("rows")).cast("long").alias("n"), F.first("size").alias("size"), F.max("own").alias("own"),
-        F.min(F.struct(F.col("rows")[0].alias("row"), F.col("starts")[0].alias("start"))).alias("at")), "op12-contexts")
-    # Contexts and places per anchor; the totals go back to at most SALTS rows an anchor.
-    salt = F.pmod(F.col("context"), F.lit(SALTS)).alias("salt")
-    cell = ctx.groupBy("anchor", salt).agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("t"), F.max("own").alias("own"))
-    whole = (cell.groupBy("anchor").agg(F.sum("c").alias("m"), F.sum("t").alias("t"), F.max("own").alias("own"))
-                 .where("t > 1 OR own").select("anchor", "m"))
+    first = materialize(d.mapInArrow(_first_pass, "row long, doc_id long, body binary, sha string, anchor long, context long, "
+                                     "place long, k int, more binary"), "op12-runs")
+    base = first.where("sha IS NOT NULL").select("row", "doc_id", "body", "sha")
+    run = first.where("sha IS NULL").select("row", "anchor", "context", "place", "k", "more")
+    # Anchors that occur twice (in one run or in several), once for every salt.
+    again = (run.groupBy("anchor").agg(F.sum("k").alias("t"), F.max(F.col("place") % 2).alias("own")).where("t > 1 OR own = 1")
+                .select("anchor", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
+    salt = F.pmod(F.col("context"), F.lit(SALTS)).cast("int")
+    run = materialize(run.withColumn("salt", salt).join(again, ["anchor", "salt"], "left_semi"), "op12-again")
+    ctx = materialize(run.groupBy("anchor", "context", "salt").agg(
+        F.sum("k").alias("n"), F.min(F.struct("row", "place")).alias("at")), "op12-contexts")
+    # Contexts per anchor; the totals go back to at most SALTS rows an anchor.
+    cell = ctx.groupBy("anchor", "salt").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("least"))
+    whole = (cell.groupBy("anchor").agg(F.sum("c").alias("m"), F.min("least").alias("least")).where("least = 1").select("anchor", "m"))
     tag = cell.select("anchor", "salt").join(whole, "anchor")
-    shared = materialize(ctx.withColumn("salt", salt).join(tag, ["anchor", "salt"]).drop("salt"), "op12-shared")
-    release(ctx)
-
-    several = shared.where("m > 1 OR n = 1")          # n = 1 alone: a run with its anchor twice
-    want = several.groupBy(F.col("at.row").alias("row")).agg(F.collect_list(F.struct(       # contexts of one document
-        "anchor", "context", "n", "m", "size", F.col("at.start").alias("start"))).alias("want"))
-    texts = materialize(want.join(base.select("row", "body"), "row").select("body", "want").mapInArrow(
+    several = materialize(ctx.join(tag, ["anchor", "salt"]).select(
+        "anchor", "context", "n", "m", F.col("at.row").alias("row"), (F.shiftright("at.place", 1).bitwiseAND(MAX_RUN - 1) + 1).alias("size"),
+        F.shiftright("at.place", SIZE_BITS).alias("start")), "op12-several")
+
+    # Sorted joins at every size: neither side of these has a size bound.
+    want = several.groupBy("row").agg(F.collect_list(F.struct("anchor", "context", "n", "m", "size", "start")).alias("want"))
+    bodies = base.select("row", "body")
+    texts = materialize(bodies.join(want.hint("merge"), "row").select("body", "want").mapInArrow(
         _cut, "anchor long, context long, n long, m long, size int, body binary"), "op12-texts")
     cold = texts.where(F.col("m") <= max_contexts)
     total = cold.agg(F.sum(F.length("body"))).first()[0] or 0
@@ -375,15 +413,16 @@ def remove_repeats(docs: DataFrame, max_contexts: int = MAX_CONTEXTS, bucket_byt
                   .select("bucket", "anchor", "context", "n", "body").groupBy("bucket")
                   .applyInPandas(_bucket, "anchor long, context long, cover binary"))
     hot = texts.where(F.col("m") > max_contexts)
-    settled = shared.where("n > 1").select("anchor", "context", F.lit(None).cast("binary").alias("cover"))
+    settled = ctx.where("n > 1").select("anchor", "context", F.lit(None).cast("binary").alias("cover"))
     marked = materialize(settled.unionByName(marked).unionByName(_hot(hot)) if not hot.isEmpty()
                          else settled.unionByName(marked), "op12-marked")
-    release(texts)
-    spans = (run.join(marked, ["anchor", "context"])
-                .select("size", "cover", F.explode(F.arrays_zip("rows", "starts")).alias("p"))
-                .groupBy(F.col("p.rows").alias("row"))                                           # runs of one document
-                .agg(F.collect_list(F.struct(F.col("p.starts").alias("start"), "size", "cover")).alias("spans")))
-    return base.join(spans, "row", "left").select("doc_id", "body", "spans").mapInArrow(
+    for done in (texts, several, ctx):
+        release(done)
+    spans = materialize(run.join(marked, ["anchor", "context"]).select("row", "place", "more", "cover")
+                           .mapInArrow(_places, "row long, start long, size long, cover binary")
+                           .groupBy("row").agg(F.collect_list(F.struct("start", "size", "cover")).alias("spans")), "op12-spans")
+    release(run)
+    return base.join(spans.hint("merge"), "row", "left").select("doc_id", "body", "sha", "spans").mapInArrow(
         _remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
