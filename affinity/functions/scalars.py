@@ -87,17 +87,30 @@ def _literal_parser(schema: T.ArrayType):
     return parse
 
 
+JSON_OPTIONS = {"allowSingleQuotes": "true", "allowNonNumericNumbers": "false", "mode": "PERMISSIVE"}
+
+
 def _read_by_json(raw: Column, parsed: Column, schema: T.ArrayType) -> Column:
-    """Whether the JSON reading of a literal is sure to equal ``ast.literal_eval``'s:
-    one list, no escapes, no bare words, no number where text is declared, and
-    every declared field read.  All else goes to the fallback."""
-    texts = "|".join(f.name for f in schema.elementType.fields if isinstance(f.dataType, T.StringType))
-    whole = F.exists(parsed, lambda e: e.isNull() | F.array_contains(
-        F.array(*[e[f.name].isNull() for f in schema.elementType.fields]), True))
-    return (parsed.isNotNull() & ~F.coalesce(whole, F.lit(True))
-            & raw.rlike(r"^\s*\[") & ~raw.contains("\\") & ~raw.rlike(r"\]\s*[^\s]") & raw.rlike(r"\]\s*$")
-            & ~raw.rlike(r"[:\[,]\s*[A-Za-z+]") & ~raw.rlike(r"/[/*]")
-            & ~raw.rlike(rf"['\"](?:{texts})['\"]\s*:\s*[-.\d]"))
+    """Whether the JSON reading of a literal is sure to equal ``ast.literal_eval``'s: one
+    list without escapes, and every declared field read.  All else goes to the fallback.
+
+    JSON refuses comments, unquoted keys, None, NaN and words outside values.  What it
+    reads as text without quotes (numbers, true, false, nested values) is told by the
+    text it gives; quoted texts that look like that take the fallback too, which reads
+    them the same way.  No pattern is run over the cell."""
+    cell = F.btrim(raw, F.lit(" \t\r\n"))
+
+    def doubtful(e):
+        some = e.isNull()
+        for f in schema.elementType.fields:
+            v = e[f.name]
+            some = some | v.isNull()
+            if isinstance(f.dataType, T.StringType):
+                some = some | F.left(v, F.lit(1)).isin(*"-.0123456789{[") | v.isin("true", "false")
+        return some
+
+    return (parsed.isNotNull() & cell.startswith("[") & (F.instr(cell, "]") == F.length(cell)) & ~raw.contains("\\")
+            & ~F.exists(parsed, doubtful))
 
 
 def with_nested(df, col: str, schema: T.ArrayType = GENRE_LIST, out: str | None = None):
@@ -117,8 +130,9 @@ def with_nested(df, col: str, schema: T.ArrayType = GENRE_LIST, out: str | None
     out = out or col
     raw = F.col(col)
     tmp = f"_json_{out}"
-    df = df.withColumn(tmp, F.from_json(raw, schema, {"allowSingleQuotes": "true", "mode": "PERMISSIVE"}))
-    fast_ok = _read_by_json(raw, F.col(tmp), schema)
+    df = df.withColumn(tmp, F.from_json(raw, schema, JSON_OPTIONS))
+    ok = f"_ok_{out}"                       # a column of its own: read twice, computed once
+    df = df.withColumn(ok, F.coalesce(_read_by_json(raw, F.col(tmp), schema), F.lit(False)))
     parse = _literal_parser(schema)
 
     @F.pandas_udf(schema)
@@ -127,8 +141,8 @@ def with_nested(df, col: str, schema: T.ArrayType = GENRE_LIST, out: str | None
         return pd.Series([parse(t) if isinstance(t, str) else None for t in texts], dtype=object)
 
     slow_parse = slow_parse.asNondeterministic()
-    return (df.withColumn(out, F.when(fast_ok, F.col(tmp)).otherwise(slow_parse(F.when(~F.coalesce(fast_ok, F.lit(False)), raw))))
-              .drop(tmp))
+    return (df.withColumn(out, F.when(F.col(ok), F.col(tmp)).otherwise(slow_parse(F.when(~F.col(ok), raw))))
+              .drop(tmp, ok))
 
 
 # F6 -------------------------------------------------------------------------

@@ -38,6 +38,17 @@ LITERALS = [
     ("[{'id': 7, 'name': 'a]b, c'}]", [(7, "a]b, c")]),
     ("[{'id': 8, 'name': 'x'}, None]", None),
     ("  [ {'id': 9 , 'name' : 'sp'} ] ", [(9, "sp")]),
+    ("[{'id': 10, 'name': true}]", None),
+    ("[{'id': 10, 'name': 'true'}]", [(10, "true")]),
+    ("[{'id': 11, 'name': '50 Cent'}, {'id': 12, 'name': '-x'}]", [(11, "50 Cent"), (12, "-x")]),
+    ("[{'id': 13, 'name': {'a': 1}}]", [(13, "{'a': 1}")]),
+    ("[{'id': 14, 'name': NaN}]", None),
+    ("[{'id': 15, 'name': 'a' 'b'}]", [(15, "ab")]),
+    ("[{'id': 16, 'name': 'x // y', 'id': 17}]", [(17, "x // y")]),
+    ("[{'id': 18, 'name': 'x'} // note\n]", None),
+    ("[{'id': 19, 'name': 'x'},]", [(19, "x")]),
+    ("[{'id': 0x14, 'name': 'x'}]", [(20, "x")]),
+    ("[{'id': 1e2, 'name': 'x: y'}]", [(100, "x: y")]),
 ]
 
 
