@@ -7,8 +7,9 @@ d_ui = r_ui - mu_u on rated cells (sum_i d_ui = 0):
     dot(u, v) = M * mu_u * mu_v + sum_{co-rated i} d_ui * d_vi
     |u|^2     = M * mu_u^2 + sum_i d_ui^2
 
-so the similarity is ``tiles.cosine_topk`` with alpha_u = sqrt(M) * mu_u over
-the sparse deviations - exact, with no dense matrix and no pair list.
+so the similarity has a rank-one term alpha_u = sqrt(M) * mu_u over the sparse
+deviations, and ``bounded.cosine_topk`` finds the neighbours exactly: co-raters by a
+join, all others from the top of a list sorted by that term (no dense matrix).
 
 Recommendation scores use the same split: the imputed value of v on item i
 is mu_v + d_vi, so for the k neighbours N(u)
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinity.operators import tiles
+from affinity.operators import bounded
 from affinity.operators.ids import dense_index
 from affinity.operators.ranking import rank_key, user_mean_rating
 from affinity.session import materialize
@@ -55,7 +56,7 @@ def user_neighbors(cells: DataFrame, k: int = NEIGHBOURS, **kw) -> DataFrame:
         F.sqrt(m_items * F.col("mu") * F.col("mu") + F.coalesce(F.col("ss"), F.lit(0.0))).alias("norm"))
     entries = dev.select(F.col("user_id").alias("row_id"), F.col("mov_id").alias("col_id"),
                          F.col("d").alias("value"))
-    nb = tiles.cosine_topk(entries, info, k, exclude_zero=False, **kw)
+    nb = bounded.cosine_topk(entries, info, k, **kw)
     return nb.select(F.col("row_id").alias("user_id"), F.col("other_id").alias("neighbor_id"),
                      "sim", "rank")
 

@@ -41,9 +41,10 @@ def test_written_stages_hold_no_cross_products(spark, stage_plans, name):
         assert "BatchEvalPython" not in plan
 
 
-def test_neighbour_tiles_are_computed_once(spark, stage_plans):
+def test_neighbour_pairs_are_computed_once(spark, stage_plans):
     final = _plan(spark, "recommend_user_cf")
-    assert sum(p.count("FlatMapGroupsInPandas") for p in [*stage_plans, final]) == 1
+    assert sum(bool(re.search(r"HashAggregate\(keys=\[u#\d+L, v#\d+L\], functions=\[sum", p)) for p in [*stage_plans, final]) == 1
+    assert not any("FlatMapGroupsInPandas" in p for p in [*stage_plans, final])
 
 
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - FILE_QUERIES))

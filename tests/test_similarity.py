@@ -54,7 +54,7 @@ def test_user_neighbors_match_dense_imputed_cosine(spark):
     cells, p, imp, sim = _dense_user_cosine(spark)
     ids = list(p.index)
     want = _brute_topk(ids, sim, 5, False)
-    got = collab.user_neighbors(cells, 5, max_rows_per_block=40).toPandas()
+    got = collab.user_neighbors(cells, 5, hot_limit=10).toPandas()
     got_lists = got.sort_values(["user_id", "rank"]).groupby("user_id")["neighbor_id"].apply(list).to_dict()
     assert got_lists == want
     idx = {u: i for i, u in enumerate(ids)}
@@ -126,7 +126,7 @@ def test_user_cf_exact_under_hot_user_and_hot_item(spark):
     v = imp.to_numpy()
     sim = (v @ v.T) / np.outer(np.linalg.norm(v, axis=1), np.linalg.norm(v, axis=1))
     ids = list(p.index)
-    nb = collab.user_neighbors(cells, 5, max_rows_per_block=16)
+    nb = collab.user_neighbors(cells, 5, hot_limit=4)
     got = nb.toPandas().sort_values(["user_id", "rank"]).groupby("user_id")["neighbor_id"].apply(list).to_dict()
     assert got == _brute_topk(ids, sim, 5, False)
     rec = collab.recommend_user_cf(cells, nb, 10).toPandas()
