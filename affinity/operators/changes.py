@@ -39,9 +39,13 @@ def apply_rating_changes(snapshot: DataFrame, log: DataFrame) -> DataFrame:
 
 
 def append_new_items(existing: DataFrame, incoming: DataFrame, key: str = "mov_id") -> DataFrame:
-    """M2: insert incoming rows whose key is absent (existing rows win)."""
+    """M2: insert incoming rows whose key is absent (existing rows win).  Of incoming rows
+    with one key the least row (by all columns) is inserted; rows without a key are not."""
     cols = existing.columns
-    new = incoming.select(*cols).join(existing.select(key), key, "left_anti")
+    rest = [c for c in cols if c != key]
+    one = (incoming.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*rest)).alias("_r")).select(key, "_r.*").select(*cols)
+           if rest else incoming.where(F.col(key).isNotNull()).select(key).distinct())
+    new = one.join(existing.select(key), key, "left_anti")
     return existing.unionByName(new)
 
 
@@ -49,21 +53,24 @@ def append_new_users(existing: DataFrame, signups: DataFrame) -> DataFrame:
     """M3: register-if-absent on username, first signup wins; new ids follow max id.
 
     signups: (username, name, seq).  New ids are max(existing) + 1 + the
-    dense rank of the signup's seq (no single-partition window).
+    dense rank of (seq, username), so names with one seq get ids of their own (no
+    single-partition window).
     """
-    first = (signups.groupBy("username").agg(F.min_by(F.struct("name", "seq"), F.col("seq")).alias("f"))
+    first = (signups.groupBy("username").agg(F.min(F.struct("seq", "name")).alias("f"))
                     .select("username", F.col("f.name").alias("name"), F.col("f.seq").alias("seq")))
     new = first.join(existing.select("username"), "username", "left_anti")
-    idx = dense_index(new, "seq")
+    new = new.withColumn("_place", F.struct("seq", "username"))
+    idx = dense_index(new, "_place")
     top = existing.agg(F.max("user_id")).scalar()
-    added = new.join(idx, "seq").select(
+    added = new.join(idx, "_place").select(
         (F.coalesce(top, F.lit(-1)) + 1 + F.col("idx")).cast("long").alias("user_id"), "username", "name")
     return existing.select("user_id", "username", "name").unionByName(added)
 
 
 def onboarding_sample(movies: DataFrame, n: int = ONBOARD_N, seed: int = SAMPLE_ADD) -> DataFrame:
     """O2/M4: n catalogue movies in a seeded pseudo-random order (top-k, no sort of all)."""
-    h = F.pmod(F.col("mov_id") * SAMPLE_MUL + F.lit(seed), F.lit(SAMPLE_MOD))
+    # The remainder first: the product of a large id would leave the long range.
+    h = F.pmod(F.pmod(F.col("mov_id"), F.lit(SAMPLE_MOD)) * SAMPLE_MUL + F.lit(seed), F.lit(SAMPLE_MOD))
     return (movies.withColumn("draw", h).orderBy("draw", "mov_id").limit(n)
                   .select("mov_id", "name", "draw"))
 

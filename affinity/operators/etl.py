@@ -169,10 +169,12 @@ def user_favorite_genre(users: DataFrame, rate: DataFrame, item_genre: DataFrame
               .orderBy(F.desc("count"), F.asc("genre_id")).limit(1))
     fallback = common.select("genre_id").scalar()
     uid = F.col("user_id")
+    # The remainder first: products of large ids would leave the long range.
+    draw = lambda mul, mod: F.pmod(F.pmod(uid, F.lit(mod)) * mul, F.lit(mod))
     birthday = F.make_date(
-        (F.lit(BIRTH_YEAR_FROM) + F.pmod(uid * 7919, F.lit(BIRTH_YEARS))).cast("int"),
-        (F.lit(1) + F.pmod(uid * 31, F.lit(12))).cast("int"),
-        (F.lit(1) + F.pmod(uid * 17, F.lit(BIRTH_DAYS))).cast("int"))
+        (F.lit(BIRTH_YEAR_FROM) + draw(7919, BIRTH_YEARS)).cast("int"),
+        (F.lit(1) + draw(31, 12)).cast("int"),
+        (F.lit(1) + draw(17, BIRTH_DAYS)).cast("int"))
     return (users.join(best, "user_id", "left")
                  .select("user_id", "name", "username",
                          F.coalesce(F.col("fav"), fallback).alias("genre_id"),

@@ -258,8 +258,9 @@ def stage_counts(ratings: DataFrame, min_item: int, min_user: int) -> DataFrame:
     pairs = ratings.groupBy("user_id", "mov_id").agg(F.count("*").alias("n"))
     items = (pairs.groupBy(F.col("mov_id").alias("_i")).agg(F.sum("n").alias("ni")))
     users = (pairs.groupBy(F.col("user_id").alias("_u")).agg(F.sum("n").alias("nu")))
-    j = pairs.join(items, F.col("mov_id") == F.col("_i")).join(users, F.col("user_id") == F.col("_u"))
-    core = (F.col("ni") > min_item) & (F.col("nu") > min_user)
+    # Left joins: rows without a key count as rows, but belong to no item or user.
+    j = (pairs.join(items, F.col("mov_id") == F.col("_i"), "left").join(users, F.col("user_id") == F.col("_u"), "left"))
+    core = F.coalesce((F.col("ni") > min_item) & (F.col("nu") > min_user), F.lit(False))
     train = core & ~is_test_pair()
     total = lambda cond, what: F.coalesce(F.sum(F.when(cond, what)), F.lit(0)).cast("long")
     sums = j.agg(total(F.lit(True), F.col("n")).alias("a"), F.count("*").alias("b"), total(core, F.col("n")).alias("c"),
