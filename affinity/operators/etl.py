@@ -203,31 +203,32 @@ def load_all(raw_movies: DataFrame, raw_credits: DataFrame, raw_ratings: DataFra
     """Parse each raw input once, derive the 11 tables, load them parents first.
 
     The parsed raw frames are written once (lineage cut) and every table is
-    derived from them; each table is replace-loaded under ``base_path`` in
-    foreign-key order.  Returns (step, tbl, rows) read back from the loaded
-    tables.
+    derived from them; all tables are staged and published by one commit, so a
+    load that fails leaves the tables of the one before.  Returns (step, tbl,
+    rows) read back from the loaded tables.
     """
-    from affinity.session import materialize
-    from affinity.sources.files import LOAD_ORDER, load_table
+    from affinity.session import materialize, release
+    from affinity.sources.files import LOAD_ORDER, Catalog
 
     rm = materialize(with_nested(raw_movies, "genres", GENRE_LIST), "raw-movies")
     rc = materialize(with_nested(with_nested(raw_credits, "cast", CAST_LIST), "crew", CREW_LIST),
                      "raw-credits")
-    loaded: dict[str, DataFrame] = {}
-    loaded["website"] = load_table(etl_website(rm), f"{base_path}/website", "website")
-    loaded["movie"] = load_table(etl_item(rm), f"{base_path}/movie", "movie")
-    item = loaded["movie"]
-    loaded["link"] = load_table(etl_link(rm, item), f"{base_path}/link", "link")
-    loaded["genre"] = load_table(etl_genre(rm), f"{base_path}/genre", "genre")
-    rate = load_table(etl_rating(raw_ratings, item), f"{base_path}/rate", "rate")
-    belong = load_table(etl_item_genre(rm, item), f"{base_path}/belong_to", "belong_to")
-    loaded["user_most_like"] = load_table(user_favorite_genre(users, rate, belong),
-                                          f"{base_path}/user_most_like", "user_most_like")
-    loaded["rate"], loaded["belong_to"] = rate, belong
-    loaded["director"] = load_table(etl_director(rc), f"{base_path}/director", "director")
-    loaded["mov_cast"] = load_table(etl_cast(rc), f"{base_path}/mov_cast", "mov_cast")
-    loaded["direct"] = load_table(etl_item_director(rc, item), f"{base_path}/direct", "direct")
-    loaded["act"] = load_table(etl_item_cast(rc, item), f"{base_path}/act", "act")
+    catalog = Catalog(raw_movies.sparkSession, base_path)
+    with catalog.load() as load:
+        load.write("website", etl_website(rm))
+        item = load.write("movie", etl_item(rm))
+        load.write("link", etl_link(rm, item))
+        load.write("genre", etl_genre(rm))
+        rate = load.write("rate", etl_rating(raw_ratings, item))
+        belong = load.write("belong_to", etl_item_genre(rm, item))
+        load.write("user_most_like", user_favorite_genre(users, rate, belong))
+        load.write("director", etl_director(rc))
+        load.write("mov_cast", etl_cast(rc))
+        load.write("direct", etl_item_director(rc, item))
+        load.write("act", etl_item_cast(rc, item))
+    release(rm)
+    release(rc)
+    loaded = {name: catalog.read(name) for name in LOAD_ORDER}
     out = None
     for i, name in enumerate(LOAD_ORDER):
         c = loaded[name].agg(F.count("*").alias("rows")).select(

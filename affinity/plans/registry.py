@@ -354,7 +354,7 @@ def _reject_literals(spark, d):
 @register("csv_scan")
 def _csv_scan(spark, d):
     path = files.write_csv(raw.raw_movies(spark, d).drop("pos"), files.scratch_path(spark, "raw_movies_csv"))
-    return files.read_csv(spark, path, columns=["title", "id", "runtime", "genres", "imdb_id"])
+    return files.read_csv_parallel(spark, path, columns=["title", "id", "runtime", "genres", "imdb_id"])
 
 
 @register("load_table")
