@@ -50,9 +50,12 @@ def keep_one_of_each(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_clean(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    leaks = decontam.find_leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.select(*COLUMNS).join(leaks, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    """Documents that hold no benchmark item: each row goes by its own text, also where
+    rows share an id or have none."""
+    rows = docs.select(*COLUMNS).withColumn("_row", F.xxhash64("text"))
+    leaks = (decontam.find_leaks(rows.select(F.col("_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+                     .select(F.col("doc_id").alias("_row")).distinct())
+    return rows.join(leaks, "_row", "left_anti").select(*COLUMNS)
 
 
 def encode(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
