@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.operators.ids import dense_index
+from affinity.session import materialize, release
 
 KEY = ["mov_id", "user_id"]
 ONBOARD_N = 8                       # fixed value (reference): onboarding movies
@@ -38,6 +39,48 @@ def apply_rating_changes(snapshot: DataFrame, log: DataFrame) -> DataFrame:
     return untouched.unionByName(changed)
 
 
+SNAPSHOT_PARTS = 64      # partitions of a clustered snapshot
+
+
+def _part(parts: int) -> F.Column:
+    return F.pmod(F.xxhash64(*KEY), F.lit(parts)).cast("int").alias("part")
+
+
+def write_snapshot(snapshot: DataFrame, path: str, parts: int = SNAPSHOT_PARTS) -> None:
+    """The rating snapshot clustered by hashed key: (mov_id, user_id) decides the folder."""
+    (snapshot.select(*KEY, "grade", "review", _part(parts)).repartition(parts, "part")
+             .write.mode("overwrite").partitionBy("part").parquet(path))
+
+
+def merge_rating_changes(spark, path: str, log: DataFrame, parts: int = SNAPSHOT_PARTS) -> int:
+    """M1 in place: fold a change log into a snapshot that ``write_snapshot`` wrote, reading
+    and rewriting only the partitions the log touches; returns their number.
+
+    The new rows are computed in full before any file is replaced (dynamic partition
+    overwrite); a partition that loses its last row is removed.  ``parts`` is the
+    number the snapshot was written with."""
+    schema = "mov_id long, user_id long, grade double, review string, part int"
+    marked = materialize(log.withColumn("part", _part(parts)), "merge-log")
+    touched = [r["part"] for r in marked.select("part").distinct().collect()]        # at most ``parts`` numbers
+    if not touched:
+        return 0
+    old = spark.read.schema(schema).parquet(path).where(F.col("part").isin(touched)).drop("part")
+    new = materialize(apply_rating_changes(old, marked.drop("part")).select(*KEY, "grade", "review", _part(parts)), "merge-rows")
+    left = {r["part"] for r in new.select("part").distinct().collect()}
+    (new.repartition(len(touched), "part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("part").parquet(path))
+    for part in set(touched) - left:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/part={part}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    release(marked)
+    release(new)
+    return len(touched)
+
+
+def read_snapshot(spark, path: str) -> DataFrame:
+    return spark.read.schema("mov_id long, user_id long, grade double, review string, part int").parquet(path).drop("part")
+
+
 def append_new_items(existing: DataFrame, incoming: DataFrame, key: str = "mov_id") -> DataFrame:
     """M2: insert incoming rows whose key is absent (existing rows win).  Of incoming rows
     with one key the least row (by all columns) is inserted; rows without a key are not."""

@@ -300,6 +300,8 @@ UNION ALL SELECT 'director', director_id, name, CAST(gender AS VARCHAR) FROM dir
 UNION ALL (SELECT 'cast', s_suppkey, s_name FROM supplier WHERE s_name ILIKE '%R%' ORDER BY s_suppkey LIMIT 10)
 UNION ALL (SELECT 'director', director_id, name FROM director WHERE name ILIKE '%R%' ORDER BY director_id LIMIT 10)"""
 
+    q["search_names_indexed"] = q["search_names"].replace("'%R%'", "'%ER#0%01%'")
+
     # etl -------------------------------------------------------------------
     q["etl_item"] = """
 SELECT p_name AS name, p_partkey AS mov_id, 'en' AS language, p_size AS runtime,
@@ -533,6 +535,8 @@ SELECT mov_id, user_id, grade, review FROM rate r
 WHERE NOT EXISTS (SELECT 1 FROM log k WHERE k.mov_id = r.mov_id AND k.user_id = r.user_id)
 UNION ALL SELECT mov_id, user_id, grade, review FROM changed"""
 
+    q["merge_rating_changes"] = q["apply_rating_changes"]
+
     q["append_new_items"] = f"""WITH {MOVIE}
 SELECT CASE WHEN runtime <= 40 THEN name ELSE 'New ' || name END AS name, mov_id, runtime, revenue FROM movie"""
     q["onboarding_fold"] = f"""WITH {RATE},

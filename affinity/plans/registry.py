@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 
 from affinity.functions import scalars
 from affinity.operators import (changes, collab, content, etl, evaluate, factor, ids, integrity,
-                                lookup, ranking)
+                                lookup, name_index, ranking)
 from affinity.sources import files, raw
 from affinity.session import materialize
 from affinity.sources import testdata as td
 
 MIN_ITEM, MIN_USER = 30, 10
 SEARCH_TEXT = "R"
+INDEXED_TEXT = "ER#0%01"
 HOLDOUT_PAIRS = 10_000                       # exact hold-out size
 # Keys of the point lookups (page requests for these entities).
 ITEM_KEYS, PERSON_KEYS = (3, 17, 58, 131, 10 ** 12), (1, 2, 5, 10 ** 12)
@@ -229,6 +230,21 @@ def _search_names(spark, d):
                                SEARCH_TEXT)
 
 
+def _search_index(spark, d, text):
+    path = files.scratch_path(spark, "name-index")
+    names = [(td.movies(spark, d), "movie", "mov_id"), (td.cast_members(spark, d), "cast", "cast_id"),
+             (td.directors(spark, d), "director", "director_id")]
+    parts = [df.select(F.lit(e).alias("entity"), F.col(k).cast("long").alias("id"), "name") for df, e, k in names]
+    name_index.build_index(parts[0].unionByName(parts[1]).unionByName(parts[2]), path)
+    return name_index.search(spark, path, text)
+
+
+@register("search_names_indexed")
+def _search_names_indexed(spark, d):
+    # Trigrams of both fixed stretches, a wildcard between them.
+    return _search_index(spark, d, INDEXED_TEXT)
+
+
 @register("link_by_item")
 def _link_by_item(spark, d):
     rm = raw.raw_movies(spark, d)
@@ -507,6 +523,15 @@ def _apply_changes(spark, d):
     return changes.apply_rating_changes(td.rate_table(spark, d), td.change_log(spark, d))
 
 
+@register("merge_rating_changes")
+def _merge_changes(spark, d):
+    # The change log folded into a written snapshot, partition by partition.
+    path = files.scratch_path(spark, "rate-snapshot")
+    changes.write_snapshot(td.rate_table(spark, d), path)
+    changes.merge_rating_changes(spark, path, td.change_log(spark, d))
+    return changes.read_snapshot(spark, path)
+
+
 @register("append_new_items")
 def _append_items(spark, d):
     # The incoming batch renames every movie: rows that exist keep their name.
