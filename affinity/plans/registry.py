@@ -667,9 +667,15 @@ def _als_rmse(spark, d):
     return factor.als_fit_rmse(cells, test)
 
 
+_MODELS: dict[str, files.Catalog] = {}       # one model catalogue an application
+
+
 def _als_recs(spark, d, n):
-    cells = _train(spark, d)
-    return factor.recommend_als(factor.fit_als(cells), n)
+    app = spark.sparkContext.applicationId
+    if app not in _MODELS:
+        _MODELS[app] = files.Catalog(spark, files.scratch_path(spark, "models"))
+    version = factor.input_version(td.ratings(spark, d))
+    return factor.recommend_als(factor.stored_als(_MODELS[app], lambda: _train(spark, d), version), n)
 
 
 @register("recommend_als")

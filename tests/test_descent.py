@@ -98,3 +98,25 @@ def test_large_ids_and_repeated_keys(spark):
     rate = spark.createDataFrame([(3 * 10 ** 15, 7, 2.0)], "user_id long, mov_id long, grade double")
     ig = spark.createDataFrame([(7, 2)], "mov_id long, genre_id long")
     assert etl.user_favorite_genre(big, rate, ig).first()["genre_id"] == 2
+
+
+def test_a_stored_model_scores_without_a_fit(spark, tmp_path):
+    from affinity.sources.files import Catalog
+    rows = planted(n=400)
+    path = str(tmp_path / "r")
+    spark.createDataFrame(rows, "user_id long, mov_id long, grade double").write.parquet(path)
+    cells = spark.read.parquet(path)
+    cat, version = Catalog(spark, str(tmp_path / "m")), factor.input_version(cells)
+    one = factor.recommend_als(factor.stored_als(cat, lambda: cells, version, rank=3), 3).orderBy("user_id", "rank").collect()
+
+    def no_fit():
+        raise AssertionError("fitted again")
+
+    again = factor.recommend_als(factor.stored_als(Catalog(spark, cat.base), no_fit, version, rank=3), 3)
+    assert again.orderBy("user_id", "rank").collect() == one and len(one) == 3 * len({u for u, *_ in rows})
+    cells.limit(300).write.mode("append").parquet(path)                                    # other input: another model
+    later = factor.input_version(spark.read.parquet(path))
+    with pytest.raises(AssertionError):
+        factor.stored_als(cat, no_fit, later, rank=3)
+    factor.stored_als(cat, lambda: spark.read.parquet(path).dropDuplicates(["user_id", "mov_id"]), later, rank=3)
+    assert cat.version() == 2
