@@ -49,7 +49,7 @@ GRAM = 80                        # bytes of an anchor
 WORD = 8                         # bytes of a symbol of the transform; LENGTH is a multiple
 MAX_RUN = 256
 MAX_CONTEXTS = 256
-BUCKET_BYTES, SHARD_BYTES = 2 << 20, 1 << 19
+BUCKET_BYTES, SHARD_BYTES = 1 << 20, 1 << 18
 SLICE_BYTES = 1 << 20
 SALTS = 8
 ROW_BITS = 40
