@@ -219,7 +219,7 @@ class Shard:
             rank = _ranks((rank.astype(np.uint64) << np.uint64(32)) | ahead.astype(np.uint64), ~live)
             step += jump
         # Ties in LENGTH bytes: any order will do as long as it is kept by all.
-        self.order = np.lexsort((np.arange(n), rank))
+        self.order = np.argsort(rank, kind="stable")
         at = self.order
         self.has = self.at[at] >= WORD
         self.before = np.where(self.has, word[np.maximum(at - WORD, 0)], 0)
@@ -227,6 +227,7 @@ class Shard:
         place[at] = np.arange(n)
         self.to = np.where(self.has, place[np.maximum(at - WORD, 0)], -1)
         self.ends = np.flatnonzero(~live[at])
+        self.tail = (self.at[at] >= LENGTH) & (self.at[at] <= lens[self.string[at]])      # where a full window ends
 
 
 def _ranks(key: np.ndarray, ended: np.ndarray) -> np.ndarray:
@@ -244,8 +245,9 @@ def merge(shards: list[Shard], only_repeated: bool = False) -> tuple[np.ndarray,
     """(elements of all shards in merged order, interval of each), elements numbered
     shard after shard in their own order.
 
-    With ``only_repeated``, elements alone in their interval leave after each round: the
-    suffixes that go on to them are alone from the next round on.
+    With ``only_repeated``, the rounds begin with the elements at which a full window ends,
+    so that the last one has the windows' starts; elements alone in their interval leave
+    after each round, as the suffixes that go on to them are alone from the next one on.
 
     Only transforms are read.  Round by round the interleave is ordered by one more word
     ahead; the elements of one shard never change their order among each other within an
@@ -258,7 +260,8 @@ def merge(shards: list[Shard], only_repeated: bool = False) -> tuple[np.ndarray,
     code = np.zeros(len(has), np.uint64)
     code[has] = np.searchsorted(symbols, np.concatenate([s.before for s in shards])[has])
     place = np.uint64(32)
-    z, interval = np.arange(len(has)), np.zeros(len(has), np.int64)
+    z = np.flatnonzero(np.concatenate([s.tail for s in shards])) if only_repeated else np.arange(len(has))
+    interval = np.zeros(len(z), np.int64)
     for _ in range(LENGTH // WORD):
         moved = has[z]
         z, interval = z[moved], interval[moved]
