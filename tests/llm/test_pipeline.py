@@ -52,3 +52,14 @@ def test_rows_of_a_class_are_known_by_their_text(spark):
                                "doc_id long, text string, lang string, source string, n_chars long")
     kept = [(r["doc_id"], r["text"][:3]) for r in C.keep_one_of_each(spark, df, "").collect()]
     assert sorted(kept, key=str) == [(1, "a0 "), (2, "lon"), (None, "b0 "), (None, "c0 ")]
+
+
+def test_leaks_are_known_by_their_text(spark):
+    """Rows that share an id, or have none, stay where their own text is clean."""
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    lone = " ".join(f"plain{i}" for i in range(60))
+    rows = [(None, f"before {item} after"), (None, lone + " a"), (7, lone + " b"), (7, f"again {item} end")]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r["doc_id"], r["text"]) for r in C.keep_clean(spark, df, SF).collect()]
+    assert sorted(kept, key=str) == sorted([(None, lone + " a"), (7, lone + " b")], key=str)
