@@ -2,8 +2,11 @@
 
 A page's visible text is read as blocks.  Scripts, styles, comments and markup are
 never text; blocks in menus, headers, footers, sidebars, notices, adverts, forms or
-reader comments (by element or by class, id or role) are chrome.  Blocks inside an
-``article`` or ``main`` element are content.  What is left is open.
+reader comments (by element or by class, id or role) are chrome, also articles inside
+them.  Blocks inside a ``main`` element, or on pages without one inside an ``article``,
+are content.  Inside the content only clear words make chrome (adverts, comments);
+a vague one (notice, search, related) puts a block in doubt.  What is left is open.
+Inline chrome goes without cutting the block around it.
 
 The token streams of everything outside the content are laid out as suffixes per
 host, cut at ``MIN_TOKENS`` tokens: the suffixes that begin with the same tokens are
@@ -18,9 +21,10 @@ A repeated stretch counts only for blocks it does not cut: inside a block it mus
 whole in that block, and a block shorter than ``MIN_TOKENS`` must lie whole in it.  The
 first words of a block are not boilerplate because the block before ends alike.
 
-The text is the content blocks of a page that marks them, otherwise the open blocks
-less the boilerplate they hold (their unique runs).  Content is never cut by the
-table: passages that several articles share are part of each article.
+The text is the content blocks of a page that marks them and those in doubt that are
+not boilerplate as a whole, otherwise the open blocks less the boilerplate they hold
+(their unique runs).  Content without doubt is never cut by the table: passages that
+several articles share are part of each article.
 
 Edge cases: null html is the empty page; a null or odd url has the host ''; pages
 without text give ''; unclosed elements end with their parent; repeated rows give
@@ -43,56 +47,139 @@ from affinity.llm.lm import hashes
 
 MIN_TOKENS = 6
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
-                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>?|[^<]+|<", re.S)
+                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*)>?|[^<]+|<", re.S)
 RAW = {"script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "audio", "video", "math"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 CHROME = {"nav", "footer", "aside", "form", "button", "select", "textarea", "dialog", "menu", "head", "title",
           "label", "fieldset", "datalist", "option"}
+APART = {"button", "select", "textarea", "label"}     # set apart from the words around them
 BLOCKS = {"p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "dl", "dt", "dd", "table", "thead", "tbody",
           "tfoot", "tr", "td", "th", "caption", "section", "article", "main", "header", "footer", "nav", "aside",
           "blockquote", "pre", "figure", "figcaption", "form", "fieldset", "address", "hr", "body", "html", "head",
           "title", "details", "summary", "hgroup", "center"}
 CONTAINERS = BLOCKS - {"p", "li", "dt", "dd", "h1", "h2", "h3", "h4", "h5", "h6"}
-HINT = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adsense|banner|sponsor(?:ed)?|promo(?:tion)?"
-                  r"|cookies?|consent|gdpr|notices?|alert|menu|navbar|nav|navigation|breadcrumbs?|sidebar|widget|related"
-                  r"|recommended|share|sharing|social|newsletter|subscribe|subscription|signup|login|popup|modal|overlay"
-                  r"|comments?|commentlist|respond|replies|reply|discussion|footer|masthead|toolbar|pagination|pager"
-                  r"|complementary|contentinfo|search)(?:$|[\s_-])", re.I)
-ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
-
-
-def _marks(attrs: str) -> tuple[bool, bool]:
-    """(chrome, main) by an element's attributes."""
-    chrome = main = False
+ITEMS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd")}
+# Words of a class, id or role that are chrome anywhere, and those that are chrome outside
+# the content only: an article may have a section about a search or a notice.
+CLEAR = (r"ads?|adverts?|advertisement|advertising|adsense|sponsor(?:ed)?|cookies?|gdpr|navbar|nav|navigation"
+         r"|breadcrumbs?|sidebar|share|sharing|newsletter|subscribe|signup|login|comments?|commentlist|respond"
+         r"|pagination|pager|complementary|contentinfo")
+VAGUE = (r"banner|promo(?:tion)?|consent|notices?|alert|menu|widget|related|recommended|social|subscription|popup|modal"
+         r"|overlay|replies|reply|discussion|footer|masthead|toolbar|search")
+HINT = re.compile(rf"(?:^|[\s_-])(?:({CLEAR})|{VAGUE})(?=$|[\s_-])", re.I)
+WANTED = re.compile(r"class|id|role|hidden", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s]*))?")
+
+
+def _marks(attrs: str) -> tuple[int, bool]:
+    """(hint, main) by an element's attributes; hint: 0 none, 1 vague, 2 clear chrome, 3 hidden."""
+    hint, main = 0, False
+    if not WANTED.search(attrs):
+        return hint, main
     for name, value in ATTRIBUTE.findall(attrs):
         v, name = value.strip("\"'"), name.lower()
-        if name == "hidden" or (name == "aria-hidden" and v == "true"):
-            chrome = True
+        if name == "hidden" or (name == "aria-hidden" and v.lower() == "true"):
+            hint = 3
         elif name == "role" and v.lower() == "main":
             main = True
-        elif HINT.search(v):
-            chrome = True
-    return chrome, main
+        elif name == "role" and v.lower() == "search":
+            hint = max(hint, 2)
+        elif name in ("class", "id", "role"):
+            for m in HINT.finditer(v):
+                hint = max(hint, 2 if m.group(1) else 1)
+    return hint, main
+
+
+class _Open:
+    """Open elements; every lookup is by name, so a page costs time linear in its tags."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, str]] = []        # element, kind of the text in it
+        self.where: dict[str, list[int]] = {}         # depths of the open elements of a name
+        self.blocks: list[int] = []                   # depths of blocks, and of containers
+        self.containers: list[int] = []
+
+    @property
+    def kind(self) -> str:
+        return self.stack[-1][1] if self.stack else "open"
+
+    def push(self, name: str, kind: str):
+        depth = len(self.stack)
+        self.stack.append((name, kind))
+        self.where.setdefault(name, []).append(depth)
+        if name in BLOCKS:
+            self.blocks.append(depth)
+        if name in CONTAINERS:
+            self.containers.append(depth)
+
+    def close(self, depth: int):
+        while len(self.stack) > depth:
+            self.where[self.stack.pop()[0]].pop()
+        for at in (self.blocks, self.containers):
+            while at and at[-1] >= depth:
+                at.pop()
+
+    def last(self, names) -> int:
+        return max((self.where[n][-1] for n in names if self.where.get(n)), default=-1)
+
+    def end(self, name: str):
+        """An end tag; that of an inline element ends no block around the tag."""
+        depth = self.last((name,))
+        if depth >= 0 and (name in BLOCKS or not self.blocks or self.blocks[-1] < depth):
+            self.close(depth)
+
+    def begin_block(self, name: str):
+        """A block ends an open paragraph, and an item the item before it."""
+        floor = self.containers[-1] if self.containers else -1
+        for names in (ITEMS.get(name, ()), ("p",)):
+            depth = self.last(names)
+            if depth > floor:
+                self.close(depth)
+                break
+
+
+def _kind_inside(name: str, outer: str, hint: int, main: bool) -> str:
+    """Kind of the text in an element, by the kind around it.  In hidden elements all is
+    gone; of chrome only ``main`` comes back (a wrapper may be named after a sidebar), of
+    a form also an article (some sites put whole pages into one)."""
+    if outer == "gone" or hint == 3:
+        return "gone"
+    if main:
+        return "main"
+    if name in CHROME:
+        return "form" if name == "form" and outer != "chrome" else "chrome"
+    if hint == 2 or outer == "chrome":
+        return "chrome"
+    if outer == "form":
+        return "article" if name == "article" and not hint else "form"
+    if outer != "open":
+        return f"doubt {outer}" if hint and not outer.startswith("doubt") else outer
+    if hint or name == "header":
+        return "chrome"
+    return "article" if name == "article" else "open"
+
+
+def _settled(blocks: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """Final kinds: articles beside a ``main`` element are no content."""
+    content = "main" if any(k.endswith("main") for k, _ in blocks) else "article"
+    final = {content: "content", f"doubt {content}": "doubt", "form": "chrome", "gone": "chrome", "chrome": "chrome"}
+    return [(final.get(k, "open"), t) for k, t in blocks]
 
 
 def page_blocks(page: str) -> list[tuple[str, str]]:
-    """(kind, text) of all visible blocks in page order; kind: content, chrome, open."""
+    """(kind, text) of all visible blocks in page order; kind: content, doubt (in the
+    content, by a vague word), chrome, open.  Inline chrome is a block of its own and
+    does not cut the block around it."""
     out: list[tuple[str, str]] = []
-    stack: list[tuple[str, bool, bool]] = []          # element, chrome, content
-    buffer: list[str] = []
-    chrome = content = False
+    tree = _Open()
+    buffers: dict[str, list[str]] = {}
 
     def flush():
-        if buffer:
-            text = " ".join(entities.unescape("".join(buffer)).split())
-            buffer.clear()
+        for kind, parts in buffers.items():
+            text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                out.append(("chrome" if chrome else "content" if content else "open", text))
-
-    def close(depth):
-        nonlocal chrome, content
-        del stack[depth:]
-        chrome, content = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+                out.append((kind, text))
+        buffers.clear()
 
     pos, end = 0, len(page)
     while pos < end:
@@ -101,53 +188,32 @@ def page_blocks(page: str) -> list[tuple[str, str]]:
         name = m.group(2)
         if name is None:
             if page[m.start()] != "<" or m.end() - m.start() == 1:
-                buffer.append(m.group(0))
+                buffers.setdefault(tree.kind, []).append(m.group(0))
             continue
         name = name.lower()
         if m.group(1):
-            for d in range(len(stack) - 1, -1, -1):
-                if stack[d][0] == name:
-                    if name in BLOCKS or stack[d][1] != chrome:
-                        flush()
-                    close(d)
-                    break
-            else:
-                if name in BLOCKS:
-                    flush()
+            if name in BLOCKS:
+                flush()
+            tree.end(name)
             continue
         if name in RAW:
             if not m.group(0).rstrip(">").endswith("/"):
                 stop = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(page, pos)
                 pos = stop.end() if stop else end
             continue
-        if name == "br":
-            buffer.append(" ")
-            continue
+        if name == "br" or name in APART:
+            buffers.setdefault(tree.kind, []).append(" ")
         if name in BLOCKS:
             flush()
-            closing = ("p",) if name not in ("li", "dt", "dd") else ("p", name)
-            for d in range(len(stack) - 1, -1, -1):
-                if stack[d][0] in closing:
-                    close(d)
-                    if stack and name in ("li", "dt", "dd"):
-                        continue
-                    break
-                if stack[d][0] in CONTAINERS:
-                    break
+            tree.begin_block(name)
         if name in VOID:
             continue
-        hint, main = _marks(m.group(3)) if m.group(3) else (False, False)
-        if name not in ("body", "html") or not hint:
-            if name in ("article", "main") or main:
-                new = (name, hint or (chrome and content), True)
-            else:
-                new = (name, chrome or hint or name in CHROME or (name == "header" and not content), content)
-            if new[1] != chrome or new[2] != content:
-                flush()
-            stack.append(new)
-            chrome, content = new[1], new[2]
+        hint, role_main = _marks(m.group(3)) if m.group(3) else (0, False)
+        if name in ("body", "html"):
+            hint = 0
+        tree.push(name, _kind_inside(name, tree.kind, hint, role_main or name == "main"))
     flush()
-    return out
+    return _settled(out)
 
 
 def outside_tokens(blocks) -> list[bytes]:
@@ -203,13 +269,18 @@ def main_text(blocks, covered: set[int]) -> tuple[str, int]:
         while b < len(ends) and ends[b] <= stop:      # blocks the stretch holds whole
             hit[starts[b]:ends[b]] = True
             b += 1
-    if any(k == "content" for k, _ in blocks):
-        return "\n".join(t for k, t in blocks if k == "content"), int(hit.sum())
+    marked = any(k in ("content", "doubt") for k, _ in blocks)
     kept, at = [], 0
     for kind, text in blocks:
+        if kind == "content":
+            kept.append(text)
+            continue
         words = text.encode("utf-8", "surrogatepass").split()
         here, at = hit[at:at + len(words)], at + len(words)
-        if kind == "open":
+        if kind == "doubt":
+            if not here.all():
+                kept.append(text)
+        elif kind == "open" and not marked:
             if not here.any():
                 kept.append(text)
             elif not here.all():

@@ -103,3 +103,47 @@ def test_boilerplate_of_a_large_host(spark):
     rows = [(i, "http://h.example/p", (f"<p>{note}</p>" if i < 100 else "") + f"<p>own{i}</p>") for i in range(1200)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert {r["page_id"]: r["text"] for r in H.extract_main(df).collect()} == {i: f"own{i}" for i in range(1200)}
+
+
+def test_inline_chrome_leaves_the_block_whole():
+    assert text_of("<p>text <span class=\"ad\">BUY NOW</span> more text</p>") == "text more text"
+    assert text_of("<article><p>text<button>Go</button>more <a class='share' href=x>Share</a>text</p></article>") == "text more text"
+    assert text_of("<article><p>a <span class=ad>x</p><p>b</p></article>") == "a\nb"
+
+
+def test_chrome_around_articles():
+    assert text_of("<div class='post'><p>The main story.</p></div><div class='comments'><article><p>First!</p></article></div>"
+                   ) == "The main story."
+    assert text_of("<nav><article>teaser</article></nav><article>own</article>") == "own"
+    assert text_of("<main><p>story</p></main><article>teaser</article>") == "story"
+    assert text_of("<form id=f><div>x</div><article>own <input><select><option>1</select></article></form>") == "own"
+    assert text_of("<div class='has-sidebar'><main>own</main></div><div hidden><main>no</main></div>") == "own"
+
+
+def test_articles_about_vague_words():
+    for mark in ("class=discussion", "class='social'", "class=notice", "id=search", "class='related-work'"):
+        assert text_of(f"<article><p>a</p><section {mark}><p>b</p></section></article>") == "a\nb"
+        assert text_of(f"<p>a</p><section {mark}><p>b</p></section>") == "a"
+    assert text_of("<article><p>a</p><div role=search>find</div><div class=comments>c</div></article>") == "a"
+
+
+def test_the_host_table_decides_blocks_in_doubt(spark):
+    note = "please accept the terms of this site before you go on"
+    rows = [(i, "http://h.example/p", f"<article><p>own {i}</p><div class=notice><p>{note}</p></div>"
+                                      f"<div class=notice><p>single notice of page {i} only here</p></div></article>") for i in range(5)]
+    rows.append((9, "http://o.example/p", f"<article><p>own 9</p><div class=notice><p>{note}</p></div></article>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: (r["text"], r["n_boilerplate"]) for r in H.extract_main(df).collect()}
+    assert got == {9: (f"own 9\n{note}", 0), **{i: (f"own {i}\nsingle notice of page {i} only here", 11) for i in range(5)}}
+
+
+def test_odd_attributes():
+    assert text_of("<p title=\"5\" tall\">a</p><p class=x>b \"c\"</p>") == "a\nb \"c\""
+    assert text_of("<p title='a > b'>c</p><p title=\"x class=ad\">d</p><p data-x class = 'ad'>e</p>") == "c\nd"
+    assert text_of("<b><p>one</b> two</p>") == "one two"
+
+
+def test_time_is_linear_in_tags():
+    assert text_of("<p>" + "<i>x</b> " * 100_000) == " ".join(["x"] * 100_000)
+    assert text_of("<div>" + "<i>" * 100_000 + "<h1>y</h1>" * 50_000) == "\n".join(["y"] * 50_000)
+    assert text_of("<p>" + "<i>" * 50_000 + "</p><li>" * 50_000 + "z") == "z"
