@@ -16,13 +16,16 @@ the score.
 
 Edge cases: a null text counts as the empty text, which has one window without
 steps (its logit is the output bias); with no usable labels every score is 0.5,
-with one class only that class's value; repeated rows are scored each.
+with one class only that class's value; repeated rows are scored each; rows without an
+id are never learnt from, so they count as held out.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +38,7 @@ LEAST_DOCS = 3          # training documents that a word or a gram must occur in
 DIM = WORD_DIM + CHAR_DIM
 PUNCTUATION = b".,;:!?\"'()[]{}*$&%#|<>"
 BLOCK = 2048
+WORDS = 1 << 14         # words whose grams are made at a time
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -44,6 +48,11 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 def word_features(words: list[bytes]):
     """(bucket per word, buckets of all character grams, grams per word)."""
+    parts = [_some_features(words[s:s + WORDS]) for s in range(0, len(words), WORDS)] or [_some_features([])]
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def _some_features(words: list[bytes]):
     marked = [b"\x02" + w.strip(PUNCTUATION) + b"\x03" for w in words]
     lens = np.fromiter(map(len, marked), dtype=np.int64, count=len(marked))
     raw = np.frombuffer(b"".join(marked), dtype=np.uint8).astype(np.uint64)
@@ -66,8 +75,8 @@ def word_features(words: list[bytes]):
             grams.append(_mix(h[inside] * np.uint64(0x9E3779B97F4A7C15)))
             owner.append(own[:len(h)][inside])
     if not grams:
-        return word, np.zeros(0, np.int64), np.zeros(len(marked), np.int64)
-    grams, owner = np.concatenate(grams), np.concatenate(owner)
+        return word, np.zeros(0, np.int32), np.zeros(len(marked), np.int64)
+    grams, owner = np.concatenate(grams).astype(np.int32), np.concatenate(owner)
     order = np.argsort(owner, kind="stable")
     return word, grams[order], np.bincount(owner, minlength=len(marked))
 
@@ -83,7 +92,13 @@ def _mean_rows(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def word_inputs(p: dict, feats) -> np.ndarray:
     word, grams, counts = feats
-    return np.concatenate([p["word"][word], _mean_rows(p["char"][grams], counts)], axis=1)
+    out = np.empty((len(word), DIM), dtype=p["word"].dtype)
+    out[:, :WORD_DIM] = p["word"][word]
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    for s in range(0, len(word), WORDS):
+        e = min(s + WORDS, len(word))
+        out[s:e, WORD_DIM:] = _mean_rows(p["char"][grams[ends[s]:ends[e]]], counts[s:e])
+    return out
 
 
 def windows(lens: np.ndarray):
@@ -264,8 +279,10 @@ def fit_network(texts: list[bytes], labels, rounds: int = 5, inner: int = 3, bat
     logit = np.zeros(len(first))
     if len(ids):                                      # the first round picks windows by the log-odds alone
         per = (x[:, 0] + 2.0 * x[:, WORD_DIM])[ids]
-        at = np.minimum(first[:, None] + np.arange(WINDOW), len(ids) - 1)
-        logit = np.where(np.arange(WINDOW) < length[:, None], per[at], -9.0).max(axis=1)
+        step = np.arange(WINDOW)
+        for s in range(0, len(first), BLOCK):
+            at = np.minimum(first[s:s + BLOCK, None] + step, len(ids) - 1)
+            logit[s:s + BLOCK] = np.where(step < length[s:s + BLOCK, None], per[at], -9.0).max(axis=1)
     opts = {k: _Adam(v.size, 0.01) for k, v in p.items()}
     rng = np.random.default_rng(5)
     for _ in range(rounds):
@@ -312,13 +329,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 1500, keep=None) -> di
     keep = doc_bucket("doc_id", 3) != 1 if keep is None else keep
     picked = labelled_sample(labels, "toxic", keep, sample)
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-                .join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text").collect())
-    rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
-    found = {r["label"] for r in rows}
+                .join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text").toArrow())
+    rows = rows.set_column(2, "text", pc.fill_null(rows["text"], "")).sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    labels, texts = rows["label"].to_numpy(), rows["text"].cast(pa.binary()).to_pylist()
+    del rows
+    found = set(labels.tolist())
     if len(found) < 2:
         return {"constant": float(found.pop()) if found else 0.5}
-    return fit_network([(r["text"] or "").encode("utf-8", "surrogatepass") for r in rows],
-                       [r["label"] for r in rows])
+    return fit_network(texts, labels)
 
 
 def score_column(docs: DataFrame, model: dict, column: str = "score") -> DataFrame:
@@ -338,5 +356,5 @@ def query(spark, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = fit(docs, labels)
     return (score_column(docs.select("doc_id", "text"), model)
-            .select("doc_id", (doc_bucket("doc_id", 3) == 1).alias("held_out"), "score",
+            .select("doc_id", F.coalesce(doc_bucket("doc_id", 3) == 1, F.lit(True)).alias("held_out"), "score",
                     (F.col("score") >= 0.7).cast("int").alias("predicted")))

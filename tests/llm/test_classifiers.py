@@ -100,3 +100,20 @@ def test_windows_overlap_and_cover():
         spans = [(f - base, f - base + m) for f, m in zip(first[doc == d], length[doc == d])]
         assert set().union(*[range(a, b) for a, b in spans]) == set(range(n))
         assert all(b2 < e1 for (_, e1), (b2, _) in zip(spans, spans[1:]))
+
+
+@pytest.mark.parametrize("module", [Q, T])
+def test_rows_without_an_id_are_held_out(spark, module, tmp_path):
+    spark.createDataFrame([(1, "a"), (None, "b"), (None, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = module.query(spark, str(tmp_path)).collect()
+    assert len(rows) == 3 and all(r["held_out"] for r in rows if r["doc_id"] is None)
+
+
+def test_features_do_not_follow_the_chunks(monkeypatch):
+    words = [f"w{i % 7}x{i}".encode() for i in range(50)] + [b"", b"a"]
+    whole, p = T.word_features(words), T._init()
+    inputs = T.word_inputs(p, whole)
+    monkeypatch.setattr(T, "WORDS", 3)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, T.word_features(words)))
+    assert np.array_equal(inputs, T.word_inputs(p, whole))
