@@ -17,8 +17,9 @@ Training: biases are the log shares of the exact corpus counts; feature weights
 start at 0.  The training texts are dealt to ``rounds`` parts; in each round every
 task runs gradient steps (row-wise AdaGrad) over its texts of that part from the
 shared weights, and the weight rows are averaged over the tasks by how often each
-saw the row.  Every training token is used once.  The number of trainers follows
-the cluster's cores, so what is exchanged is bounded by trainers times table size.
+saw the row.  Every training token is used once.  Texts are dealt to trainers by a
+hash and read in its order; the number of trainers follows the training tokens alone, so
+the same rows give the same weights in any partitioning and on any cluster.
 
 Counts of all training tokens are one distributed aggregate.  Tokens with the
 highest counts (at most ``HEAD`` of them) are broadcast as two arrays of fixed size;
@@ -51,6 +52,7 @@ RATE = 0.1
 END = b""
 START = np.uint64(0x9E3779B97F4A7C15)
 BLOCK_ROWS = 2048
+LEAST_TRAINERS, TOKENS_A_TRAINER = 16, 1 << 22
 LOG10 = np.log(10.0)
 
 
@@ -231,18 +233,30 @@ def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
                       rows["tail"].to_numpy(np.int64), sum(tail_n), sum(tail_v), tail_n, tail_v)
 
 
+def _steady_chunks(batches, limit: int = 4 << 20):
+    """Texts in chunks of about ``limit`` bytes that do not depend on the batches."""
+    held, size = [], 0
+    for batch in batches:
+        for t in text_bytes(batch.column("text")):
+            if size and size + len(t) > limit:
+                yield held
+                held, size = [], 0
+            held.append(t)
+            size += len(t) + 1
+    if held:
+        yield held
+
+
 def _trainer(voc, weights):
     def run(batches):
         start, w = weights.value, {k: v.copy() for k, v in weights.value.items()}
         seen = {k: np.zeros(ROWS, np.float64) for k in w}
         energy = {k: np.zeros(ROWS, np.float32) for k in w}
-        for batch in batches:
-            texts = text_bytes(batch.column("text"))
-            for s, e in byte_chunks(texts):
-                t = Tokens(texts[s:e])
-                p1, p2 = t.history()
-                _, cls, slot, _ = voc.value.look_up(t)
-                train_tokens(w, seen, energy, voc.value, p1, p2, cls[t.ids], slot[t.ids])
+        for texts in _steady_chunks(batches):
+            t = Tokens(texts)
+            p1, p2 = t.history()
+            _, cls, slot, _ = voc.value.look_up(t)
+            train_tokens(w, seen, energy, voc.value, p1, p2, cls[t.ids], slot[t.ids])
         for k in w:
             moved = (w[k] - start[k]) * seen[k][:, None].astype(np.float32)
             for b in range(0, ROWS, BLOCK_ROWS):
@@ -255,6 +269,7 @@ def _trainer(voc, weights):
 
 
 def _add_up(pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.sort_values(["moved", "seen"])          # sums of floats follow one order
     moved = sum(np.frombuffer(x, np.float32) for x in pdf["moved"])
     seen = sum(np.frombuffer(x, np.float64) for x in pdf["seen"])
     return pd.DataFrame({"part": [pdf["part"].iat[0]], "block": [pdf["block"].iat[0]], "salt": [pdf["salt"].iat[0]],
@@ -265,12 +280,14 @@ def train(docs: DataFrame, voc, rounds: int = 2) -> dict:
     """Weights after ``rounds`` parts of the training texts (one pass in all)."""
     spark = docs.sparkSession
     schema = "part string, block int, salt int, moved binary, seen binary"
-    trainers = 2 * spark.sparkContext.defaultParallelism
+    trainers = max(LEAST_TRAINERS, -(-voc.value.n // TOKENS_A_TRAINER))
     weights = new_weights()
     for r in range(rounds):
         shared = spark.sparkContext.broadcast(weights)
-        part = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(rounds)) == r).select("text")
-        sums = (part.coalesce(trainers).mapInArrow(_trainer(voc, shared), schema)
+        part = (docs.where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(rounds)) == r)
+                    .select(F.xxhash64("doc_id", "text").alias("h"), "text"))
+        sums = (part.repartition(trainers, "h").sortWithinPartitions("h", "text").select("text")
+                    .mapInArrow(_trainer(voc, shared), schema)
                     .groupBy("part", "block", "salt").applyInPandas(_add_up, schema)
                     .groupBy("part", "block").applyInPandas(_add_up, schema))
         weights = {k: v.copy() for k, v in weights.items()}

@@ -113,3 +113,12 @@ def test_size_of_the_head():
                      np.bincount(tail, minlength=L.TAIL_CLASSES))
     _, _, slot, _ = v.look_up(t)
     assert (slot[:1024] >= 0).all() and (slot[1024:] < 0).all()
+
+
+def test_scores_do_not_follow_the_partitioning(spark):
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    first = None
+    for n in (1, 3, 16):
+        got = {r["doc_id"]: r["score"] for r in L.score_documents(df.repartition(n)).collect()}
+        first = first or got
+        assert got.keys() == first.keys() and all(math.isclose(got[i], first[i], rel_tol=1e-6) for i in got)
