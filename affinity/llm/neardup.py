@@ -19,7 +19,9 @@ weights would push the similarity of its members below that of a single pair.
 4. Weighted Jaccard similarity is a metric's complement, so a member y with similarity
    to the leader above 1 - 2(1 - 0.8) could still be similar to a text that joined the
    leader.  Where y ended in another component, y is compared with those members of
-   the bucket that the triangle inequality allows.
+   the bucket that the triangle inequality allows: both sides are packed into blocks of
+   some ``SIDE`` sketches, and each pair of blocks is compared in numpy, so that only
+   pairs whose sketches agree become rows.
 5. Texts are compared only if at least ``AGREE`` of their samples agree (``AGREE_EXTRA``
    in step 4, where only links count); all that are compared are verified by exact
    weighted Jaccard similarity >= ``threshold``.  Classes are the connected components of the verified links.
@@ -43,7 +45,7 @@ from pyspark.sql import functions as F
 from affinity.llm.common import byte_chunks, table, word_ids
 from affinity.llm.components import components
 from affinity.llm.lm import hashes
-from affinity.session import materialize
+from affinity.session import materialize, release
 
 SHINGLE = 5
 BANDS, BAND_ROWS = 14, 3
@@ -52,6 +54,7 @@ AGREE = 16               # samples of 42 that must agree before a text is compar
                          # of texts that share two bands fewer agree with probability 2e-5 at a
                          # similarity of 0.6, which step 4 needs
 AGREE_EXTRA = 24         # the same in step 4: probability 2e-4 at a similarity of 0.8
+SIDE = 256               # sketches in a block of step 4
 IDF_BUCKETS = 1 << 16
 IDF_POWER = 0.25
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -233,8 +236,8 @@ def _verifier(idf):
                 _, i, j = np.intersect1d(s, s2, assume_unique=True, return_indices=True)
                 both = np.minimum(w[i], w2[j]).sum()
                 sims.append(float(both / (w.sum() + w2.sum() - both)))
-            yield pa.RecordBatch.from_pydict({"lead": pa.array(cols[0], pa.string()),
-                                              "other": pa.array(cols[1], pa.string()), "sim": pa.array(sims)})
+            yield pa.RecordBatch.from_pydict({"lead": pa.array(cols[0], pa.int64()),
+                                              "other": pa.array(cols[1], pa.int64()), "sim": pa.array(sims)})
     return run
 
 
@@ -244,12 +247,59 @@ def _agree(a: str, b: str):
                   f"n + if(substring({a}, i, 2) = substring({b}, i, 2), 1, 0))")
 
 
+def _tiles(reach: float):
+    """Pairs of two blocks whose sketches agree and whose similarities to the leader are at
+    most ``reach`` apart."""
+    def block(column):
+        parts = column.flatten()
+        sketch = np.frombuffer(b"".join(parts.field("sketch").to_pylist()), np.uint16).reshape(-1, SAMPLES)
+        ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
+        return parts.field("node").to_numpy(), parts.field("sim").to_numpy(), sketch, np.append(0, ends)
+
+    def run(batches):
+        for batch in batches:
+            node, sim, sketch, at = block(batch.column("grey"))
+            node2, sim2, sketch2, at2 = block(batch.column("joined"))
+            for t in range(batch.num_rows):
+                right = slice(at2[t], at2[t + 1])
+                lead, other = [], []
+                for i in range(at[t], at[t + 1]):
+                    j = np.flatnonzero((np.abs(sim2[right] - sim[i]) <= reach)
+                                       & ((sketch2[right] == sketch[i]).sum(axis=1) >= AGREE_EXTRA))
+                    lead.append(np.full(len(j), node[i]))
+                    other.append(node2[right][j])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lead), pa.int64()),
+                                                  pa.array(np.concatenate(other), pa.int64())], ["lead", "other"])
+    return run
+
+
+def _blocks(members: DataFrame, sketches: DataFrame, out: str) -> DataFrame:
+    """(bucket, lead, ``out``): members (bucket, lead, node, sim) with their sketches in
+    blocks of some SIDE, however many a bucket has."""
+    of = ["bucket", "lead"]
+    number = members.groupBy(*of).agg(F.ceil(F.count(F.lit(1)) / F.lit(SIDE)).alias("blocks"))
+    return (members.join(sketches, "node").join(number, of)
+                   .groupBy(*of, F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
+                   .agg(F.collect_list(F.struct("node", "sim", "sketch")).alias(out)).select(*of, out))
+
+
 def _grown(star: DataFrame | None, links: DataFrame, name: str) -> DataFrame:
-    """(node, root) of the components after more links; ``star``: those before."""
+    """(node, root) of the components after more links; ``star``: those before.  Only the
+    roots that links join are worked on; ``star`` is deleted."""
     edges = links.select(F.col("lead").alias("u"), F.col("other").alias("v"))
-    if star is not None:
-        edges = edges.unionByName(star.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")))
-    return materialize(components(edges, name), f"{name}-root")
+    if star is None:
+        return components(edges, name)
+    for c in ("u", "v"):
+        edges = (edges.join(star.select(F.col("node").alias(c), "root"), c, "left")
+                      .withColumn(c, F.coalesce("root", c)).drop("root"))
+    new = components(edges, name)                     # roots are the least of their components, so are these
+    moved = new.select(F.col("node").alias("root"), F.col("root").alias("to"))
+    grown = (star.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+                 .unionByName(new.join(star.select("node"), "node", "left_anti").select("node", "root")))
+    grown = materialize(grown, f"{name}-root")
+    release(new)
+    release(star)
+    return grown
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -276,82 +326,93 @@ def classed_rows(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
 
     bands = materialize(
         d.mapInArrow(_sampler(idf), "key string, bands array<long>, sketch binary")
-         .groupBy("key").agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "op3-sketches")
-    member = bands.select("key", F.explode("bands").alias("bucket"))
+         .groupBy("key").agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+         .withColumn("node", F.monotonically_increasing_id()), "op3-sketches")      # short names, written once
+    member = bands.select("node", F.explode("bands").alias("bucket"))
     shared = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     # Buckets of two bands each, for texts that share bands with others at all.
     pairs_of = """flatten(transform(sequence(1, size(b) - 1), i -> transform(slice(b, i + 1, size(b) - i),
                   x -> xxhash64(b[i - 1], x))))"""
-    member = (member.join(shared, "bucket").groupBy("key").agg(F.sort_array(F.collect_list("bucket")).alias("b"))
-                    .where(F.size("b") > 1).select("key", F.explode(F.expr(pairs_of)).alias("bucket")))
-    member = materialize(member, "op3-pairs")
-    shared = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    member = materialize(member.join(shared, "bucket"), "op3-members")
-    candidates = member.select("key").distinct()
-    texts = (nodes.join(candidates, "key").join(d, "doc_id").select("key", "text")
-                  .mapInArrow(_own_text, "key string, text string"))
+    member = (member.join(shared, "bucket").groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("b"))
+                    .where(F.size("b") > 1).select("node", F.explode(F.expr(pairs_of)).alias("bucket")))
+    pairs = materialize(member, "op3-pairs")
+    shared = pairs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    member = materialize(pairs.join(shared, "bucket"), "op3-members")
+    release(pairs)
+    candidates = member.select("node").distinct().join(bands.select("node", "key"), "node")
+    texts = (nodes.join(candidates, "key").join(d, "doc_id").select("node", "key", "text")
+                  .mapInArrow(_own_text, "node long, key string, text string").select("node", "text"))
     # Rows without an id are joined by their key.
     texts = (texts.unionByName(d.where("doc_id IS NULL").select("text").mapInArrow(_keyed, "key string, text string")
-                                .join(candidates, "key", "left_semi")).dropDuplicates(["key"]))
+                                .join(candidates, "key").select("node", "text")).dropDuplicates(["node"]))
     texts = materialize(texts, "op3-texts")
 
-    def verify(pairs: DataFrame, name: str, agree: int) -> DataFrame:
-        # Sketches first: only pairs that can be similar carry texts through a shuffle.
-        sketch = lambda c: bands.select(F.col("key").alias(c), F.col("sketch").alias(f"{c}_sketch"))
-        text = lambda c: texts.select(F.col("key").alias(c), F.col("text").alias(f"{c}_text"))
-        near = materialize(pairs.join(sketch("other"), "other").join(sketch("lead"), "lead")
-                                .where(_agree("lead_sketch", "other_sketch") >= agree).select("lead", "other"), f"{name}-near")
+    def similar(near: DataFrame, name: str) -> DataFrame:
+        text = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"{c}_text"))
         joined = (near.join(text("other"), "other").join(text("lead"), "lead")
                       .select("lead", "other", "lead_text", "other_text"))
-        return materialize(joined.mapInArrow(_verifier(idf), "lead string, other string, sim double"), name)
+        return materialize(joined.mapInArrow(_verifier(idf), "lead long, other long, sim double"), name)
+
+    def verify(pairs: DataFrame, name: str) -> DataFrame:
+        # Sketches first: only pairs that can be similar carry texts through a shuffle.
+        sketch = lambda c: bands.select(F.col("node").alias(c), F.col("sketch").alias(f"{c}_sketch"))
+        near = materialize(pairs.join(sketch("other"), "other").join(sketch("lead"), "lead")
+                                .where(_agree("lead_sketch", "other_sketch") >= AGREE).select("lead", "other"), f"{name}-near")
+        sims = similar(near, name)
+        release(near)
+        return sims
 
     star, links, rest, compared, turn = None, None, member, None, 0
     while True:
         # Members of one component need no comparison: only buckets with several go on.
-        now = (rest.withColumn("root", F.col("key")) if star is None else
-               rest.join(star.withColumnRenamed("node", "key"), "key", "left")
-                   .withColumn("root", F.coalesce("root", "key")))
+        now = (rest.withColumn("root", F.col("node")) if star is None else
+               rest.join(star, "node", "left").withColumn("root", F.coalesce("root", "node")))
         several = (now.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"))
                       .where("a <> b").select("bucket"))
         now = materialize(now.join(several, "bucket"), f"op3-open{turn}")
+        release(rest)
         seat = F.pmod(F.xxhash64("root", F.lit(turn)), F.lit(2 ** turn))
-        lead = (now.groupBy("bucket", seat.alias("seat")).agg(F.min(F.struct("key", "root")).alias("l"))
-                   .select("bucket", F.col("l.key").alias("lead"), F.col("l.root").alias("lead_root")))
-        led = materialize(now.join(lead, "bucket").where("root <> lead_root").select("bucket", "key", "lead"),
+        lead = (now.groupBy("bucket", seat.alias("seat")).agg(F.min(F.struct("node", "root")).alias("l"))
+                   .select("bucket", F.col("l.node").alias("lead"), F.col("l.root").alias("lead_root")))
+        led = materialize(now.join(lead, "bucket").where("root <> lead_root").select("bucket", "node", "lead"),
                           f"op3-led{turn}")
         if led.isEmpty():
             break
-        sims = verify(led.select("lead", F.col("key").alias("other")).distinct(), f"op3-sims{turn}", AGREE)
+        sims = verify(led.select("lead", F.col("node").alias("other")).distinct(), f"op3-sims{turn}")
         good = sims.where(F.col("sim") >= threshold).select("lead", "other")
         links = good if links is None else links.unionByName(good)
-        seen = materialize(led.join(sims.withColumnRenamed("other", "key"), ["lead", "key"]).where(
+        seen = materialize(led.join(sims.withColumnRenamed("other", "node"), ["lead", "node"]).where(
             F.col("sim") >= 2 * threshold - 1), f"op3-seen{turn}")
+        release(led)
         compared = seen if compared is None else compared.unionByName(seen)
-        done = (lead.select("bucket", F.col("lead").alias("key"))
-                    .unionByName(seen.where(F.col("sim") >= threshold).select("bucket", "key")).distinct())
-        rest = materialize(now.select("bucket", "key").join(done, ["bucket", "key"], "left_anti"), f"op3-rest{turn}")
+        done = (lead.select("bucket", F.col("lead").alias("node"))
+                    .unionByName(seen.where(F.col("sim") >= threshold).select("bucket", "node")).distinct())
+        rest = materialize(now.select("bucket", "node").join(done, ["bucket", "node"], "left_anti"), f"op3-rest{turn}")
+        release(now)
         star = _grown(star, good, f"op3-star{turn}")
         turn += 1
 
     if links is not None:
         # Members that may be similar to a text that joined their bucket's leader.
         label = lambda c: star.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
-        with_root = (compared.join(label("key"), "key", "left").join(label("lead"), "lead", "left")
-                     .withColumn("key_root", F.coalesce("key_root", "key")))
-        grey = with_root.where((F.col("sim") < threshold) & F.col("lead_root").isNotNull()
-                               & (F.col("key_root") != F.col("lead_root")))
-        joined = compared.where(F.col("sim") >= threshold).select(
-            "bucket", "lead", F.col("key").alias("other"), F.col("sim").alias("near"))
-        extra = (grey.select("bucket", "lead", F.col("key"), "sim").join(joined, ["bucket", "lead"])
-                     .where((F.abs(F.col("sim") - F.col("near")) <= 1 - threshold))
-                     .select(F.col("key").alias("lead"), "other").distinct())
-        more = (verify(extra, "op3-extra", AGREE_EXTRA).where(F.col("sim") >= threshold).select("lead", "other"))
+        with_root = (compared.join(label("node"), "node", "left").join(label("lead"), "lead", "left")
+                     .withColumn("node_root", F.coalesce("node_root", "node")))
+        grey = materialize(with_root.where((F.col("sim") < threshold) & F.col("lead_root").isNotNull()
+                                           & (F.col("node_root") != F.col("lead_root")))
+                                    .select("bucket", "lead", "node", "sim"), "op3-grey")
+        joined = (compared.where(F.col("sim") >= threshold).select("bucket", "lead", "node", "sim")
+                          .join(grey.select("bucket", "lead").distinct(), ["bucket", "lead"], "left_semi"))
+        sketches = bands.select("node", "sketch")
+        near = materialize(_blocks(grey, sketches, "grey").join(_blocks(joined, sketches, "joined"), ["bucket", "lead"])
+                           .mapInArrow(_tiles(1 - threshold), "lead long, other long").distinct(), "op3-extra-near")
+        more = similar(near, "op3-extra").where(F.col("sim") >= threshold).select("lead", "other")
         links = materialize(links.unionByName(more).distinct(), "op3-all-links")
         root = star if more.isEmpty() else _grown(star, more, "op3-classes")
-        degree = (links.select(F.col("lead").alias("key")).unionByName(links.select(F.col("other").alias("key")))
-                       .groupBy("key").agg(F.count(F.lit(1)).alias("n_links")))
-        place = (nodes.join(root.withColumnRenamed("node", "key"), "key", "left")
-                      .join(degree, "key", "left")
+        degree = (links.select(F.col("lead").alias("node")).unionByName(links.select(F.col("other").alias("node")))
+                       .groupBy("node").agg(F.count(F.lit(1)).alias("n_links")))
+        named = (root.join(degree, "node", "left").join(bands.select("node", "key"), "node")
+                     .select("key", F.col("root").cast("string").alias("root"), "n_links"))
+        place = (nodes.join(named, "key", "left")
                       .select("key", F.coalesce("root", "key").alias("root"), "doc_id",
                               F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
         least = place.groupBy("root").agg(F.min("doc_id").alias("class_id"))
