@@ -18,7 +18,7 @@ Pivots (``n_pivots``) and annulus borders are fitted on ``SAMPLE`` rows at most
 hashes of ids); every row is indexed.  Edge cases: vectors that are null or hold null
 or non-finite components, or whose id is null, take no part; vectors only meet others
 of their dimension; ties go to the smaller id; repeated rows are candidates each, rows
-with the query's own id never are; scores beyond 64 bits are clipped; fewer than k
+with the query's own id never are; a query id with several vectors ranks the scores of all of them together; scores beyond 64 bits are clipped; fewer than k
 candidates give fewer rows; other columns are ignored.
 """
 
@@ -200,6 +200,9 @@ def top_products(rows: DataFrame, k: int = 10, n_pivots: int = 64) -> DataFrame:
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r)
+    if len(results) > 1:                              # an id may have vectors of several dimensions
+        w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        out = out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return out
 
 
@@ -217,7 +220,7 @@ def _one_dimension(spark, vectors: DataFrame, top: float, k: int, n_pivots: int)
                      .groupBy("pivot", "ring", "part")
                      .applyInPandas(_block, "pivot int, lo double, hi double, ids binary, mat binary"))
     blocks = materialize(blocks, "op9-blocks")
-    queries = vectors.where(F.col("vec_id") % QUERY_STEP == 0).dropDuplicates(["vec_id"])
+    queries = vectors.where(F.col("vec_id") % QUERY_STEP == 0).dropDuplicates(["vec_id", "v"])
 
     def search(q: DataFrame, first: bool) -> DataFrame:
         routed = q.mapInArrow(_route(pivots, first), "pivot int, query_id long, d double, least double, v binary")

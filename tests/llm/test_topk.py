@@ -10,13 +10,10 @@ def brute(rows, k=10):
     for n, (i, e) in enumerate(rows):
         if i is not None and e is not None and all(x is not None and math.isfinite(x) for x in e):
             v[n] = (i, [math.floor(1024 * x) for x in e])
-    out, done = [], set()
-    for i, a in v.values():
-        if i % 100 or i in done:
-            continue
-        done.add(i)
-        s = sorted((-sum(x * y for x, y in zip(a, b)), j) for j, b in v.values() if j != i and len(b) == len(a))
-        out += [(i, r + 1, j, -d) for r, (d, j) in enumerate(s[:k])]
+    pool = {}
+    for i, a in {(i, tuple(a)) for i, a in v.values() if i % 100 == 0}:
+        pool.setdefault(i, []).extend((-sum(x * y for x, y in zip(a, b)), j) for j, b in v.values() if j != i and len(b) == len(a))
+    out = [(i, r + 1, j, -d) for i, s in pool.items() for r, (d, j) in enumerate(sorted(s)[:k])]
     return sorted(out)
 
 
@@ -51,6 +48,11 @@ def test_repeated_query_rows(spark):
     assert found(table(spark, rows)) == [(100, 1, 1, 2097152), (100, 2, 2, 2097152)]
 
 
+def test_an_id_with_several_vectors(spark):
+    rows = [(100, [1.0, 0.0]), (100, [0.0, 1.0]), (100, [2.0])] + [(i, [i / 8, 1 - i / 9]) for i in range(1, 30)] + [(50, [3.0])]
+    assert found(table(spark, rows)) == brute(rows)
+
+
 def test_query_equals_sql(spark, duck):
     got = sorted(tuple(r) for r in K.query(spark, "/root/testdata/sf0.001").select("query_id", "rank", "vec_id", "score").collect())
     assert got == sorted(duck.execute(f"SELECT query_id, rank, vec_id, score FROM ({K.SQL})").fetchall())
