@@ -199,15 +199,17 @@ def etl_website(raw_movies: DataFrame) -> DataFrame:
 # Whole load ---------------------------------------------------------------
 
 def load_all(raw_movies: DataFrame, raw_credits: DataFrame, raw_ratings: DataFrame,
-             users: DataFrame, base_path: str) -> DataFrame:
+             users: DataFrame, base_path: str, checked: bool = False) -> DataFrame:
     """Parse each raw input once, derive the 11 tables, load them parents first.
 
     The parsed raw frames are written once (lineage cut) and every table is
     derived from them; all tables are staged and published by one commit, so a
-    load that fails leaves the tables of the one before.  Returns (step, tbl,
-    rows) read back from the loaded tables.
+    load that fails leaves the tables of the one before.  ``checked`` loads are
+    published only if they break no declared rule (``audit.enforce``).  Returns
+    (step, tbl, rows) read back from the loaded tables.
     """
     from affinity.session import materialize, release
+    from affinity.operators.audit import LOAD_RULES, enforce, metrics
     from affinity.sources.files import LOAD_ORDER, Catalog
 
     rm = materialize(with_nested(raw_movies, "genres", GENRE_LIST), "raw-movies")
@@ -215,17 +217,22 @@ def load_all(raw_movies: DataFrame, raw_credits: DataFrame, raw_ratings: DataFra
                      "raw-credits")
     catalog = Catalog(raw_movies.sparkSession, base_path)
     with catalog.load() as load:
-        load.write("website", etl_website(rm))
-        item = load.write("movie", etl_item(rm))
-        load.write("link", etl_link(rm, item))
-        load.write("genre", etl_genre(rm))
-        rate = load.write("rate", etl_rating(raw_ratings, item))
-        belong = load.write("belong_to", etl_item_genre(rm, item))
-        load.write("user_most_like", user_favorite_genre(users, rate, belong))
-        load.write("director", etl_director(rc))
-        load.write("mov_cast", etl_cast(rc))
-        load.write("direct", etl_item_director(rc, item))
-        load.write("act", etl_item_cast(rc, item))
+        def put(name, df):
+            return load.write(name, df, metrics(LOAD_RULES[name]) if checked else ())
+
+        put("website", etl_website(rm))
+        item = put("movie", etl_item(rm))
+        put("link", etl_link(rm, item))
+        put("genre", etl_genre(rm))
+        rate = put("rate", etl_rating(raw_ratings, item))
+        belong = put("belong_to", etl_item_genre(rm, item))
+        put("user_most_like", user_favorite_genre(users, rate, belong))
+        put("director", etl_director(rc))
+        put("mov_cast", etl_cast(rc))
+        put("direct", etl_item_director(rc, item))
+        put("act", etl_item_cast(rc, item))
+        if checked:
+            enforce(load)
     release(rm)
     release(rc)
     loaded = {name: catalog.read(name) for name in LOAD_ORDER}

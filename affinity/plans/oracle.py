@@ -633,5 +633,19 @@ texts AS (SELECT doc_id AS mov_id, text AS name FROM documents)
         dom("website", "website", "web_id", "web_id", True), dom("link", "link", "mov_id", "web_id", True),
         dom("movie_from_text", "texts", "mov_id", "name", False),
         dom("rate", "rate", "mov_id || '|' || user_id", "review", True)])
+    def rows_of(kind, sql):
+        return f"SELECT '{kind}' AS kind, tbl, rule, key, CAST(count(*) AS BIGINT) AS n FROM ({sql}) GROUP BY tbl, rule, key"
+
+    q["audit_violations"] = (f"""WITH pk AS ({q["pk_violations"]}), fk AS ({q["fk_violations"]}),
+ck AS ({q["check_violations"]}), dm AS ({q["domain_violations"]})
+SELECT 'unique' AS kind, CASE WHEN tbl LIKE 'user_most_like%' THEN 'users' ELSE tbl END AS tbl,
+       CASE WHEN tbl = 'user_most_like.username' THEN 'username' ELSE 'key' END AS rule, key, n
+FROM pk WHERE tbl <> 'rating_rows'
+UNION ALL SELECT 'reference', CASE WHEN tbl = 'rate_after_removal' THEN 'rate' ELSE tbl END, col, value, n FROM fk
+UNION ALL """ + rows_of("check", "SELECT tbl, rule, key FROM ck") + """
+UNION ALL SELECT rule, CASE WHEN tbl = 'user_most_like' THEN 'users' ELSE tbl END, col, key, CAST(count(*) AS BIGINT)
+FROM dm GROUP BY ALL""")
+    q["etl_load_checked"] = q["etl_load_all"]
+
     # DuckDB's count_if is HUGEINT; Spark's is BIGINT.
     return {k: re.sub(r"count_if\(([^()]*)\)", r"CAST(count_if(\1) AS BIGINT)", v) for k, v in q.items()}

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.functions import scalars
-from affinity.operators import (changes, collab, content, etl, evaluate, factor, ids, integrity,
+from affinity.operators import (audit, changes, collab, content, etl, evaluate, factor, ids, integrity,
                                 lookup, name_index, ranking)
 from affinity.sources import files, raw
 from affinity.session import materialize
@@ -659,6 +659,63 @@ def _domain(spark, d):
     ])
 
 
+@register("audit_violations")
+def _audit(spark, d):
+    # The tables and rules of the four queries above, every table read once.
+    rows, m, u = td.rating_rows(spark, d), td.movies(spark, d), td.users(spark, d)
+    website, link = _links(spark, d)
+    R, grade = audit.Rules, integrity.grade_in_range
+    pair = ("mov_id", "user_id")
+    feed_rows = ("l_orderkey", "l_linenumber")
+    tables = {
+        "rating_rows": rows, "rate": td.rate_table(spark, d), "movie": m, "genre": td.genres(spark, d),
+        "director": td.directors(spark, d), "mov_cast": td.cast_members(spark, d), "users": u,
+        "user_most_like": _profiles(spark, d), "belong_to": td.belong_to(spark, d), "direct": td.direct(spark, d),
+        "act": td.act(spark, d), "website": website, "link": link, "feed_link": _feed_links(spark, d),
+        "rating_changes": td.change_log(spark, d), "rating_feed": rows.withColumn("rating", F.col("l_quantity") / 9.0),
+        "movie_kept": m.where(F.col("runtime") > 5),
+        "movie_from_text": td.overviews(spark, d).withColumnRenamed("overview", "name"),
+    }
+    rules = {
+        "rating_rows": R(feed_rows, checks={"rating_range": lambda: grade("rating")}),
+        "rate": R(pair, {"key": pair}, (("mov_id", "movie", "mov_id"), ("user_id", "users", "user_id"),
+                                        ("mov_id", "movie_kept", "mov_id")),
+                  {"grade_range": grade}, not_null=("review",)),
+        "movie": R(("mov_id",), {"key": ("mov_id",)}, texts=("name",)),
+        "genre": R(("genre_id",), {"key": ("genre_id",)}, texts=("name",)),
+        "director": R(("director_id",), {"key": ("director_id",)}, texts=("name",),
+                      checks={"gender_range": integrity.gender_in_range}),
+        "mov_cast": R(("cast_id",), {"key": ("cast_id",)}, texts=("name",)),
+        "users": R(("user_id",), {"key": ("user_id",), "username": ("username",)}, texts=("name", "username"),
+                   not_null=("username",)),
+        "user_most_like": R(("user_id",), refs=(("genre_id", "genre", "genre_id"),),
+                            checks={"birthday_range": integrity.birthday_in_range}),
+        "belong_to": R(("mov_id", "genre_id"), {"key": ("mov_id", "genre_id")},
+                       (("mov_id", "movie", "mov_id"), ("genre_id", "genre", "genre_id"))),
+        "direct": R(("mov_id", "director_id"), {"key": ("mov_id", "director_id")},
+                    (("mov_id", "movie", "mov_id"), ("director_id", "director", "director_id"))),
+        "act": R(("mov_id", "cast_id"), {"key": ("mov_id", "cast_id")},
+                 (("mov_id", "movie", "mov_id"), ("cast_id", "mov_cast", "cast_id"))),
+        "website": R(("web_id",), {"key": ("web_id",)}, texts=("web_id",), not_null=("web_id",)),
+        "link": R(("mov_id",), {"key": ("mov_id",)}, (("mov_id", "movie", "mov_id"), ("web_id", "website", "web_id")),
+                  texts=("web_id",), not_null=("web_id",)),
+        "feed_link": R(("mov_id", "web_id"), {"key": ("mov_id", "web_id")},
+                       (("mov_id", "movie", "mov_id"), ("web_id", "website", "web_id"))),
+        "rating_changes": R(("seq",), refs=(("mov_id", "movie", "mov_id"), ("user_id", "users", "user_id")),
+                            checks={"grade_range": grade}),
+        "rating_feed": R(feed_rows, checks={"rating_range": lambda: grade("rating")}),
+        "movie_from_text": R(("mov_id",), texts=("name",)),
+    }
+    return audit.audit(spark, tables, rules)
+
+
+@register("etl_load_checked")
+def _etl_load_checked(spark, d):
+    # Published only if no declared rule is broken; the dirty raw rows are rejects by then.
+    return etl.load_all(raw.raw_movies(spark, d), raw.raw_credits(spark, d), raw.raw_ratings(spark, d),
+                        td.users(spark, d), files.scratch_path(spark, "catalog"), checked=True)
+
+
 # ----------------------------------------------------------------- factor --
 
 @register("als_fit_rmse")

@@ -7,7 +7,7 @@ import pytest
 from affinity.plans import registry
 
 SF = "/root/testdata/sf0.001"
-FILE_QUERIES = {"csv_scan", "load_table", "etl_load_all"}   # write files while planning
+FILE_QUERIES = {"csv_scan", "load_table", "etl_load_all", "etl_load_checked"}   # write files while planning
 
 
 def _plan(spark, name):
