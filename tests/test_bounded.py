@@ -86,3 +86,20 @@ def test_reach_counts_values(spark):
     got = bounded.at_least(spark.createDataFrame([(float(v),) for v in values], "val double"),
                            spark.createDataFrame([(i, float(v)) for i, v in enumerate(asked)], "row_id long, val double"), "t")
     assert {r["row_id"]: r["reach"] for r in got.collect()} == {i: int((values >= v).sum()) for i, v in enumerate(asked)}
+
+
+def test_only_pairs_with_a_chance_become_rows(spark):
+    """Many rows share columns, but few pairs reach the threshold of the list."""
+    n, cols = 300, 40
+    rng = np.random.default_rng(4)
+    X = np.where(rng.random((n, cols)) < 0.3, rng.choice([-1.0, 1.0], (n, cols)), 0.0)
+    X[:8] = 0.0
+    X[range(8), range(8)] = 0.1
+    alpha = np.full(n, 1000.0)
+    norm = np.sqrt(alpha ** 2 + (X * X).sum(axis=1))
+    entries, info = frames(spark, X, alpha, norm, list(range(n)))
+    stats = {}
+    got = bounded.cosine_topk(entries, info, 3, stats=stats).orderBy("row_id", "rank").collect()
+    want = brute(X, alpha, norm, 3, list(range(n)))
+    assert [r["other_id"] for r in got] == [j for i in range(n) for j in want[i]]
+    assert stats["pairs"] > n * n / 4 and stats["met"] < stats["pairs"] / 4

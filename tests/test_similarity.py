@@ -147,3 +147,20 @@ def test_large_column_ids_stay_apart(spark):
     seeds = spark.createDataFrame([(1,)], "row_id long")
     assert tiles.cosine_topk_seeded(entries, info, seeds, 3, exclude_zero=True).count() == 0
     assert tiles.cosine_topk_seeded(entries, info, seeds, 3, exclude_zero=True, max_rows_per_block=1).count() == 0
+
+
+def test_copies_of_a_pack_follow_groups_not_packs(spark, monkeypatch):
+    """Sixty packs in a few groups: same lists as brute force, few copies of every entry."""
+    rng = np.random.default_rng(3)
+    X = (rng.random((60, 25)) < 0.3) * rng.integers(1, 4, (60, 25)).astype(float)
+    r, c = np.nonzero(X)
+    norm = np.sqrt((X ** 2).sum(1))
+    entries = spark.createDataFrame(pd.DataFrame({"row_id": r, "col_id": c, "value": X[r, c]}))
+    info = spark.createDataFrame(pd.DataFrame({"row_id": np.arange(60), "alpha": 0.0, "norm": norm}))
+    dealt, real = {}, tiles.pair_tiles
+    monkeypatch.setattr(tiles, "pair_tiles", lambda left, gl, *a: (dealt.update(groups=gl), real(left, gl, *a))[1])
+    got = tiles.cosine_topk(entries, info, 5, exclude_zero=True, blocks=60).toPandas()
+    got = got.sort_values(["row_id", "rank"]).groupby("row_id")["other_id"].apply(list).to_dict()
+    assert got == {k: v for k, v in _brute_topk(np.arange(60), X @ X.T / np.outer(norm, norm), 5, True).items() if v}
+    assert dealt["groups"] <= 2 * math.ceil(math.sqrt(spark.sparkContext.defaultParallelism))
+    assert tiles.groups_for(spark, 250, 500_000, 60_000_000) <= max(8, dealt["groups"])
