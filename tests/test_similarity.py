@@ -164,3 +164,15 @@ def test_copies_of_a_pack_follow_groups_not_packs(spark, monkeypatch):
     assert got == {k: v for k, v in _brute_topk(np.arange(60), X @ X.T / np.outer(norm, norm), 5, True).items() if v}
     assert dealt["groups"] <= 2 * math.ceil(math.sqrt(spark.sparkContext.defaultParallelism))
     assert tiles.groups_for(spark, 250, 500_000, 60_000_000) <= max(8, dealt["groups"])
+
+
+def test_rare_and_common_terms_get_the_same_weights(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, " ".join(f"word{j}" for j in range(1, 40) if i % j == 0)) for i in range(1, 60)]
+                                 + [(7, "word1 again"), (None, "word2"), (61, None)], "mov_id long, overview string")
+    got = {}
+    for most in (3, 10 ** 6):
+        monkeypatch.setattr(content, "COMMON_TERMS", most)
+        got[most] = {(r["mov_id"], r["term"]): round(r["weight"], 12) for r in content.tfidf_weights(docs).collect()}
+    assert got[3] == got[10 ** 6] and len(got[3]) > 100
+    plan = content.term_counts(docs)
+    assert plan.groupBy("mov_id", "term").count().where("count > 1").isEmpty()
