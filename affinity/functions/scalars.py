@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import ast
 
-import pandas as pd
+import pyarrow as pa
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -113,6 +113,20 @@ def _read_by_json(raw: Column, parsed: Column, schema: T.ArrayType) -> Column:
             & ~F.exists(parsed, doubtful))
 
 
+def _no_list(raw: Column) -> Column:
+    """Whether a literal is sure to be no list, so that no parser need see it: the word None;
+    a dict or set up to the end (its only closing brace); text, but no comment, after
+    the only closing bracket of a list (a tuple that begins with a list holds no dicts
+    only).  A bracket within a quoted text leaves the list open, which is no literal either."""
+    cell = F.btrim(raw, F.lit(" \t\r\n\f"))
+    end = F.instr(cell, "]")
+    rest = F.substr(cell, end + 1)
+    return ((cell == "None")
+            | (cell.startswith("{") & (F.instr(cell, "}") == F.length(cell)))
+            | (cell.startswith("[") & (end > 0) & (end < F.length(cell)) & ~rest.contains("]")
+               & ~rest.contains("#") & ~raw.contains("\\")))
+
+
 def with_nested(df, col: str, schema: T.ArrayType = GENRE_LIST, out: str | None = None):
     """``df`` with ``out`` (default: ``col`` replaced) = the parsed literal.
 
@@ -120,7 +134,8 @@ def with_nested(df, col: str, schema: T.ArrayType = GENRE_LIST, out: str | None
     declared number fields must be numbers (truncated) or None, declared text
     fields are taken as text, missing fields are NULL; anything else gives a NULL
     list.  ``from_json`` (accepts single quotes) reads the cells on which both
-    agree for sure, an Arrow-batched ``literal_eval`` the rest.
+    agree for sure, ``_no_list`` tells those that hold no list for sure, an Arrow-batched
+    ``literal_eval`` reads the rest.
 
     The JSON parse is a column of its own, so it runs once per row, and the
     fallback is marked non-deterministic so the optimizer never copies the
@@ -135,13 +150,18 @@ def with_nested(df, col: str, schema: T.ArrayType = GENRE_LIST, out: str | None
     df = df.withColumn(ok, F.coalesce(_read_by_json(raw, F.col(tmp), schema), F.lit(False)))
     parse = _literal_parser(schema)
 
-    @F.pandas_udf(schema)
-    def slow_parse(texts: pd.Series) -> pd.Series:
-        # Rows that JSON has read arrive as NULL and are skipped.
-        return pd.Series([parse(t) if isinstance(t, str) else None for t in texts], dtype=object)
+    fields = [(f.name, pa.int64() if isinstance(f.dataType, T.LongType) else pa.string())
+              for f in schema.elementType.fields]
+    arrow = pa.list_(pa.struct(fields))
+
+    @F.arrow_udf(schema)
+    def slow_parse(texts: pa.Array) -> pa.Array:
+        # Rows that need no parser arrive as NULL and are skipped.
+        return pa.array([parse(t) for t in texts.to_pylist()], arrow)
 
     slow_parse = slow_parse.asNondeterministic()
-    return (df.withColumn(out, F.when(F.col(ok), F.col(tmp)).otherwise(slow_parse(F.when(~F.col(ok), raw))))
+    return (df.withColumn(out, F.when(F.col(ok), F.col(tmp)).otherwise(
+                slow_parse(F.when(~F.col(ok) & ~_no_list(raw), raw))))
               .drop(tmp, ok))
 
 

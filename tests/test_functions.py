@@ -79,3 +79,19 @@ def test_drop_stop_words(spark):
     df = spark.createDataFrame([(1, "the cat and the hat sat on the mat")], "mov_id long, t string")
     a = df.select("mov_id", F.explode(scalars.raw_tokens("t")).alias("term"))
     assert sorted(r.term for r in scalars.drop_stop_words(a).collect()) == ["cat", "hat", "mat", "sat"]
+
+
+def test_cells_that_hold_no_list_skip_the_parser(spark):
+    no_list = ["None", " None\n", "{'id': 1}", "{'id': ']'}", "{'a': 1", "{'a': 1 # }", "[{'id': 1}] junk", "[{'id': 1}], 2",
+               "[], {'id': 1}", "['a]', 'b'", "[1] + 2"]
+    ask = ["[{'id': 1}]", "[{'id': 1}] # note", "{'id': 1}, {'id': 2}", "[{'id': 1, 'name': 'a]b'}]", "({'id': 1},)", "", "x",
+           "[{'id': 1}]\f", "[{'id': 1, 'name': 'a}b'}]", "[{'id': 1}]\\\n", "{'a': '}'}"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(no_list + ask)], "i int, t string")
+    df = df.withColumn("no", scalars._no_list(F.col("t")))
+    rows = scalars.with_nested(df, "t", scalars.GENRE_LIST, out="p").orderBy("i").collect()
+    parse = scalars._literal_parser(scalars.GENRE_LIST)
+    assert [r["no"] for r in rows[:len(no_list)]] == [t != "{'a': 1" for t in no_list]
+    for r in rows:
+        want = parse(r["t"])
+        assert (r["p"] is None) == (want is None) and not (r["no"] and want is not None)
+        assert want is None or [x.asDict() for x in r["p"]] == want
