@@ -220,24 +220,27 @@ def _keyed(batches):
 
 
 def _verifier(idf):
-    def weighted(text):
-        sh = Shingles([text])
-        return sh.s, sh.c * idf.value[idf_bucket(sh.s)]
-
     def run(batches):
         for batch in batches:
-            cols = [batch.column(x).to_pylist() for x in ("lead", "other", "lead_text", "other_text")]
-            sims, last, kept = [], None, None
-            for lead, _, a, b in zip(*cols):
-                if lead != last:
-                    last, kept = lead, weighted(a)
-                s, w = kept
-                s2, w2 = weighted(b)
-                _, i, j = np.intersect1d(s, s2, assume_unique=True, return_indices=True)
-                both = np.minimum(w[i], w2[j]).sum()
-                sims.append(float(both / (w.sum() + w2.sum() - both)))
-            yield pa.RecordBatch.from_pydict({"lead": pa.array(cols[0], pa.int64()),
-                                              "other": pa.array(cols[1], pa.int64()), "sim": pa.array(sims)})
+            lead, other = batch.column("lead").to_pylist(), batch.column("other").to_pylist()
+            lead_text, other_text = batch.column("lead_text").to_pylist(), batch.column("other_text").to_pylist()
+            sims = []
+            for lo, hi in byte_chunks(other_text, 1 << 20):
+                # Every text of the chunk is cut into shingles once, all of them together.
+                texts = {**dict(zip(lead[lo:hi], lead_text[lo:hi])), **dict(zip(other[lo:hi], other_text[lo:hi]))}
+                sh = Shingles(list(texts.values()))
+                weight = sh.c * idf.value[idf_bucket(sh.s)]
+                ends = np.cumsum(sh.n).tolist()
+                of = {node: (sh.s[e - n:e], weight[e - n:e], weight[e - n:e].sum())
+                      for node, e, n in zip(texts, ends, sh.n.tolist())}
+                for x, y in zip(lead[lo:hi], other[lo:hi]):
+                    (s, w, all1), (s2, w2, all2) = of[x], of[y]
+                    at = np.minimum(np.searchsorted(s, s2), len(s) - 1)
+                    hit = s[at] == s2
+                    both = np.minimum(w[at[hit]], w2[hit]).sum()
+                    sims.append(float(both / (all1 + all2 - both)))
+            yield pa.RecordBatch.from_pydict({"lead": pa.array(lead, pa.int64()),
+                                              "other": pa.array(other, pa.int64()), "sim": pa.array(sims, pa.float64())})
     return run
 
 

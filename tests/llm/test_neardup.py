@@ -3,6 +3,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from affinity.llm import neardup as N
 from affinity.llm.components import components
@@ -155,3 +156,23 @@ def test_near_copies_without_ids_are_linked(spark):
     assert sorted((str(r["doc_id"]), str(r["class_id"])) for r in N.near_duplicates(
         spark.createDataFrame(rows, "doc_id long, text string")).collect()) == [
         ("3", "3"), ("7", "7"), ("None", "3"), ("None", "3"), ("None", "None")]
+
+
+def test_texts_of_a_batch_are_cut_into_shingles_once(monkeypatch):
+    """A leader's members share its shingles, and the texts of a batch are hashed together."""
+    g = random.Random(5)
+    texts = {i: " ".join(f"w{g.randrange(40)}" for _ in range(3 + 9 * i)) for i in range(30)}
+    pairs = [(a, b) for a in (0, 7, 29) for b in range(30) if a != b]
+    idf = type("B", (), {"value": np.linspace(1, 3, N.IDF_BUCKETS)})
+    batch = pa.RecordBatch.from_pydict({
+        "lead": pa.array([a for a, _ in pairs], pa.int64()), "other": pa.array([b for _, b in pairs], pa.int64()),
+        "lead_text": [texts[a] for a, _ in pairs], "other_text": [texts[b] for _, b in pairs]})
+    calls, real = [], N.Shingles
+    monkeypatch.setattr(N, "Shingles", lambda t: calls.append(len(t)) or real(t))
+    got = next(N._verifier(idf)([batch])).to_pylist()
+    assert calls == [30]
+    for r in got:
+        x, y = (dict(zip(s.s.tolist(), (s.c * idf.value[N.idf_bucket(s.s)]).tolist())) for s in (
+            real([texts[r["lead"]]]), real([texts[r["other"]]])))
+        want = sum(min(x.get(k, 0), y.get(k, 0)) for k in {*x, *y}) / sum(max(x.get(k, 0), y.get(k, 0)) for k in {*x, *y})
+        assert abs(r["sim"] - want) < 1e-12
