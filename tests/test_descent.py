@@ -50,6 +50,22 @@ def test_equals_steps_one_by_one(spark, blocks):
         assert all(np.allclose(got[k], want[k], rtol=0, atol=1e-12) for k in want)
 
 
+def test_rounds_are_found_in_one_pass(monkeypatch):
+    """A user with very many ratings makes as many rounds; they are not searched one by one."""
+    rng = np.random.default_rng(8)
+    users, items = np.append(np.zeros(400, np.int64), rng.integers(1, 20, 600)), rng.integers(0, 30, 1000)
+    grades = rng.random(1000)
+    P, Q = rng.random((20, 3)), rng.random((30, 3))
+    p, q = P.copy(), Q.copy()
+    for u, i, g in zip(users, items, grades):
+        err = g - p[u] @ q[i]
+        p[u], q[i] = p[u] + 0.1 * err * q[i], q[i] + 0.1 * err * p[u]
+    calls, real = [], np.unique
+    monkeypatch.setattr(np, "unique", lambda *a, **k: calls.append(1) or real(*a, **k))
+    factor.descend(users, items, grades, P, Q, 0.1)
+    assert len(calls) <= 2 and np.allclose(P, p, rtol=0, atol=1e-12) and np.allclose(Q, q, rtol=0, atol=1e-12)
+
+
 def test_descent_learns_and_leaves_unknown_pairs_open(spark):
     rows = planted(n=800)
     cells = spark.createDataFrame(rows, "user_id long, mov_id long, grade double")
