@@ -136,3 +136,23 @@ def test_a_stored_model_scores_without_a_fit(spark, tmp_path):
         factor.stored_als(cat, no_fit, later, rank=3)
     factor.stored_als(cat, lambda: spark.read.parquet(path).dropDuplicates(["user_id", "mov_id"]), later, rank=3)
     assert cat.version() == 2
+
+
+def test_only_cells_that_may_be_best_are_rounded(monkeypatch):
+    """Ties of rounded scores, few items, scores below the threshold, infinite and missing ones."""
+    rng = np.random.default_rng(6)
+    S = np.round(rng.normal(size=(40, 300)), 2) + rng.choice([0, 3e-10, -3e-10], size=(40, 300))
+    odd = S[:, :50].copy()
+    odd[3, 7], odd[4] = np.inf, -np.inf
+    none = S.copy()
+    none[5, 9] = np.nan
+    blank = np.full(40, np.nan)
+    for cells in (S, odd, none, S[:, :4], S * 1e6, S[:0]):
+        want = factor._topk(factor.round_half_up(cells), 5)
+        assert all(np.array_equal(a, b) for a, b in zip(factor._best_cells(cells, 5, blank[:len(cells)]), want))
+    kth = np.sort(S, axis=1)[:, -5] - 2e-9
+    assert all(np.array_equal(a, b) for a, b in zip(factor._best_cells(S, 5, kth), factor._topk(factor.round_half_up(S), 5)))
+    sizes, real = [], factor.round_half_up
+    monkeypatch.setattr(factor, "round_half_up", lambda x: sizes.append(x.size) or real(x))
+    factor._best_cells(S, 5, blank)
+    assert sum(sizes) < S.size // 10
