@@ -12,6 +12,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from affinity.session import materialize
+
 VARCHAR_MAX = 255                              # fixed value: varchar(255)
 BIRTHDAY_MIN = _dt.date(1900, 1, 1)            # fixed value: CHECK birthday > 1900-01-01
 
@@ -33,10 +35,18 @@ def pk_violations(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
 def fk_violations(refs: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
     """Referencing values with no parent: (tbl, col, value, n).
 
-    refs: (child name, child df, child column, parent df, parent column).
+    refs: (child name, child df, child column, parent df, parent column).  A frame that
+    several references use is computed once, for all columns they need of it.
     """
+    needed: dict[int, list] = {}
+    for _, child, col, parent, pcol in refs:
+        needed.setdefault(id(child), [child, []])[1].append(col)
+        needed.setdefault(id(parent), [parent, []])[1].append(pcol)
+    once = {key: materialize(df.select(*dict.fromkeys(cols)), "fk-input") if len(cols) > 1 else df
+            for key, (df, cols) in needed.items()}
     out = None
     for name, child, col, parent, pcol in refs:
+        child, parent = once[id(child)], once[id(parent)]
         # Distinct child values first: a hot value is one row per map task in the join.
         c = child.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).count()
         p = parent.select(F.col(pcol).alias("_v"))

@@ -608,14 +608,15 @@ def _fk(spark, d):
     r, log = td.rate_table(spark, d), td.change_log(spark, d)
     website, link = _links(spark, d)
     feed = _feed_links(spark, d)
+    belong, direct, act = td.belong_to(spark, d), td.direct(spark, d), td.act(spark, d)
     return integrity.fk_violations([
         ("rate", r, "mov_id", m, "mov_id"), ("rate", r, "user_id", u, "user_id"),
-        ("belong_to", td.belong_to(spark, d), "mov_id", m, "mov_id"),
-        ("belong_to", td.belong_to(spark, d), "genre_id", td.genres(spark, d), "genre_id"),
-        ("direct", td.direct(spark, d), "mov_id", m, "mov_id"),
-        ("direct", td.direct(spark, d), "director_id", td.directors(spark, d), "director_id"),
-        ("act", td.act(spark, d), "mov_id", m, "mov_id"),
-        ("act", td.act(spark, d), "cast_id", td.cast_members(spark, d), "cast_id"),
+        ("belong_to", belong, "mov_id", m, "mov_id"),
+        ("belong_to", belong, "genre_id", td.genres(spark, d), "genre_id"),
+        ("direct", direct, "mov_id", m, "mov_id"),
+        ("direct", direct, "director_id", td.directors(spark, d), "director_id"),
+        ("act", act, "mov_id", m, "mov_id"),
+        ("act", act, "cast_id", td.cast_members(spark, d), "cast_id"),
         ("rating_changes", log, "mov_id", m, "mov_id"), ("rating_changes", log, "user_id", u, "user_id"),
         ("link", link, "mov_id", m, "mov_id"), ("link", link, "web_id", website, "web_id"),
         ("feed_link", feed, "mov_id", m, "mov_id"), ("feed_link", feed, "web_id", website, "web_id"),

@@ -135,3 +135,17 @@ def test_onboarding_folds_first_ratings(spark):
     got = changes.onboard_user(snap, users, movies, 8).collect()
     new = [r for r in got if r.user_id == 8]
     assert len(got) == 9 and len(new) == 8 and all(1 <= r.grade <= 5 for r in new)
+
+
+def test_a_table_with_several_references_is_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    child = spark.createDataFrame([(1, 10), (2, 20), (2, None), (3, 30)], "a long, b long").mapInArrow(count, "a long, b long")
+    left, right = spark.createDataFrame([(1,), (3,), (3,)], "k long"), spark.createDataFrame([(10,)], "k long")
+    got = integrity.fk_violations([("t", child, "a", left, "k"), ("t", child, "b", right, "k")]).collect()
+    assert sorted(tuple(r) for r in got) == [("t", "a", "2", 2), ("t", "b", "20", 1), ("t", "b", "30", 1)]
+    assert seen.value == 4
