@@ -30,6 +30,7 @@ import hashlib
 import json
 import os
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,12 +49,15 @@ SLICE_BYTES = 2 << 20            # text aligned at once
 KEPT_WORDS = 400_000             # aligned words that a Python worker keeps; beyond that it starts anew
 MERGE_ROWS = 1 << 20             # pair counts of a task merged in Arrow at once
 WORD_START = re.compile(r"(?<=\S)(?= \S)")
+# A space at an end or beside white space (all characters that re takes for such).
+WHITE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+ODD_SPACE = rf"^ | $| [{WHITE}]|[{WHITE}] "
 SPACE = "▁"                 # fixed value: the space of SentencePiece
 ROW_BITS = 40
 # Fixed value: the published pattern of the byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Characters whose class no Unicode version changes.
-SETTLED = re.compile("[ \n!-~\u00a1-\u024f]+")
+SETTLED = r"^[ \n!-~\x{a1}-\x{24f}]+$"
 
 _LOADED: dict[str, "Pair"] = {}
 
@@ -102,18 +106,26 @@ class Pair:
     def words(self, text: str) -> list[str]:
         return WORD_START.split(" " + text) if self.by_word else [" " + text]
 
-    def encode(self, words: list[str]) -> tuple[pa.ListArray, pa.ListArray]:
-        kind = pa.list_(pa.int32())
+    def encode(self, words: list[str], column: pa.Array | None = None) -> tuple[pa.ListArray, pa.ListArray]:
+        """Token ids of both sides; ``column`` holds the same words."""
+        column = pa.array(words, pa.string()) if column is None else column
         if self.by_word and self.fast is not None:
             one = self.fast.encode_ordinary
-            ids = [one(w) if SETTLED.fullmatch(w) and len(w) < 100 else None for w in words]
+            settled = pc.and_(pc.match_substring_regex(column, SETTLED), pc.less(pc.utf8_length(column), 100))
+            ids = [one(w) if ok else None for w, ok in zip(words, settled.to_numpy(zero_copy_only=False).tolist())]
             left = [i for i, x in enumerate(ids) if x is None]
             for i, e in zip(left, self.a.encode_batch_fast([words[i] for i in left], add_special_tokens=False)):
                 ids[i] = e.ids
         else:
             ids = [e.ids for e in self.a.encode_batch_fast(words, add_special_tokens=False)]
-        return (pa.array(ids, kind),
-                pa.array(self.b.encode([w[1:] for w in words], num_threads=1), kind))
+        return _lists(ids), _lists(self.b.encode([w[1:] for w in words], num_threads=1))
+
+
+def _lists(ids: list[list[int]]) -> pa.ListArray:
+    lens = np.fromiter(map(len, ids), np.int64, len(ids))
+    offsets = np.concatenate([np.zeros(1, np.int32), np.cumsum(lens, dtype=np.int32)])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
+                                    pa.array(np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))))
 
 
 def _pair(files) -> Pair:
@@ -140,9 +152,10 @@ class Aligned:
     """Distinct words: ``valid``, tokens ``n_a``, ``n_b``, ``n_groups`` and ``n_links`` of
     each, and all links (``word``, ``a``, ``b``) in order."""
 
-    def __init__(self, words: pa.Array, pair: Pair):
+    def __init__(self, words: list[str], pair: Pair):
         m = len(words)
-        ids_a, ids_b = pair.encode(words.to_pylist())
+        new, words = words, pa.array(words, pa.string())
+        ids_a, ids_b = pair.encode(new, words)
         left, ok_a = _side(ids_a, pair.a_bytes, words, "a")
         right, ok_b = _side(ids_b, pair.b_bytes, words, "b")
         self.valid = pc.and_(ok_a, ok_b)
@@ -201,7 +214,7 @@ class Kept:
             self.clear()
             new = words
         if new:
-            al = Aligned(pa.array(new, pa.string()), self.pair)
+            al = Aligned(new, self.pair)
             start = self.used + np.cumsum(al.n_links) - al.n_links
             self._put(self.table, self.rows, {**{c: getattr(al, c) for c in self.NUMBERS}, "start": start})
             self._put(self.links, self.used, {"a": al.a, "b": al.b})
@@ -222,18 +235,45 @@ class Kept:
         return out
 
 
+def _words(texts: pa.Array, pair: Pair) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after the other, and how many each text has (null and empty: none).
+
+    Where every space stands between two characters that are not white space, words are
+    the parts between spaces, cut in Arrow; other texts are cut by ``Pair.words``."""
+    texts = pc.fill_null(texts, "")
+    plain = np.zeros(len(texts), bool)
+    if pair.by_word:
+        plain = ~pc.match_substring_regex(texts, ODD_SPACE).to_numpy(zero_copy_only=False)
+    plain &= pc.binary_length(texts).to_numpy(zero_copy_only=False) > 0
+    easy = pc.split_pattern(texts.filter(pa.array(plain)), " ")
+    flat = pc.binary_join_element_wise(pa.scalar(""), easy.flatten(), " ")
+    rest = texts.filter(pa.array(~plain))
+    lists = [pair.words(t) if t else [] for t in rest.to_pylist()]
+    lens = np.zeros(len(texts), np.int64)
+    lens[plain] = pc.list_value_length(easy).to_numpy(zero_copy_only=False)
+    lens[~plain] = [len(x) for x in lists]
+    if not lists:
+        return flat, lens
+    # Back into the order of the texts.
+    both = pa.concat_arrays([flat, pa.array([w for x in lists for w in x], pa.string())])
+    order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+    start = np.empty(len(texts), np.int64)
+    start[order] = np.cumsum(lens[order]) - lens[order]
+    at = np.arange(int(lens.sum())) + np.repeat(start - (np.cumsum(lens) - lens), lens)
+    return both.take(pa.array(at)), lens
+
+
 def _slices(batch, pair: Pair):
     """(first row, aligned distinct words, word of every word, words per row, rows that align)."""
     column = batch.column("text")
     for lo, hi in row_slices(column, SLICE_BYTES):
-        lists = [pair.words(t) if t else [] for t in column.slice(lo, hi - lo).to_pylist()]
-        lens = np.array([len(x) for x in lists], np.int64)
-        enc = pa.array([w for x in lists for w in x], pa.string()).dictionary_encode()
+        words, lens = _words(column.slice(lo, hi - lo), pair)
+        enc = words.dictionary_encode()
         ids = enc.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         if len(ids) == 0:
             yield lo, hi, None, ids, lens, np.zeros(hi - lo, bool)
             continue
-        al = pair.kept.aligned(enc.dictionary.to_pylist())
+        al = pair.kept.aligned(enc.dictionary.to_numpy(zero_copy_only=False).tolist())
         yield lo, hi, al, ids, lens, (lens > 0) & (segment_sum(~al.valid[ids], lens) == 0)
 
 

@@ -3,6 +3,7 @@ import os
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from affinity.llm import align
@@ -94,3 +95,23 @@ def test_words_do_not_change_the_tokens(pair):
         assert a.flatten().to_pylist() == pair.a.encode(" " + text, add_special_tokens=False).ids
         if "▁" not in text:
             assert b.flatten().to_pylist() == pair.b.encode(text)
+
+
+def test_words_between_single_spaces_are_cut_in_arrow():
+    """All texts give the words of ``Pair.words``, which only sees texts with other white space."""
+    g = random.Random(9)
+    seen = []
+
+    class Cut:
+        by_word = True
+
+        def words(self, text):
+            seen.append(text)
+            return align.WORD_START.split(" " + text)
+    signs = [" ", " ", "a", "b", "\u00e9", "\n", "\t", "\u3000", "\u00a0", "\x1f", "\x85", "\u2028", "\u200b"]
+    texts = [None, "", " ", "a ", " a", "a\n", "a b\nc d", "a  b"] + [
+        "".join(g.choice(signs) for _ in range(g.randrange(8))) for _ in range(3000)] + [f"one two{i} three" for i in range(50)]
+    words, lens = align._words(pa.array(texts, pa.string()), Cut())
+    want = [align.WORD_START.split(" " + t) if t else [] for t in texts]
+    assert words.to_pylist() == [w for x in want for w in x] and lens.tolist() == [len(x) for x in want]
+    assert "a  b" in seen and "a b\nc d" not in seen and not any(t.startswith("one") for t in seen)
