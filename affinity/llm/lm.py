@@ -32,11 +32,13 @@ training); other columns are ignored.
 
 from __future__ import annotations
 
+from itertools import groupby
+from operator import itemgetter
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +55,7 @@ END = b""
 START = np.uint64(0x9E3779B97F4A7C15)
 BLOCK_ROWS = 2048
 LEAST_TRAINERS, TOKENS_A_TRAINER = 16, 1 << 22
+SALTS = 32               # groups of trainers whose rows are added up first
 LOG10 = np.log(10.0)
 
 
@@ -247,24 +250,38 @@ def _steady_chunks(batches, limit: int = 4 << 20):
         yield held
 
 
+def _by_trainer(batches):
+    """(trainer, its batches) of rows sorted by trainer."""
+    def cut():
+        for batch in batches:
+            t = batch.column("trainer").to_numpy()
+            ends = np.append(np.flatnonzero(t[1:] != t[:-1]) + 1, len(t))
+            for a, b in zip(np.append(0, ends[:-1]).tolist(), ends.tolist()):
+                if a < b:
+                    yield int(t[a]), batch.slice(a, b - a)
+    for trainer, rows in groupby(cut(), key=itemgetter(0)):
+        yield trainer, (batch for _, batch in rows)
+
+
 def _trainer(voc, weights):
     def run(batches):
-        start, w = weights.value, {k: v.copy() for k, v in weights.value.items()}
-        seen = {k: np.zeros(ROWS, np.float64) for k in w}
-        energy = {k: np.zeros(ROWS, np.float32) for k in w}
-        for texts in _steady_chunks(batches):
-            t = Tokens(texts)
-            p1, p2 = t.history()
-            _, cls, slot, _ = voc.value.look_up(t)
-            train_tokens(w, seen, energy, voc.value, p1, p2, cls[t.ids], slot[t.ids])
-        for k in w:
-            moved = (w[k] - start[k]) * seen[k][:, None].astype(np.float32)
-            for b in range(0, ROWS, BLOCK_ROWS):
-                yield pa.RecordBatch.from_pydict({
-                    "part": pa.array([k]), "block": pa.array([b], pa.int32()),
-                    "salt": pa.array([TaskContext.get().partitionId() % 32], pa.int32()),
-                    "moved": pa.array([moved[b:b + BLOCK_ROWS].tobytes()], pa.binary()),
-                    "seen": pa.array([seen[k][b:b + BLOCK_ROWS].tobytes()], pa.binary())})
+        for trainer, rows in _by_trainer(batches):
+            start, w = weights.value, {k: v.copy() for k, v in weights.value.items()}
+            seen = {k: np.zeros(ROWS, np.float64) for k in w}
+            energy = {k: np.zeros(ROWS, np.float32) for k in w}
+            for texts in _steady_chunks(rows):
+                t = Tokens(texts)
+                p1, p2 = t.history()
+                _, cls, slot, _ = voc.value.look_up(t)
+                train_tokens(w, seen, energy, voc.value, p1, p2, cls[t.ids], slot[t.ids])
+            for k in w:
+                moved = (w[k] - start[k]) * seen[k][:, None].astype(np.float32)
+                for b in range(0, ROWS, BLOCK_ROWS):
+                    yield pa.RecordBatch.from_pydict({
+                        "part": pa.array([k]), "block": pa.array([b], pa.int32()),
+                        "salt": pa.array([trainer % SALTS], pa.int32()),
+                        "moved": pa.array([moved[b:b + BLOCK_ROWS].tobytes()], pa.binary()),
+                        "seen": pa.array([seen[k][b:b + BLOCK_ROWS].tobytes()], pa.binary())})
     return run
 
 
@@ -285,11 +302,15 @@ def train(docs: DataFrame, voc, rounds: int = 2) -> dict:
     for r in range(rounds):
         shared = spark.sparkContext.broadcast(weights)
         part = (docs.where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(rounds)) == r)
-                    .select(F.xxhash64("doc_id", "text").alias("h"), "text"))
-        sums = (part.repartition(trainers, "h").sortWithinPartitions("h", "text").select("text")
-                    .mapInArrow(_trainer(voc, shared), schema)
-                    .groupBy("part", "block", "salt").applyInPandas(_add_up, schema)
-                    .groupBy("part", "block").applyInPandas(_add_up, schema))
+                    .select(F.xxhash64("doc_id", "text").alias("h"), "text")
+                    .withColumn("trainer", F.pmod(F.hash("h"), F.lit(trainers))))
+        # A trainer is named by its rows, so more partitions make no more weight rows; twice
+        # as many partitions as trainers part them all.
+        sums = (part.repartitionByRange(2 * trainers, "trainer").sortWithinPartitions("trainer", "h", "text")
+                    .select("trainer", "text").mapInArrow(_trainer(voc, shared), schema))
+        if trainers > SALTS:
+            sums = sums.groupBy("part", "block", "salt").applyInPandas(_add_up, schema)
+        sums = sums.groupBy("part", "block").applyInPandas(_add_up, schema)
         weights = {k: v.copy() for k, v in weights.items()}
         for row in sums.toLocalIterator():
             width = weights[row["part"]].shape[1]

@@ -122,3 +122,31 @@ def test_scores_do_not_follow_the_partitioning(spark):
         got = {r["doc_id"]: r["score"] for r in L.score_documents(df.repartition(n)).collect()}
         first = first or got
         assert got.keys() == first.keys() and all(math.isclose(got[i], first[i], rel_tol=1e-6) for i in got)
+
+
+def test_weight_rows_follow_the_trainers_not_the_partitions(spark, monkeypatch):
+    """Where a cluster deals the texts to more partitions, no more weight rows are made."""
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    made, weights = [], []
+    real, dealt = L._trainer, type(df).repartitionByRange
+    voc = spark.sparkContext.broadcast(L.vocabulary(L.count_tokens(df)))
+    for least in (1, 80):
+        rows = spark.sparkContext.accumulator(0)
+
+        def counted(*a, rows=rows):
+            run = real(*a)
+
+            def counting(batches):
+                for b in run(batches):
+                    rows.add(b.num_rows)
+                    yield b
+            return counting
+
+        monkeypatch.setattr(L, "_trainer", counted)
+        monkeypatch.setattr(type(df), "repartitionByRange", lambda d, n, *c, least=least: dealt(d, max(n, least), *c))
+        monkeypatch.setattr(type(df), "repartition", lambda d, n, *c, least=least, keep=type(df).repartition: keep(d, max(n, least), *c))
+        weights.append(L.train(df, voc, rounds=1))
+        made.append(rows.value)
+        monkeypatch.undo()
+    assert made[0] == made[1] <= L.LEAST_TRAINERS * 2 * L.ROWS // L.BLOCK_ROWS
+    assert all((weights[0][k] == weights[1][k]).all() and weights[0][k].any() for k in weights[0])
