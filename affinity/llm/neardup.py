@@ -10,21 +10,20 @@ weights would push the similarity of its members below that of a single pair.
 
 1. Texts with equal words are one node (partial aggregates; copies are not expanded).
 2. Improved consistent weighted sampling draws ``BANDS * BAND_ROWS`` samples a text.
-   Texts that agree on all samples of two bands share a bucket (at a similarity of
+   Texts that agree on all samples of two bands are candidates (at a similarity of
    0.8 two of 14 bands agree with probability 0.9993; texts that only share a common
    passage rarely agree on two).
-3. In each bucket every member is compared with leaders of other components: one at
-   first, then up to 2, 4, 8 ... a round.  Leaders and members similar to one leave the
-   bucket, and links join components; a bucket goes on until its rest is in one component.
-4. Weighted Jaccard similarity is a metric's complement, so a member y with similarity
-   to the leader above 1 - 2(1 - 0.8) could still be similar to a text that joined the
-   leader.  Where y ended in another component, y is compared with those members of
-   the bucket that the triangle inequality allows: both sides are packed into blocks of
-   some ``SIDE`` sketches, and each pair of blocks is compared in numpy, so that only
-   pairs whose sketches agree become rows.
-5. Texts are compared only if at least ``AGREE`` of their samples agree (``AGREE_EXTRA``
-   in step 4, where only links count); all that are compared are verified by exact
-   weighted Jaccard similarity >= ``threshold``.  Classes are the connected components of the verified links.
+3. Texts that share a band share a bucket; the members of a bucket of more than ``LARGE``
+   share a bucket only with those that share another band too.  Buckets are packed into
+   blocks of some ``SIDE`` sketches, and each pair of blocks is compared in numpy: of a pair
+   of texts only in the bucket of the least band they share (and the next one), so once.
+   Pairs whose sketches agree are written as arrays, never as rows.
+4. Texts are dealt to packs of some ``PACK`` texts, alike ones to the same packs.  All
+   pairs of two packs are verified in one task, which reads each of their texts once: exact
+   weighted Jaccard similarity >= ``threshold``.  It gives every text's number of links and
+   a star for each component of the links it found.
+5. Texts are verified if ``AGREE_EXTRA`` of their samples agree (``AGREE`` for a threshold
+   below 0.8).  Classes are the connected components of the verified links.
 
 Edge cases: a null text counts as the empty text; texts without words are similar
 only to texts equal to them; repeated rows are copies; an empty table gives an empty
@@ -50,11 +49,14 @@ from affinity.session import materialize, release
 SHINGLE = 5
 BANDS, BAND_ROWS = 14, 3
 SAMPLES = BANDS * BAND_ROWS
-AGREE = 16               # samples of 42 that must agree before a text is compared with a leader:
-                         # of texts that share two bands fewer agree with probability 2e-5 at a
-                         # similarity of 0.6, which step 4 needs
-AGREE_EXTRA = 24         # the same in step 4: probability 2e-4 at a similarity of 0.8
-SIDE = 256               # sketches in a block of step 4
+AGREE, AGREE_EXTRA = 16, 20   # samples of 42 that must agree before texts are verified: of texts
+                         # that share two bands fewer than 20 agree with probability 2e-8 at a similarity of
+                         # 0.8, fewer than 16 with probability 2e-5 at 0.6
+LARGE = 2048             # members of a bucket that one band makes
+SIDE = 256               # sketches in a block
+PACK, PACK_BYTES = 2048, 4 << 20     # texts of a pack and their bytes, as dealt by a hash
+STEP = 1 << 18           # pairs of sketches in memory at once
+SHINGLE_STEP = 1 << 22   # the same for shingles
 IDF_BUCKETS = 1 << 16
 IDF_POWER = 0.25
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -219,90 +221,149 @@ def _keyed(batches):
                                              ["key", "text"])
 
 
+def _ragged(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each range, one range after the other."""
+    ends = np.cumsum(count)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - count), count)
+
+
+def _steps(count: np.ndarray, most: int):
+    """Ranges of positions whose counts add up to ``most`` or so (one position at least)."""
+    ends, lo = np.cumsum(count), 0
+    while lo < len(count):
+        done = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, done + most, side="right")))
+        yield lo, hi
+        lo = hi
+
+
+def similarities(texts: list[str], lead: np.ndarray, other: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Weighted Jaccard similarity of texts[lead] and texts[other]; no text without words."""
+    sh = Shingles(texts)
+    weight = sh.c * idf[idf_bucket(sh.s)]
+    first = np.cumsum(sh.n) - sh.n
+    total = np.add.reduceat(weight, first)
+    code = np.unique(sh.s, return_inverse=True)[1]
+    dense = np.zeros(len(code))                       # weights of one lead by shingle
+    order = np.argsort(lead, kind="stable")
+    cuts = np.flatnonzero(np.append(True, np.diff(lead[order]) != 0)) if len(lead) else np.zeros(0, np.int64)
+    out = np.empty(len(lead))
+    for a, b in zip(cuts, np.append(cuts[1:], len(lead))):
+        i, rows = lead[order[a]], order[a:b]
+        own = slice(first[i], first[i] + sh.n[i])
+        dense[code[own]] = weight[own]
+        n = sh.n[other[rows]]
+        for lo, hi in _steps(n, SHINGLE_STEP):
+            j = other[rows[lo:hi]]
+            at = _ragged(first[j], n[lo:hi])
+            both = np.add.reduceat(np.minimum(dense[code[at]], weight[at]), np.cumsum(n[lo:hi]) - n[lo:hi])
+            out[rows[lo:hi]] = both / (total[i] + total[j] - both)
+        dense[code[own]] = 0.0
+    return out
+
+
 def _verifier(idf):
+    """Similarities of pairs that come with their texts."""
     def run(batches):
         for batch in batches:
             lead, other = batch.column("lead").to_pylist(), batch.column("other").to_pylist()
-            lead_text, other_text = batch.column("lead_text").to_pylist(), batch.column("other_text").to_pylist()
-            sims = []
-            for lo, hi in byte_chunks(other_text, 1 << 20):
-                # Every text of the chunk is cut into shingles once, all of them together.
-                texts = {**dict(zip(lead[lo:hi], lead_text[lo:hi])), **dict(zip(other[lo:hi], other_text[lo:hi]))}
-                sh = Shingles(list(texts.values()))
-                weight = sh.c * idf.value[idf_bucket(sh.s)]
-                ends = np.cumsum(sh.n).tolist()
-                of = {node: (sh.s[e - n:e], weight[e - n:e], weight[e - n:e].sum())
-                      for node, e, n in zip(texts, ends, sh.n.tolist())}
-                for x, y in zip(lead[lo:hi], other[lo:hi]):
-                    (s, w, all1), (s2, w2, all2) = of[x], of[y]
-                    at = np.minimum(np.searchsorted(s, s2), len(s) - 1)
-                    hit = s[at] == s2
-                    both = np.minimum(w[at[hit]], w2[hit]).sum()
-                    sims.append(float(both / (all1 + all2 - both)))
+            texts = {**dict(zip(lead, batch.column("lead_text").to_pylist())),
+                     **dict(zip(other, batch.column("other_text").to_pylist()))}
+            place = {node: k for k, node in enumerate(texts)}
+            sims = similarities(list(texts.values()), np.array([place[x] for x in lead], np.int64),
+                                np.array([place[x] for x in other], np.int64), idf.value)
             yield pa.RecordBatch.from_pydict({"lead": pa.array(lead, pa.int64()),
                                               "other": pa.array(other, pa.int64()), "sim": pa.array(sims, pa.float64())})
     return run
 
 
-def _agree(a: str, b: str):
-    """Samples on which two sketches agree, two bytes each."""
-    return F.expr(f"aggregate(sequence(1, {2 * SAMPLES - 1}, 2), 0, (n, i) -> "
-                  f"n + if(substring({a}, i, 2) = substring({b}, i, 2), 1, 0))")
-
+def _candidates(agree: int):
+    """Pairs of two blocks of a bucket that are to be verified, by the packs of their texts."""
+    none = np.iinfo(np.int64).max
 
-def _tiles(reach: float):
-    """Pairs of two blocks whose sketches agree and whose similarities to the leader are at
-    most ``reach`` apart."""
     def block(column):
         parts = column.flatten()
         sketch = np.frombuffer(b"".join(parts.field("sketch").to_pylist()), np.uint16).reshape(-1, SAMPLES)
+        bands = parts.field("bands").flatten().to_numpy().reshape(-1, BANDS)
         ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
-        return parts.field("node").to_numpy(), parts.field("sim").to_numpy(), sketch, np.append(0, ends)
+        return parts.field("node").to_numpy(), parts.field("pack").to_numpy(), sketch, bands, np.append(0, ends)
 
     def run(batches):
         for batch in batches:
-            node, sim, sketch, at = block(batch.column("grey"))
-            node2, sim2, sketch2, at2 = block(batch.column("joined"))
-            for t in range(batch.num_rows):
-                right = slice(at2[t], at2[t + 1])
-                lead, other = [], []
-                for i in range(at[t], at[t + 1]):
-                    j = np.flatnonzero((np.abs(sim2[right] - sim[i]) <= reach)
-                                       & ((sketch2[right] == sketch[i]).sum(axis=1) >= AGREE_EXTRA))
-                    lead.append(np.full(len(j), node[i]))
-                    other.append(node2[right][j])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lead), pa.int64()),
-                                                  pa.array(np.concatenate(other), pa.int64())], ["lead", "other"])
+            if batch.num_rows == 0:
+                continue
+            node, pack, sketch, bands, at = block(batch.column("left"))
+            node2, pack2, sketch2, bands2, at2 = block(batch.column("right"))
+            x, y = batch.column("x").to_numpy(), batch.column("y").to_numpy()
+            same = batch.column("same").to_numpy(zero_copy_only=False)
+            tile = np.repeat(np.arange(len(x)), np.diff(at))
+            # Of a block with itself each text meets those behind it.
+            start = at2[tile] + np.where(same[tile], np.arange(len(node)) - at[tile] + 1, 0)
+            count = at2[tile + 1] - start
+            for lo, hi in _steps(count, STEP):
+                i = np.repeat(np.arange(lo, hi), count[lo:hi])
+                j = _ragged(start[lo:hi], count[lo:hi])
+                near = np.flatnonzero((sketch[i] == sketch2[j]).sum(axis=1) >= agree)
+                i, j = i[near], j[near]
+                common = np.where(bands[i] == bands2[j], bands[i], none)
+                common.sort(axis=1)
+                t = tile[i]
+                mine = (common[:, 0] == x[t]) & (common[:, 1] < none) & ((y[t] == x[t]) | (common[:, 1] == y[t]))
+                i, j = i[mine], j[mine]
+                if len(i) == 0:
+                    continue
+                turn = pack[i] > pack2[j]
+                a, b = np.where(turn, pack2[j], pack[i]), np.where(turn, pack[i], pack2[j])
+                pairs = np.stack([np.where(turn, node2[j], node[i]), np.where(turn, node[i], node2[j])], axis=1)
+                o = np.lexsort((b, a))
+                a, b, pairs = a[o], b[o], pairs[o]
+                cuts = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a[cuts], pa.int64()), pa.array(b[cuts], pa.int64()),
+                     pa.array([pairs[u:v].tobytes() for u, v in zip(cuts, np.append(cuts[1:], len(a)))], pa.binary())],
+                    ["pa", "pb", "pairs"])
     return run
 
 
-def _blocks(members: DataFrame, sketches: DataFrame, out: str) -> DataFrame:
-    """(bucket, lead, ``out``): members (bucket, lead, node, sim) with their sketches in
-    blocks of some SIDE, however many a bucket has."""
-    of = ["bucket", "lead"]
-    number = members.groupBy(*of).agg(F.ceil(F.count(F.lit(1)) / F.lit(SIDE)).alias("blocks"))
-    return (members.join(sketches, "node").join(number, of)
-                   .groupBy(*of, F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
-                   .agg(F.collect_list(F.struct("node", "sim", "sketch")).alias(out)).select(*of, out))
-
-
-def _grown(star: DataFrame | None, links: DataFrame, name: str) -> DataFrame:
-    """(node, root) of the components after more links; ``star``: those before.  Only the
-    roots that links join are worked on; ``star`` is deleted."""
-    edges = links.select(F.col("lead").alias("u"), F.col("other").alias("v"))
-    if star is None:
-        return components(edges, name)
-    for c in ("u", "v"):
-        edges = (edges.join(star.select(F.col("node").alias(c), "root"), c, "left")
-                      .withColumn(c, F.coalesce("root", c)).drop("root"))
-    new = components(edges, name)                     # roots are the least of their components, so are these
-    moved = new.select(F.col("node").alias("root"), F.col("root").alias("to"))
-    grown = (star.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
-                 .unionByName(new.join(star.select("node"), "node", "left_anti").select("node", "root")))
-    grown = materialize(grown, f"{name}-root")
-    release(new)
-    release(star)
-    return grown
+def _nodes_of(batches):
+    """(pa, pb, node) of the texts that the pairs of two packs need."""
+    for batch in batches:
+        for a, b, pairs in zip(*(batch.column(c).to_pylist() for c in ("pa", "pb", "pairs"))):
+            node = np.unique(np.frombuffer(b"".join(pairs), np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), a)), pa.array(np.full(len(node), b)),
+                                              pa.array(node)], ["pa", "pb", "node"])
+
+
+def _least_of(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least member of each one's component, by the links (a, b)."""
+    root = np.arange(n)
+    while True:
+        u, v = root[a], root[b]
+        if (u == v).all():
+            return root
+        np.minimum.at(root, np.maximum(u, v), np.minimum(u, v))
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def _linker(idf, threshold: float):
+    """Links of the pairs of two packs: (node, to, null) for stars of their components and
+    (node, null, number of links)."""
+    def run(texts: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
+        node = texts["node"].to_numpy()
+        order = np.argsort(node)
+        node = node[order]
+        at = np.searchsorted(node, np.frombuffer(b"".join(pairs["pairs"]), np.int64).reshape(-1, 2))
+        sims = similarities(texts["text"].iloc[order].tolist(), at[:, 0], at[:, 1], idf.value)
+        a, b = at[sims >= threshold].T
+        degree = np.bincount(np.append(a, b), minlength=len(node))
+        root = _least_of(len(node), a, b)
+        far, linked = np.flatnonzero(root != np.arange(len(node))), np.flatnonzero(degree)
+        none = lambda n: pd.array([None] * n, dtype="Int64")
+        return pd.concat([
+            pd.DataFrame({"node": node[far], "to": pd.array(node[root[far]], dtype="Int64"), "n": none(len(far))}),
+            pd.DataFrame({"node": node[linked], "to": none(len(linked)), "n": pd.array(degree[linked], dtype="Int64")})])
+    return run
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -332,17 +393,12 @@ def classed_rows(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
          .groupBy("key").agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
          .withColumn("node", F.monotonically_increasing_id()), "op3-sketches")      # short names, written once
     member = bands.select("node", F.explode("bands").alias("bucket"))
-    shared = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    # Buckets of two bands each, for texts that share bands with others at all.
-    pairs_of = """flatten(transform(sequence(1, size(b) - 1), i -> transform(slice(b, i + 1, size(b) - i),
-                  x -> xxhash64(b[i - 1], x))))"""
-    member = (member.join(shared, "bucket").groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("b"))
-                    .where(F.size("b") > 1).select("node", F.explode(F.expr(pairs_of)).alias("bucket")))
-    pairs = materialize(member, "op3-pairs")
-    shared = pairs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    member = materialize(pairs.join(shared, "bucket"), "op3-members")
-    release(pairs)
-    candidates = member.select("node").distinct().join(bands.select("node", "key"), "node")
+    shared = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Texts that share bands with others at all, two at least.
+    member = materialize(member.join(shared, "bucket").groupBy("node")
+                               .agg(F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("b"))
+                               .where(F.size("b") > 1), "op3-members")
+    candidates = member.select("node").join(bands.select("node", "key"), "node")
     texts = (nodes.join(candidates, "key").join(d, "doc_id").select("node", "key", "text")
                   .mapInArrow(_own_text, "node long, key string, text string").select("node", "text"))
     # Rows without an id are joined by their key.
@@ -350,69 +406,44 @@ def classed_rows(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
                                 .join(candidates, "key").select("node", "text")).dropDuplicates(["node"]))
     texts = materialize(texts, "op3-texts")
 
-    def similar(near: DataFrame, name: str) -> DataFrame:
-        text = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"{c}_text"))
-        joined = (near.join(text("other"), "other").join(text("lead"), "lead")
-                      .select("lead", "other", "lead_text", "other_text"))
-        return materialize(joined.mapInArrow(_verifier(idf), "lead long, other long, sim double"), name)
-
-    def verify(pairs: DataFrame, name: str) -> DataFrame:
-        # Sketches first: only pairs that can be similar carry texts through a shuffle.
-        sketch = lambda c: bands.select(F.col("node").alias(c), F.col("sketch").alias(f"{c}_sketch"))
-        near = materialize(pairs.join(sketch("other"), "other").join(sketch("lead"), "lead")
-                                .where(_agree("lead_sketch", "other_sketch") >= AGREE).select("lead", "other"), f"{name}-near")
-        sims = similar(near, name)
-        release(near)
-        return sims
-
-    star, links, rest, compared, turn = None, None, member, None, 0
-    while True:
-        # Members of one component need no comparison: only buckets with several go on.
-        now = (rest.withColumn("root", F.col("node")) if star is None else
-               rest.join(star, "node", "left").withColumn("root", F.coalesce("root", "node")))
-        several = (now.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"))
-                      .where("a <> b").select("bucket"))
-        now = materialize(now.join(several, "bucket"), f"op3-open{turn}")
-        release(rest)
-        seat = F.pmod(F.xxhash64("root", F.lit(turn)), F.lit(2 ** turn))
-        lead = (now.groupBy("bucket", seat.alias("seat")).agg(F.min(F.struct("node", "root")).alias("l"))
-                   .select("bucket", F.col("l.node").alias("lead"), F.col("l.root").alias("lead_root")))
-        led = materialize(now.join(lead, "bucket").where("root <> lead_root").select("bucket", "node", "lead"),
-                          f"op3-led{turn}")
-        if led.isEmpty():
-            break
-        sims = verify(led.select("lead", F.col("node").alias("other")).distinct(), f"op3-sims{turn}")
-        good = sims.where(F.col("sim") >= threshold).select("lead", "other")
-        links = good if links is None else links.unionByName(good)
-        seen = materialize(led.join(sims.withColumnRenamed("other", "node"), ["lead", "node"]).where(
-            F.col("sim") >= 2 * threshold - 1), f"op3-seen{turn}")
-        release(led)
-        compared = seen if compared is None else compared.unionByName(seen)
-        done = (lead.select("bucket", F.col("lead").alias("node"))
-                    .unionByName(seen.where(F.col("sim") >= threshold).select("bucket", "node")).distinct())
-        rest = materialize(now.select("bucket", "node").join(done, ["bucket", "node"], "left_anti"), f"op3-rest{turn}")
-        release(now)
-        star = _grown(star, good, f"op3-star{turn}")
-        turn += 1
-
-    if links is not None:
-        # Members that may be similar to a text that joined their bucket's leader.
-        label = lambda c: star.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
-        with_root = (compared.join(label("node"), "node", "left").join(label("lead"), "lead", "left")
-                     .withColumn("node_root", F.coalesce("node_root", "node")))
-        grey = materialize(with_root.where((F.col("sim") < threshold) & F.col("lead_root").isNotNull()
-                                           & (F.col("node_root") != F.col("lead_root")))
-                                    .select("bucket", "lead", "node", "sim"), "op3-grey")
-        joined = (compared.where(F.col("sim") >= threshold).select("bucket", "lead", "node", "sim")
-                          .join(grey.select("bucket", "lead").distinct(), ["bucket", "lead"], "left_semi"))
-        sketches = bands.select("node", "sketch")
-        near = materialize(_blocks(grey, sketches, "grey").join(_blocks(joined, sketches, "joined"), ["bucket", "lead"])
-                           .mapInArrow(_tiles(1 - threshold), "lead long, other long").distinct(), "op3-extra-near")
-        more = similar(near, "op3-extra").where(F.col("sim") >= threshold).select("lead", "other")
-        links = materialize(links.unionByName(more).distinct(), "op3-all-links")
-        root = star if more.isEmpty() else _grown(star, more, "op3-classes")
-        degree = (links.select(F.col("lead").alias("node")).unionByName(links.select(F.col("other").alias("node")))
-                       .groupBy("node").agg(F.count(F.lit(1)).alias("n_links")))
+    # Packs: texts of one largest bucket go together, as many to a pack as it holds.
+    home = materialize(
+        member.select("node", F.array_max(F.transform("b", lambda e: F.struct(e["n"], e["bucket"])))["bucket"].alias("home"))
+              .join(texts.select("node", F.octet_length("text").alias("size")), "node"), "op3-home")
+    packs = lambda n, size: F.ceil(F.greatest(n / F.lit(PACK), size / F.lit(PACK_BYTES), F.lit(1.0)))
+    parts = home.agg(packs(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0)))).first()[0]
+    of_home = home.groupBy("home").agg(packs(F.count(F.lit(1)), F.sum("size")).alias("of_home"))
+    pack = (F.shiftleft(F.pmod(F.xxhash64("home"), F.lit(parts)), 24)
+            + F.pmod(F.xxhash64("node"), F.col("of_home")))
+    sketches = home.join(of_home, "home").select("node", pack.cast("long").alias("pack")).join(
+        bands.select("node", "sketch", "bands"), "node")
+
+    # Blocks of each bucket: the texts of a band, or of two bands where many share one (y = x: of one).
+    seats = F.expr(f"""flatten(transform(b, (e, i) -> if(e.n <= {LARGE}, array(struct(e.bucket as x, e.bucket as y)),
+                       transform(slice(b, i + 2, size(b)), f -> struct(e.bucket as x, f.bucket as y)))))""")
+    member = member.select("node", F.explode(seats).alias("seat")).select("node", "seat.x", "seat.y")
+    number = member.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    blocks = materialize(
+        member.join(number, ["x", "y"]).join(sketches, "node")
+              .groupBy("x", "y", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / F.lit(SIDE))).alias("block"))
+              .agg(F.collect_list(F.struct("node", "pack", "sketch", "bands")).alias("members")), "op3-blocks")
+    right = blocks.select("x", "y", F.col("block").alias("block2"), F.col("members").alias("right"))
+    tiles = (blocks.withColumnRenamed("members", "left").join(right, ["x", "y"]).where("block <= block2")
+                   .select("x", "y", "left", "right", (F.col("block") == F.col("block2")).alias("same")))
+    pairs = materialize(tiles.mapInArrow(_candidates(AGREE_EXTRA if threshold >= 0.8 else AGREE),
+                                         "pa long, pb long, pairs binary"), "op3-pairs")
+    release(blocks)
+    need = (pairs.groupBy("pa", "pb").agg(F.collect_list("pairs").alias("pairs"))
+                 .mapInArrow(_nodes_of, "pa long, pb long, node long").join(texts, "node"))
+    links = materialize(need.groupBy("pa", "pb").cogroup(pairs.groupBy("pa", "pb")).applyInPandas(
+        _linker(idf, threshold), "node long, to long, n long"), "op3-links")
+    release(pairs)
+    release(texts)
+
+    edges = links.where("to IS NOT NULL").select(F.col("node").alias("u"), F.col("to").alias("v"))
+    if not edges.isEmpty():
+        root = components(edges, "op3-classes")
+        degree = links.where("n IS NOT NULL").groupBy("node").agg(F.sum("n").alias("n_links"))
         named = (root.join(degree, "node", "left").join(bands.select("node", "key"), "node")
                      .select("key", F.col("root").cast("string").alias("root"), "n_links"))
         place = (nodes.join(named, "key", "left")

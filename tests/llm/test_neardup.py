@@ -176,3 +176,69 @@ def test_texts_of_a_batch_are_cut_into_shingles_once(monkeypatch):
             real([texts[r["lead"]]]), real([texts[r["other"]]])))
         want = sum(min(x.get(k, 0), y.get(k, 0)) for k in {*x, *y}) / sum(max(x.get(k, 0), y.get(k, 0)) for k in {*x, *y})
         assert abs(r["sim"] - want) < 1e-12
+
+
+def near_group(n, seed, least=3, kinds=9):
+    """Copies of one text, ``least`` words of it changed or more; by default at similarities
+    of some 0.6 to 0.9 to one another."""
+    g = random.Random(seed)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for _ in range(least + i % kinds):
+            w[g.randrange(300)] = f"x{g.randrange(10 ** 6)}"
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+def test_links_are_all_similar_pairs_whatever_the_blocks(spark, monkeypatch):
+    """Every text's number of links counts all texts similar to it; buckets dealt by a second
+    band, small blocks and small packs meet the same pairs once."""
+    rows = near_group(90, 12)
+    sets = [{tuple(t.split()[k:k + 5]) for k in range(296)} for _, t in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sh = N.Shingles([t for _, t in rows])
+    idf = N._weights(np.bincount(N.idf_bucket(sh.s), minlength=N.IDF_BUCKETS))
+    i, j = np.triu_indices(len(rows), 1)
+    sims = N.similarities([t for _, t in rows], i, j, idf)
+    plain = np.array([len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in zip(i, j)])
+    assert abs(sims - plain).max() < 0.1 and (sims < 0.75).sum() > 500
+    want = np.bincount(np.append(i, j)[np.tile(sims >= 0.8, 2)], minlength=len(rows))
+    first = None
+    for large, side, pack in ((N.LARGE, N.SIDE, N.PACK), (1, 7, 11)):
+        monkeypatch.setattr(N, "LARGE", large)
+        monkeypatch.setattr(N, "SIDE", side)
+        monkeypatch.setattr(N, "PACK", pack)
+        got = sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in N.near_duplicates(df).collect())
+        first = first or got
+        assert got == first
+        assert [n for _, _, n in got] == want.tolist()
+
+
+def test_pairs_of_a_group_never_become_rows(spark, monkeypatch):
+    """The links written for a group grow with its texts, not with its pairs."""
+    made, real = {}, N.materialize
+
+    def counted(df, name="stage"):
+        out = real(df, name)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(N, "materialize", counted)
+    rows = near_group(200, 13, least=1, kinds=2)
+    links = sum(r["n_links"] for r in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()) // 2
+    assert links > 10 * len(rows)
+    assert max(made.values()) <= 14 * len(rows) and made["op3-links"] <= 2 * len(rows)
+
+
+def test_components_of_links_in_a_task():
+    g = np.random.default_rng(7)
+    a, b = g.integers(0, 400, size=(2, 260))
+    a, b = np.append(a, np.arange(400, 499)), np.append(b, np.arange(401, 500))       # and a chain
+    root = N._least_of(500, a, b)
+    label = list(range(500))
+    while any(label[x] != label[y] for x, y in zip(a, b)):
+        for x, y in zip(a, b):
+            label[x] = label[y] = min(label[x], label[y])
+    assert root.tolist() == label
