@@ -15,18 +15,26 @@ avoided by three facts:
   the longest, so a list of all rows in the order of a can be read from its top and left
   as soon as that falls below the k-th best found.  The first k + 1 rows of the list
   already give every row a threshold, which drops most joined pairs before any sort.
-* Rows of equal a without a hot part are a run of the list in the order of ids, of which
-  k + 1 + (joined partners) rows are enough whatever the length of the run.
+* Of rows without a hot part, one that k others come before (larger or equal a and a smaller
+  id: better for every reader, or equal and first) is not needed by a row, unless some of
+  those k are joined partners of it or itself.  ``dom`` is how many come before a row; a row with q
+  partners in its part of the list reads rows of dom <= k + q, so that many rows of equal
+  or nearly equal a cost a row some k log of them and not all.  The list is kept per
+  class of k + q (doubling), each class read from its top.
 
 How far each row reads is found for all rows at once: thresholds and list are sorted
-together by range partitions and counted (``at_least``); nothing is collected and no
-pair of rows is formed that the bound excludes.
+together by range partitions and counted (``at_least``); no pair of rows is formed that
+the bound or ``dom`` excludes.  To count ``dom``, the smallest ids of every range partition
+(at most ``DOM_LIMIT``) pass through the driver.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,15 +46,31 @@ HOT_LIMIT = 4096          # rows of a column that is joined
 SLACK = 2e-9              # two units of the last place of a rounded score
 PACK_ROWS, PACK_ENTRIES = 1 << 16, 1_000_000
 PAIR_STEP = 4_000_000     # pairs of entries in memory at once
+DOM_LIMIT = 1 << 14       # a row that so many come before counts no further ones
+SMALL_LIST = 100_000      # list rows that are broadcast
 MET_SCHEMA = "row_id long, other_id long, p double, partners long"
 
 
-def at_least(values: DataFrame, queries: DataFrame, name: str) -> DataFrame:
-    """(row_id, reach): how many of ``values`` (val) are >= each query's (row_id, val)."""
+def _numbered(df: DataFrame, order: list, name: str) -> DataFrame:
+    """``df`` written in the order given, with the range partition (pid) of each row and its
+    place among all rows (pos, from 0)."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                         .withColumn("mid", F.monotonically_increasing_id()), name).withColumn("pid", F.shiftright("mid", 33))
+    per = laid.groupBy("pid").agg(F.count(F.lit(1)).alias("n"))                   # one row a partition
+    off = per.select(F.col("pid").alias("p"), F.coalesce(F.sum("n").over(
+        Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))
+    return (laid.join(F.broadcast(off), F.col("pid") == F.col("p"))
+                .withColumn("pos", F.col("off") + F.col("mid").bitwiseAND((1 << 33) - 1)).drop("mid", "p", "off"))
+
+
+def at_least(values: DataFrame, queries: DataFrame, name: str, lead: tuple = ()) -> DataFrame:
+    """(row_id, reach): how many of ``values`` (val) are >= each query's (row_id, val); with
+    ``lead`` columns, ascending, those of smaller lead values are counted too."""
     n = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    both = (values.select("val", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("row_id"))
-                  .unionByName(queries.select("val", F.lit(1).alias("kind"), "row_id")))
-    order = [F.desc("val"), F.asc("kind"), F.asc("row_id")]
+    both = (values.select(*lead, "val", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("row_id"))
+                  .unionByName(queries.select(*lead, "val", F.lit(1).alias("kind"), "row_id")))
+    order = [*map(F.asc, lead), F.desc("val"), F.asc("kind"), F.asc("row_id")]
     laid = materialize(both.repartitionByRange(n, *order).sortWithinPartitions(*order)
                            .withColumn("mid", F.monotonically_increasing_id()), name)
     laid = laid.withColumn("pid", F.shiftright("mid", 33))
@@ -58,6 +82,50 @@ def at_least(values: DataFrame, queries: DataFrame, name: str) -> DataFrame:
                 .select("row_id", (F.col("off") + F.col("here")).cast("long").alias("reach")))
 
 
+def _smaller_before(limit: int):
+    """Adds to (row_id, c, a), in order, how many earlier rows of the partition without a hot
+    part have a smaller id (``limit`` at most; 0 for rows with a hot part)."""
+    def run(batches):
+        low: list[int] = []                               # the smallest ids so far
+        for batch in batches:
+            out = np.zeros(batch.num_rows, dtype=np.int64)
+            plain = batch.column("c").to_numpy(zero_copy_only=False) == 0
+            for i, r in enumerate(batch.column("row_id").to_pylist()):
+                if plain[i]:
+                    at = bisect_left(low, r)
+                    out[i] = at
+                    if at < limit:
+                        insort(low, r)
+                        del low[limit:]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], [*batch.schema.names, "dom"])
+    return run
+
+
+def _come_before(laid: DataFrame, limit: int) -> DataFrame:
+    """(row_id, a, c, dom) of rows numbered in the order of a descending, ids ascending: how
+    many rows without a hot part come before one of them (exact below ``limit``)."""
+    spark = laid.sparkSession
+    least = {r["pid"]: np.array(r["ids"], dtype=np.int64) for r in laid.where("c = 0 and dom < %d" % limit).groupBy("pid").agg(
+        F.slice(F.array_sort(F.collect_list("row_id")), 1, limit).alias("ids")).toLocalIterator()}
+    before, so_far = {}, np.empty(0, np.int64)
+    for pid in sorted(least):
+        before[pid] = so_far
+        so_far = np.sort(np.append(so_far, least[pid]))[:limit]
+    shared = spark.sparkContext.broadcast(before)
+
+    def run(batches):
+        for batch in batches:
+            pid, ids = batch.column("pid").to_numpy(), batch.column("row_id").to_numpy()
+            dom = batch.column("dom").to_numpy().copy()
+            plain = batch.column("c").to_numpy() == 0
+            for p in np.unique(pid).tolist():
+                here = np.flatnonzero((pid == p) & plain)
+                dom[here] += np.searchsorted(shared.value.get(p, np.empty(0, np.int64)), ids[here])
+            yield pa.RecordBatch.from_arrays([batch.column("row_id"), batch.column("a"), batch.column("c"), pa.array(dom)],
+                                             ["row_id", "a", "c", "dom"])
+    return laid.select("pid", "row_id", "a", "c", "dom").mapInArrow(run, "row_id long, a double, c double, dom long")
+
+
 def _met(cold: DataFrame, info: DataFrame, longest) -> DataFrame:
     """(row_id, other_id, p) of the pairs that share a column and have a chance, both ways;
     and (row_id, partners) without an other row: how many pairs a row has in a tile.
@@ -185,47 +253,56 @@ def cosine_topk(entries: DataFrame, info: DataFrame, k: int, hot_limit: int = HO
     # Pairs that share a column: those that may still be among the best or are in the
     # part of the list that a row may read, and how many there are of each row.
     met = materialize(_met(cold, side.join(floor, "row_id"), longest), "bound-pairs")
-    pairs = met.where("other_id IS NOT NULL").select("row_id", "other_id", "p")
     high = F.col("a") * F.col("oa") + F.col("p") + F.col("c") * F.col("oc")
-    open_ = (pairs.join(side.join(floor, "row_id"), "row_id").join(other, "other_id")
-                  .where(high >= F.col("floor") - SLACK).withColumn("sim", low)
-                  .select("row_id", "other_id", "a", "c", "oa", "oc", "p", "sim"))
-    open_ = materialize(open_, "bound-open")
+    pairs = materialize(met.where("other_id IS NOT NULL").select("row_id", "other_id", "p")
+                           .join(side.join(floor, "row_id"), "row_id").join(other, "other_id")
+                           .withColumn("open", high >= F.col("floor") - SLACK).withColumn("sim", low)
+                           .select("row_id", "other_id", "a", "c", "oa", "oc", "p", "sim", "open"), "bound-open")
+    open_ = pairs.where("open").drop("open")
     lows = open_.select("row_id", "other_id", "sim").unionByName(first.select("row_id", "other_id", "sim"))
     floor = (_best(lows.groupBy("row_id", "other_id").agg(F.min("sim").alias("sim")), k)
              .groupBy("row_id").agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("low"))
              .select("row_id", F.when(F.col("n") >= k, F.col("low")).otherwise(F.lit(-4.0)).alias("floor")))
-    partners = met.where("other_id IS NULL").groupBy("row_id").agg(F.sum("partners").alias("partners"))
-    reach = materialize(side.join(floor, "row_id", "left").join(partners, "row_id", "left").select(
-        "row_id", "a", "c", F.coalesce("floor", F.lit(-4.0)).alias("floor"), F.coalesce("partners", F.lit(0)).alias("partners")),
-        "bound-floor")
-
-    # The list as runs: rows of one a without a hot part are one run, any other row is its own.
-    own = F.when(F.col("c") > 0, F.col("row_id"))
-    run_of = rows.select("row_id", "a", own.alias("own")).withColumn("key", F.struct(-F.col("a"), F.col("own")))
-    run = run_of.groupBy("key", "a").agg(F.count(F.lit(1)).alias("len"))
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    run = materialize(run.repartitionByRange(n, "key").sortWithinPartitions("key").withColumn("mid", F.monotonically_increasing_id()),
-                      "bound-runs").withColumn("pid", F.shiftright("mid", 33))
-    per = run.groupBy("pid").agg(F.count(F.lit(1)).alias("m"))
-    off = per.select(F.col("pid").alias("p"), F.coalesce(F.sum("m").over(
-        Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))
-    run = (run.join(F.broadcast(off), F.col("pid") == F.col("p"))
-              .select("key", F.col("a").alias("run_a"), "len", (F.col("off") + F.col("mid").bitwiseAND((1 << 33) - 1)).alias("run")))
     limit = F.when(F.col("a") > 0, (F.col("floor") - SLACK - F.col("c") * longest) / F.col("a")).otherwise(F.lit(-1.0))
-    asked = reach.withColumn("val", limit)
-    depth = at_least(run.select(F.col("run_a").alias("val")), asked.select("row_id", "val"), "bound-reach")
-    read = (asked.join(depth, "row_id").where("reach > 0")
-                 .select("row_id", "a", "c", "partners", F.explode(F.sequence(F.lit(0).cast("long"), F.col("reach") - 1)).alias("run"))
-                 .join(run.select("run", "len"), "run")
-                 .withColumn("want", F.least(F.col("len"), F.col("partners") + k + 1))
-                 .select("row_id", "a", "c", "run", F.explode(F.sequence(F.lit(1).cast("long"), F.col("want"))).alias("seat")))
-    seat = F.row_number().over(Window.partitionBy("run").orderBy("row_id"))
-    member = (run_of.join(run.select("key", "run"), run_of["key"].eqNullSafe(run["key"])).select("row_id", "run").withColumn("seat", seat.cast("long"))
-                    .join(rows.select("row_id", F.col("a").alias("oa"), F.col("c").alias("oc")), "row_id")
-                    .select(F.col("row_id").alias("other_id"), "run", "seat", "oa", "oc"))
-    read = (read.join(member, ["run", "seat"]).where("row_id <> other_id").select("row_id", "other_id", "a", "c", "oa", "oc"))
-    lone = read.join(pairs.select("row_id", "other_id"), ["row_id", "other_id"], "left_anti").withColumn("p", F.lit(0.0))
+    reach = materialize(side.join(floor, "row_id", "left").select(
+        "row_id", "a", "c", F.coalesce("floor", F.lit(-4.0)).alias("floor")).withColumn("val", limit), "bound-floor")
+
+    # Every row's part of the list, and the class of how many of it may not count for it.
+    q = (pairs.select("row_id", "oa").join(reach.select("row_id", "val"), "row_id").where("oa >= val")
+              .groupBy("row_id").agg(F.count(F.lit(1)).alias("q")))
+    need = F.coalesce(F.col("q"), F.lit(0)) + k + 1
+    asked = materialize(reach.join(q, "row_id", "left").select(
+        "row_id", "a", "c", "val", need.alias("need"), F.when(need > k + 1, F.floor(F.log2(need / (k + 1))) + 1).otherwise(0)
+        .cast("int").alias("class")), "bound-asked")
+    lowest, last = asked.agg(F.min("val"), F.max("class")).first()
+    last = last or 0
+    most = min(DOM_LIMIT, (k + 1) << last)
+    here = rows.where(F.col("row_id").isNotNull() & (F.col("a") >= F.lit(lowest))).select("row_id", "a", "c")
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.desc("a"), F.asc("row_id")]
+    laid = materialize(here.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                           .mapInArrow(_smaller_before(most), "row_id long, a double, c double, dom long")
+                           .withColumn("pid", F.spark_partition_id()), "bound-list")
+    # A row is in all classes that its dom leaves it in.
+    sizes = F.array(*[F.lit((k + 1) << j) for j in range(last + 1)])
+    listed = (_come_before(laid, most).withColumn("dom", F.least("dom", F.lit(most)))
+              .select(F.posexplode(sizes).alias("class", "size"), "row_id", "a", "c", "dom")
+              .where("dom < size"))
+    listed = _numbered(listed.select("class", "row_id", "a", "c", "dom"), [F.asc("class"), F.desc("a"), F.asc("row_id")], "bound-classes")
+    depth = at_least(listed.select("class", F.col("a").alias("val")), asked.select("class", "row_id", "val"), "bound-reach", ("class",))
+    start = listed.groupBy("class").agg(F.min("pos").alias("start"))                # one row a class
+    member = listed.select("pos", F.col("row_id").alias("other_id"), F.col("a").alias("oa"), F.col("c").alias("oc"), "dom")
+    if listed.count() <= SMALL_LIST:
+        member = F.broadcast(member)
+    read = (asked.join(depth, "row_id").join(F.broadcast(start), "class").where("reach > start")
+                 .select("row_id", "a", "c", "need", F.explode(F.sequence(F.col("start"), F.col("reach") - 1)).alias("pos"))
+                 .join(member, "pos").where("dom < need and row_id <> other_id"))
+    # Without a hot part the similarity is known: as many as may count for the row are enough.
+    plain = (F.col("c") == 0) | (F.col("oc") == 0)
+    w = Window.partitionBy("row_id", "plain").orderBy(F.desc(F.round(F.col("a") * F.col("oa"), SCORE_PLACES)), F.asc("other_id"))
+    lone = (read.withColumn("plain", plain).withColumn("nth", F.row_number().over(w)).where(~F.col("plain") | (F.col("nth") <= F.col("need")))
+                .select("row_id", "other_id", "a", "c", "oa", "oc")
+                .join(pairs.select("row_id", "other_id"), ["row_id", "other_id"], "left_anti").withColumn("p", F.lit(0.0)))
     cand = open_.select("row_id", "other_id", "a", "c", "oa", "oc", "p").unionByName(
         lone.select("row_id", "other_id", "a", "c", "oa", "oc", "p"))
     # The hot part of the pairs that may matter, exactly.
@@ -235,7 +312,8 @@ def cosine_topk(entries: DataFrame, info: DataFrame, k: int, hot_limit: int = HO
     dot = F.expr("if(hot is null or ohot is null, 0D, aggregate(map_entries(hot), 0D, "
                  "(s, e) -> s + e.value * coalesce(try_element_at(ohot, e.key), 0D)))")
     if stats is not None:
-        stats.update(pairs=met.agg(F.coalesce(F.sum("partners") / 2, F.lit(0)).cast("long")).first()[0], met=pairs.count(), opened=open_.count(), read=read.count(), rows=rows.count(), runs=run.count())
+        runs = rows.select("a", F.when(F.col("c") > 0, F.col("row_id")).alias("own")).distinct().count()
+        stats.update(pairs=met.agg(F.coalesce(F.sum("partners") / 2, F.lit(0)).cast("long")).first()[0], met=pairs.count(), opened=open_.count(), read=read.count(), rows=rows.count(), runs=runs)
     release(cell)
     out = cand.withColumn("sim", F.col("a") * F.col("oa") + F.col("p") + dot).select("row_id", "other_id", "sim")
     return _best(out, k)

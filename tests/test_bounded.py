@@ -103,3 +103,28 @@ def test_only_pairs_with_a_chance_become_rows(spark):
     want = brute(X, alpha, norm, 3, list(range(n)))
     assert [r["other_id"] for r in got] == [j for i in range(n) for j in want[i]]
     assert stats["pairs"] > n * n / 4 and stats["met"] < stats["pairs"] / 4
+
+
+@pytest.mark.parametrize("limit", [1 << 14, 5])
+def test_rows_of_nearly_equal_alpha_are_not_all_read(spark, monkeypatch, limit):
+    """Copies of rows under other ids, and rows apart by less than the slack: a row reads
+    some of them, and the same as all pairs give where some of them are its partners."""
+    monkeypatch.setattr(bounded, "DOM_LIMIT", limit)
+    rng = np.random.default_rng(11)
+    n = 300
+    X, alpha = np.zeros((n, 30)), np.full(n, 1.0)
+    X[:, 29] = 1e-5 * np.sqrt(np.arange(n) // 10)                # a of 30 runs, all within the slack
+    for i in range(40):                                          # some rows share columns
+        X[i, rng.integers(0, 29, 3)] = rng.choice([-0.3, 0.3], 3)
+    norm = np.sqrt(alpha ** 2 + (X * X).sum(axis=1))
+    X[:, 29] = 0.0                                               # a column of no part in the sums
+    ids = [int(i) for i in rng.permutation(n) + 1000]
+    entries, info = frames(spark, X, alpha, norm, ids)
+    stats = {}
+    got = bounded.cosine_topk(entries, info, 4, stats=stats).orderBy("row_id", "rank").collect()
+    lists = {}
+    for r in got:
+        lists.setdefault(r["row_id"], []).append(r["other_id"])
+    assert lists == brute(X, alpha, norm, 4, ids)
+    if limit > n:
+        assert stats["read"] < n * n / 6
