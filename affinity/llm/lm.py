@@ -32,7 +32,7 @@ training); other columns are ignored.
 
 from __future__ import annotations
 
-from itertools import groupby
+from itertools import groupby, repeat
 from operator import itemgetter
 
 import numpy as np
@@ -60,13 +60,15 @@ LOG10 = np.log(10.0)
 
 
 def tail_class(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(((w[-1] * 31 + w[-2]) % TAIL_CLASSES if len(w) > 1 else 0 for w in words),
-                       dtype=np.int64, count=len(words))
+    lens = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    letters = np.frombuffer(b"\0\0" + b"".join(words), dtype=np.uint8).astype(np.int64)
+    ends = np.cumsum(lens) + 2
+    return np.where(lens > 1, (letters[ends - 1] * 31 + letters[ends - 2]) % TAIL_CLASSES, 0)
 
 
 def hashes(words: list[bytes]) -> np.ndarray:
     """XXH64 with Spark's seed, so that values equal F.xxhash64 of the binary."""
-    return np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), dtype=np.uint64, count=len(words))
+    return np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(42)), dtype=np.uint64, count=len(words))
 
 
 def _row(h: np.ndarray) -> np.ndarray:
@@ -140,11 +142,24 @@ class Vocabulary:
         return count, cls, np.where(rank >= 0, rank % SLOTS, -1), known
 
 
+def _rows(bias, weights, features):
+    """Sums of the bias and the weight rows of the features, in a new array."""
+    z = bias + np.take(weights, features[0], axis=0)
+    for f in features[1:]:
+        z += np.take(weights, f, axis=0)
+    return z
+
+
 def _softmax(z):
-    z = z - z.max(axis=1, keepdims=True)
+    """z less its greatest of the row (in place), its exp, and the sum of that; the row length
+    is a power of two."""
+    top = z
+    while top.shape[1] > 1:                               # halves at a time: short rows are slow to reduce
+        half = top.shape[1] // 2
+        top = np.maximum(top[:, :half], top[:, half:])
+    z -= top
     e = np.exp(z)
-    s = e.sum(axis=1, keepdims=True)
-    return z, e, s
+    return z, e, e.sum(axis=1, keepdims=True)
 
 
 def new_weights() -> dict:
@@ -157,14 +172,14 @@ def log_probs(w: dict, voc: Vocabulary, p1, p2, cls, slot) -> np.ndarray:
     for s in range(0, len(cls), BATCH):
         e = slice(s, s + BATCH)
         f1, f2, f3 = class_rows(p1[e], p2[e])
-        z, _, total = _softmax(voc.class_bias + w["class"][f1] + w["class"][f2] + w["class"][f3])
+        z, _, total = _softmax(_rows(voc.class_bias, w["class"], (f1, f2, f3)))
         c = cls[e]
         r = np.arange(len(c))
         lp = z[r, c] - np.log(total[:, 0])
         head = np.flatnonzero(slot[e] >= 0)
         if len(head):
             g1, g2 = slot_rows(p1[e][head], p2[e][head], c[head])
-            z, _, total = _softmax(voc.slot_bias[c[head]] + w["slot"][g1] + w["slot"][g2])
+            z, _, total = _softmax(_rows(np.take(voc.slot_bias, c[head], axis=0), w["slot"], (g1, g2)))
             lp[head] += z[np.arange(len(head)), slot[e][head]] - np.log(total[:, 0])
         out[e] = lp
     return out
@@ -177,12 +192,18 @@ def _update(weights, seen, energy, rows, d):
     order = np.argsort(flat.astype(np.uint16), kind="stable")
     at = flat[order]
     start = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    run = np.cumsum(d[order % n], axis=0)                 # sums of segments as differences
-    g = run[np.append(start[1:], len(at)) - 1]
-    g[1:] -= run[start[1:] - 1]
+    run = np.take(d, order % n, axis=0)
+    pairs = run.view(np.complex64)                        # two columns a pass: adding waits for the sum before
+    np.cumsum(pairs, axis=0, out=pairs)                   # sums of segments as differences
+    ends = np.take(run, np.append(start[1:], len(at)) - 1, axis=0)
+    g = ends.copy()
+    g[1:] -= ends[:-1]
     touched = at[start]
-    energy[touched] += np.einsum("ij,ij->i", g, g) / g.shape[1]
-    weights[touched] -= RATE * g / np.sqrt(energy[touched] + 1e-6)[:, None]
+    power = energy[touched] + np.einsum("ij,ij->i", g, g) / g.shape[1]
+    energy[touched] = power
+    g *= RATE
+    g /= np.sqrt(power + 1e-6)[:, None]
+    weights[touched] = np.subtract(np.take(weights, touched, axis=0), g, out=g)
     seen[touched] += np.diff(np.append(start, len(at)))
 
 
@@ -191,15 +212,15 @@ def train_tokens(w: dict, seen: dict, energy: dict, voc: Vocabulary, p1, p2, cls
         e = slice(s, s + BATCH)
         rows = class_rows(p1[e], p2[e])
         c = cls[e]
-        _, ex, total = _softmax(voc.class_bias + w["class"][rows[0]] + w["class"][rows[1]] + w["class"][rows[2]])
-        d = ex / total
+        _, ex, total = _softmax(_rows(voc.class_bias, w["class"], rows))
+        d = np.divide(ex, total, out=ex)
         d[np.arange(len(c)), c] -= 1.0
         _update(w["class"], seen["class"], energy["class"], rows, d)
         head = np.flatnonzero(slot[e] >= 0)
         if len(head):
             rows = slot_rows(p1[e][head], p2[e][head], c[head])
-            _, ex, total = _softmax(voc.slot_bias[c[head]] + w["slot"][rows[0]] + w["slot"][rows[1]])
-            d = ex / total
+            _, ex, total = _softmax(_rows(np.take(voc.slot_bias, c[head], axis=0), w["slot"], rows))
+            d = np.divide(ex, total, out=ex)
             d[np.arange(len(head)), slot[e][head]] -= 1.0
             _update(w["slot"], seen["slot"], energy["slot"], rows, d)
 

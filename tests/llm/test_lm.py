@@ -150,3 +150,30 @@ def test_weight_rows_follow_the_trainers_not_the_partitions(spark, monkeypatch):
         monkeypatch.undo()
     assert made[0] == made[1] <= L.LEAST_TRAINERS * 2 * L.ROWS // L.BLOCK_ROWS
     assert all((weights[0][k] == weights[1][k]).all() and weights[0][k].any() for k in weights[0])
+
+
+@pytest.mark.parametrize("width", [32, 64])
+def test_steps_keep_the_bits_of_the_plain_formulas(width):
+    """Softmax in place with a greatest found by halves, and an update that sums two columns
+    a pass: the same floats as row by row formulas."""
+    rng = np.random.default_rng(width)
+    z = rng.normal(size=(500, width)).astype(np.float32)
+    low = z - z.max(axis=1, keepdims=True)
+    got, e, total = L._softmax(z)
+    assert got is z                                        # no further copy
+    assert (got == low).all() and (e == np.exp(low)).all() and (total == np.exp(low).sum(axis=1, keepdims=True)).all()
+    rows = [rng.integers(0, 90, 500) for _ in range(3)]
+    d = rng.normal(size=(500, width)).astype(np.float32)
+    w = rng.normal(size=(100, width)).astype(np.float32)
+    seen, energy = np.zeros(100), rng.random(100).astype(np.float32)
+    flat = np.concatenate(rows)
+    order = np.argsort(flat, kind="stable")
+    at, first, n = np.unique(flat[order], return_index=True, return_counts=True)
+    run = np.cumsum(d[order % 500], axis=0)
+    g = run[np.append(first[1:], len(flat)) - 1]
+    g[1:] -= run[first[1:] - 1]
+    want_e, want_w = energy.copy(), w.copy()
+    want_e[at] += np.einsum("ij,ij->i", g, g) / width
+    want_w[at] -= L.RATE * g / np.sqrt(want_e[at] + 1e-6)[:, None]
+    L._update(w, seen, energy, rows, d)
+    assert (w == want_w).all() and (energy == want_e).all() and (seen[at] == n).all()
