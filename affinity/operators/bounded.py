@@ -301,19 +301,23 @@ def cosine_topk(entries: DataFrame, info: DataFrame, k: int, hot_limit: int = HO
     plain = (F.col("c") == 0) | (F.col("oc") == 0)
     w = Window.partitionBy("row_id", "plain").orderBy(F.desc(F.round(F.col("a") * F.col("oa"), SCORE_PLACES)), F.asc("other_id"))
     lone = (read.withColumn("plain", plain).withColumn("nth", F.row_number().over(w)).where(~F.col("plain") | (F.col("nth") <= F.col("need")))
-                .select("row_id", "other_id", "a", "c", "oa", "oc")
-                .join(pairs.select("row_id", "other_id"), ["row_id", "other_id"], "left_anti").withColumn("p", F.lit(0.0)))
-    cand = open_.select("row_id", "other_id", "a", "c", "oa", "oc", "p").unionByName(
-        lone.select("row_id", "other_id", "a", "c", "oa", "oc", "p"))
-    # The hot part of the pairs that may matter, exactly.
-    maps = rows.where("c > 0").select("row_id", "hot")
-    cand = (cand.join(reach.select("row_id", "floor"), "row_id").where(high >= F.col("floor") - SLACK)
-                .join(maps, "row_id", "left").join(maps.select(F.col("row_id").alias("other_id"), F.col("hot").alias("ohot")), "other_id", "left"))
-    dot = F.expr("if(hot is null or ohot is null, 0D, aggregate(map_entries(hot), 0D, "
-                 "(s, e) -> s + e.value * coalesce(try_element_at(ohot, e.key), 0D)))")
+                .select("row_id", "other_id", "a", "c", "oa", "oc", F.lit(0.0).alias("p"), F.lit(False).alias("met"), F.lit(True).alias("open")))
+    # A listed row that is a joined partner is dropped; dealt by row, so that the best are found where they lie.
+    both = lone.unionByName(pairs.select("row_id", "other_id", "a", "c", "oa", "oc", "p", F.lit(True).alias("met"), "open")).repartition("row_id")
+    partner = F.max("met").over(Window.partitionBy("row_id", "other_id"))
+    cand = (both.withColumn("partner", partner).where((F.col("met") == F.col("partner")) & F.col("open"))
+                .select("row_id", "other_id", "a", "c", "oa", "oc", "p"))
+    sim = F.col("a") * F.col("oa") + F.col("p")
+    if rows.where("c > 0").limit(1).count():
+        # The hot part of the pairs that may matter, exactly.
+        maps = rows.where("c > 0").select("row_id", "hot")
+        cand = (cand.join(reach.select("row_id", "floor"), "row_id").where(high >= F.col("floor") - SLACK)
+                    .join(maps, "row_id", "left").join(maps.select(F.col("row_id").alias("other_id"), F.col("hot").alias("ohot")), "other_id", "left"))
+        sim += F.expr("if(hot is null or ohot is null, 0D, aggregate(map_entries(hot), 0D, "
+                      "(s, e) -> s + e.value * coalesce(try_element_at(ohot, e.key), 0D)))")
     if stats is not None:
         runs = rows.select("a", F.when(F.col("c") > 0, F.col("row_id")).alias("own")).distinct().count()
         stats.update(pairs=met.agg(F.coalesce(F.sum("partners") / 2, F.lit(0)).cast("long")).first()[0], met=pairs.count(), opened=open_.count(), read=read.count(), rows=rows.count(), runs=runs)
     release(cell)
-    out = cand.withColumn("sim", F.col("a") * F.col("oa") + F.col("p") + dot).select("row_id", "other_id", "sim")
+    out = cand.withColumn("sim", sim).select("row_id", "other_id", "sim")
     return _best(out, k)
