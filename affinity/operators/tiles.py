@@ -47,7 +47,7 @@ GROUP_ROWS = 1_000_000
 OUT_SCHEMA = T.StructType([T.StructField("row_id", T.LongType()),
                            T.StructField("other_id", T.LongType()),
                            T.StructField("sim", T.DoubleType())])
-PACK_SCHEMA = "pack int, ids binary, info binary, rows binary, cols binary, vals binary"
+PACK_SCHEMA = "pack int, ids binary, info binary, rows binary, cols binary, vals binary, codes binary"
 PAIR_CHUNK = 4_000_000        # co-occurrences scattered per numpy step
 DENSE_COL_CHUNK = 512         # columns per BLAS step
 DENSE_RATIO = 512             # column goes dense when n_left*n_right > ni*nj/512
@@ -89,11 +89,36 @@ def _pack(pdf: pd.DataFrame, n_info: int) -> pd.DataFrame:
     info = np.stack([inf[f"info{i}"].to_numpy(np.float64) for i in range(n_info)]) if n_info else np.zeros((0, len(ids)))
     rows, cols = np.searchsorted(ids, ent["row_id"].to_numpy(np.int64)), ent["col_id"].to_numpy(np.int64)
     o = np.lexsort((rows, cols))
+    vals, codes = _coded(rows[o], ent["value"].to_numpy(np.float64)[o], len(ids))
     small = len(cols) == 0 or (cols[o[0]] >= 0 and cols[o[-1]] < 2 ** 31)
     return pd.DataFrame({"pack": [int(pdf["pack"].iat[0])], "ids": [ids.tobytes()], "info": [info.tobytes()],
-                         "rows": [rows[o].astype(np.int32).tobytes()],
+                         "rows": [rows[o].astype(np.uint16 if len(ids) <= 1 << 16 else np.int32).tobytes()],
                          "cols": [cols[o].astype(np.int32 if small else np.int64).tobytes()],
-                         "vals": [ent["value"].to_numpy(np.float64)[o].tobytes()]})
+                         "vals": [vals.tobytes()], "codes": [codes.tobytes()]})
+
+
+def _coded(rows: np.ndarray, vals: np.ndarray, n: int):
+    """Values as the distinct ones of each row and, per entry, a byte that tells which; the
+    values themselves and no bytes where a row has too many or that takes more room."""
+    bits = vals.view(np.int64)                               # the very floats
+    o = np.lexsort((bits, rows))
+    r, b = rows[o], bits[o]
+    new = np.ones(len(o), dtype=bool)
+    new[1:] = (r[1:] != r[:-1]) | (b[1:] != b[:-1])
+    sizes = np.bincount(r[new], minlength=n)
+    if len(o) == 0 or sizes.max() > 256 or 8 * int(new.sum()) + len(o) + 8 * n >= 8 * len(o):
+        return vals, np.empty(0, np.uint8)
+    codes = np.empty(len(o), dtype=np.uint8)
+    codes[o] = np.cumsum(new) - 1 - (np.cumsum(sizes) - sizes)[r]
+    return vals[o[new]], np.append(codes, (sizes - 1).astype(np.int64).astype(np.uint8))
+
+
+def _decoded(vals: np.ndarray, codes: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    if len(codes) == 0:
+        return vals
+    sizes = np.bincount(rows, minlength=n) > 0               # rows without entries have no values
+    sizes = np.where(sizes, codes[len(rows):].astype(np.int64) + 1, 0)
+    return vals[(np.cumsum(sizes) - sizes)[rows] + codes[:len(rows)]]
 
 
 class Pack:
@@ -105,8 +130,9 @@ class Pack:
         self.number = int(row.pack)
         self.ids = np.frombuffer(row.ids, np.int64)
         self.info = np.frombuffer(row.info, np.float64).reshape(n_info, len(self.ids))
-        self.rows = np.frombuffer(row.rows, np.int32)
-        self.vals = np.frombuffer(row.vals, np.float64)
+        narrow = len(self.ids) <= 1 << 16
+        self.rows = np.frombuffer(row.rows, np.uint16 if narrow else np.int32).astype(np.int32)
+        self.vals = _decoded(np.frombuffer(row.vals, np.float64), np.frombuffer(row.codes, np.uint8), self.rows, len(self.ids))
         self.cols = np.frombuffer(row.cols, np.int32 if len(row.cols) == 4 * len(self.rows) else np.int64)
         first = np.ones(len(self.cols), dtype=bool)
         first[1:] = self.cols[1:] != self.cols[:-1]
