@@ -1,6 +1,7 @@
 """Stage storage: shared folders on clusters, ownership of written stages."""
 
 import os
+import time
 
 import pytest
 
@@ -46,3 +47,17 @@ def test_released_stage_is_deleted(spark):
 def test_active_session_keeps_its_settings(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert session.get_spark(shuffle_partitions=99).conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_a_written_stage_leaves_no_shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllFiles())
+                     if f.getName().startswith("shuffle_")}
+    before, setting = files(), spark.conf.get(session.DROP_SHUFFLES)
+    df = session.materialize(spark.range(1000).repartition(3, "id"), "t")
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and df.count() == 1000
+    assert spark.conf.get(session.DROP_SHUFFLES) == setting

@@ -176,3 +176,27 @@ def test_rare_and_common_terms_get_the_same_weights(spark, monkeypatch):
     assert got[3] == got[10 ** 6] and len(got[3]) > 100
     plan = content.term_counts(docs)
     assert plan.groupBy("mov_id", "term").count().where("count > 1").isEmpty()
+
+
+def test_copies_go_round_by_round(spark, monkeypatch):
+    """With room for few copies, tiles are taken in rounds and give the same lists, seeded too."""
+    rng = np.random.default_rng(8)
+    X = (rng.random((60, 25)) < 0.3) * rng.integers(1, 4, (60, 25)).astype(float)
+    X[4] = X[51]
+    r, c = np.nonzero(X)
+    entries = spark.createDataFrame(pd.DataFrame({"row_id": r * 3, "col_id": c, "value": X[r, c]}))
+    norm = np.sqrt((X ** 2).sum(1))
+    want = _brute_topk(np.arange(60) * 3, X @ X.T / np.outer(norm, norm), 5, True)
+    dealt, real = [], tiles.pair_tiles
+    monkeypatch.setattr(tiles, "pair_tiles", lambda *a: (dealt.append(a), real(*a))[1])
+    monkeypatch.setattr(tiles, "ROUND_ENTRIES", 1)
+    monkeypatch.setattr(tiles, "groups_for", lambda *a: 4)
+    lists = lambda df: df.toPandas().sort_values(["row_id", "rank"]).groupby("row_id")["other_id"].apply(list).to_dict()
+    assert lists(tiles.cosine_topk(entries, None, 5, exclude_zero=True, blocks=9)) == {k: v for k, v in want.items() if v}
+    diagonals = [a[6] for a in dealt]
+    groups = dealt[0][1]
+    assert diagonals == [[d] for d in range(groups // 2 + 1)]            # one diagonal a round: two copies of a pack
+    seeds = [0, 6, 9, 153, 177, 1000]
+    got = tiles.cosine_topk_seeded(entries, None, spark.createDataFrame([(s,) for s in seeds], "row_id long"), 5,
+                                   exclude_zero=True, max_rows_per_block=7)
+    assert lists(got) == {k: want[k] for k in seeds[:-1] if want[k]}
