@@ -156,3 +156,32 @@ def test_only_cells_that_may_be_best_are_rounded(monkeypatch):
     monkeypatch.setattr(factor, "round_half_up", lambda x: sizes.append(x.size) or real(x))
     factor._best_cells(S, 5, blank)
     assert sum(sizes) < S.size // 10
+
+
+def test_users_are_copied_for_groups_of_blocks_not_for_blocks(spark, monkeypatch):
+    """Users that read many blocks go as one row a group of blocks, with the same lists."""
+    rng = np.random.default_rng(6)
+    U, V = rng.normal(size=(90, 5)), rng.normal(size=(240, 5)).round(1)
+    V[7] = V[130]
+    uf = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(U)], "id long, features array<double>")
+    vf = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(V)], "id long, features array<double>")
+    copies, real = spark.sparkContext.accumulator(0), factor._user_slices
+
+    def counted(*a):
+        run = real(*a)
+
+        def count(pdf):
+            out = run(pdf)
+            copies.add(sum(len(x) // 8 for x in out["ids"]))
+            return out
+        return count
+
+    monkeypatch.setattr(factor, "_user_slices", counted)
+    monkeypatch.setattr(factor, "GROUP_USERS", 40)
+    stats = {}
+    got = factor.top_dot_products(uf, vf, 4, block=6, stats=stats).orderBy("user_id", "rank").collect()
+    S = U @ V.T
+    assert [r["mov_id"] for r in got] == [j for i in range(90) for j in sorted(range(240), key=lambda j: (-round(S[i, j], 9), j))[:4]]
+    assert 0 < copies.value < (stats["read"] - 90) / 2
+    assert factor.group_starts([9, 3, 3, 3, 0, 0], 2, 10) == [1, 2] and factor.group_starts([5] * 6, 1, 4) == [1, 5]
+    assert factor.group_starts([], 3, 2) == []
