@@ -185,3 +185,19 @@ def test_users_are_copied_for_groups_of_blocks_not_for_blocks(spark, monkeypatch
     assert 0 < copies.value < (stats["read"] - 90) / 2
     assert factor.group_starts([9, 3, 3, 3, 0, 0], 2, 10) == [1, 2] and factor.group_starts([5] * 6, 1, 4) == [1, 5]
     assert factor.group_starts([], 3, 2) == []
+
+
+def test_a_step_moves_blocks_of_factors_not_rows(spark, monkeypatch):
+    rows = planted(n=500)
+    cells = spark.createDataFrame(rows, "user_id long, mov_id long, grade double")
+    moved, real = {}, factor.materialize
+
+    def counted(df, name="stage"):
+        out = real(df, name)
+        moved[name] = out.count()
+        return out
+
+    monkeypatch.setattr(factor, "materialize", counted)
+    uf, vf = factor.sgd_factors(cells, rank=5, epochs=1, blocks=3)
+    assert max(n for name, n in moved.items() if name.startswith("sgd-st")) == 2 * 3
+    assert uf.count() == len({r[0] for r in rows}) and vf.count() == len({r[1] for r in rows})
